@@ -22,6 +22,18 @@ def tokenizer_bytes(name: str = PIECE_MODEL, folder: str = TOKENIZERS) -> bytes:
         return f.read()
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.surrogates import replace_private
+
+    return replace_private(table(spark, sf_dir, "documents"))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids and round trip of every document.  ``covered_bytes`` is where the last span ends."""
     from spanloom.llm.pieces import encode_documents
@@ -48,6 +60,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.sharding import assign_shards
+
+    return assign_shards(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanloom.llm.exact_dedup import exact_duplicates
 
@@ -61,12 +79,23 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")), threshold=0.7)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.toxicity import score_toxicity, train_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
+    "op2_licenses": op2_licenses,
     "op3_pieces": op3_pieces,
     "op4_near_dedup": op4_near_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_sharding": op7_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
