@@ -182,8 +182,8 @@ def near_duplicates(
     Reads ``doc_id`` and ``text``; other columns are ignored.  Returns one row per
     input row: ``doc_id, n_shingles, component_id, kept``.  Null or blank texts have
     an empty set and link with nothing; equal rows fall in one class; rows without
-    ``doc_id`` keep a null id and take part in links, but name no component; an
-    empty table gives an empty one.  A link at the very threshold is missed with
+    ``doc_id`` keep a null id, name no component and are linked only with rows of an
+    equal set; an empty table gives an empty one.  A link at the very threshold is missed with
     probability (1 - s**rows)**bands, 4e-5 at 0.85 and rows=8, bands=32, and less above."""
     threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

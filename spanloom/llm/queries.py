@@ -54,6 +54,12 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.suffixes import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanloom.llm.decontaminate import contaminated
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op3_pieces": op3_pieces,
     "op4_near_dedup": op4_near_dedup,
+    "op5_repeats": op5_repeats,
     "op6_decontaminate": op6_decontaminate,
     "op7_sharding": op7_sharding,
     "op8_exact_dedup": op8_exact_dedup,
