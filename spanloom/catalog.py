@@ -1,12 +1,603 @@
-"""Registered queries and their oracle SQL."""
+"""Registered queries over the driver's tables and the SQL that says what they must return."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanloom.functions.scalars import human, stars
+from spanloom.operators import correlate as C
+from spanloom.operators import coverage as V
+from spanloom.operators import genome as G
+from spanloom.operators import intervals as I
+from spanloom.operators import jobs as J
+from spanloom.operators import joins as X
+from spanloom.operators import scores as S
+from spanloom.operators import simulate as M
+from spanloom.operators import varbin as B
+from spanloom.operators.reshape import crosstab, uncrosstab
+from spanloom.plans import views as P
+from spanloom.plans.views import with_
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+ITERATIONS = list(range(-1, 19))
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query, with its SQL where there is one."""
+
+    def put(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return put
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+
+
+BED3 = 's AS start, e AS "end"'
+
+# ---- interval algebra ---------------------------------------------------------------
+
+
+def _collapse_sql(key: str = "'.'", pad: int = 0, names: bool = False) -> str:
+    return f"""{with_('f')}, cp AS (SELECT chrom, {key} AS k, s - {pad} AS s, e + {pad} AS e, name FROM f),
+        m AS (SELECT *, max(e) OVER (PARTITION BY chrom, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM cp),
+        g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
+        c AS (SELECT chrom, k, min(s) AS s, max(e) AS e, count(*) AS n, string_agg(CASE WHEN name = '0' THEN chrom || ':' || s || '-' || e || '[' || k || ']' ELSE name END, '::' ORDER BY s, e, name) AS name FROM g GROUP BY chrom, k, gid)"""
+
+
+@query("collapse", _collapse_sql(names=True) + f" SELECT chrom, {BED3}, name, 0.0::DOUBLE AS score, '+' AS strand, n FROM c")
+def _(spark, d):
+    return I.collapse(P.features(spark, d))
+
+
+@query("collapse_stranded", _collapse_sql("strand") + f" SELECT chrom, {BED3}, name, 0.0::DOUBLE AS score, k AS strand, n FROM c")
+def _(spark, d):
+    return I.collapse(P.features(spark, d), stranded=True)
+
+
+@query("collapse_padded", _collapse_sql(pad=250) + ' SELECT chrom, s + 250 AS start, e - 250 AS "end", n FROM c')
+def _(spark, d):
+    return I.collapse(P.features(spark, d), padding=250, unpadded=True, names=False).select("chrom", "start", "end", "n")
+
+
+@query("pad_unpad", with_("f") + ' SELECT name, s - 100 AS start, e + 100 AS "end" FROM f')
+def _(spark, d):
+    return I.pad(P.features(spark, d), 100).select("name", "start", "end")
+
+
+@query("offset_control", with_("f") + ' SELECT name, s + 5000 AS start, e + 5000 AS "end" FROM f')
+def _(spark, d):
+    return I.offset(P.features(spark, d), 5000).select("name", "start", "end")
+
+
+def _grouped(d: DataFrame) -> DataFrame:
+    # places repeat: positions are cut to hundreds
+    return d.withColumns({"start": F.floor(F.col("start") / 20000) * 20000, "end": F.floor(F.col("start") / 20000) * 20000 + 20000})
+
+
+_GROUP_SQL = with_("f") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, name, score FROM f)
+    SELECT chrom, s AS start, s + 20000 AS "end", string_agg(name, '::' ORDER BY name) AS name, {v} AS score, '+' AS strand FROM g GROUP BY chrom, s"""
+for _type, _agg in {
+    "COUNT": "count(*)::DOUBLE", "SUM": "round(sum(score), 6)", "AVERAGE": "round(avg(score), 6)", "MEDIAN": "round(median(score), 6)",
+    "MIN": "min(score)", "MAX": "max(score)", "BOOLEAN": "1.0::DOUBLE",
+}.items():
+
+    @query(f"group_{_type.lower()}", _GROUP_SQL.replace("{v}", _agg))
+    def _(spark, d, kind=_type):
+        return rounded(I.group(_grouped(P.features(spark, d)), kind), "score")
+
+
+@query(
+    "group_median_upper",
+    with_("f") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, list_sort(list(score)) AS v FROM f GROUP BY ALL)
+    SELECT chrom, s AS start, v[CAST(floor(len(v) / 2.0 + 0.5) AS BIGINT) + 1] AS score FROM g""",
+)
+def _(spark, d):
+    return _grouped(P.features(spark, d)).groupBy("chrom", "start").agg(I.median_upper().alias("score"))
+
+
+_SPLIT = with_("f", "chroms") + """, p AS (SELECT DISTINCT chrom, pos FROM (SELECT chrom, s AS pos FROM f UNION ALL SELECT chrom, e FROM f)),
+    q AS (SELECT chrom, pos AS ps, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS pe FROM p),
+    sp AS (SELECT f.chrom, q.ps, q.pe, f.name, f.score FROM f JOIN q ON f.chrom = q.chrom AND q.ps >= f.s AND q.pe <= f.e)"""
+
+
+@query("split", _SPLIT + ' SELECT chrom, ps AS start, pe AS "end", name, score FROM sp')
+def _(spark, d):
+    return I.split(P.features(spark, d)).select("chrom", "start", "end", "name", "score")
+
+
+@query("split_grouped", _SPLIT + """ SELECT chrom, ps AS start, pe AS "end", string_agg(name, '::' ORDER BY name) AS name, round(sum(score), 6) AS score FROM sp GROUP BY ALL""")
+def _(spark, d):
+    return rounded(I.group(I.split(P.features(spark, d)), "SUM"), "score").select("chrom", "start", "end", "name", "score")
+
+
+_GAPS = _collapse_sql() + """, z AS (SELECT 'chr' || i AS chrom, 600000 AS size FROM range(1, 6) t(i)),
+    w AS (SELECT c.chrom, coalesce(lag(e) OVER (PARTITION BY c.chrom ORDER BY s), 0) AS a, least(s, size) AS b FROM c JOIN z USING (chrom)),
+    t AS (SELECT z.chrom, coalesce(max(e), 0) AS a, any_value(size) AS b FROM z LEFT JOIN c USING (chrom) GROUP BY z.chrom),
+    gaps AS (SELECT * FROM w WHERE a < b UNION ALL SELECT * FROM t WHERE a < b)"""
+
+
+@query("gaps_complement", _GAPS + """ SELECT chrom, a AS start, b AS "end", 'GAP' AS name FROM gaps""")
+def _(spark, d):
+    return I.complement(P.features(spark, d), P.chroms(spark)).select("chrom", "start", "end", "name")
+
+
+@query("split_gaps", _SPLIT + """, u AS (SELECT chrom, ps AS start, pe AS "end", name FROM sp) """ + ", " + _GAPS[len(with_("f")) + 2 :] + """ SELECT * FROM u UNION ALL SELECT chrom, a, b, 'GAP' FROM gaps""")
+def _(spark, d):
+    return I.split(P.features(spark, d), chroms=P.chroms(spark), gaps=True).select("chrom", "start", "end", "name")
+
+
+_DEPTH = with_("f") + """, p AS (SELECT chrom, pos, sum(d) AS d FROM (SELECT chrom, s AS pos, 1 AS d FROM f UNION ALL SELECT chrom, e, -1 FROM f) GROUP BY chrom, pos),
+    w AS (SELECT chrom, pos AS s, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS e,
+          sum(d) OVER (PARTITION BY chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth FROM p),
+    dp AS (SELECT chrom, s, e, CAST(depth AS BIGINT) AS depth FROM w WHERE e IS NOT NULL AND depth > 0)"""
+
+
+@query("depth", _DEPTH + f" SELECT chrom, {BED3}, depth FROM dp")
+def _(spark, d):
+    return I.depth(P.features(spark, d))
+
+
+@query("depth_histogram", _DEPTH + """, h AS (SELECT depth, CAST(sum(e - s) AS BIGINT) AS n FROM dp GROUP BY depth)
+    SELECT * FROM h UNION ALL SELECT 0, 5 * 600000 - CAST((SELECT sum(n) FROM h) AS BIGINT)""")
+def _(spark, d):
+    return V.depth_histogram(P.features(spark, d), P.chroms(spark))
+
+
+@query("base_coverage", _DEPTH + f" SELECT chrom, {BED3}, round(depth / 50.0, 6) AS coverage FROM dp")
+def _(spark, d):
+    return rounded(V.base_coverage(P.features(spark, d), 50.0), "coverage")
+
+
+@query("bin_coverage", with_("f") + " SELECT strand, chrom, CAST(floor(s / 1000.0 + 0.5) * 1000 AS BIGINT) AS bin, round(sum(score), 6) AS coverage FROM f GROUP BY ALL")
+def _(spark, d):
+    return rounded(V.bin_coverage(P.features(spark, d), 1000, count="score"), "coverage")
+
+
+@query("chunk_tiles", """SELECT 'chr' || c AS chrom, CAST(i AS INTEGER) AS chunk, CAST(i * 41000 + 1 AS BIGINT) AS start,
+    CAST(CASE WHEN i = n THEN size ELSE (i + 1) * 41000 END AS BIGINT) AS "end"
+    FROM (SELECT c, 100000 * c AS size, greatest(0, CAST(ceil((100000 * c - 1.1 * 41000) / 41000) AS BIGINT)) AS n FROM range(1, 6) t(c)), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
+def _(spark, d):
+    sizes = P.chroms(spark).select("chrom", (F.substring("chrom", 4, 2).cast("long") * 100000).alias("size"))
+    return V.chunk_tiles(sizes, 41000)
+
+
+# ---- interval joins -------------------------------------------------------------------
+
+_HITS = with_("f", "r") + """, x AS (SELECT f.event_id AS id, f.s, f.e, r.s AS rs, r.e AS re, r.score AS rscore FROM f JOIN r ON f.chrom = r.chrom AND r.s <= f.e AND r.e >= f.s)"""
+_COLLAPSED_REFS = (
+    with_("f", "r") + """, m AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM r),
+    g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
+    c AS (SELECT chrom, min(s) AS rs, max(e) AS re FROM g GROUP BY chrom, gid),
+    x AS (SELECT f.event_id AS id, f.s, f.e, c.rs, c.re FROM f JOIN c ON f.chrom = c.chrom AND c.rs <= f.e AND c.re >= f.s)"""
+)
+_OVERLAP = "(least(e, re) - greatest(s, rs))"
+_ENDS = "sum(CASE WHEN s BETWEEN rs AND re OR e BETWEEN rs AND re THEN 1 ELSE 0 END)"
+_PART = f"({_OVERLAP} / CAST(e - s AS DOUBLE))"
+for _type, (_from, _val, _none) in {
+    "COUNT": (_HITS, "count(*)", "0"),
+    "COUNT_ENDS": (_HITS, _ENDS, "0"),
+    "LENGTH": (_COLLAPSED_REFS, f"sum{_OVERLAP}", "0"),
+    "FRACTION": (_COLLAPSED_REFS, f"sum({_PART})", "0"),
+    "BOOLEAN": (_COLLAPSED_REFS, f"CASE WHEN sum({_PART}) >= 1.0 / any_value(e - s) THEN 1 ELSE 0 END", "0"),
+    "BOOLEAN_ENDS": (_COLLAPSED_REFS, f"CASE WHEN {_ENDS} > 0 THEN 1 ELSE 0 END", "0"),
+    "WEIGHTED": (_HITS, f"sum({_PART} * rscore)", "0"),
+    "WEIGHTED2": (_HITS, f"CASE WHEN sum({_PART}) > 0 THEN sum({_PART} * rscore) / sum({_PART}) END", "NULL"),
+    "MAX_REF_LENGTH": (_HITS, "max(re - rs)", "NULL"),
+    "MAX_REF_SCORE": (_HITS, "max(rscore)", "NULL"),
+}.items():
+
+    @query(
+        f"crossing_{_type.lower()}",
+        f"{_from}, v AS (SELECT id, CAST({_val} AS DOUBLE) AS v FROM x GROUP BY id) SELECT event_id, round(CAST(coalesce(v, {_none}) AS DOUBLE), 6) AS cross_score FROM f LEFT JOIN v ON id = event_id",
+    )
+    def _(spark, d, kind=_type):
+        return rounded(X.crossing(P.features(spark, d), P.refs(spark, d), kind), "cross_score").select("event_id", "cross_score")
+
+
+_MID = "CAST(floor({s} + ({e} - {s}) / 2.0 + 0.5) AS BIGINT)"
+
+
+@query("crossing_distance_edge", with_("f", "r") + " SELECT f.event_id, CAST(min(greatest(0, r.s - f.e, f.s - r.e)) AS DOUBLE) AS cross_score FROM f LEFT JOIN r USING (chrom) GROUP BY f.event_id")
+def _(spark, d):
+    return X.crossing(P.features(spark, d), P.refs(spark, d), "DISTANCE_EDGE").select("event_id", "cross_score")
+
+
+@query(
+    "crossing_distance_center",
+    with_("f", "r") + f" SELECT f.event_id, CAST(min(abs({_MID.format(s='r.s', e='r.e')} - {_MID.format(s='f.s', e='f.e')})) AS DOUBLE) AS cross_score FROM f LEFT JOIN r USING (chrom) GROUP BY f.event_id",
+)
+def _(spark, d):
+    return X.crossing(P.features(spark, d), P.refs(spark, d), "DISTANCE_CENTER").select("event_id", "cross_score")
+
+
+@query("crossing_strict_padded", with_("f", "r") + """ SELECT f.event_id, CAST(count(r.event_id) AS DOUBLE) AS cross_score FROM f
+    LEFT JOIN r ON f.chrom = r.chrom AND f.strand = r.strand AND r.s - 50 < f.e + 50 AND r.e + 50 > f.s - 50 GROUP BY f.event_id""")
+def _(spark, d):
+    return X.crossing(P.features(spark, d), P.refs(spark, d), "COUNT", stranded=True, padding=50, touch=False).select("event_id", "cross_score")
+
+
+@query("outside_spans", with_("f", "r") + " SELECT event_id FROM f WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.chrom = f.chrom AND f.s >= r.s AND f.e <= r.e)")
+def _(spark, d):
+    return X.outside(P.features(spark, d), P.refs(spark, d)).select("event_id")
+
+
+@query("excluded_fraction", f"{_COLLAPSED_REFS}, v AS (SELECT id, sum({_PART}) AS v FROM x GROUP BY id) SELECT event_id, round(coalesce(v, 0), 6) AS excluded FROM f LEFT JOIN v ON id = event_id")
+def _(spark, d):
+    return rounded(X.excluded_fraction(P.features(spark, d), P.refs(spark, d)), "excluded").select("event_id", "excluded")
+
+
+@query("min_probes", with_("f", "r") + " SELECT event_id, count(*) FILTER (p IS NOT NULL) AS n_probes FROM f LEFT JOIN (SELECT chrom, s AS p FROM r) q ON f.chrom = q.chrom AND p BETWEEN f.s AND f.e - 1 GROUP BY event_id")
+def _(spark, d):
+    return X.probe_count(P.features(spark, d), P.refs(spark, d)).select("event_id", "n_probes")
+
+
+@query("probe_gaps", with_("f", "chroms") + """, p AS (SELECT chrom, s AS pos FROM f UNION SELECT chrom, size FROM chroms),
+    w AS (SELECT chrom, coalesce(lag(pos) OVER (PARTITION BY chrom ORDER BY pos), 0) AS a, pos FROM p) SELECT chrom, a AS start, pos AS "end" FROM w WHERE pos - a > 1000""")
+def _(spark, d):
+    return X.probe_gaps(P.features(spark, d), P.chroms(spark), 1000)
+
+
+# ---- iterated scores ------------------------------------------------------------------
+
+
+@query("crosstab", with_("it") + " SELECT id, " + ", ".join(f'max(CASE WHEN iteration = {i} THEN score END) AS "I{i}"' for i in ITERATIONS) + " FROM it GROUP BY id")
+def _(spark, d):
+    return crosstab(P.iterated(spark, d), ITERATIONS, check=False)
+
+
+@query("uncrosstab", with_("it") + f" , ids AS (SELECT DISTINCT id FROM it) SELECT ids.id, i::INTEGER AS iteration, max(score) AS score FROM ids CROSS JOIN range(-1, 19) t(i) LEFT JOIN it ON it.id = ids.id AND it.iteration = i GROUP BY ALL")
+def _(spark, d):
+    return uncrosstab(crosstab(P.iterated(spark, d), ITERATIONS, check=False), ITERATIONS)
+
+
+for _how, _agg in {
+    "AVERAGE": "avg(score)", "SUM": "sum(score)", "COUNT": "CAST(sum(CASE WHEN score <> 0 THEN 1 ELSE 0 END) AS DOUBLE)", "MEDIAN": "median(score)", "MIN": "min(score)", "MAX": "max(score)",
+    "WEIGHTED": "sum(length * score) / sum(length)", "WEIGHTED5": "sum(bed_score * score) / sum(bed_score)",
+}.items():
+
+    @query(f"iteration_{_how.lower()}", with_("it") + f" SELECT iteration, round({_agg}, 6) AS value FROM it GROUP BY iteration")
+    def _(spark, d, how=_how):
+        return rounded(S.aggregate_iterations(P.iterated(spark, d), how), "value")
+
+
+@query("iteration_tail_p", with_("it") + """, v AS (SELECT iteration, avg(score) AS v FROM it GROUP BY iteration), a AS (SELECT v AS a FROM v WHERE iteration = -1)
+    SELECT round(any_value(a), 6) AS actual, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd, count(*) AS n,
+    round(least(count(*) FILTER (v <= a), count(*) FILTER (v >= a)) / count(*), 6) AS p FROM v, a WHERE iteration >= 0""")
+def _(spark, d):
+    return rounded(S.tail_p(S.aggregate_iterations(P.iterated(spark, d))), "actual", "mean", "sd", "p")
+
+
+_QUANT = with_("it") + """, a AS (SELECT id, max(score) FILTER (iteration = -1) AS actual FROM it GROUP BY id),
+    q AS (SELECT id, actual, count(*) AS n, median(score) AS median, min(score) AS low, max(score) AS high,
+          (count(*) FILTER (score < actual) + count(*) FILTER (score = actual) / 2.0) / count(*) AS quantile FROM it JOIN a USING (id) WHERE iteration >= 0 GROUP BY id, actual)"""
+
+
+@query("feature_quantile", _QUANT + " SELECT id, actual, n, round(median, 6) AS median, low, high, round(quantile, 6) AS quantile FROM q")
+def _(spark, d):
+    return rounded(S.feature_quantile(P.iterated(spark, d)), "median", "quantile")
+
+
+@query("percentile_ranks", with_("it") + " SELECT id, iteration, round((rank() OVER (ORDER BY score) - 1 + count(*) OVER (PARTITION BY score) / 2.0) / count(*) OVER () * 100, 6) AS percentile FROM it")
+def _(spark, d):
+    return rounded(S.mid_rank_percentile(P.iterated(spark, d), "score"), "percentile").select("id", "iteration", "percentile")
+
+
+@query("by_score_strata", with_("it") + """, b AS (SELECT *, printf('%.4f', least(greatest(round_even(bed_score / 10, 0) * 10, 10), 60)) AS stratum FROM it)
+    SELECT stratum, iteration, count(*) AS n, round(avg(score), 6) AS value FROM b GROUP BY ALL
+    UNION ALL SELECT 'high', iteration, count(*), round(avg(score), 6) FROM it WHERE bed_score >= 30 AND bed_score < 50 GROUP BY ALL""")
+def _(spark, d):
+    return rounded(S.by_score(P.iterated(spark, d), stratum=10.0, low=10.0, high=60.0, groups=[("high", "between", 30.0, 50.0)]), "value")
+
+
+@query("relate_bins", with_("it") + " SELECT round_even(bed_score / 5, 0) * 5 AS x, count(*) AS n, round(avg(score), 6) AS mean, round(median(score), 6) AS median, round(quantile_cont(score, 0.05), 6) AS q05, round(quantile_cont(score, 0.95), 6) AS q95 FROM it GROUP BY ALL")
+def _(spark, d):
+    return rounded(S.relate(P.iterated(spark, d), "bed_score", "score", 5.0), "mean", "median", "q05", "q95")
+
+
+@query("frequency_hist", with_("it") + """, v AS (SELECT iteration, avg(score) AS v FROM it WHERE iteration >= 0 GROUP BY iteration), w AS (SELECT (max(v) - min(v)) / 50 AS w FROM v),
+    h AS (SELECT floor(v / w + 0.5) * w AS x, count(*) AS n FROM v, w GROUP BY 1)
+    SELECT round(x, 6) AS x, n, round(sum(n) OVER (ORDER BY x) / sum(n) OVER (), 6) AS at_most, round(sum(n) OVER (ORDER BY x DESC) / sum(n) OVER (), 6) AS at_least FROM h""")
+def _(spark, d):
+    return rounded(S.frequency(S.aggregate_iterations(P.iterated(spark, d))), "x", "at_most", "at_least")
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+
+@query("distribution_paired", with_("it") + """, a AS (SELECT id, max(score) FILTER (iteration = -1) AS actual FROM it GROUP BY id)
+    SELECT round_even((score - actual) / 20, 0) * 20 AS x, count(*) AS n FROM it JOIN a USING (id) WHERE iteration >= 0 GROUP BY 1""")
+def _(spark, d):
+    return S.distribution_paired(P.iterated(spark, d), 20.0)
+
+
+@query("cdf_points", with_("it") + """ SELECT DISTINCT id, score, round(cume_dist() OVER (PARTITION BY id ORDER BY score), 6) AS share,
+    round((rank() OVER (PARTITION BY id ORDER BY score) - 1 + count(*) OVER (PARTITION BY id, score) / 2.0) / count(*) OVER (PARTITION BY id), 6) AS mid FROM it WHERE iteration >= 0""")
+def _(spark, d):
+    return rounded(S.cdf_points(P.iterated(spark, d)), "share", "mid")
+
+
+@query("shapiro")
+def _(spark, d):
+    return rounded(S.normality(P.iterated(spark, d)), "p", "p_log")
+
+
+# ---- correlation ----------------------------------------------------------------------
+
+
+def _pearson_sql(w: str, compat: bool = False) -> str:
+    hx, hy = ("has_x", "has_y") if compat else ("TRUE", "TRUE")
+    return with_("al") + f""", a AS (SELECT *, CAST({w} AS DOUBLE) AS w FROM al), m AS (SELECT count(*) AS n, sum(w) AS weight, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM a),
+    v AS (SELECT any_value(n) AS n, any_value(weight) AS weight, any_value(mx) AS mean_x, any_value(my) AS mean_y,
+        sqrt(sum(w * (x - mx) ** 2) FILTER ({hx}) / (any_value(weight) - 1)) AS sd_x, sqrt(sum(w * (y - my) ** 2) FILTER ({hy}) / (any_value(weight) - 1)) AS sd_y,
+        sum(w * (x - mx) * (y - my)) / (any_value(weight) - 1) AS cov FROM a, m)
+    SELECT n, weight, round(mean_x, 6) AS mean_x, round(mean_y, 6) AS mean_y, round(sd_x, 6) AS sd_x, round(sd_y, 6) AS sd_y, round(cov, 6) AS cov, round(cov / (sd_x * sd_y), 6) AS r FROM v"""
+
+
+_P = ("mean_x", "mean_y", "sd_x", "sd_y", "cov", "r")
+
+
+@query("correlate_pearson", _pearson_sql("1"))
+def _(spark, d):
+    return rounded(C.pearson(C.align_samples(P.two_samples(spark, d), "a", "b")), *_P)
+
+
+@query("correlate_weighted", _pearson_sql("e - s"))
+def _(spark, d):
+    return rounded(C.pearson(C.align_samples(P.two_samples(spark, d), "a", "b"), weighted=True), *_P)
+
+
+@query("correlate_compat", _pearson_sql("1", True))
+def _(spark, d):
+    return rounded(C.pearson(C.align_samples(P.two_samples(spark, d), "a", "b"), compat=True), *_P)
+
+
+@query("correlate_spearman", with_("al") + """, k AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM al)
+    SELECT count(*) AS n, round(corr(rx, ry), 6) AS r FROM k""")
+def _(spark, d):
+    return rounded(C.spearman(C.align_samples(P.two_samples(spark, d), "a", "b")), "r")
+
+
+@query("regression", with_("al") + """, s AS (SELECT regr_count(y, x) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_avgx(y, x) AS mx FROM (SELECT least(x, 300) AS x, y FROM al))
+    SELECT CAST(n AS BIGINT) AS n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r2, 6) AS r2, round(sqrt(syy * (1 - r2) / (n - 2) / sxx), 6) AS slope_se,
+    round(sqrt(syy * (1 - r2) / (n - 2) * (1.0 / n + mx * mx / sxx)), 6) AS intercept_se FROM s""")
+def _(spark, d):
+    return rounded(C.regression(C.align_samples(P.two_samples(spark, d), "a", "b"), "x", "y", cap_x=300.0), "slope", "intercept", "r2", "slope_se", "intercept_se")
+
+
+# ---- simulation -----------------------------------------------------------------------
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.select(F.col("event_id").cast("string").alias("id"), "chrom", "start", F.least(F.col("end"), F.col("start") + 400).alias("end"), "score", "strand")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """Ten seeded simulations of the features, scored against the references, as quantiles by feature."""
+    few = _named(P.features(spark, sf_dir)).where("cast(id AS long) % 10 < 2")
+    return S.feature_quantile(M.simulate(few, P.chroms(spark), P.refs(spark, sf_dir), iterations=10, seed=7)).orderBy("id")
+
+
+def _placed(spark, d, **how):
+    f = _named(P.features(spark, d)).where("cast(id AS long) % 50 < 2")
+    ex = P.refs(spark, d).where("event_id % 100 = 0")
+    return M.permute(f, P.chroms(spark), iterations=10, seed=11, exclusions=ex, **how), ex
+
+
+@query("permute")
+def _(spark, d):
+    return _placed(spark, d, offset_control=1000)[0]
+
+
+@query("permute_lengths", with_("f") + ', n AS (SELECT least(e - s, 400) AS length, count(*) AS c FROM f WHERE event_id % 50 < 2 GROUP BY 1) SELECT CAST(i AS INTEGER) AS iteration, length, c AS n FROM n, range(-1, 10) t(i)')
+def _(spark, d):
+    return _placed(spark, d)[0].groupBy("iteration", (F.col("end") - F.col("start")).alias("length")).agg(F.count("*").alias("n"))
+
+
+@query("permute_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+def _(spark, d):
+    """Placements beyond a chromosome, on an exclusion, or on another placement: none."""
+    placed, ex = _placed(spark, d)
+    sims = placed.where("iteration >= 0")
+    out = sims.where("start < 0 or end > 600000").select(F.lit("bounds").alias("rule"))
+    hit = X.crossing(sims, ex, "LENGTH", touch=False).where("cross_score > 0").select(F.lit("exclusion").alias("rule"))
+    met = I.depth(sims.select(F.concat_ws("|", "iteration", "chrom").alias("chrom"), "start", "end")).where("depth > 1").select(F.lit("overlap").alias("rule"))
+    return out.unionByName(hit).unionByName(met).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query("simulate")
+def _(spark, d):
+    return flagship(spark, d)
+
+
+@query("hotspot")
+def _(spark, d):
+    return M.hotspot(_named(P.features(spark, d)).where("cast(id AS long) % 200 < 2").withColumn("name", F.col("id")), P.chroms(spark), iterations=5, seed=3, rounds=3)
+
+
+# ---- coverage and copy number ---------------------------------------------------------
+
+_BREAKS = with_("fr") + """, bk AS (SELECT sample, chrom, pos, CAST(sum(d) AS INTEGER) AS delta FROM (SELECT sample, chrom, pos, 1 AS d FROM fr UNION ALL SELECT sample, chrom, pos + len, -1 FROM fr) GROUP BY ALL HAVING sum(d) <> 0)"""
+_WEIGHTS = _BREAKS + """, sg AS (SELECT sample, chrom, pos AS s, lead(pos) OVER w AS e, sum(delta) OVER w AS cov FROM bk WINDOW w AS (PARTITION BY sample, chrom ORDER BY pos)),
+    ln AS (SELECT sample, floor(avg(len) + 0.5) AS avg_len FROM fr GROUP BY sample),
+    bn AS (SELECT 'chr' || c AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 10000 AS e FROM range(1, 6) t(c), range(0, 60) u(b)),
+    raw AS (SELECT bn.chrom, bin, sample, floor(sum(cov * (least(sg.e, bn.e) - greatest(sg.s, bn.s))) / any_value(avg_len) * 1000 + 0.5) / 1000 AS raw FROM sg JOIN bn ON sg.chrom = bn.chrom AND sg.s < bn.e AND sg.e > bn.s AND cov > 0 JOIN ln USING (sample) GROUP BY ALL)"""
+
+
+@query("break_map", _BREAKS + " SELECT * FROM bk")
+def _(spark, d):
+    return V.break_map(P.fragments(spark, d))
+
+
+@query("fragment_stats", with_("fr") + """ SELECT sample, chrom, count(*) AS n_frags, CAST(sum(len) AS BIGINT) AS sum_len, 600000::BIGINT AS chrom_len, CAST(floor(avg(len) + 0.5) AS BIGINT) AS avg_len, floor(sum(len) / 600000.0 * 10 + 0.5) / 10 AS coverage FROM fr GROUP BY ALL""")
+def _(spark, d):
+    return V.fragment_stats(P.fragments(spark, d), P.chroms(spark))
+
+
+def _lengths(fr: DataFrame) -> DataFrame:
+    return fr.groupBy("sample").agg(F.floor(F.avg("len") + 0.5).cast("double").alias("avg_len"))
+
+
+def _raw(spark, d) -> tuple[DataFrame, DataFrame]:
+    fr, bins = P.fragments(spark, d), P.fixed_bins(spark)
+    return B.bin_weights(V.break_map(fr), bins, _lengths(fr)), bins
+
+
+@query("bin_weights", _WEIGHTS + " SELECT chrom, bin, sample, raw FROM raw")
+def _(spark, d):
+    return _raw(spark, d)[0]
+
+
+@query("norm_median", _WEIGHTS + """, tt AS (SELECT sample, sum(raw) AS t FROM raw GROUP BY sample), wt AS (SELECT sample, t / (SELECT median(t) FROM tt) AS weight FROM tt),
+    nm AS (SELECT chrom, bin, sample, raw / weight AS norm FROM raw JOIN wt USING (sample)), md AS (SELECT chrom, bin, floor(median(norm) + 0.5) AS m FROM nm GROUP BY ALL)
+    SELECT chrom, bin, sample, round(norm, 6) AS norm, CASE WHEN m = 0 THEN 1.0 ELSE m END AS med_cov, CAST(floor(10000 / ((CASE WHEN m = 0 THEN 1.0 ELSE m END) / 50.0) + 0.5) AS BIGINT) AS adj_len FROM nm JOIN md USING (chrom, bin)""")
+def _(spark, d):
+    raw, bins = _raw(spark, d)
+    n = B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
+    return rounded(n, "norm").select("chrom", "bin", "sample", "norm", "med_cov", "adj_len")
+
+
+@query("correct_for_gaps", with_("r") + """, bn AS (SELECT 'chr' || c AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 9999 AS e FROM range(1, 6) t(c), range(0, 60) u(b)), g AS (SELECT chrom, s, e FROM r WHERE event_id % 60 = 0)
+    SELECT bn.chrom, bin, 10000::BIGINT AS length, CAST(10000 - coalesce(sum(least(bn.e + 1, g.e) - greatest(bn.s, g.s)) FILTER (g.s IS NOT NULL), 0) AS BIGINT) AS no_gap_len
+    FROM bn LEFT JOIN g ON bn.chrom = g.chrom AND g.s < bn.e + 1 AND g.e > bn.s GROUP BY bn.chrom, bin""")
+def _(spark, d):
+    return B.correct_for_gaps(P.fixed_bins(spark), P.refs(spark, d).where("event_id % 60 = 0")).select("chrom", "bin", "length", "no_gap_len")
+
+
+@query("bin_ends")
+def _(spark, d):
+    fr = P.fragments(spark, d)
+    return B.bin_ends(V.break_map(fr), P.chroms(spark), _lengths(fr), bin_count=20.0, n_samples=3)
+
+
+@query("viterbi_cn")
+def _(spark, d):
+    raw, bins = _raw(spark, d)
+    n = B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
+    one = n.select("chrom", "bin", "adj_len").distinct()
+    m = one.agg(F.avg("adj_len").alias("m"), F.stddev_samp("adj_len").alias("s")).first()
+    return B.copy_number(one, mean=m["m"], sd=max(m["s"], 1.0))
+
+
+@query("copy_changes")
+def _(spark, d):
+    raw, bins = _raw(spark, d)
+    n = B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
+    return B.copy_changes(n.withColumn("cn", F.lit(2)))
+
+
+_CHANGES = """ch AS (SELECT 's' || (event_id % 3) AS sample, 'chr' || ((event_id // 3) % 5 + 1) AS chrom, event_id // 15 AS bin, (event_id // 15) * 10 AS s, (event_id // 15) * 10 + 9 AS e, CASE WHEN value > 60 THEN 1 WHEN value < 20 THEN -1 ELSE 0 END AS dcn, value / 10 AS dcn_raw FROM events)"""
+
+
+@query("cnv_runs", f"WITH {_CHANGES}" + """, k AS (SELECT *, bin - row_number() OVER (PARTITION BY sample, chrom, dcn ORDER BY bin) AS g FROM ch)
+    SELECT sample, chrom, min(s) AS start, max(e) AS "end", count(*) AS n_bins, CAST(dcn AS INTEGER) AS sign, round(avg(dcn_raw), 6) AS mean_dcn FROM k WHERE dcn <> 0 GROUP BY sample, chrom, dcn, g HAVING count(*) > 2""")
+def _(spark, d):
+    ev = P.table(spark, d, "events")
+    bin_ = F.floor(F.col("event_id") / 15)
+    ch = ev.select(
+        F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("sample"), F.concat(F.lit("chr"), (F.floor(F.col("event_id") / 3) % 5 + 1).cast("string")).alias("chrom"),
+        bin_.alias("bin"), (bin_ * 10).alias("start"), (bin_ * 10 + 9).alias("end"), F.when(F.col("value") > 60, 1).when(F.col("value") < 20, -1).otherwise(0).alias("dcn"), (F.col("value") / 10).alias("dcn_raw"),
+    )
+    return rounded(B.cnv_runs(ch, min_bins=2), "mean_dcn")
+
+
+# ---- genome ---------------------------------------------------------------------------
+
+
+@query("gene_spans", with_("tx") + """ SELECT gene AS name, chrom, strand, min(s) AS start, max(e) AS "end" FROM tx GROUP BY gene, chrom, strand""")
+def _(spark, d):
+    t = P.transcripts(spark, d).select("gene", "chrom", "strand", F.col("txStart").alias("start"), F.col("txEnd").alias("end"))
+    return G.genes(t).select("name", "chrom", "strand", "start", "end")
+
+
+@query("transcript_names", with_("tx") + """ SELECT chrom, min(s) AS start, max(e) AS "end", 'transcript:' || name || ';gene:' || name AS name FROM tx GROUP BY chrom, name""")
+def _(spark, d):
+    return G.transcript_name(P.transcripts(spark, d).withColumn("name2", F.lit(""))).select("chrom", "start", "end", "name")
+
+
+@query("exon_rows", with_("tx") + """ SELECT gene, chrom, strand, s AS start, e AS "end" FROM tx""")
+def _(spark, d):
+    return G.exon_rows(P.transcripts(spark, d))
+
+
+@query("segment_map")
+def _(spark, d):
+    return G.segment_map(P.transcripts(spark, d))
+
+
+@query("motif_bins", with_("sq") + """, b AS (SELECT chrom, seq, unnest(range(0, (length(seq) - 1) // 500 + 1)) AS i FROM sq WHERE length(seq) > 0)
+    SELECT chrom, CAST(i * 500 AS BIGINT) AS start, CAST(i * 500 + 500 AS BIGINT) AS "end",
+    floor(len(regexp_extract_all(substring(seq, greatest(0, i * 500 - 2) + 1, CAST(i * 500 + 500 - greatest(0, i * 500 - 2) AS BIGINT)), 'TH(E|A)')) / 500.0 * 10000 + 0.5) / 10000 AS score FROM b""")
+def _(spark, d):
+    return G.motif_bins(P.sequences(spark, d), "TH(E|A)", 500)
+
+
+@query("sequence_split", with_("sq") + r""", q AS (SELECT chrom, regexp_extract_all(seq, '(?s)(.*?TION|.+$)') AS p FROM sq WHERE length(seq) > 0),
+    u AS (SELECT chrom, unnest(p) AS seq, unnest(range(1, len(p) + 1)) AS i, p FROM q)
+    SELECT chrom, CAST(coalesce(list_sum([length(x) for x in p[1:i-1]]), 0) AS BIGINT) AS start, length(seq) AS n FROM u""")
+def _(spark, d):
+    # a site whose two strands are one pattern, as the texts are not DNA
+    piece = G.split_sequences(P.sequences(spark, d).where("length(seq) > 0").withColumn("seq", F.replace(F.col("seq"), F.lit("TION"), F.lit("GATC"))), "GATC")
+    return piece.select("chrom", "start", (F.col("end") - F.col("start")).alias("n"))
+
+
+@query("lift_over", with_("f") + """ SELECT event_id, CASE WHEN s > 100000 + 30 AND s < 100501 THEN -1 ELSE s + CASE WHEN s >= 100501 THEN 30 - 500 ELSE 0 END + CASE WHEN s >= 300001 THEN 700 ELSE 0 END END AS lifted FROM f""")
+def _(spark, d):
+    ch = P.chroms(spark).select("chrom", F.explode(F.array(F.struct(F.lit(100000).cast("long").alias("last_before"), F.lit(100501).cast("long").alias("first_after"), F.lit(30).cast("long").alias("inserted")), F.struct(F.lit(300000).cast("long").alias("last_before"), F.lit(300001).cast("long").alias("first_after"), F.lit(700).cast("long").alias("inserted")))).alias("c")).select("chrom", "c.*")
+    return G.lift_over(P.features(spark, d).select("event_id", "chrom", F.col("start").alias("pos")), ch).select("event_id", "lifted")
+
+
+@query("find_features", with_("sq") + """, q AS (SELECT chrom, string_split(seq, 'THE') AS p FROM sq),
+    u AS (SELECT chrom, p, unnest(range(1, len(p))) AS i FROM q) SELECT chrom, CAST(list_sum([length(x) for x in p[1:i]]) + (i - 1) * 3 AS BIGINT) AS start FROM u""")
+def _(spark, d):
+    s = P.sequences(spark, d)
+    return G.find_features(s, s.select("chrom", F.lit("w").alias("name"), F.lit("the").alias("text"))).select("chrom", "start")
+
+
+# ---- jobs -----------------------------------------------------------------------------
+
+
+@query("status_filter", with_("jobs") + " SELECT job, maxvmem FROM jobs WHERE maxvmem > 200000 AND state <> 'P' AND regexp_matches(command, '^c1')")
+def _(spark, d):
+    return J.status_filter(P.jobs(spark, d), [("maxvmem", ">", "200000"), ("state", "!=", "P"), ("command", "~", "^c1")]).select("job", "maxvmem")
+
+
+@query("job_rollup", """SELECT o_custkey AS job, count(*) AS n_tasks, min(o_orderkey) AS start_time, max(o_orderkey) AS wall_time, max(o_totalprice) AS maxvmem,
+    CAST(coalesce(min_by(x, o_orderkey) FILTER (x <> 0), 0) AS INTEGER) AS exit_status FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS x FROM orders) GROUP BY o_custkey""")
+def _(spark, d):
+    o = P.table(spark, d, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    return J.array_rollup(o.select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("task"), F.col("o_orderkey").alias("start_time"), F.col("o_orderkey").alias("wall_time"), F.col("o_totalprice").alias("maxvmem"), status.alias("exit_status")))
+
+
+@query("job_closure", "WITH RECURSIVE e AS (SELECT o_orderkey AS job, o_orderkey // 2 AS p FROM orders WHERE o_orderkey > 0), c AS (SELECT 3 AS job UNION SELECT e.job FROM e JOIN c ON e.p = c.job) SELECT CAST(job AS BIGINT) AS job FROM c")
+def _(spark, d):
+    from spanloom.sources.folders import set_checkpoint_folder
+
+    set_checkpoint_folder(spark)
+    e = P.jobs(spark, d).where("job > 0").select("batch_id", "predecessor", "job")
+    return J.successors(e, spark.createDataFrame([(1, 3)], "batch_id int, job long")).select("job")
+
+
+@query("extend_antijoin", with_("jobs") + """, l AS (SELECT command, arg_max(coalesce(exit_status, -1), job) AS x FROM jobs GROUP BY command) SELECT 'c' || i AS command FROM range(0, 1000) t(i) WHERE 'c' || i NOT IN (SELECT command FROM l WHERE x NOT IN (137, -1))""")
+def _(spark, d):
+    wanted = spark.range(1000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("command"))
+    return J.extend(wanted, P.jobs(spark, d))
+
+
+@query("job_selector", with_("jobs") + " SELECT job FROM jobs WHERE job BETWEEN 120 AND 135 OR job = 7 OR job >= 990")
+def _(spark, d):
+    return P.jobs(spark, d).where(J.job_selector("120-35,7,990+")).select("job")
+
+
+@query("scalar_labels", """SELECT o_orderkey AS job, CASE WHEN o_totalprice / 1e7 < 1e-4 THEN '***' WHEN o_totalprice / 1e7 < 1e-3 THEN '**' WHEN o_totalprice / 1e7 < 0.01 THEN '*' ELSE '' END AS mark,
+    CASE WHEN o_totalprice >= 1e9 THEN 'G' WHEN o_totalprice >= 1e6 THEN 'M' WHEN o_totalprice >= 1e3 THEN 'K' ELSE '' END AS unit FROM orders""")
+def _(spark, d):
+    o = P.table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("job"), stars(F.col("o_totalprice") / 1e7).alias("mark"), F.regexp_extract(human("o_totalprice"), "([KMG]?)$", 1).alias("unit"))

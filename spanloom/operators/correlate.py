@@ -33,17 +33,17 @@ def pearson(aligned: DataFrame, *, weighted: bool = False, compat: bool = False)
     rows = aligned.withColumn("w", w)
     sx, sy = (F.col("has_x"), F.col("has_y")) if compat else (F.lit(True), F.lit(True))
     s = rows.agg(
-        F.count("*").alias("n"), F.sum("w").alias("W"),
+        F.count("*").alias("n"), F.sum("w").alias("total_w"),
         (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean_x"), (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("mean_y"),
     )
     # a second pass about the means: sums of squares of large scores lose digits
     dev = rows.crossJoin(F.broadcast(s))
     dx, dy = F.col("x") - F.col("mean_x"), F.col("y") - F.col("mean_y")
     out = dev.agg(
-        F.first("n").alias("n"), F.first("W").alias("weight"), F.first("mean_x").alias("mean_x"), F.first("mean_y").alias("mean_y"),
-        F.sqrt(F.sum(F.when(sx, F.col("w") * dx * dx)) / (F.first("W") - 1)).alias("sd_x"),
-        F.sqrt(F.sum(F.when(sy, F.col("w") * dy * dy)) / (F.first("W") - 1)).alias("sd_y"),
-        (F.sum(F.col("w") * dx * dy) / (F.first("W") - 1)).alias("cov"),
+        F.first("n").alias("n"), F.first("total_w").alias("weight"), F.first("mean_x").alias("mean_x"), F.first("mean_y").alias("mean_y"),
+        F.sqrt(F.sum(F.when(sx, F.col("w") * dx * dx)) / (F.first("total_w") - 1)).alias("sd_x"),
+        F.sqrt(F.sum(F.when(sy, F.col("w") * dy * dy)) / (F.first("total_w") - 1)).alias("sd_y"),
+        (F.sum(F.col("w") * dx * dy) / (F.first("total_w") - 1)).alias("cov"),
     )
     return out.withColumn("r", F.col("cov") / (F.col("sd_x") * F.col("sd_y")))
 

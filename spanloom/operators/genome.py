@@ -12,6 +12,11 @@ from pyspark.sql.window import Window
 from spanloom.operators.intervals import collapse, split
 
 
+def upper_bases(seq: str | Column) -> Column:
+    """Upper case of the ASCII letters; other characters, if any, keep their length."""
+    return F.translate(seq, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def map_columns(table: DataFrame, *, chrom: int, start: int, end: int, name: int | None = None, score: int | None = None, strand: int | None = None) -> DataFrame:
     """BED columns of a table by their places from 1; defaults are ``*``, 0 and +."""
     c = lambda i: F.col(f"`{table.columns[i - 1]}`")
@@ -65,7 +70,7 @@ def motif_bins(sequences: DataFrame, motif: str, bin_size: int = 1000) -> DataFr
     A bin's text begins with the last L - 1 bases of the bin before, so that matches across
     the border count; the last bin keeps its nominal width."""
     carry = motif_length(motif) - 1
-    bins = sequences.where("length(seq) > 0").select("chrom", F.upper("seq").alias("seq"), F.explode(F.expr(f"sequence(0L, (length(seq) - 1) div {bin_size})")).alias("bin"))
+    bins = sequences.where("length(seq) > 0").select("chrom", upper_bases("seq").alias("seq"), F.explode(F.expr(f"sequence(0L, (length(seq) - 1) div {bin_size})")).alias("bin"))
     start = F.col("bin") * bin_size
     first = F.greatest(F.lit(0), start - carry)
     text = F.substring("seq", (first + 1).cast("int"), (start + bin_size - first).cast("int"))
@@ -146,7 +151,7 @@ def lift_over(points: DataFrame, changes: DataFrame) -> DataFrame:
 
 def find_features(sequences: DataFrame, wanted: DataFrame) -> DataFrame:
     """Places of exact sequences (``name, chrom, text``), not overlapping: BED rows."""
-    hit = F.split(F.upper("seq"), F.concat(F.lit(r"\Q"), F.upper("text"), F.lit(r"\E")), -1)
+    hit = F.split(upper_bases("seq"), F.concat(F.lit(r"\Q"), upper_bases("text"), F.lit(r"\E")), -1)
     rows = sequences.join(wanted, "chrom").select("chrom", "name", F.length("text").alias("len"), hit.alias("parts")).where("size(parts) > 1")
     rows = rows.select("chrom", "name", "len", "parts", F.posexplode("parts").alias("at", "part")).where("at < size(parts) - 1")
     start = F.aggregate(F.slice("parts", 1, F.col("at") + 1), F.lit(0).cast("long"), lambda a, x: a + F.length(x)) + F.col("at") * F.col("len")

@@ -118,7 +118,8 @@ def nearest(places: DataFrame, refs: DataFrame, keys: list[str], *, center: bool
     below = F.greatest(F.max("b").over(own.rowsBetween(Window.unboundedPreceding, 0)), F.col("top"))
     above = F.least(F.min("a").over(own.rowsBetween(0, Window.unboundedFollowing)), F.col("low"))
     found = u.join(bins, [*keys, "bin"]).withColumns({"below": below, "above": above}).where("kind = 1")
-    gap = F.least(F.greatest(F.lit(0), F.col("qs") - F.col("below")), F.col("above") - F.col("qe"), F.lit(int(cap)))
+    before = F.when(F.col("below").isNotNull(), F.greatest(F.lit(0), F.col("qs") - F.col("below")))
+    gap = F.least(before, F.col("above") - F.col("qe"), F.lit(int(cap)))
     has = F.col("below").isNotNull() | F.col("above").isNotNull()
     return found.select(*keys, "start", "end", F.when(has, gap.cast("double")).alias("cross_score"))
 

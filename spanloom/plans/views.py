@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.operators.genome import upper_bases
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,7 +65,8 @@ def fixed_bins(spark: SparkSession) -> DataFrame:
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
-    x = one.select("l_orderkey", (F.col("l_linenumber") * 1000).cast("long").alias("s"), (F.col("l_linenumber") * 1000 + 100 + F.col("q").cast("long")).cast("long").alias("e"))
+    start = F.col("l_orderkey") % 400 * 6000 + F.col("l_linenumber") * 1000
+    x = one.select("l_orderkey", start.cast("long").alias("s"), (start + 100 + F.col("q").cast("long")).cast("long").alias("e"))
     z = x.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("x"))
     return z.select(
         F.concat(F.lit("g"), (F.col("l_orderkey") % 400).cast("string")).alias("gene"), F.concat(F.lit("t"), F.col("l_orderkey").cast("string")).alias("name"),
@@ -73,7 +76,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chrom"), F.upper("text").alias("seq"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chrom"), upper_bases("text").alias("seq"))
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +105,9 @@ SQL = {
     "fr": """fr AS (SELECT 's' || (event_id % 3) AS sample, 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % 500000 AS pos,
         CAST(1 + floor(value) AS BIGINT) AS len FROM events)""",
     "tx": """tx AS (SELECT 'g' || (l_orderkey % 400) AS gene, 't' || l_orderkey AS name, 'chr' || (l_orderkey % 5) AS chrom,
-        CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, l_linenumber * 1000 AS s, l_linenumber * 1000 + 100 + CAST(floor(max(l_quantity)) AS BIGINT) AS e
+        CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, l_orderkey % 400 * 6000 + l_linenumber * 1000 AS s, l_orderkey % 400 * 6000 + l_linenumber * 1000 + 100 + CAST(floor(max(l_quantity)) AS BIGINT) AS e
         FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+    "sq": """sq AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS seq FROM documents)""",
     "jobs": """jobs AS (SELECT o_orderkey AS job, o_orderkey // 2 AS predecessor, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 137 END AS exit_status,
         o_totalprice AS maxvmem, o_orderstatus AS state, 'c' || (o_orderkey % 700) AS command FROM orders)""",
 }
