@@ -67,12 +67,15 @@ def aimed(factor: float = 1.5) -> Transducer:
 
 
 def softened(negated: float = 0.6, reported: float = 0.5) -> Transducer:
-    """After a negation or a verb of report, hostile words weigh less; a report stays in force."""
-    arcs: Arcs = {(0, NEGATION): (1, 1.0), (0, REPORT): (2, 1.0), (1, REPORT): (2, 1.0)}
+    """A hostile word weighs less after a negation (state 1, then 3) or a verb of report (state 2, to the end)."""
+    arcs: Arcs = {}
+    for s in (0, 1, 3):
+        arcs[s, NEGATION] = (1, 1.0)
+        arcs[s, REPORT] = (2, 1.0)
     for symbol in (INSULT, THREAT):
-        arcs[1, symbol] = (0, negated)
+        arcs[1, symbol] = (3, negated)
         arcs[2, symbol] = (2, reported)
-    return Transducer(3, arcs)
+    return Transducer(4, arcs)
 
 
 def compose(a: Transducer, b: Transducer) -> Transducer:
@@ -98,10 +101,10 @@ def read_clause(symbols: list[tuple[int, float]]) -> tuple[float, int] | None:
         state, factor = GRAMMAR.step(state, symbol)
         if symbol in (INSULT, THREAT):
             total += weight * factor
-    kind, aim, soft = state // 6, state // 3 % 2, state % 3
+    kind, aim, soft = state // 8, state // 4 % 2, state % 4
     if not kind:
         return None
-    return total, 3 if kind & 2 else 2 if soft else 1 if aim else 0
+    return total, 3 if kind & 2 else 2 if soft >= 2 else 1 if aim else 0
 
 
 @dataclass
