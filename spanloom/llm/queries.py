@@ -105,7 +105,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def licenses_sql() -> str:
+    """The scan as SQL: places by list positions, templates by set intersection with every line."""
+    from spanloom.llm.licenses import PHRASES, TEMPLATES
+
+    def places(phrase: tuple[str, ...]) -> str:
+        test = " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase))
+        return f"[i - 1 FOR i IN range(1, len(ws) + 1) IF {test}]"
+
+    values = ", ".join(f"({i}, '{label}', list_distinct(string_split('{text}', ' ')))" for i, (label, text) in enumerate(TEMPLATES))
+    base = ", ".join(f"CASE WHEN len(p_{k}) > 0 THEN '{k}' END" for k in PHRASES)
+    found = " || ".join(f"p_{k}" for k in PHRASES)
+    return f"""
+        WITH t(id, label, parts) AS (VALUES {values}),
+        d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+        w AS (SELECT doc_id, x, {_WORDS.format(_LOW.format("x"))} AS ws FROM d),
+        p AS (SELECT *, {", ".join(f"{places(v)} AS p_{k}" for k, v in PHRASES.items())} FROM w),
+        l AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM d),
+        m AS (SELECT doc_id, label, len(list_intersect(list_distinct({_WORDS.format(_LOW.format("line"))}), parts)) / len(parts) AS share FROM l, t),
+        f AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share, count(*) AS n FROM m WHERE share >= 0.9 GROUP BY doc_id),
+        q AS (SELECT p.doc_id, len(ws) AS n_words, {found} AS pos, [b FOR b IN [{base}] IF b IS NOT NULL] AS base, more, share, n FROM p LEFT JOIN f USING (doc_id))
+        SELECT doc_id, n_words, len(pos) AS n_base, list_min(pos) AS first_word, list_max(pos) AS last_word,
+            array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') AS labels,
+            CASE WHEN len(pos) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score, coalesce(n, 0) AS n_blocks FROM q"""
+
+
+NEAR_SQL = rf"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 2) + 1)) AS i FROM w WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x),
+    k AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w LEFT JOIN n USING (doc_id) JOIN k ON k.doc_id = w.doc_id"""
+
 ORACLE: dict[str, str] = {
+    "op2_licenses": licenses_sql(),
+    "op4_near_dedup": NEAR_SQL,
     "op8_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
