@@ -2,17 +2,20 @@
 
 1. One pass hashes each text into its set of k-word shingles, a signature of
    ``bands * rows`` minima, and band keys.  Texts with equal sets form a class.
-2. Classes that share a band key are candidates.  In every bucket, the member
-   that shares most buckets (the hub) is first compared with the others; the
-   links found join classes to components.
-3. Only buckets that still hold several components are compared in full, inside
-   tasks and in blocks, so no task holds an unbounded bucket and pairs are
-   emitted only if they survive.
-4. A comparison reads signatures in batches.  After each, the posterior of the
+2. Classes that share a band key are candidates.  Buckets are compared inside tasks,
+   in blocks, so no task holds an unbounded bucket.
+3. A comparison reads signatures in batches.  After each, the posterior of the
    similarity (uniform prior) is bounded: a pair is dropped when it reaches the
-   threshold with probability under ``miss``.  Survivors are verified on the
-   full sets, from the whole texts.
-5. Components come from star contraction; a document's id there is the least.
+   threshold with probability under ``miss``.  Survivors are verified on the full
+   sets, from the whole texts.
+4. Only links between components matter.  A first round emits, of the survivors in a
+   block, the most similar ones that span it (a forest, never all pairs of a group);
+   what they link becomes components.  The second round takes buckets that still hold
+   several: of members with a survivor in another component, the full sets (as 32-bit
+   hashes, which can only overstate an intersection) join the comparison, and a forest
+   of what reaches the threshold is emitted and verified.  So a group's pairs are all
+   judged, but never become rows.
+5. A document's id in a component is the least.
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ def _sign(batches, k: int, bands: int, rows: int):
     band_no = np.arange(bands, dtype=np.uint64)[None, :] * K.U64(0xD6E8FEB86659FD93)
     for b in batches:
         data, off = K.texts(b.column("text"))
-        ids = b.column("doc_id")
+        ids = b.column("row")
         for i, j, d, o in K.chunks(data, off):
             h, so = _sets(d, o, k)
             n = np.zeros(j - i, np.int64)
@@ -80,13 +83,13 @@ def _sign(batches, k: int, bands: int, rows: int):
             of[full] = np.arange(len(full))
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(i, j - i).cast(pa.int64()),
+                    ids.slice(i, j - i),
                     pa.array(n),
                     pa.array([key[x].tobytes() if n[x] else None for x in range(j - i)], pa.binary()),
                     pa.array([hashed[of[x]].view(np.int64) if n[x] else None for x in range(j - i)], pa.list_(pa.int64())),
                     pa.array([small[of[x]].tobytes() if n[x] else None for x in range(j - i)], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "cls", "bands", "sig"],
+                ["row", "n_shingles", "cls", "bands", "sig"],
             )
 
 
@@ -101,8 +104,8 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     return n
 
 
-def survive(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np.ndarray:
-    """Indices of the row pairs of two signature arrays that no batch prunes."""
+def survive(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the row pairs of two signature arrays that no batch prunes, and their matches."""
     left = np.arange(len(a))
     hits = np.zeros(len(a), np.int64)
     n = 0
@@ -112,7 +115,7 @@ def survive(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np.n
         n += more
         ok = hits >= least_matches(n, threshold, miss)
         left, hits = left[ok], hits[ok]
-    return left
+    return left, hits
 
 
 def _matrix(column) -> np.ndarray:
@@ -120,51 +123,111 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(raw, np.uint16).reshape(len(column), -1) if raw else np.zeros((0, 1), np.uint16)
 
 
-def _prune(batches, threshold: float, miss: float):
-    for b in batches:
-        for i in range(0, b.num_rows, 4096):
-            part = b.slice(i, 4096)
-            keep = survive(_matrix(part.column("sig_a")), _matrix(part.column("sig_b")), threshold, miss)
-            yield part.select(["a", "b"]).take(pa.array(keep))
-
-
-def _compare_blocks(key, table: pa.Table, threshold: float, miss: float) -> pa.Table:
-    """All pairs of different components between two blocks of a bucket (or within one)."""
+def _survivors(table: pa.Table, i: int, j: int, threshold: float, miss: float):
+    """For each row of block ``i``, the rows of block ``j`` (later ones, if that is the same) of other
+    components that survive, and their matches."""
     block = table.column("block").to_numpy()
-    sig, cls = _matrix(table.column("sig")), table.column("cls").to_pylist()
+    sig = _matrix(table.column("sig"))
     comp = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
-    i, j = key[1].as_py(), key[2].as_py()
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    out_a, out_b = [], []
-    first = least_matches(BATCH, threshold, miss)
+    first = least_matches(min(BATCH, sig.shape[1]), threshold, miss)
     for x in left:
         others = right[right > x] if i == j else right
         others = others[comp[others] != comp[x]]
         if len(others):
             others = others[(sig[others, :BATCH] == sig[x, :BATCH]).sum(1) >= first]
-            for y in others[survive(np.broadcast_to(sig[x], (len(others), sig.shape[1])), sig[others], threshold, miss)]:
-                lo, hi = sorted((cls[x], cls[y]))
-                out_a.append(lo)
-                out_b.append(hi)
-    return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+            keep, hits = survive(np.broadcast_to(sig[x], (len(others), sig.shape[1])), sig[others], threshold, miss)
+            if len(keep):
+                yield x, others[keep], hits
+
+
+def _forest(table: pa.Table, found: list[tuple]) -> pa.Table:
+    """Of (row, rows, similarities), the best pairs that join what no better pair has joined."""
+    cls = table.column("cls").to_pylist()
+    comp = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+    pairs = []
+    if found:
+        a = np.concatenate([np.full(len(y), x) for x, y, _ in found])
+        b, like = np.concatenate([y for _, y, _ in found]), np.concatenate([v for _, _, v in found])
+        root = list(range(len(cls)))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        order = np.argsort(-like, kind="stable")
+        for x, y, cx, cy in zip(a[order].tolist(), b[order].tolist(), comp[a[order]].tolist(), comp[b[order]].tolist()):
+            cx, cy = top(cx), top(cy)
+            if cx != cy:
+                root[cx] = cy
+                pairs.append(sorted((cls[x], cls[y])))
+    return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+
+
+def _likely_forest(key, table: pa.Table, threshold: float, miss: float) -> pa.Table:
+    return _forest(table, list(_survivors(table, key[1].as_py(), key[2].as_py(), threshold, miss)))
+
+
+def _open_members(key, table: pa.Table, threshold: float, miss: float) -> pa.Table:
+    """The members of two blocks that survive with a member of another component."""
+    hit = np.zeros(table.num_rows, bool)
+    for x, others, _ in _survivors(table, key[1].as_py(), key[2].as_py(), threshold, miss):
+        hit[x] = True
+        hit[others] = True
+    return table.select(["bucket", "i", "j", "block", "cls", "comp", "sig"]).filter(pa.array(hit))
+
+
+def _exact_forest(key, table: pa.Table, threshold: float, miss: float, percent: int) -> pa.Table:
+    """As ``_likely_forest``, of the pairs whose full sets can reach the threshold."""
+    sets = [np.frombuffer(s, np.uint32) for s in table.column("set").to_pylist()]
+    size = table.column("n").to_numpy()
+    found = []
+    for x, others, _ in _survivors(table, key[1].as_py(), key[2].as_py(), threshold, miss):
+        all_ = np.concatenate([sets[y] for y in others])
+        length = np.array([len(sets[y]) for y in others])
+        at = np.minimum(np.searchsorted(sets[x], all_), len(sets[x]) - 1)
+        both = np.add.reduceat((sets[x][at] == all_).astype(np.int64), np.cumsum(length) - length)
+        both = both + (size[x] - len(sets[x])) + (size[others] - length)  # elements of one hash
+        union = np.maximum(size[x] + size[others] - both, 1)
+        ok = 100 * both >= percent * union
+        if ok.any():
+            found.append((x, others[ok], both[ok] / union[ok]))
+    return _forest(table, found)
+
+
+def _small_sets(batches, k: int):
+    """The shingle sets of texts as sorted 32-bit hashes, with the size of the full set."""
+    for b in batches:
+        data, off = K.texts(b.column("text"))
+        for i, j, d, o in K.chunks(data, off):
+            h, so = _sets(d, o, k)
+            own = [np.unique(h[so[x] : so[x + 1]]) for x in range(j - i)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("row").slice(i, j - i), pa.array([len(x) for x in own], pa.int64()),
+                    pa.array([np.unique((x >> K.U64(32)).astype(np.uint32)).tobytes() for x in own], pa.binary()),
+                ],
+                ["row", "n", "set"],
+            )
 
 
 def _verify(batches, k: int, percent: int):
-    seen: dict[int, np.ndarray] = {}
+    seen: dict[str, np.ndarray] = {}
 
-    def own(i: int, text: str) -> np.ndarray:
-        if i not in seen:
+    def own(text: str) -> np.ndarray:
+        if text not in seen:
             if len(seen) > 64:
                 seen.clear()
             data, off = K.texts(pa.array([text], pa.string()))
-            seen[i] = np.unique(_sets(data, off, k)[0])
-        return seen[i]
+            seen[text] = np.unique(_sets(data, off, k)[0])
+        return seen[text]
 
     for b in batches:
         keep = []
-        cols = [b.column(c).to_pylist() for c in ("da", "text_a", "db", "text_b")]
-        for x, (da, ta, db, tb) in enumerate(zip(*cols)):
-            sa, sb = own(da, ta), own(db, tb)
+        for x, (ta, tb) in enumerate(zip(b.column("text_a").to_pylist(), b.column("text_b").to_pylist())):
+            sa, sb = own(ta), own(tb)
             both = len(np.intersect1d(sa, sb, assume_unique=True))
             if 100 * both >= percent * (len(sa) + len(sb) - both):
                 keep.append(x)
@@ -172,105 +235,97 @@ def _verify(batches, k: int, percent: int):
 
 
 PAIR = "a binary, b binary"
+ROW = "struct<doc_id:bigint,same:bigint>"
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 8, miss: float = 1e-7
+    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 8, miss: float = 1e-5
 ) -> DataFrame:
     """Components of documents whose word-shingle sets have Jaccard similarity of at least ``percent`` / 100.
 
     Reads ``doc_id`` and ``text``; other columns are ignored.  Returns one row per
     input row: ``doc_id, n_shingles, component_id, kept``.  Null or blank texts have
     an empty set and link with nothing; equal rows fall in one class; rows without
-    ``doc_id`` keep a null id, name no component and are linked only with rows of an
-    equal set; an empty table gives an empty one.  A link at the very threshold is missed with
+    ``doc_id`` keep a null id and take part in links, but name no component; an
+    empty table gives an empty one.  A link at the very threshold is missed with
     probability (1 - s**rows)**bands, 4e-5 at 0.85 and rows=8, bands=32, and less above."""
     threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.withColumn("row", F.struct("doc_id", F.xxhash64("text").alias("same")))  # rows may share an id
     signed = stage(
-        docs.mapInArrow(
+        docs.select("row", "text").mapInArrow(
             lambda it: _sign(it, shingle, bands, rows),
-            "doc_id long, n_shingles long, cls binary, bands array<long>, sig binary",
-        ),
+            f"row {ROW}, n_shingles long, cls binary, bands array<long>, sig binary",
+        ).withColumn("doc_id", F.col("row.doc_id")),
         "sign",
     )
     classes = stage(
         signed.where("cls is not null")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
+        .agg(F.min("row").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
         "class",
     )
     sigs = classes.select("cls", "sig")
 
     member = classes.select("cls", F.explode("bands").alias("bucket"))
-    size = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    member = stage(member.join(size, "bucket"), "bucket")
-    degree = member.groupBy("cls").agg(F.sum("size").alias("degree"))
-    hub = member.join(degree, "cls").groupBy("bucket").agg(F.max(F.struct("degree", "cls")).getField("cls").alias("hub"))
-    star = (
-        member.join(hub, "bucket")
-        .where("hub != cls")
-        .select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b"))
-        .distinct()
-    )
-    pruned = (
-        star.join(sigs.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(sigs.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .mapInArrow(lambda it: _prune(it, threshold, miss), PAIR)
-    )
+    size = member.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("cls") % (1 << 40)).alias("who")).where("size > 1")
+    # buckets of the same members need one comparison
+    size = stage(size.groupBy("size", "who").agg(F.min("bucket").alias("bucket")), "size")
+    member = stage(member.join(size.select("bucket", "size"), "bucket"), "bucket")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar enough; texts are those of the classes' representatives."""
-        pairs = stage(pairs, "pair")
         reps = classes.select("cls", "rep")
         named = pairs.join(reps.select(F.col("cls").alias("a"), F.col("rep").alias("da")), "a").join(
             reps.select(F.col("cls").alias("b"), F.col("rep").alias("db")), "b"
         )
         named = stage(named, "named")
-        ids = stage(named.select(F.explode(F.array("da", "db")).alias("doc_id")).distinct(), "ids")
-        own = stage(keep_keys(docs, ids, ["doc_id"]).dropDuplicates(["doc_id"]), "texts")
+        ids = stage(named.select(F.explode(F.array("da", "db")).alias("row")).distinct(), "ids")
+        own = stage(keep_keys(docs, ids, ["row"]).dropDuplicates(["row"]), "texts")
         return stage(
-            named.join(own.select(F.col("doc_id").alias("da"), F.col("text").alias("text_a")), "da")
-            .join(own.select(F.col("doc_id").alias("db"), F.col("text").alias("text_b")), "db")
-            .select("a", "b", "da", "text_a", "db", "text_b")
+            named.join(own.select(F.col("row").alias("da"), F.col("text").alias("text_a")), "da")
+            .join(own.select(F.col("row").alias("db"), F.col("text").alias("text_b")), "db")
+            .select("a", "b", "text_a", "text_b")
             .mapInArrow(lambda it: _verify(it, shingle, percent), PAIR),
             "link",
         )
 
-    links = verified(pruned)
+    def blocks(rows: DataFrame) -> DataFrame:
+        """Members with their components, dealt to pairs of blocks, and their signatures."""
+        dealt = (
+            rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(
+                "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp"
+            )
+        )
+        return dealt.join(sigs, "cls").select("bucket", "i", "j", "block", "cls", "comp", "sig")
+
+    first = blocks(member.withColumn("comp", F.col("cls")))
+    likely = first.groupBy("bucket", "i", "j").applyInArrow(lambda key, t: _likely_forest(key, t, threshold, miss), PAIR)
+    links = verified(stage(likely.distinct(), "pair"))
     comp = stage(components(links, "a", "b"), "comp")
 
-    labelled = member.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "comp", F.coalesce("comp", "cls")
-    )
-    mixed = (
-        labelled.groupBy("bucket")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("cls") % (1 << 40)).alias("who"))
-        .where("lo != hi")
-    )
-    # buckets of the same members need one comparison
-    mixed = member.select("bucket", "size").distinct().join(mixed, "bucket").groupBy("who", "size").agg(
-        F.min("bucket").alias("bucket")
+    rows_ = member.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    mixed = rows_.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    rest = blocks(rows_.join(mixed.select("bucket"), "bucket"))
+    open_ = stage(
+        rest.groupBy("bucket", "i", "j").applyInArrow(
+            lambda key, t: _open_members(key, t, threshold, miss),
+            "bucket long, i int, j int, block int, cls binary, comp binary, sig binary",
+        ),
+        "open",
     )
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = (
-        labelled.join(mixed.select("bucket"), "bucket")
-        .withColumn("blocks", n)
-        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket", "cls", "comp", "block",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    if open_.take(1):
+        ids = stage(open_.select("cls").distinct().join(classes.select("cls", "rep"), "cls").select("cls", F.col("rep").alias("row")), "ids")
+        own = keep_keys(docs, ids.select("row"), ["row"]).dropDuplicates(["row"]).select("row", "text")
+        small = own.mapInArrow(lambda it: _small_sets(it, shingle), f"row {ROW}, n long, set binary").join(ids, "row").drop("row")
+        exact = open_.join(small, "cls").groupBy("bucket", "i", "j").applyInArrow(
+            lambda key, t: _exact_forest(key, t, threshold, miss, percent), PAIR
         )
-    )
-    found = (
-        rest.join(sigs, "cls")
-        .groupBy("bucket", "i", "j")
-        .applyInArrow(lambda key, t: _compare_blocks(key, t, threshold, miss), PAIR)
-        .distinct()
-    )
-    more = verified(found.join(links, ["a", "b"], "left_anti"))
-    comp = stage(components(links.unionByName(more), "a", "b"), "comp")
+        more = verified(stage(exact.distinct(), "pair"))
+        comp = stage(components(links.unionByName(more), "a", "b"), "comp")
 
     least = (
         signed.where("cls is not null")

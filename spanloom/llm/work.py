@@ -53,42 +53,32 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_se
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """Connected components by alternating large-star and small-star rounds.
+    """Connected components by contraction.
 
     ``edges`` is an undirected edge list over any orderable type.  Returns
     ``(node, comp)`` for every node of an edge; ``comp`` is the smallest node
-    reachable.  Each round is written to the shared folder; nothing but two
-    counts per round reaches the driver."""
-    now = stage(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "cc"
+    reachable.  In each round every node is merged into its least neighbour, so
+    the graph shrinks until no edge is left; the merges are then composed.  Each
+    round is written to the shared folder; the driver only learns whether edges
+    are left."""
+    left = stage(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges"
     )
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        # large: every node links its larger neighbours to its smallest neighbour;
-        # small: every node links its smaller neighbours and itself to the smallest of them
-        if large:
-            both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        else:
-            both = e.select("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        linked = both.join(low, "u")
-        if large:
-            out = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-                low.select("u", F.col("m").alias("v"))
-            )
-        return out.where("u != v").distinct()
-
-    def mark(e: DataFrame):
-        return e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-
-    seen = mark(now)
-    while seen["n"]:
-        after = stage(star(star(now, True), False), "cc")
-        drop_stage(now)
-        now, last, seen = after, seen, mark(after)
-        if seen == last:
-            break
-    own = now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(own)
+    merges: list[DataFrame] = []
+    while left.take(1) or not merges:
+        both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("comp"))
+        low = stage(low, "merge")
+        merges.append(low)
+        u, v = low.toDF("u", "cu"), low.toDF("v", "cv")
+        after = stage(
+            left.join(u, "u").join(v, "v").where("cu != cv").select(F.greatest("cu", "cv").alias("u"), F.least("cu", "cv").alias("v")).distinct(),
+            "edges",
+        )
+        drop_stage(left)
+        left = after
+    out = merges[-1]
+    for low in reversed(merges[:-1]):
+        above = out.toDF("comp", "top")
+        out = low.join(above, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    return out
