@@ -89,7 +89,7 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
 
     block = scanned.where("size(blocks) > 0").select("doc_id", "same", F.posexplode("blocks").alias("block", "own"))
     often = block.select(F.explode("own").alias("word")).groupBy("word").agg(F.count("*").alias("often"))
-    words = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "word string"))
+    words = F.broadcast(spark.range(1).select(F.explode(vocab).alias("word")))
     order = words.join(often, "word", "left").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "word"))).alias("all")
     )
@@ -99,7 +99,11 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
         # an intersection keeps the order of its first array
         return df.crossJoin(F.broadcast(order)).withColumn(column, F.array_intersect("order", column)).drop("order")
 
-    pattern = spark.createDataFrame(rows, "template int, label string, parts array<string>")
+    entries = [
+        F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.array(*[F.lit(w) for w in parts]).alias("parts"))
+        for i, label, parts in rows
+    ]
+    pattern = spark.range(1).select(F.inline(F.array(*entries)))
     pattern = (
         ranked(pattern, "parts")
         .withColumn("size", F.size("parts"))
