@@ -119,3 +119,24 @@ def test_closure_stays_in_its_batch(spark, tmp_path):
     got = J.successors(e, spark.createDataFrame([(1, 1)], "batch_id int, job long"))
     assert sorted(r["job"] for r in got.collect()) == [1, 2, 3]
     assert got.agg(F.max("batch_id")).first()[0] == 1
+
+
+def test_paths(spark, tmp_path):
+    from spanloom.sources import files
+
+    (tmp_path / "x.gz").write_text("")
+    assert files.exists(spark, f"{tmp_path}/*.gz") and not files.exists(spark, f"{tmp_path}/*.txt")
+    assert files.gzipped(spark, f"{tmp_path}/*") and files.check_prefix(spark, f"{tmp_path}/new")
+    with pytest.raises(FileNotFoundError):
+        files.require(spark, f"{tmp_path}/nothing*")
+
+
+def test_streamed_features_cross_static_references(spark, bed, tmp_path):
+    from spanloom.streaming.static import hits
+
+    bed([("c", 5, 9, "q", 1.0, "+"), ("c", 50, 60, "far", 1.0, "+")]).write.parquet(str(tmp_path / "in"))
+    refs = bed([("c", 9, 20, "touch", 1.0, "+"), ("c", 0, 6, "over", 1.0, "+")])
+    stream = spark.readStream.schema(refs.schema).parquet(str(tmp_path / "in"))
+    q = hits(stream, refs).writeStream.format("memory").queryName("crossed").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted((r["name"], r["ref"]) for r in spark.table("crossed").collect()) == [("q", "over"), ("q", "touch")]
