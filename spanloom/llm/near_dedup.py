@@ -239,7 +239,7 @@ ROW = "struct<doc_id:bigint,same:bigint>"
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 8, miss: float = 1e-5
+    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int | None = None, miss: float = 1e-5
 ) -> DataFrame:
     """Components of documents whose word-shingle sets have Jaccard similarity of at least ``percent`` / 100.
 
@@ -248,8 +248,10 @@ def near_duplicates(
     an empty set and link with nothing; equal rows fall in one class; rows without
     ``doc_id`` keep a null id and take part in links, but name no component; an
     empty table gives an empty one.  A link at the very threshold is missed with
-    probability (1 - s**rows)**bands, 4e-5 at 0.85 and rows=8, bands=32, and less above."""
+    probability (1 - s**rows)**bands, and less above; ``rows`` is by default the most, up to
+    8, that keep it under 1e-4 (8 at 0.85, 6 at 0.8)."""
     threshold = percent / 100
+    rows = rows or next((r for r in range(8, 1, -1) if (1 - threshold**r) ** bands < 1e-4), 1)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = docs.withColumn("row", F.struct("doc_id", F.xxhash64("text").alias("same")))  # rows may share an id
     signed = stage(
