@@ -101,6 +101,10 @@ class Pieces:
             else:
                 self.id[p.piece] = i
                 surface.append(p.piece.replace(SPACE, " ").encode())
+        # pieces of equal score have equal ranks, so that the leftmost wins
+        order = {v: i for i, v in enumerate(sorted({self.score[k] for k in self.id.values()}, reverse=True))}
+        self.rank = {p: order[self.score[k]] for p, k in self.id.items()}
+        self.no_rank = len(order)
         self.kind = np.array(kinds, np.int8)
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
         self.size = np.array([len(s) for s in surface], np.int64)
@@ -189,6 +193,29 @@ class Pieces:
 
     def merge(self, s: str) -> list[str]:
         """Byte-pair merges of one cut: best score first, then leftmost."""
+        if len(s) > 64:
+            return self._merge_long(s)
+        rank, none = self.rank.get, self.no_rank
+        sym = list(s)
+        if len(sym) < 2:
+            return sym
+        best = [rank(a + b, none) for a, b in zip(sym, sym[1:])]
+        while True:
+            low = min(best)
+            if low == none:
+                return sym
+            i = best.index(low)
+            sym[i] += sym.pop(i + 1)
+            del best[i]
+            if not best:
+                return sym
+            if i:
+                best[i - 1] = rank(sym[i - 1] + sym[i], none)
+            if i < len(best):
+                best[i] = rank(sym[i] + sym[i + 1], none)
+
+    def _merge_long(self, s: str) -> list[str]:
+        """The same with a queue, for cuts in which scanning for the best pair would be slow."""
         sym: list[str | None] = list(s)
         n = len(sym)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
