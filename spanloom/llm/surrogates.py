@@ -126,9 +126,11 @@ def assign_surrogates(entities: DataFrame, key: str, rounds: int = 64) -> DataFr
     """``kind, canon, surrogate`` for distinct ``kind, canon``: no two surrogates are equal and
     none is a real value.  Rows that collide are drawn again; the least canon keeps its draw."""
     left = entities.select("kind", "canon", F.lit(0).alias("attempt"))
+    # a draw costs far more than reading an entity, so few files must not mean few tasks
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = None
     for n in range(rounds):
-        drawn = draw(left, key)
+        drawn = stage(draw(left.repartition(tasks, "kind", "canon"), key), "draw")
         real = entities.select("kind", F.col("canon").alias("surrogate")).withColumn("real", F.lit(True))
         taken = real if done is None else real.unionByName(done.select("kind", "surrogate", F.lit(True).alias("real")))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("first"))
