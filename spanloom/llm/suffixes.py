@@ -299,8 +299,14 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
         part.groupBy("doc_id", "same").agg(F.collect_list(F.struct("fp", "lo", "hi")).alias("todo")), "todo"
     )
     texts = docs.select("doc_id", "same", "text")
+    own = ["doc_id", "same"]
+
+    def beside(lists: DataFrame) -> DataFrame:
+        """The texts that have a list, with it: at most the keys are broadcast, never the lists."""
+        return keep_keys(texts, lists.select(*own), own).join(lists, own)
+
     cut = stage(
-        keep_keys(texts, todo, ["doc_id", "same"], "inner")
+        beside(todo)
         .dropDuplicates(["doc_id", "same"])
         .mapInArrow(lambda it: _cut(it, length), "fp long, doc_id long, same long, lo int, hi int, bytes binary"),
         "cut",
@@ -308,10 +314,12 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     size = cut.groupBy("fp").agg(F.count("*").alias("size")).where(F.col("size") > GROUP)
     hot = stage(size.select("fp"), "hot")
     span = "doc_id long, same long, lo int, hi int"
-    spans = cut.join(F.broadcast(hot), "fp", "left_anti").groupBy("fp").applyInArrow(lambda t: _compare(t, length), span)
-    if hot.take(1):
+    any_hot = bool(hot.take(1))
+    few = keep_keys(cut, hot, ["fp"], "left_anti") if any_hot else cut
+    spans = few.groupBy("fp").applyInArrow(lambda t: _compare(t, length), span)
+    if any_hot:
         window = stage(
-            cut.join(F.broadcast(hot), "fp", "left_semi").mapInArrow(
+            keep_keys(cut, hot, ["fp"]).mapInArrow(
                 lambda it: _windows(it, length), "a long, b long, doc_id long, same long, lo int"
             ),
             "window",
@@ -323,6 +331,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     done = rows.where("fp is null").select("doc_id", "same", "lo", "hi")
     spans = spans.unionByName(whole.select("doc_id", "same", "lo", "hi")).unionByName(done)
     spans = stage(spans.groupBy("doc_id", "same").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
-    return keep_keys(texts, spans, ["doc_id", "same"], "left").select("doc_id", "text", "spans").mapInArrow(
+    none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
+    rest = keep_keys(texts, spans.select(*own), own, "left_anti").select("doc_id", "text", none)
+    return beside(spans).select("doc_id", "text", "spans").unionByName(rest).mapInArrow(
         lambda it: _keep(it, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     ).withColumn("doc_id", F.nullif("doc_id", no_id))
