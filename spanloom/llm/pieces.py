@@ -25,8 +25,9 @@ from spanloom.llm import textkernels as K
 SPACE = "▁"
 _SP = SPACE.encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Distinct cuts that a task remembers (about 300 bytes each).
-CACHE = 400_000
+#: Distinct cuts that a task remembers (about 300 bytes each), and forgets when it ends:
+#: a reused worker must not keep them while it serves other stages.
+CACHE = 120_000
 
 
 class CharMap:
@@ -120,7 +121,7 @@ class Pieces:
         self._reset()
 
     def _reset(self) -> None:
-        self.known.clear()
+        self.known = {}
         self._ids: list[int] = []
         self._lens: list[int] = []
         self._at: list[int] = [0]
@@ -341,7 +342,7 @@ _models: dict[bytes, Pieces] = {}
 
 
 def _model(blob: bytes) -> Pieces:
-    """One model per Python worker, so that later tasks find its cuts known."""
+    """One model per Python worker."""
     key = blob[:0] + str(hash(blob)).encode()
     if key not in _models:
         _models.clear()
@@ -370,6 +371,8 @@ def _batches(batches, blob: bytes, decode: bool) -> Iterator[pa.RecordBatch]:
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(cols, names)
             i = j
+    model._reset()
+    pa.default_memory_pool().release_unused()
 
 
 def encode_documents(docs: DataFrame, model: bytes, *, decode: bool = True) -> DataFrame:
