@@ -375,19 +375,18 @@ def _(spark, d):
 
 
 def _named(df: DataFrame) -> DataFrame:
-    return df.select(F.col("event_id").cast("string").alias("id"), "chrom", "start", F.least(F.col("end"), F.col("start") + 400).alias("end"), "score", "strand")
+    return df.select(F.col("event_id").cast("string").alias("id"), "chrom", "start", "end", "score", "strand")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten seeded simulations of the features, scored against the references, as quantiles by feature."""
-    few = _named(P.features(spark, sf_dir)).where("cast(id AS long) % 10 < 2")
-    return S.feature_quantile(M.simulate(few, P.chroms(spark), P.refs(spark, sf_dir), iterations=10, seed=7)).orderBy("id")
+    features, refs, chroms = P.simulated(spark, sf_dir)
+    return S.feature_quantile(M.simulate(_named(features), chroms, refs, iterations=10, seed=7)).orderBy("id")
 
 
 def _placed(spark, d, **how):
-    f = _named(P.features(spark, d)).where("cast(id AS long) % 50 < 2")
-    ex = P.refs(spark, d).where("event_id % 100 = 0")
-    return M.permute(f, P.chroms(spark), iterations=10, seed=11, exclusions=ex, **how), ex
+    f, ex, chroms = P.simulated(spark, d)
+    return M.permute(_named(f), chroms, iterations=10, seed=11, exclusions=ex, **how), ex, chroms
 
 
 @query("permute")
@@ -397,15 +396,18 @@ def _(spark, d):
 
 @query("permute_lengths", with_("f") + ', n AS (SELECT least(e - s, 400) AS length, count(*) AS c FROM f WHERE event_id % 50 < 2 GROUP BY 1) SELECT CAST(i AS INTEGER) AS iteration, length, c AS n FROM n, range(-1, 10) t(i)')
 def _(spark, d):
-    return _placed(spark, d)[0].groupBy("iteration", (F.col("end") - F.col("start")).alias("length")).agg(F.count("*").alias("n"))
+    # the id filter and the cut to 400 bases are those of the SQL
+    f = _named(P.features(spark, d).where("event_id % 50 < 2")).withColumn("end", F.least(F.col("end"), F.col("start") + 400))
+    placed = M.permute(f, P.chroms(spark), iterations=10, seed=11, exclusions=P.refs(spark, d).where("event_id % 100 = 0"))
+    return placed.groupBy("iteration", (F.col("end") - F.col("start")).alias("length")).agg(F.count("*").alias("n"))
 
 
 @query("permute_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
 def _(spark, d):
     """Placements beyond a chromosome, on an exclusion, or on another placement: none."""
-    placed, ex = _placed(spark, d)
+    placed, ex, chroms = _placed(spark, d)
     sims = placed.where("iteration >= 0")
-    out = sims.where("start < 0 or end > 600000").select(F.lit("bounds").alias("rule"))
+    out = sims.join(F.broadcast(chroms.select("chrom", "size")), "chrom", "left").where("size is null or start < 0 or end > size").select(F.lit("bounds").alias("rule"))
     hit = X.crossing(sims, ex, "LENGTH", touch=False).where("cross_score > 0").select(F.lit("exclusion").alias("rule"))
     met = I.depth(sims.select(F.concat_ws("|", "iteration", "chrom").alias("chrom"), "start", "end")).where("depth > 1").select(F.lit("overlap").alias("rule"))
     return out.unionByName(hit).unionByName(met).groupBy("rule").agg(F.count("*").alias("n"))
@@ -418,7 +420,8 @@ def _(spark, d):
 
 @query("hotspot")
 def _(spark, d):
-    return M.hotspot(_named(P.features(spark, d)).where("cast(id AS long) % 200 < 2").withColumn("name", F.col("id")), P.chroms(spark), iterations=5, seed=3, rounds=3)
+    features, _, chroms = P.simulated(spark, d)
+    return M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=5, seed=3, rounds=3)
 
 
 # ---- coverage and copy number ---------------------------------------------------------

@@ -1,11 +1,17 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from spanloom import catalog
 from spanloom.operators import simulate as M
 from spanloom.operators.reshape import crosstab, uncrosstab
 
 FEATURES = [("f%d" % i, "c1" if i % 2 else "c2", i * 50, i * 50 + 5 + i, 1.0, "+") for i in range(12)]
 
+DATA = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.exists(DATA), reason="driver tables are absent")
+
 
 @pytest.fixture(scope="module")
 def world(spark):
@@ -57,3 +63,11 @@ def test_crosstab_round_trip(spark):
     assert sorted(map(tuple, uncrosstab(wide, [-1, 0, 1, 2]).collect())) == sorted(map(tuple, long.collect()))
     with pytest.raises(Exception, match="missing or repeated"):
         crosstab(long.where("not (id = 2 and iteration = 1)"), [-1, 0, 1, 2]).collect()
+
+
+@needs_tables
+def test_registered_simulations_take_every_feature(spark):
+    n = spark.read.parquet(f"{DATA}/events.parquet").where("event_id % 3 != 0").count()
+    assert catalog.QUERIES["simulate"](spark, DATA).count() == n
+    placed = catalog.QUERIES["permute"](spark, DATA).groupBy("iteration").agg(F.countDistinct("id").alias("n")).collect()
+    assert {r["iteration"]: r["n"] for r in placed} == {i: n for i in range(-2, 10)}
