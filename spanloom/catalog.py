@@ -421,7 +421,7 @@ def _(spark, d):
 @query("hotspot")
 def _(spark, d):
     features, _, chroms = P.simulated(spark, d)
-    return M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=5, seed=3, rounds=3)
+    return M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=5, seed=3)
 
 
 # ---- coverage and copy number ---------------------------------------------------------

@@ -22,9 +22,9 @@ PLACED = "iteration int, id string, chrom string, start long, end long, score do
 class Occupied:
     """Merged regions of one chromosome and strand, kept sorted."""
 
-    def __init__(self) -> None:
-        self.start: list[int] = []
-        self.end: list[int] = []
+    def __init__(self, start: list[int] | None = None, end: list[int] | None = None) -> None:
+        self.start: list[int] = start or []
+        self.end: list[int] = end or []
 
     def near(self, s: int, e: int) -> range:
         """Regions that overlap [s, e)."""
@@ -91,30 +91,44 @@ def permute(
 ) -> DataFrame:
     """Actual features (iteration -1), an optional shifted control (-2), and random placements (0, 1, ...).
 
-    Chromosomes, merged exclusions and probe positions describe one genome; they are
-    gathered once and sent to the tasks.  The seed and the iteration number decide every
+    Chromosomes are gathered once and sent to the tasks; merged exclusions and probe
+    positions meet each iteration's features there.  The seed and the iteration number decide every
     draw, so results do not depend on partitions."""
     keep = [F.col("id").cast("string"), "chrom", "start", "end", F.col("score").cast("double"), "strand"]
     actual = features.select(*keep)
     sizes = [(r["chrom"], r["size"], r["copies"] if "copies" in r else 1) for r in chroms.orderBy("chrom").collect()]
-    known: dict[str, Occupied] = {}
+    marks, own = None, [F.col(c).alias(f"mark_{c}") for c in ("chrom", "start", "end")]
     if exclusions is not None:
-        for r in collapse(exclusions, names=False).orderBy("chrom", "start").collect():
-            known.setdefault(r["chrom"], Occupied()).add(r["start"], r["end"])
-    at: dict[str, np.ndarray] | None = None
+        marks = collapse(exclusions, names=False).select(F.lit("x").alias("kind"), *own)
     if probes is not None:
-        at = {r["chrom"]: np.array(sorted(r["pos"])) for r in probes.groupBy("chrom").agg(F.collect_list("start").alias("pos")).collect()}
+        points = probes.withColumn("end", F.col("start")).select(F.lit("p").alias("kind"), *own)
+        marks = points if marks is None else marks.unionByName(points)
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf: pd.DataFrame, known: dict[str, Occupied], at: dict[str, np.ndarray] | None) -> pd.DataFrame:
         return place(
             pdf, int(key[0]), sizes, known, at, seed=seed, stranded=stranded, max_excluded=max_excluded,
             max_overlap=max_overlap, min_probes=min_probes, max_attempts=max_attempts,
         )
 
+    def plain(key, pdf):
+        return run(key, pdf, {}, None)
+
+    def marked(key, pdf, own):
+        if pdf.empty:
+            return pdf[["iteration", "id", "chrom", "start", "end", "score", "strand"]]
+        own = own.sort_values("mark_start")
+        known = {c: Occupied(x["mark_start"].tolist(), x["mark_end"].tolist()) for c, x in own[own["kind"] == "x"].groupby("mark_chrom")}
+        at = {c: x["mark_start"].to_numpy() for c, x in own[own["kind"] == "p"].groupby("mark_chrom")}
+        return run(key, pdf, known, at if probed else None)
+
+    probed = probes is not None
     spark = features.sparkSession
     each = spark.range(iterations).select(F.col("id").cast("int").alias("iteration"))
     random = actual.withColumn("iteration", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))) if iterations else actual.crossJoin(each)
-    placed = random.groupBy("iteration").applyInPandas(run, PLACED)
+    if marks is None:
+        placed = random.groupBy("iteration").applyInPandas(plain, PLACED)
+    else:
+        placed = random.groupBy("iteration").cogroup(marks.crossJoin(each.withColumnRenamed("iteration", "mark_iteration")).groupBy("mark_iteration")).applyInPandas(marked, PLACED)
     out = actual.select(F.lit(-1).alias("iteration"), *actual.columns).unionByName(placed)
     if offset_control is not None:
         out = offset(actual, offset_control).select(F.lit(-2).alias("iteration"), *actual.columns).unionByName(out)
@@ -128,33 +142,42 @@ def simulate(features: DataFrame, chroms: DataFrame, refs: DataFrame, *, score_t
     return crossing(placed, refs, score_type).select("id", "iteration", F.col("cross_score").alias("score"))
 
 
-def hotspot(features: DataFrame, chroms: DataFrame, *, iterations: int = 100, seed: int = 1, exclusions: DataFrame | None = None, rounds: int = 50, **how) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once, without its lineage."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def hotspot(features: DataFrame, chroms: DataFrame, *, iterations: int = 100, seed: int = 1, exclusions: DataFrame | None = None, rounds: int | None = None, **how) -> DataFrame:
     """Largest clusters of overlapping features, round after round, against random placements.
 
     A row per round: features left, the size of the largest clusters, how many there are,
     features in them, and for j = 1 .. that many the share of iterations whose clusters of at
     least that size hold at least j times as many.  The clusters' features then go, and their
-    spans are excluded.  Each round's clusters (a few rows) decide the next, so rounds are a
-    driver loop; the features stay in Spark."""
+    spans are excluded, until no cluster is left or after ``rounds``, if given.  The driver
+    sees counts of a round and of its iterations; clusters and features stay in Spark."""
     spark = features.sparkSession
-    left, rows = features, []
-    for number in range(rounds):
-        clusters = collapse(left, names=False)
-        top = clusters.agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
-        if not top["n"]:
+    left, rows, number = features, [], 0
+    while rounds is None or number < rounds:
+        clusters = _cut(collapse(left, names=False))
+        total = clusters.agg(F.sum("n").alias("n")).first()["n"]
+        if not total:
             break
-        largest = clusters.where(F.col("n") == top["most"]).select("chrom", "start", "end")
-        spans = largest.collect()
-        k, most = len(spans), int(top["most"])
+        top = clusters.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).first()
+        most, k = int(top["n"]), int(top["k"])
         sims = permute(left, chroms, iterations=iterations, seed=seed + number, exclusions=exclusions, max_overlap=1.0, **how).where("iteration >= 0")
         # merge within iterations: the iteration joins the chromosome's name
         merged = collapse(sims.select(F.concat_ws("|", "iteration", "chrom").alias("chrom"), "start", "end", F.col("id").alias("name"), "score", "strand"), names=False)
         held = merged.where(F.col("n") >= most).groupBy(F.substring_index("chrom", "|", 1).alias("iteration")).agg(F.sum("n").alias("held"))
-        counts = held.agg(*[F.sum((F.col("held") >= most * j).cast("int")).alias(f"j{j}") for j in range(1, k + 1)]).first()
-        rows.append((number, int(top["n"]), most, k, most * k, [(counts[f"j{j}"] or 0) / iterations for j in range(1, k + 1)]))
-        mine = spark.createDataFrame([(s["chrom"], s["start"], s["end"], "+", 0.0, "x") for s in spans], "chrom string, start long, end long, strand string, score double, name string")
-        left = outside(left, mine)
+        # how many iterations hold j times as many, for the j that occur
+        reach = held.groupBy(F.floor(F.col("held") / most).alias("j")).agg(F.count("*").alias("n")).collect()
+        rows.append((number, int(total), most, k, most * k, [(int(r["j"]), int(r["n"])) for r in reach]))
+        mine = clusters.where(F.col("n") == most).select("chrom", "start", "end", F.lit("+").alias("strand"), F.lit(0.0).alias("score"), F.lit("x").alias("name"))
+        left = _cut(outside(left, mine))
         exclusions = mine if exclusions is None else exclusions.select(*mine.columns).unionByName(mine)
-        if most <= 1:
-            break
-    return spark.createDataFrame(rows, "round int, n_features long, cluster_size long, n_clusters int, n_clustered long, share array<double>")
+        number += 1
+    out = spark.createDataFrame(rows, "round int, n_features long, cluster_size long, n_clusters int, n_clustered long, reach array<struct<j: long, n: long>>")
+    share = F.transform(
+        F.sequence(F.lit(1), F.col("n_clusters")),
+        lambda j: F.aggregate("reach", F.lit(0).cast("long"), lambda a, r: a + F.when(r["j"] >= j, r["n"]).otherwise(0)) / F.lit(iterations),
+    )
+    return out.withColumn("share", share).drop("reach")

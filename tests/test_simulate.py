@@ -1,3 +1,4 @@
+import inspect
 import os
 
 import pytest
@@ -71,3 +72,21 @@ def test_registered_simulations_take_every_feature(spark):
     assert catalog.QUERIES["simulate"](spark, DATA).count() == n
     placed = catalog.QUERIES["permute"](spark, DATA).groupBy("iteration").agg(F.countDistinct("id").alias("n")).collect()
     assert {r["iteration"]: r["n"] for r in placed} == {i: n for i in range(-2, 10)}
+
+
+def test_hotspot_goes_on_until_no_cluster_is_left(spark, world):
+    _, chroms, _ = world
+    rows = [(f"n{n}.{i}", "c1", 100 * n + i, 100 * n + i + 20, 1.0, "+") for n in range(1, 6) for i in range(n)]
+    f = spark.createDataFrame(rows, "id string, chrom string, start long, end long, score double, strand string").withColumn("name", F.col("id"))
+    got = M.hotspot(f, chroms, iterations=3, seed=2).orderBy("round").collect()
+    assert [(r["n_features"], r["cluster_size"], r["n_clusters"]) for r in got] == [(15, 5, 1), (10, 4, 1), (6, 3, 1), (3, 2, 1), (1, 1, 1)]
+    assert inspect.signature(M.hotspot).parameters["rounds"].default is None  # no silent last round
+    assert got[-1]["share"] == [1.0] and all(len(r["share"]) == r["n_clusters"] for r in got)
+
+
+@needs_tables
+def test_registered_hotspot_ends_with_single_features(spark):
+    got = catalog.QUERIES["hotspot"](spark, DATA).orderBy("round").collect()
+    n = spark.read.parquet(f"{DATA}/events.parquet").where("event_id % 3 != 0").count()
+    assert got[0]["n_features"] == n == sum(r["n_clustered"] for r in got) and got[-1]["cluster_size"] == 1
+    assert all(list(r["share"]) == sorted(r["share"], reverse=True) for r in got)
