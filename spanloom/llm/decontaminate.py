@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. All word n-grams of the benchmark items are looked up in every document.
-2. The hits give each n-gram's document frequency over the whole corpus.  The rare
-   share of each item's n-grams are its seeds, so every item keeps seeds however
-   often its passage was copied, and frequent phrases start no alignment.
+2. Every hit is a seed.  Rareness does not choose among them: the copies of an item raise
+   the counts of the grams that an edited copy kept, so those would be lost first.
 3. Seeds join documents to items on a diagonal; around it, the document's words are
-   aligned with the item's.  The local alignment score, over that of a perfect copy,
+   aligned with the item's, unless too few of the item's words are there at all to reach
+   the score, which frequent phrases seldom pass.  The local alignment score, over that of a perfect copy,
    finds copies that were edited, cut or extended.
 """
 
@@ -93,7 +93,10 @@ def _alignments(batches, items: dict[int, np.ndarray], share: float):
                     word = items[s["item_id"]]
                     slack = max(8, len(word) // 2)
                     lo = max(0, s["diagonal"] - slack)
-                    todo.append((x, s["item_id"], word, lo, own[lo : s["diagonal"] + len(word) + slack + 64]))
+                    window = own[lo : s["diagonal"] + len(word) + slack + 64]
+                    # each of the item's words adds at most MATCH, and only if the window has it
+                    if np.isin(word, window).sum() >= share * len(word) - 1e-9:
+                        todo.append((x, s["item_id"], word, lo, window))
             for at in range(0, len(todo), 512):
                 part = todo[at : at + 512]
                 dw, iw = max(len(t[4]) for t in part), max(len(t[2]) for t in part)
@@ -112,7 +115,7 @@ def _alignments(batches, items: dict[int, np.ndarray], share: float):
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, *, n: int = 4, rare_share: float = 0.6, score: float = 0.5
+    docs: DataFrame, benchmark: DataFrame, *, n: int = 4, score: float = 0.5
 ) -> DataFrame:
     """Document-item pairs whose best local alignment scores at least ``score`` of a perfect copy.
 
@@ -142,11 +145,7 @@ def contaminated(
         hits = docs.mapInArrow(lambda it: _gram_rows(it, n, None), schema).join(distinct, "gram", "left_semi")
     hits = stage(hits.withColumnsRenamed({"id": "doc_id"}), "hits")
 
-    # document frequency over the corpus; pre-aggregated, so a passage in every document is no hot task
-    often = hits.groupBy("gram").agg(F.count("*").alias("often"))
-    ranked = own.join(often, "gram")
-    share = ranked.groupBy("item_id").agg(F.percentile_approx("often", rare_share, 10_000).alias("most"))
-    seeds = ranked.join(share, "item_id").where("often <= most").select("gram", "item_id", "item_pos")
+    seeds = own
     if total <= TASK_GRAMS:
         seeds = F.broadcast(seeds)
     # close diagonals start one alignment

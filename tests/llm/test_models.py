@@ -126,6 +126,16 @@ def test_decontamination_finds_edited_copies(spark, docs, empty):
     assert D.contaminated(empty, bench).collect() == [] and D.contaminated(docs, bench.limit(0)).collect() == []
 
 
+def test_decontamination_finds_edited_copies_beside_full_ones(spark):
+    r = random.Random(8)
+    item = [f"{w}{k}" for k, w in enumerate(prose(r, 40).split())]
+    light = " ".join("changed" if k % 6 == 5 else x for k, x in enumerate(item))
+    rows = [(1, " ".join(item)), (2, prose(r, 30) + " " + light + " " + prose(r, 30)), (3, prose(r, 60)), (4, " ".join(item[:6]) + " " + prose(r, 60))]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {x["doc_id"]: x["score"] for x in D.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {1, 2} and got[1] == 1.0 and 0.5 <= got[2] < 1.0
+
+
 def test_decontamination_beyond_the_bounds(spark, monkeypatch):
     r = random.Random(5)
     items = [(i, prose(r, 25)) for i in range(8)]
