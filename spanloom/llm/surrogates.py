@@ -23,8 +23,8 @@ PATTERNS = {
     "name": r"\b(?:Mr|Mrs|Ms|Herr|Frau|Señora|Señor|Monsieur|Madame)\.? \p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?|(?:г-н|г-жа) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these holds no entity.
-HINT = r"@|\d\d|[=:] ?\"?\w{8}|Mr|Ms|Herr|Frau|Señor|Monsieur|Madame|г-"
+#: A text without any of these holds no entity: each pattern's match holds one of them.
+HINT = r"@|\d\d|\d\.\d|[=:] ?\"?[A-Za-z0-9/+_-]{8}|Mr|Ms|Herr|Frau|Señor|Monsieur|Madame|г-"
 
 #: Given names by gender and script.
 NAMES = {

@@ -145,3 +145,12 @@ def test_kinds(spark, text, kind):
     d = spark.createDataFrame([(1, f"see {text}, ok")], "doc_id long, text string")
     got = U.replace_private(d).first()
     assert got["kinds"] == kind and text not in got["text"] and got["text"].startswith("see ") and got["text"].endswith(", ok")
+
+
+SHORTEST = ["a@b.co", "token=abcdefgh", "api_key=sk-live-abcdefgh", "password: ab/cdefghij", "8.8.8.8", "400000000000000", "1(23)456789", "+12345678", "Mr Xa", "Mrs Xa", "Ms Xa", "Herr Xa", "Frau Xa", "Señora Xa", "Señor Xa", "Monsieur Xa", "Madame Xa", "г-н Ия", "г-жа Ия"]
+
+
+def test_a_text_of_one_entity_is_found(spark):
+    d = spark.createDataFrame(list(enumerate(SHORTEST)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in U.replace_private(d).collect()}
+    assert [t for i, t in enumerate(SHORTEST) if got[i]["n_entities"] != 1 or got[i]["text"] == t] == []
