@@ -3,7 +3,9 @@
 All DataFrame and SQL functions.  Every distinct entity (a phone number is the same
 however it is punctuated, an address whatever its case) gets one surrogate from a keyed
 hash, so mentions of one entity agree across all documents; a surrogate that equals
-another entity's, or a real value, is drawn again until all are distinct.
+another entity's, or a real value, is drawn again until all are distinct.  A draw that
+has failed some times may be longer or of wider form, so that no format runs out.  Family
+names have surrogates of their own, so that long and short mentions of a person agree.
 """
 
 from __future__ import annotations
@@ -89,11 +91,13 @@ def canonical(kind: Column, surface: Column) -> Column:
 
 
 def draw(df: DataFrame, key: str) -> DataFrame:
-    """Add ``surrogate`` for ``kind``, ``canon`` and ``attempt``: the keyed draw of that attempt."""
+    """Add ``surrogate`` for ``kind``, ``canon``, ``family`` and ``attempt``: the keyed draw of that attempt.
+
+    Kind ``family`` is a family name alone; a name takes the surrogate of its family name from ``family``."""
     df = df.withColumn(
         "stream", _stream(F.concat_ws("|", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), F.length("canon"))
     )
-    octets = f"""array_join(transform(split(canon, '[.]'), (o, i) -> cast(CASE length(o)
+    octets = f"""array_join(transform(split(canon, '[.]'), (o, i) -> cast(CASE least(3, length(o) + attempt div 4)
         WHEN 1 THEN 1 + {_byte('stream', 'i')} % 9 WHEN 2 THEN 10 + {_byte('stream', 'i')} % 90
         ELSE 100 + {_byte('stream', 'i')} % 155 END AS string)), '.')"""
     body = "substring(_d, 1, length(_d) - 1)"
@@ -103,29 +107,48 @@ def draw(df: DataFrame, key: str) -> DataFrame:
     def pick(values: list[str], at: str) -> str:
         return f"get(array({', '.join(repr(v) for v in values)}), {at} % {len(values)})"
 
+    def syllables(script: str, first: str, n: str) -> str:
+        return f"array_join(transform(sequence(1, {n}), i -> {pick(SYLLABLES[script], _byte('stream', f'{first} + i'))}), '')"
+
     def name(script: str) -> str:
         given = f"IF({female}, {pick(NAMES['f', script], _byte('stream', '0'))}, {pick(NAMES['m', script], _byte('stream', '0'))})"
-        family = "initcap(concat(" + ", ".join(pick(SYLLABLES[script], _byte("stream", str(i))) for i in (1, 2, 3, 4)) + "))"
-        return f"IF(size({parts}) > 2, concat_ws(' ', get({parts}, 0), {given}, {family}), concat_ws(' ', get({parts}, 0), {family}))"
+        given = f"IF(attempt < 4, {given}, concat({given}, {syllables(script, '0', 'greatest(1, attempt div 4)')}))"
+        return f"IF(size({parts}) > 2, concat_ws(' ', get({parts}, 0), {given}, family), concat_ws(' ', get({parts}, 0), family))"
+
+    def family(script: str) -> str:
+        return f"initcap({syllables(script, '0', '4 + attempt div 2')})"
 
+    more = f"IF(attempt < 4, '', array_join(transform(sequence(1, greatest(1, attempt div 4)), i -> char(97 + {_byte('stream', 'length(canon) + i')} % 26)), ''))"
     tail = "length(canon) - length(substring_index(canon, '.', -1)) - 1"
-    df = df.withColumn("_d", F.expr(_letters("canon", "stream", "i = 0 OR (kind = 'phone' AND i < length(canon) - 9)")))
+    df = df.withColumn("_d", F.expr(_letters("canon", "stream", "IF(kind = 'phone', attempt < 4 AND (i = 0 OR i < length(canon) - 9), i = 0)")))
     return df.withColumn(
         "surrogate",
         F.expr(f"""CASE kind
             WHEN 'ip' THEN {octets}
             WHEN 'card' THEN concat({body}, {_luhn(body)})
             WHEN 'phone' THEN _d
-            WHEN 'email' THEN {_letters('canon', 'stream', f'i >= {tail}')}
+            WHEN 'email' THEN concat({more}, {_letters('canon', 'stream', f'i >= {tail}')})
             WHEN 'name' THEN IF(canon RLIKE '[\\\\u0400-\\\\u04FF]', {name('cyrillic')}, {name('latin')})
-            ELSE {_letters('canon', 'stream')} END"""),
+            WHEN 'family' THEN IF(canon RLIKE '[\\\\u0400-\\\\u04FF]', {family('cyrillic')}, {family('latin')})
+            ELSE concat({_letters('canon', 'stream')}, {more}) END"""),
     ).drop("stream", "_d")
 
 
 def assign_surrogates(entities: DataFrame, key: str, rounds: int = 64) -> DataFrame:
     """``kind, canon, surrogate`` for distinct ``kind, canon``: no two surrogates are equal and
-    none is a real value.  Rows that collide are drawn again; the least canon keeps its draw."""
-    left = entities.select("kind", "canon", F.lit(0).alias("attempt"))
+    none is a real value.  Names are drawn for once their family names have surrogates."""
+    split = entities.select("kind", "canon", F.when(F.col("kind") == "name", F.substring_index("canon", " ", -1)).alias("family"))
+    families = split.where("family is not null").select(F.lit("family").alias("kind"), F.col("family").alias("canon")).distinct()
+    single = split.where("family is null").select("kind", "canon").unionByName(families)
+    done = _distinct_draws(single.withColumn("family", F.lit(None).cast("string")), key, rounds)
+    new = done.where("kind = 'family'").select(F.col("canon").alias("family"), F.col("surrogate").alias("new"))
+    names = split.join(new, "family").select("kind", "canon", F.col("new").alias("family"))
+    return done.where("kind != 'family'").unionByName(_distinct_draws(stage(names, "name"), key, rounds))
+
+
+def _distinct_draws(entities: DataFrame, key: str, rounds: int) -> DataFrame:
+    """``kind, canon, surrogate``.  Rows that collide are drawn again; the least canon keeps its draw."""
+    left = entities.select("kind", "canon", "family", F.lit(0).alias("attempt"))
     # a draw costs far more than reading an entity, so few files must not mean few tasks
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = None
@@ -138,12 +161,12 @@ def assign_surrogates(entities: DataFrame, key: str, rounds: int = 64) -> DataFr
             drawn.join(first, ["kind", "surrogate"])
             .join(taken.distinct(), ["kind", "surrogate"], "left")
             .withColumn("ok", F.col("real").isNull() & (F.col("canon") == F.col("first")))
-            .select("kind", "canon", "surrogate", "attempt", "ok"),
+            .select("kind", "canon", "family", "surrogate", "attempt", "ok"),
             "drawn",
         )
         good = judged.where("ok").select("kind", "canon", "surrogate")
         done = good if done is None else done.unionByName(good)
-        left = judged.where("not ok").select("kind", "canon", (F.col("attempt") + 1).alias("attempt"))
+        left = judged.where("not ok").select("kind", "canon", "family", (F.col("attempt") + 1).alias("attempt"))
         if not left.take(1):
             return done
     raise ValueError(f"no distinct surrogates after {rounds} draws: a format has fewer values than entities")

@@ -147,10 +147,27 @@ def test_kinds(spark, text, kind):
     assert got["kinds"] == kind and text not in got["text"] and got["text"].startswith("see ") and got["text"].endswith(", ok")
 
 
-SHORTEST = ["a@b.co", "token=abcdefgh", "api_key=sk-live-abcdefgh", "password: ab/cdefghij", "8.8.8.8", "400000000000000", "1(23)456789", "+12345678", "Mr Xa", "Mrs Xa", "Ms Xa", "Herr Xa", "Frau Xa", "Señora Xa", "Señor Xa", "Monsieur Xa", "Madame Xa", "г-н Ия", "г-жа Ия"]
+SHORTEST = ["a@b.co", "token=abcdefgh", "api_key=sk-live-abcdefgh", "password: ab/cdefghij", "secret:--------", "8.8.8.8", "400000000000000", "1(23)456789", "+12345678", "Mr Xa", "Mrs Xa", "Ms Xa", "Herr Xa", "Frau Xa", "Señora Xa", "Señor Xa", "Monsieur Xa", "Madame Xa", "г-н Ия", "г-жа Ия"]
 
 
 def test_a_text_of_one_entity_is_found(spark):
     d = spark.createDataFrame(list(enumerate(SHORTEST)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in U.replace_private(d).collect()}
     assert [t for i, t in enumerate(SHORTEST) if got[i]["n_entities"] != 1 or got[i]["text"] == t] == []
+
+
+def test_long_and_short_mentions_of_a_person_agree(spark):
+    d = spark.createDataFrame([(1, "Mr John Smith"), (2, "Mr. Smith"), (3, "Mrs Smith"), (4, "Mr Jack Smith"), (5, "г-н Иван Петров"), (6, "г-н Петров")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in U.replace_private(d).collect()}
+    last = {i: t.split()[-1] for i, t in got.items()}
+    assert last[1] == last[2] == last[3] == last[4] != "Smith" and last[5] == last[6] != "Петров" and len(set(got.values())) == 6
+
+
+def test_formats_do_not_run_out(spark):
+    rows = [("ip", f"{a}.{b}.{c}.{d}") for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    rows += [("name", f"Mr X{chr(97 + i // 26)}{chr(97 + i % 26)} Smith") for i in range(300)] + [("secret", "--------"), ("email", "a@b.co")]
+    rows += [("email", f"{chr(97 + i // 26)}@{chr(97 + i % 26)}.co") for i in range(676)]
+    rows = sorted(set(rows))
+    e = spark.createDataFrame(rows, "kind string, canon string")
+    got = U.assign_surrogates(e, "k").collect()
+    assert len(got) == len(rows) == len({(r["kind"], r["surrogate"]) for r in got}) and not {(r["kind"], r["surrogate"]) for r in got} & set(rows)
