@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  Tokens of the templates are ordered by their frequency over all
+A block is a line, or a run of up to RUN successive lines, as notices are often wrapped; a run
+counts only where no shorter run inside it matches the same template.  Tokens of the templates are ordered by their frequency over all
 blocks, rarest first.  A template that must share ``need`` tokens with a block shares
 one of its ``size - need + 1`` rarest with the block's as many, so only those prefixes
 are joined; short blocks (length filter) and matches too late in either order to still
@@ -10,6 +11,8 @@ All of it is DataFrame and SQL functions; the templates are a fixed, small table
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,9 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
 ]
 
+#: Lines that a wrapped notice may take.
+RUN = 5
+
 #: Between words: ASCII characters that are neither digits nor letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -54,7 +60,7 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     labels, score, n_blocks``.
 
     ``n_base`` to ``base_labels`` are of the PHRASES; ``labels`` adds those of templates of
-    which a block holds at least ``containment`` of the distinct words; ``score`` is the
+    which a block (a line or a run of lines) holds at least ``containment`` of the distinct words; ``score`` is the
     largest containment found (1 for a phrase, 0 for none); ``n_blocks`` counts the matches.
     Null texts count as empty and have no words; equal rows give equal results, and rows
     with a null ``doc_id`` are matched like others; other columns are ignored; an empty
@@ -62,6 +68,7 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     spark = docs.sparkSession
     rows = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates or TEMPLATES)]
     rows = [r for r in rows if r[2]]
+    least = min((math.ceil(len(r[2]) * containment - 1e-9) for r in rows), default=1)
     vocabulary = sorted({w for r in rows for w in r[2]})
     vocab = F.array(*[F.lit(w) for w in vocabulary])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -70,25 +77,31 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     low = F.when(
         F.col("text").rlike("(?i)license"), F.split(F.translate("text", _UP, _LOW), BETWEEN)
     ).otherwise(F.array().cast("array<string>"))
-    blocks = F.filter(
-        F.transform(F.split("text", "\n"), lambda line: F.array_intersect(F.split(F.lower(line), BETWEEN), vocab)),
-        lambda own: F.size(own) > 1,
-    )
+    lines = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(F.split(F.lower(line), BETWEEN), vocab))
     scanned = scanned.select(
         "doc_id",
         F.xxhash64("text").alias("same"),
         F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
         # a text that begins between words has an empty first entry
         F.filter(low, lambda w: w != "").alias("words"),
-        blocks.alias("blocks"),
+        lines.alias("lines"),
     )
     scanned = scanned.select(
-        "doc_id", "same", "n_words", "blocks", *[F.expr(_places("words", p)).alias(label) for label, p in PHRASES.items()]
+        "doc_id", "same", "n_words", "lines", *[F.expr(_places("words", p)).alias(label) for label, p in PHRASES.items()]
     )
     scanned = stage(scanned, "blocks")
 
-    block = scanned.where("size(blocks) > 0").select("doc_id", "same", F.posexplode("blocks").alias("block", "own"))
-    often = block.select(F.explode("own").alias("word")).groupBy("word").agg(F.count("*").alias("often"))
+    def runs(width: int):
+        def run(x, i):
+            last = F.get("lines", i + F.lit(width - 1))
+            held = x if width == 1 else F.array_distinct(F.flatten(F.slice("lines", i + F.lit(1), F.lit(width))))
+            some = (F.size(x) > 0) & last.isNotNull() & (F.size(last) > 0)
+            return F.struct(i.alias("line"), F.lit(width).alias("width"), F.when(some, held).otherwise(F.array().cast("array<string>")).alias("own"))
+
+        return F.filter(F.transform("lines", run), lambda r: F.size(r["own"]) >= least)
+
+    block = scanned.select("doc_id", "same", F.inline(F.concat(*[runs(w) for w in range(1, RUN + 1)])))
+    often = scanned.select(F.explode(F.flatten("lines")).alias("word")).groupBy("word").agg(F.count("*").alias("often"))
     words = F.broadcast(spark.range(1).select(F.explode(vocab).alias("word")))
     order = words.join(often, "word", "left").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "word"))).alias("all")
@@ -112,7 +125,9 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     prefix = pattern.select("template", "label", "parts", "size", "need", F.posexplode("parts").alias("i", "word")).where(
         "i < size - need + 1"
     )
-    tokens = ranked(block, "own").select("doc_id", "same", "block", "own", F.posexplode("own").alias("j", "word"))
+    # tokens after the longest prefix of any template are not joined
+    first = F.slice("own", F.lit(1), F.size("own") - F.lit(least - 1))
+    tokens = ranked(block, "own").select("doc_id", "same", "line", "width", "own", F.posexplode(first).alias("j", "word"))
     length = F.size("own")
     candidates = tokens.join(F.broadcast(prefix), "word").where(
         (length >= F.col("need"))  # length
@@ -120,10 +135,16 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
         & (1 + F.least(F.col("size") - F.col("i") - 1, length - F.col("j") - 1) >= F.col("need"))  # position
     )
     shared = F.size(F.array_intersect("own", "parts"))
+    at = ["doc_id", "same", "line", "width", "template", "label"]
+    matched = candidates.where(shared >= F.col("need")).select(*at, (shared / F.col("size")).alias("share")).distinct()
+    # a match is passed on, without a share, to the longer runs around it
+    longer = F.array(*[F.struct((F.col("line") - d).alias("line"), (F.col("width") + e).alias("width"), F.lit(None).cast("double").alias("share")) for e in range(1, RUN) for d in range(e + 1)])
+    own = F.array(F.struct("line", "width", "share"))
     found = (
-        candidates.where(shared >= F.col("need"))
-        .select("doc_id", "same", "block", "template", "label", (shared / F.col("size")).alias("share"))
-        .distinct()
+        matched.select("doc_id", "same", "template", "label", F.inline(F.concat(own, longer)))
+        .groupBy(*at)
+        .agg(F.max("share").alias("share"), F.count_if(F.col("share").isNull()).alias("inner"))
+        .where("share IS NOT NULL AND inner = 0")
         .groupBy("doc_id", "same")
         .agg(F.collect_set("label").alias("more"), F.max("share").alias("share"), F.count("*").alias("n_blocks"))
     )

@@ -171,3 +171,15 @@ def test_formats_do_not_run_out(spark):
     e = spark.createDataFrame(rows, "kind string, canon string")
     got = U.assign_surrogates(e, "k").collect()
     assert len(got) == len(rows) == len({(r["kind"], r["surrogate"]) for r in got}) and not {(r["kind"], r["surrogate"]) for r in got} & set(rows)
+
+
+def test_wrapped_notices_are_found(spark):
+    wrapped = {
+        1: ("apache", "# you may not use this file except in compliance\n# with the License. You may obtain a copy\n# of the License at"),
+        2: ("bsd", "Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that the following\nconditions are met:"),
+        3: ("isc", "Permission to use, copy, modify, and/or\ndistribute this software for any purpose with or\nwithout fee is hereby granted"),
+        4: ("unlicense", "This is free and unencumbered software released\ninto the public domain."),
+    }
+    rows = [(i, f"x\n{t}\ny") for i, (_, t) in wrapped.items()] + [(9, wrapped[4][1].replace("\n", " ") + "\n\nof the and"), (10, "This is free and unencumbered\n" + "a\n" * 6 + "software released into the public domain")]
+    got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{i: (label, 1) for i, (label, _) in wrapped.items()}, 9: ("unlicense", 1), 10: ("", 0)}
