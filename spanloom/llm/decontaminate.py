@@ -17,12 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import keep_keys, stage
+from spanloom.llm.work import keep_keys, map_texts, stage
 
-#: Benchmark n-grams that ride along in each task (8 bytes each); beyond, the join shuffles.
+#: Benchmark n-grams with their places that ride along in each task (8 bytes a distinct gram) and that are
+#: broadcast (24 bytes a place); beyond, the joins shuffle.
 TASK_GRAMS = 2_000_000
-#: Benchmark words that ride along in each task for alignment (8 bytes each).
+#: Benchmark words that ride along in each task for alignment (8 bytes each); beyond, items are joined to their seeds.
 TASK_WORDS = 4_000_000
+#: Seeds of one document that a row carries; a document with more stands in several rows.
+SEEDS = 512
+#: Cells (document words times rows) that are aligned at a time.
+CELLS = 1 << 20
+#: Diagonals that start one alignment.
+SLOT = 16
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
 
 
@@ -42,7 +49,7 @@ def _grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 def _gram_rows(batches, n: int, only: np.ndarray | None):
     for b in batches:
         data, off = K.texts(b.column("text"))
-        ids = b.column("id").to_numpy(zero_copy_only=False)
+        ids = b.column("id")
         for i, j, d, o in K.chunks(data, off):
             g, doc, pos = _grams(*_hashed(d, o), n)
             if only is not None:
@@ -50,7 +57,7 @@ def _gram_rows(batches, n: int, only: np.ndarray | None):
                 hit = only[at] == g if len(only) else np.zeros(len(g), bool)
                 g, doc, pos = g[hit], doc[hit], pos[hit]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(g.view(np.int64)), pa.array(ids[i:j][doc].astype(np.int64)), pa.array(pos.astype(np.int32))],
+                [pa.array(g.view(np.int64)), ids.slice(i, j - i).take(pa.array(doc)), pa.array(pos.astype(np.int32))],
                 ["gram", "id", "pos"],
             )
 
@@ -78,44 +85,54 @@ def align(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, end
 
 
-def _alignments(batches, items: dict[int, np.ndarray], share: float):
+def _alignments(batches, items: dict[int, np.ndarray] | None, share: float):
+    """Pairs that reach ``share``.  Items come as hashed words, or, with None, as texts beside their seeds.
+
+    A gap costs GAP and a perfect copy scores MATCH for each word, so an alignment that
+    reaches ``share`` strays from its seed's diagonal by at most ``slack`` words."""
     for b in batches:
         out = []
         data, off = K.texts(b.column("text"))
         seeds = b.column("seeds").to_pylist()
-        ids = b.column("doc_id").to_pylist()
         for i, j, d, o in K.chunks(data, off):
             h, first = _hashed(d, o)
             todo = []
             for x in range(i, j):
                 own = h[first[x - i] : first[x - i + 1]]
-                for s in seeds[x]:
-                    word = items[s["item_id"]]
-                    slack = max(8, len(word) // 2)
+                if items is None:
+                    iw, at = _hashed(*K.texts(pa.array([s["item"] for s in seeds[x]], pa.string())))
+                for k, s in enumerate(seeds[x]):
+                    word = iw[at[k] : at[k + 1]] if items is None else items[s["item_id"]]
+                    slack = int(np.ceil(MATCH * len(word) * (1 - share) / -GAP))
                     lo = max(0, s["diagonal"] - slack)
-                    window = own[lo : s["diagonal"] + len(word) + slack + 64]
+                    window = own[lo : s["diagonal"] + len(word) + slack + SLOT]
                     # each of the item's words adds at most MATCH, and only if the window has it
                     if np.isin(word, window).sum() >= share * len(word) - 1e-9:
                         todo.append((x, s["item_id"], word, lo, window))
-            for at in range(0, len(todo), 512):
-                part = todo[at : at + 512]
-                dw, iw = max(len(t[4]) for t in part), max(len(t[2]) for t in part)
-                dm, im = np.zeros((len(part), dw), np.uint64), np.ones((len(part), iw), np.uint64)
+            todo.sort(key=lambda t: len(t[4]))
+            while todo:
+                n, widest = 1, len(todo[0][4])
+                while n < len(todo) and (n + 1) * max(widest, len(todo[n][4])) <= CELLS:
+                    widest = max(widest, len(todo[n][4]))
+                    n += 1
+                part, todo = todo[:n], todo[n:]
+                dm, im = np.zeros((n, widest), np.uint64), np.ones((n, max(len(t[2]) for t in part)), np.uint64)
                 for r, t in enumerate(part):
                     dm[r, : len(t[4])], im[r, : len(t[2])] = t[4], t[2]
                 best, end = align(dm, im)
                 for t, v, e in zip(part, best.tolist(), end.tolist()):
                     score = v / (MATCH * len(t[2]))
                     if score >= share:
-                        out.append((ids[t[0]], t[1], score, t[3] + e))
-        yield pa.RecordBatch.from_pylist(
-            [dict(zip(("doc_id", "item_id", "score", "end_word"), r)) for r in out],
-            pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())]),
+                        out.append((t[0], t[1], score, t[3] + e))
+        row, item, score, end = zip(*out) if out else ([],) * 4
+        yield pa.RecordBatch.from_arrays(
+            [b.column("id").take(pa.array(row, pa.int64())), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(end, pa.int64())],
+            ["id", "item_id", "score", "end_word"],
         )
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, *, n: int = 4, score: float = 0.5
+    docs: DataFrame, benchmark: DataFrame, *, n: int = 4, score: float = 0.5, key: str | None = None
 ) -> DataFrame:
     """Document-item pairs whose best local alignment scores at least ``score`` of a perfect copy.
 
@@ -123,63 +140,63 @@ def contaminated(
     runs of letters, digits and characters beyond ASCII, without case.  Items or documents
     without words match nothing; a document shorter than ``n`` words is one gram; null ids
     are skipped; repeated rows of a document or of an item count once; other columns are
-    ignored; an empty table on either side gives an empty one.  The benchmark is bounded by
-    check, TASK_GRAMS and TASK_WORDS: within it, its grams ride along with the tasks;
-    beyond, grams are joined by a shuffle and items are aligned in groups that fit."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).where("id is not null")
+    ignored; an empty table on either side gives an empty one; very long texts are aligned
+    in windows around their seeds, so memory does not follow them.  ``key`` may name a
+    column that is different in each row: rows then count each, null ids too, and it is
+    returned.
+
+    The benchmark's grams and words ride along with the tasks while a count finds at most
+    TASK_GRAMS and TASK_WORDS; beyond, grams and items are joined by shuffles."""
+    number = F.col("doc_id").cast("long")
+    if key:
+        docs = docs.select(F.struct(number.alias("doc_id"), F.col(key).alias("own")).alias("id"), F.col("text").cast("string"))
+    else:
+        docs = docs.select(number.alias("id"), F.col("text").cast("string")).where("id is not null")
+    kind = docs.schema["id"].dataType.simpleString()
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string"))
         .where("id is not null and text is not null")
         .groupBy("id")
         .agg(F.min("text").alias("text"))
     )
-    schema = "gram long, id long, pos int"
-    own = stage(items.mapInArrow(lambda it: _gram_rows(it, n, None), schema), "grams")
-    own = own.withColumnsRenamed({"id": "item_id", "pos": "item_pos"})
+    own = stage(map_texts(items, lambda it: _gram_rows(it, n, None), "gram long, id long, pos int"), "grams")
+    own = own.select("gram", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"))
     distinct = own.select("gram").distinct()
-    total = distinct.count()
-    if total <= TASK_GRAMS:
+    few = own.limit(TASK_GRAMS + 1).count() <= TASK_GRAMS
+    schema = f"gram long, id {kind}, pos int"
+    if few:
         only = np.sort(distinct.toArrow().column("gram").to_numpy().view(np.uint64))
-        hits = docs.mapInArrow(lambda it: _gram_rows(it, n, only), schema)
+        hits = map_texts(docs, lambda it: _gram_rows(it, n, only), schema)
     else:
-        hits = docs.mapInArrow(lambda it: _gram_rows(it, n, None), schema).join(distinct, "gram", "left_semi")
-    hits = stage(hits.withColumnsRenamed({"id": "doc_id"}), "hits")
+        hits = map_texts(docs, lambda it: _gram_rows(it, n, None), schema).join(distinct, "gram", "left_semi")
+    hits = stage(hits, "hits")
 
-    seeds = own
-    if total <= TASK_GRAMS:
-        seeds = F.broadcast(seeds)
     # close diagonals start one alignment
     pairs = (
-        hits.join(seeds, "gram")
+        hits.join(F.broadcast(own) if few else own, "gram")
         .withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-        .groupBy("doc_id", "item_id", F.floor(F.col("diagonal") / 16).alias("slot"))
+        .groupBy("id", "item_id", F.floor(F.col("diagonal") / SLOT).alias("slot"))
         .agg(F.min("diagonal").alias("diagonal"), F.count("*").alias("seed_hits"))
     )
     pairs = stage(pairs, "pairs")
-    per_doc = pairs.groupBy("doc_id").agg(
-        F.collect_list(F.struct("item_id", "diagonal")).alias("seeds")
-    )
-    words = items.select("id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
-    span = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    groups = int(span // (2 * TASK_WORDS)) + 1
-    found = None
-    for g in range(groups):
-        some = items.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == g).toArrow()
+    parts = pairs.groupBy("id").agg(F.ceil(F.count("*") / SEEDS).alias("parts"))
+    seeds = pairs.join(parts, "id").withColumn("part", F.pmod(F.xxhash64("item_id", "slot"), F.col("parts")))
+    seed, words = F.struct("item_id", "diagonal"), None
+    if items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"] <= 2 * TASK_WORDS:
+        some = items.toArrow()
         h, first = _hashed(*K.texts(some.column("text")))
-        word = {k: h[first[x] : first[x + 1]] for x, k in enumerate(some.column("id").to_pylist())}
-        mine = per_doc if groups == 1 else per_doc.withColumn(
-            "seeds", F.filter("seeds", lambda s: F.pmod(F.xxhash64(s["item_id"]), F.lit(groups)) == g)
-        ).where(F.size("seeds") > 0)
-        mine = stage(mine, "todo")
-        texts = docs.withColumnRenamed("id", "doc_id")
-        part = keep_keys(texts, mine, ["doc_id"], "inner").mapInArrow(
-            lambda it, word=word: _alignments(it, word, score), "doc_id long, item_id long, score double, end_word long"
-        )
-        found = part if found is None else found.unionByName(part)
-    best = found.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("score", "end_word")).alias("best")
+        words = {k: h[first[x] : first[x + 1]] for x, k in enumerate(some.column("id").to_pylist())}
+    else:
+        seeds = seeds.join(items.select(F.col("id").alias("item_id"), F.col("text").alias("item")), "item_id")
+        seed = F.struct("item_id", "diagonal", "item")
+    todo = stage(seeds.groupBy("id", "part").agg(F.collect_list(seed).alias("seeds")).drop("part"), "todo")
+    texts = keep_keys(docs, todo.select("id"), ["id"])  # never the lists are broadcast, at most the ids
+    found = map_texts(
+        texts.join(todo, "id"), lambda it: _alignments(it, words, score), f"id {kind}, item_id long, score double, end_word long"
     )
-    hit = pairs.groupBy("doc_id", "item_id").agg(F.sum("seed_hits").alias("seed_hits"))
-    return best.join(hit, ["doc_id", "item_id"]).select(
-        "doc_id", "item_id", F.col("best.score").alias("score"), F.col("best.end_word").alias("end_word"), "seed_hits"
+    best = found.groupBy("id", "item_id").agg(F.max(F.struct("score", "end_word")).alias("best"))
+    hit = pairs.groupBy("id", "item_id").agg(F.sum("seed_hits").alias("seed_hits"))
+    doc_id = [F.col("id.doc_id"), F.col("id.own").alias(key)] if key else [F.col("id").alias("doc_id")]
+    return best.join(hit, ["id", "item_id"]).select(
+        doc_id[0], "item_id", F.col("best.score").alias("score"), F.col("best.end_word").alias("end_word"), "seed_hits", *doc_id[1:]
     )

@@ -47,25 +47,24 @@ def golomb_encode(sorted_values: np.ndarray, rice: int) -> bytes:
 
 
 def golomb_decode(code: bytes, n: int, rice: int) -> np.ndarray:
-    """The ``n`` sorted integers of ``golomb_encode``."""
+    """The ``n`` sorted integers of ``golomb_encode``.
+
+    A zero ends a quotient if it lies past the low bits of the value before.  From each
+    zero the next such zero is known, so those in use are found by doubling jumps."""
     if not n:
         return np.zeros(0, np.int64)
     bits = np.unpackbits(np.frombuffer(code, np.uint8))
-    zeros = np.flatnonzero(bits == 0).tolist()
-    pos, z, gaps = 0, 0, []
-    stops = []
-    for _ in range(n):
-        while zeros[z] < pos:
-            z += 1
-        stop = zeros[z]
-        gaps.append(stop - pos)
-        stops.append(stop)
-        pos = stop + 1 + rice
-        z += 1
-    gap = np.array(gaps, np.int64) << rice
-    at = np.array(stops, np.int64) + 1
+    zeros = np.flatnonzero(bits == 0)
+    jump = np.minimum(np.searchsorted(zeros, zeros + 1 + rice), len(zeros) - 1)
+    at = np.zeros(1, np.int64)
+    while len(at) < n:  # the first k stops and a jump over k of them give the next k
+        at = np.concatenate([at, jump[at]])
+        jump = jump[jump]
+    stops = zeros[at[:n]]
+    begins = np.concatenate([[0], stops[:-1] + 1 + rice])
+    gap = (stops - begins).astype(np.int64) << rice
     for j in range(rice):
-        gap |= bits[at + j].astype(np.int64) << (rice - 1 - j)
+        gap |= bits[stops + 1 + j].astype(np.int64) << (rice - 1 - j)
     return np.cumsum(gap + 1) - 1
 
 
@@ -141,16 +140,21 @@ def suspect_fingerprints(docs: DataFrame, fp, bits: int, owner_bits: int, n: int
     )
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
+def exact_duplicates(docs: DataFrame, *, key: str | None = None) -> DataFrame:
     """Groups of byte-equal texts; of a group the row with the largest ``doc_id`` stays.
 
     Reads ``doc_id`` and ``text``; other columns are ignored.  A null text counts as
     empty.  Returns one row per input row: ``doc_id, keep_id, group_size, kept,
     text_sha256``.  Rows that repeat a ``doc_id`` are counted each, and all rows that
     carry the kept id are kept; a group whose ids are all null has a null ``keep_id``
-    and keeps nothing; an empty table gives an empty one."""
+    and keeps nothing; an empty table gives an empty one; very long texts are read whole.
+    ``key`` may name a column that is different in each row: it is then returned too, and
+    exactly one row of each group is kept, of those with the largest ``doc_id`` the one
+    with the largest key."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
+    number = F.col("doc_id").cast("long")
+    row = F.struct(number.isNotNull().alias("named"), number.alias("doc_id"), F.col(key).alias("own")) if key else number
+    docs = docs.select(row.alias("doc_id"), text.alias("text"))
     n = docs.count()
     bits = min(52, max(SPARE + 2, ceil(log2(max(2, n))) + SPARE))
     owners = max(1, n // OWNER_ROWS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -173,11 +177,16 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "groups",
     )
-    named = docs.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
-    return keep_keys(named, groups, ["text_sha256"], "left").select(
-        "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("group_size").isNull() | (F.col("doc_id") == F.col("keep_id")), F.lit(False)).alias("kept"),
-        "text_sha256",
+    named = docs.select("doc_id", F.sha2("text", 256).alias("text_sha256"), (F.col("text") == "").alias("blank"))
+    # empty texts may be very many: one row of groups at most, which needs no shuffle
+    empty = groups.where(F.col("text_sha256") == F.sha2(F.lit(""), 256))
+    both = keep_keys(named.where("not blank"), groups, ["text_sha256"], "left").unionByName(
+        named.where("blank").join(F.broadcast(empty), "text_sha256", "left")
     )
+    alone = F.col("group_size").isNull()
+    kept = F.coalesce(alone | (F.col("doc_id") == F.col("keep_id")), F.lit(False)).alias("kept")
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    size = F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size")
+    if key:
+        return both.select("doc_id.doc_id", keep_id["doc_id"].alias("keep_id"), size, kept, "text_sha256", F.col("doc_id.own").alias(key))
+    return both.select("doc_id", keep_id.alias("keep_id"), size, kept, "text_sha256")

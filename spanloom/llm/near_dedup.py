@@ -2,20 +2,21 @@
 
 1. One pass hashes each text into its set of k-word shingles, a signature of
    ``bands * rows`` minima, and band keys.  Texts with equal sets form a class.
-2. Classes that share a band key are candidates.  Buckets are compared inside tasks,
-   in blocks, so no task holds an unbounded bucket.
-3. A comparison reads signatures in batches.  After each, the posterior of the
-   similarity (uniform prior) is bounded: a pair is dropped when it reaches the
-   threshold with probability under ``miss``.  Survivors are verified on the full
-   sets, from the whole texts.
-4. Only links between components matter.  A first round emits, of the survivors in a
-   block, the most similar ones that span it (a forest, never all pairs of a group);
-   what they link becomes components.  The second round takes buckets that still hold
-   several: of members with a survivor in another component, the full sets (as 32-bit
-   hashes, which can only overstate an intersection) join the comparison, and a forest
-   of what reaches the threshold is emitted and verified.  So a group's pairs are all
-   judged, but never become rows.
-5. A document's id in a component is the least.
+2. Classes that share a band key are candidates.  A comparison reads signatures in
+   batches.  After each, the posterior of the similarity (uniform prior) is bounded: a
+   pair is dropped when it reaches the threshold with probability under ``miss``.
+3. Only links between components matter.  Bands are taken in turns.  In each turn, every
+   component sends one member to a bucket; members are compared in blocks, and of the
+   survivors the most similar that span a block (a forest, never all pairs of a group) are
+   verified on their full sets.  So large groups of copies shrink to few components
+   without ever being copied to many tasks.
+4. The last round settles the buckets that still hold several components, with all
+   members: each is compared with every member of another component.  The members of a
+   bucket's largest component are dealt to blocks, each to one; the others visit every
+   block.  Of members with a survivor, the full sets join the comparison, and a forest of
+   the pairs that reach the threshold is emitted.  So all pairs of different components
+   are judged, but pairs never become rows.
+5. A component is named by its least ``doc_id``.
 """
 
 from __future__ import annotations
@@ -25,15 +26,19 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import components, keep_keys, stage
+from spanloom.llm.work import components, drop_stage, keep_keys, map_texts, stage
 
 BATCH = 32
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
+#: Shingles (8 bytes each) of such a block, so that few very long texts fit too.
+BLOCK_SHINGLES = 4_000_000
+#: Ends of the runs of bands that are taken in turns; all bands beyond the last.
+TURNS = (2, 8)
 
 
 def _sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,9 +123,13 @@ def survive(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> tupl
     return left, hits
 
 
-def _matrix(column) -> np.ndarray:
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.uint16).reshape(len(column), -1) if raw else np.zeros((0, 1), np.uint16)
+def _matrix(column: pa.ChunkedArray, kind=np.uint16) -> np.ndarray:
+    """A binary column of equal lengths as rows of numbers."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros((0, 1), kind)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).reshape(len(column), -1)
 
 
 def _survivors(table: pa.Table, i: int, j: int, threshold: float, miss: float):
@@ -167,7 +176,8 @@ def _forest(table: pa.Table, found: list[tuple]) -> pa.Table:
 
 
 def _likely_forest(key, table: pa.Table, threshold: float, miss: float) -> pa.Table:
-    return _forest(table, list(_survivors(table, key[1].as_py(), key[2].as_py(), threshold, miss)))
+    i = key[1].as_py()
+    return _forest(table, list(_survivors(table, i, i, threshold, miss)))
 
 
 def _open_members(key, table: pa.Table, threshold: float, miss: float) -> pa.Table:
@@ -180,54 +190,39 @@ def _open_members(key, table: pa.Table, threshold: float, miss: float) -> pa.Tab
 
 
 def _exact_forest(key, table: pa.Table, threshold: float, miss: float, percent: int) -> pa.Table:
-    """As ``_likely_forest``, of the pairs whose full sets can reach the threshold."""
-    sets = [np.frombuffer(s, np.uint32) for s in table.column("set").to_pylist()]
-    size = table.column("n").to_numpy()
+    """As ``_likely_forest``, of the pairs whose full sets reach the threshold."""
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("set").combine_chunks()]
+    size = np.array([len(s) for s in sets], np.int64)
     found = []
     for x, others, _ in _survivors(table, key[1].as_py(), key[2].as_py(), threshold, miss):
-        all_ = np.concatenate([sets[y] for y in others])
-        length = np.array([len(sets[y]) for y in others])
-        at = np.minimum(np.searchsorted(sets[x], all_), len(sets[x]) - 1)
-        both = np.add.reduceat((sets[x][at] == all_).astype(np.int64), np.cumsum(length) - length)
-        both = both + (size[x] - len(sets[x])) + (size[others] - length)  # elements of one hash
-        union = np.maximum(size[x] + size[others] - both, 1)
+        both = np.zeros(len(others), np.int64)
+        for k, y in enumerate(others):
+            # the smaller set is looked up, and only where sizes allow the threshold at all
+            s, t = (sets[x], sets[y]) if size[x] <= size[y] else (sets[y], sets[x])
+            if 100 * len(s) >= percent * len(t):
+                both[k] = np.count_nonzero(t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s)
+        union = size[x] + size[others] - both
         ok = 100 * both >= percent * union
         if ok.any():
             found.append((x, others[ok], both[ok] / union[ok]))
     return _forest(table, found)
 
 
-def _small_sets(batches, k: int):
-    """The shingle sets of texts as sorted 32-bit hashes, with the size of the full set."""
+def _set_rows(batches, k: int):
+    """The shingle sets of texts, as sorted 64-bit hashes."""
     for b in batches:
         data, off = K.texts(b.column("text"))
         for i, j, d, o in K.chunks(data, off):
             h, so = _sets(d, o, k)
-            own = [np.unique(h[so[x] : so[x + 1]]) for x in range(j - i)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("row").slice(i, j - i), pa.array([len(x) for x in own], pa.int64()),
-                    pa.array([np.unique((x >> K.U64(32)).astype(np.uint32)).tobytes() for x in own], pa.binary()),
-                ],
-                ["row", "n", "set"],
-            )
+            own = [np.unique(h[so[x] : so[x + 1]]).tobytes() for x in range(j - i)]
+            yield pa.RecordBatch.from_arrays([b.column("cls").slice(i, j - i), pa.array(own, pa.binary())], ["cls", "set"])
 
 
-def _verify(batches, k: int, percent: int):
-    seen: dict[str, np.ndarray] = {}
-
-    def own(text: str) -> np.ndarray:
-        if text not in seen:
-            if len(seen) > 64:
-                seen.clear()
-            data, off = K.texts(pa.array([text], pa.string()))
-            seen[text] = np.unique(_sets(data, off, k)[0])
-        return seen[text]
-
+def _verify(batches, percent: int):
     for b in batches:
         keep = []
-        for x, (ta, tb) in enumerate(zip(b.column("text_a").to_pylist(), b.column("text_b").to_pylist())):
-            sa, sb = own(ta), own(tb)
+        for x, (ra, rb) in enumerate(zip(b.column("set_a"), b.column("set_b"))):
+            sa, sb = np.frombuffer(ra.as_buffer(), np.uint64), np.frombuffer(rb.as_buffer(), np.uint64)
             both = len(np.intersect1d(sa, sb, assume_unique=True))
             if 100 * both >= percent * (len(sa) + len(sb) - both):
                 keep.append(x)
@@ -235,11 +230,11 @@ def _verify(batches, k: int, percent: int):
 
 
 PAIR = "a binary, b binary"
-ROW = "struct<doc_id:bigint,same:bigint>"
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int | None = None, miss: float = 1e-5
+    docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int | None = None, miss: float = 1e-5,
+    key: str | None = None,
 ) -> DataFrame:
     """Components of documents whose word-shingle sets have Jaccard similarity of at least ``percent`` / 100.
 
@@ -247,105 +242,129 @@ def near_duplicates(
     input row: ``doc_id, n_shingles, component_id, kept``.  Null or blank texts have
     an empty set and link with nothing; equal rows fall in one class; rows without
     ``doc_id`` keep a null id and take part in links, but name no component; an
-    empty table gives an empty one.  A link at the very threshold is missed with
-    probability (1 - s**rows)**bands, and less above; ``rows`` is by default the most, up to
-    8, that keep it under 1e-4 (8 at 0.85, 6 at 0.8)."""
+    empty table gives an empty one.  Very long texts are read whole.  ``key`` may name a
+    column that is different in each row: it is then returned too, and exactly one row of
+    each component is kept, of those with the least ``doc_id`` the one with the least key.
+
+    A link at the very threshold is missed with probability (1 - s**rows)**bands, and less
+    above; ``rows`` is by default the most, up to 8, that keep it under 1e-4 (8 at 0.85, 6
+    at 0.8)."""
     threshold = percent / 100
     rows = rows or next((r for r in range(8, 1, -1) if (1 - threshold**r) ** bands < 1e-4), 1)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    docs = docs.withColumn("row", F.struct("doc_id", F.xxhash64("text").alias("same")))  # rows may share an id
+    own = F.col(key) if key else F.xxhash64("text")
+    docs = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), own.alias("own")).alias("row"), F.col("text").cast("string"))
+    kind = docs.schema["row"].dataType.simpleString()
     signed = stage(
-        docs.select("row", "text").mapInArrow(
-            lambda it: _sign(it, shingle, bands, rows),
-            f"row {ROW}, n_shingles long, cls binary, bands array<long>, sig binary",
-        ).withColumn("doc_id", F.col("row.doc_id")),
+        map_texts(
+            docs, lambda it: _sign(it, shingle, bands, rows), f"row {kind}, n_shingles long, cls binary, bands array<long>, sig binary"
+        ),
         "sign",
     )
     classes = stage(
         signed.where("cls is not null")
         .groupBy("cls")
-        .agg(F.min("row").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
+        .agg(F.min("row").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
         "class",
     )
     sigs = classes.select("cls", "sig")
 
-    member = classes.select("cls", F.explode("bands").alias("bucket"))
-    size = member.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("cls") % (1 << 40)).alias("who")).where("size > 1")
-    # buckets of the same members need one comparison
-    size = stage(size.groupBy("size", "who").agg(F.min("bucket").alias("bucket")), "size")
-    member = stage(member.join(size.select("bucket", "size"), "bucket"), "bucket")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs whose full sets are similar enough; texts are those of the classes' representatives."""
-        reps = classes.select("cls", "rep")
-        named = pairs.join(reps.select(F.col("cls").alias("a"), F.col("rep").alias("da")), "a").join(
-            reps.select(F.col("cls").alias("b"), F.col("rep").alias("db")), "b"
-        )
-        named = stage(named, "named")
-        ids = stage(named.select(F.explode(F.array("da", "db")).alias("row")).distinct(), "ids")
-        own = stage(keep_keys(docs, ids, ["row"]).dropDuplicates(["row"]), "texts")
-        return stage(
-            named.join(own.select(F.col("row").alias("da"), F.col("text").alias("text_a")), "da")
-            .join(own.select(F.col("row").alias("db"), F.col("text").alias("text_b")), "db")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(lambda it: _verify(it, shingle, percent), PAIR),
-            "link",
-        )
-
-    def blocks(rows: DataFrame) -> DataFrame:
-        """Members with their components, dealt to pairs of blocks, and their signatures."""
-        dealt = (
-            rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(
-                "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp"
-            )
+    member = classes.select("cls", "n", F.posexplode("bands").alias("band", "bucket"))
+    # buckets of the same members (their hashes' exclusive or, 128 bits) need one comparison
+    size = (
+        member.groupBy("bucket")
+        .agg(
+            F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
+            F.min("band").alias("band"),
         )
-        return dealt.join(sigs, "cls").select("bucket", "i", "j", "block", "cls", "comp", "sig")
+        .where("size > 1")
+    )
+    size = stage(size.groupBy("size", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("least")).select("least.bucket", "size"), "size")
+    member = stage(member.join(size.select("bucket"), "bucket"), "bucket")
 
-    first = blocks(member.withColumn("comp", F.col("cls")))
-    likely = first.groupBy("bucket", "i", "j").applyInArrow(lambda key, t: _likely_forest(key, t, threshold, miss), PAIR)
-    links = verified(stage(likely.distinct(), "pair"))
-    comp = stage(components(links, "a", "b"), "comp")
+    def sets_of(some: DataFrame) -> DataFrame:
+        """``cls, set`` of the classes in ``some``, from the texts of their representatives."""
+        ids = stage(some.select("cls").distinct().join(classes.select("cls", F.col("rep").alias("row")), "cls"), "ids")
+        own = keep_keys(docs, ids.select("row"), ["row"]).join(ids, "row").dropDuplicates(["cls"])
+        return stage(map_texts(own.select("cls", "text"), lambda it: _set_rows(it, shingle), "cls binary, set binary"), "sets")
 
-    rows_ = member.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = rows_.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    rest = blocks(rows_.join(mixed.select("bucket"), "bucket"))
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs whose full sets are similar enough."""
+        pairs = stage(pairs.distinct(), "pair")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
+        a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
+        return stage(map_texts(pairs.join(a, "a").join(b, "b"), lambda it: _verify(it, percent), PAIR), "link")
+
+    def with_comp(rows: DataFrame) -> DataFrame:
+        if comp is None:
+            return rows.withColumn("comp", F.col("cls"))
+        return rows.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+
+    def in_blocks(n: Column, weight: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(weight / BLOCK_SHINGLES)).cast("int")
+
+    comp = links = None
+    # where every bucket fits a block, one turn compares all pairs
+    turns = TURNS if (size.agg(F.max("size")).first()[0] or 0) > BLOCK else ()
+    for lo, hi in zip((0, *turns), (*turns, bands)):
+        reps = with_comp(member.where((F.col("band") >= lo) & (F.col("band") < hi))).groupBy("bucket", "comp").agg(F.min(F.struct("cls", "n")).alias("one"))
+        reps = reps.select("bucket", "comp", "one.*")
+        many = reps.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).where("size > 1")
+        dealt = reps.join(many, "bucket").select(
+            "bucket", F.pmod(F.xxhash64("cls", F.lit(lo)), in_blocks(F.col("size"), F.col("weight"))).cast("int").alias("block"), "cls", "comp"
+        )
+        likely = dealt.join(sigs, "cls").groupBy("bucket", "block").applyInArrow(lambda key, t: _likely_forest(key, t, threshold, miss), PAIR)
+        found = verified(likely)
+        links = found if links is None else links.unionByName(found)
+        comp = stage(components(links, "a", "b"), "comp")
+
+    # what is left: buckets of several components, the largest of which needs no comparison within
+    rest = with_comp(member.select("bucket", "cls", "n"))
+    held = rest.groupBy("bucket", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    mixed = held.groupBy("bucket").agg(
+        F.max_by("comp", F.struct("size", "comp")).alias("most"), F.count("*").alias("kinds"),
+        F.max(F.struct("size", "comp", "weight")).alias("top"), F.sum("size").alias("size"), F.sum("weight").alias("weight"),
+    ).where("kinds > 1")
+    mixed = stage(
+        mixed.select(
+            "bucket", "most", in_blocks(F.col("top.size"), F.col("top.weight")).alias("large"),
+            in_blocks(F.col("size") - F.col("top.size"), F.col("weight") - F.col("top.weight")).alias("small"),
+        ),
+        "mixed",
+    )
+    rest = rest.join(mixed, "bucket").withColumn("is_most", F.col("comp") == F.col("most"))
+    # blocks of the largest component have negative numbers; a pair (i, j) has i >= 0 of the others
+    own_block = F.when(F.col("is_most"), -1 - F.pmod(F.xxhash64("cls"), F.col("large"))).otherwise(F.pmod(F.xxhash64("cls"), F.col("small"))).cast("int")
+    blocks = F.when(F.col("is_most"), F.sequence(F.lit(0), F.col("small") - 1)).otherwise(
+        F.concat(F.sequence(-F.col("large"), F.lit(-1)), F.sequence(F.lit(0), F.col("small") - 1))
+    )
+    rest = rest.select("bucket", "cls", "comp", own_block.alias("block"), F.explode(blocks).alias("other"))
+    first, second = F.when(F.col("block") < 0, F.col("other")).otherwise(F.col("block")), F.when(F.col("block") < 0, F.col("block")).otherwise(F.col("other"))
+    ordered = F.col("other").between(0, F.col("block") - 1)  # two blocks of others: the lower first
+    rest = rest.select(
+        "bucket", F.when(ordered, second).otherwise(first).alias("i"), F.when(ordered, first).otherwise(second).alias("j"), "block", "cls", "comp"
+    )
     open_ = stage(
-        rest.groupBy("bucket", "i", "j").applyInArrow(
+        rest.join(sigs, "cls").groupBy("bucket", "i", "j").applyInArrow(
             lambda key, t: _open_members(key, t, threshold, miss),
             "bucket long, i int, j int, block int, cls binary, comp binary, sig binary",
         ),
         "open",
     )
     if open_.take(1):
-        ids = stage(open_.select("cls").distinct().join(classes.select("cls", "rep"), "cls").select("cls", F.col("rep").alias("row")), "ids")
-        own = keep_keys(docs, ids.select("row"), ["row"]).dropDuplicates(["row"]).select("row", "text")
-        small = own.mapInArrow(lambda it: _small_sets(it, shingle), f"row {ROW}, n long, set binary").join(ids, "row").drop("row")
-        exact = open_.join(small, "cls").groupBy("bucket", "i", "j").applyInArrow(
+        exact = open_.join(sets_of(open_), "cls").groupBy("bucket", "i", "j").applyInArrow(
             lambda key, t: _exact_forest(key, t, threshold, miss, percent), PAIR
         )
-        more = verified(stage(exact.distinct(), "pair"))
-        comp = stage(components(links.unionByName(more), "a", "b"), "comp")
-
-    least = (
-        signed.where("cls is not null")
-        .select("cls", "doc_id")
-        .groupBy("cls")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumn("comp", F.coalesce("comp", "cls"))
-    )
-    named = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    least = stage(least.select("cls", "comp").join(named, "comp").select("cls", "component_id"), "named")
-    return (
-        signed.select("doc_id", "n_shingles", "cls")
-        .join(least, "cls", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            F.coalesce(F.coalesce("component_id", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"),
-        )
+        comp = stage(components(links.unionByName(exact.distinct()), "a", "b"), "comp")
+    drop_stage(member, size, mixed, open_)
+
+    # equal sets of a component meet by class; a component's rows are counted only by class
+    least = with_comp(signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct(F.col("row.doc_id").isNull(), "row")).alias("first")))
+    named = least.groupBy("comp").agg(F.min("first").alias("first")).select("comp", F.col("first.row").alias("first"))
+    least = stage(least.select("cls", "comp").join(named, "comp").select("cls", "first"), "named")
+    out = signed.select("row", "n_shingles", "cls").join(least, "cls", "left").withColumn("first", F.coalesce("first", "row"))
+    if key:
+        return out.select("row.doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"), F.col("row.own").alias(key))
+    return out.select(
+        "row.doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"),
+        F.coalesce(F.col("first.doc_id") == F.col("row.doc_id"), F.lit(False)).alias("kept"),
     )

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
+from spanloom.llm.work import map_texts
 
 SPACE = "▁"
 _SP = SPACE.encode()
@@ -79,6 +80,8 @@ class Pieces:
         if m.trainer_spec.treat_whitespace_as_suffix:
             raise ValueError("models with blanks at the end of words are not supported")
         self.bytes_for_unknown = m.trainer_spec.byte_fallback
+        if not self.bytes_for_unknown:
+            raise ValueError("models without pieces for single bytes are not supported")
         self.unk_surface = m.trainer_spec.unk_surface.encode()
         self.id: dict[str, int] = {}
         self.score: list[float] = []
@@ -252,12 +255,9 @@ class Pieces:
             if k is not None:
                 self._ids.append(k)
                 self._lens.append(len(raw))
-            elif self.bytes_for_unknown:
+            else:
                 self._ids += [self.byte_id[b] for b in raw]
                 self._lens += [1] * len(raw)
-            else:
-                self._ids.append(self.unk)
-                self._lens.append(len(raw))
         number = self.known[cut] = len(self._at) - 1
         self._at.append(len(self._ids))
         self._arrays = None
@@ -309,13 +309,16 @@ class Pieces:
         out, ends = self.surface[take], total[off]
         lone = np.flatnonzero(self.kind[ids] == BYTE)
         if len(lone):
-            fixed = [self._repair(out[ends[i] : ends[i + 1]].tobytes(), ids[off[i] : off[i + 1]]) for i in range(len(off) - 1)] if not _valid(out) else None
-            if fixed is not None:
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in fixed])]).astype(np.int64)
-                out = np.frombuffer(b"".join(fixed), np.uint8)
+            # each text that holds a byte piece is judged alone: bytes never join across a border of texts
+            parts = [out[i:j] for i, j in zip(ends[:-1], ends[1:])]
+            for i in np.unique(np.searchsorted(off, lone, "right") - 1).tolist():
+                if not _valid(parts[i]):
+                    parts[i] = np.frombuffer(self._repair(parts[i].tobytes()), np.uint8)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+            out = np.concatenate(parts)
         return out, ends
 
-    def _repair(self, text: bytes, ids: np.ndarray) -> bytes:
+    def _repair(self, text: bytes) -> bytes:
         """Bytes that form no character become U+FFFD, one for each byte."""
         out, i = [], 0
         while i < len(text):
@@ -342,8 +345,8 @@ _models: dict[bytes, Pieces] = {}
 
 
 def _model(blob: bytes) -> Pieces:
-    """One model per Python worker."""
-    key = blob[:0] + str(hash(blob)).encode()
+    """One model per task: a reused worker must not keep it while it serves other stages."""
+    key = str(hash(blob)).encode()
     if key not in _models:
         _models.clear()
         _models[key] = Pieces(blob)
@@ -371,8 +374,7 @@ def _batches(batches, blob: bytes, decode: bool) -> Iterator[pa.RecordBatch]:
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(cols, names)
             i = j
-    model._reset()
-    pa.default_memory_pool().release_unused()
+    _models.clear()
 
 
 def encode_documents(docs: DataFrame, model: bytes, *, decode: bool = True) -> DataFrame:
@@ -384,9 +386,8 @@ def encode_documents(docs: DataFrame, model: bytes, *, decode: bool = True) -> D
     text; a null ``doc_id`` stays null; repeated rows give repeated results; an empty table
     gives an empty one."""
     schema = "doc_id long, ids array<int>, begins array<int>, ends array<int>" + ", decoded string" * decode
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        lambda it: _batches(it, model, decode), schema
-    )
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_texts(docs, lambda it: _batches(it, model, decode), schema)
 
 
 def _decode_batches(batches, blob: bytes):
@@ -403,5 +404,10 @@ def _decode_batches(batches, blob: bytes):
 
 
 def decode_documents(encoded: DataFrame, model: bytes) -> DataFrame:
-    """Texts of ``ids``: ``doc_id, decoded``."""
-    return encoded.select("doc_id", "ids").mapInArrow(lambda it: _decode_batches(it, model), "doc_id long, decoded string")
+    """Texts of ``ids``: ``doc_id, decoded``.
+
+    Reads ``doc_id`` and ``ids`` alone.  Null or empty ids decode to the empty text; bytes
+    that form no character become U+FFFD, judged within a text; a null ``doc_id`` stays
+    null; repeated rows give repeated results; an empty table gives an empty one."""
+    encoded = encoded.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>"))
+    return map_texts(encoded, lambda it: _decode_batches(it, model), "doc_id long, decoded string")

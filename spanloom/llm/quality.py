@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
+from spanloom.llm.work import map_texts
 
 FEATURES = (
     "log_words", "word_length", "upper", "digit", "symbol", "other_alphabet",
@@ -175,7 +176,7 @@ def _rows(batches, extra, kinds):
         for i, j, d, o in K.chunks(data, off):
             x = features(d, o)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(i, j - i).cast(pa.int64()), *extra(x, b.slice(i, j - i))], ["doc_id", *kinds]
+                [b.column("doc_id").slice(i, j - i), *extra(x, b.slice(i, j - i))], ["doc_id", *kinds]
             )
 
 
@@ -195,34 +196,44 @@ def training_rows(labels: DataFrame, label: str, most: int) -> DataFrame:
     )
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_train_rows: int = 20_000, **how) -> AdditiveModel:
-    """Fit on at most ``max_train_rows`` labelled documents.  The bound also bounds what the
-    driver holds: that many rows of twelve numbers."""
-    chosen = F.broadcast(training_rows(labels, label, max_train_rows))
-    got = (
+def training_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``doc_id, text, y`` of the chosen ids, at most ``max_train_rows`` of them; one text for each."""
+    return (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(chosen, "doc_id")
-        .dropDuplicates(["doc_id"])
-        .mapInArrow(
-            lambda it: _rows(it, lambda x, b: [b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"]),
-            "doc_id long, y double, x array<double>",
-        )
-        .orderBy("doc_id")
-        .toArrow()
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "y")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+        .select("doc_id", "text", "y")
     )
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_train_rows: int = 20_000, **how) -> AdditiveModel:
+    """Fit on at most ``max_train_rows`` labelled documents.  The bound also bounds what the
+    driver holds: that many rows of twelve numbers.  Of several texts with one id, the one
+    with the least hash counts; null ids and labels are passed over; without rows, or with
+    labels of one kind, the model is a constant."""
+    got = map_texts(
+        training_texts(docs, training_rows(labels, label, max_train_rows)),
+        lambda it: _rows(it, lambda x, b: [b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"]),
+        "doc_id long, y double, x array<double>",
+    ).orderBy("doc_id").toArrow()
     y = got.column("y").to_numpy()
     x = np.array(got.column("x").to_pylist(), float).reshape(len(y), len(FEATURES))
     return fit_additive(x, y, **how)
 
 
-def score_quality(docs: DataFrame, model: AdditiveModel, *, threshold: float = 0.7) -> DataFrame:
+def score_quality(docs: DataFrame, model: AdditiveModel, *, threshold: float = 0.7, key: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, held_out, score, predicted``.
 
-    Reads ``doc_id`` and ``text`` alone; other columns are ignored.  Null and empty
-    texts score like a text without words; equal texts score alike; a null ``doc_id``
-    stays null and is not held out; an empty table gives an empty one."""
+    Reads ``doc_id`` and ``text`` alone; other columns are ignored, but for ``key``, which
+    may name a column to return too.  Null and empty texts score like a text without
+    words; equal texts score alike; very long texts are read whole; a null ``doc_id`` stays
+    null and is not held out; an empty table gives an empty one."""
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), *([key] if key else []))
+    docs = docs.select(own.alias("doc_id"), F.col("text").cast("string"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
     return (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(lambda it: _rows(it, lambda x, b: [pa.array(model.score(x))], ["score"]), "doc_id long, score double")
-        .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        map_texts(docs, lambda it: _rows(it, lambda x, b: [pa.array(model.score(x))], ["score"]), f"doc_id {kind}, score double")
+        .select("doc_id.*", "score")
+        .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *([key] if key else []))
     )

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where the public vocabulary files are; see op3.
-TOKENIZERS = os.environ.get("SPANLOOM_TOKENIZERS", "/opt/tokenizers")
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -17,8 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_bytes(name: str = PIECE_MODEL, folder: str = TOKENIZERS) -> bytes:
-    with open(os.path.join(folder, name), "rb") as f:
+def tokenizer_bytes(name: str = PIECE_MODEL, path: str | None = None) -> bytes:
+    """A public vocabulary file: ``path``, or where the module of public tokenizers has ``name``."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(name)
+    with open(path, "rb") as f:
         return f.read()
 
 

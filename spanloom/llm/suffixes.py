@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import drop_stage, keep_keys, stage
+from spanloom.llm.work import drop_stage, keep_keys, map_texts, stage
 
 ANCHOR = 128
 #: Territories of one suffix that a task compares; beyond, windows are counted.
@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
         F.coalesce(F.col("doc_id").cast("long"), no_id).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("same", F.xxhash64("text"))
     rows = stage(
-        docs.where(F.octet_length("text") >= length).select("doc_id", "same", "text").mapInArrow(lambda it: _index(it, length), ROWS), "rows"
+        map_texts(docs.where(F.octet_length("text") >= length).select("doc_id", "same", "text"), lambda it: _index(it, length), ROWS), "rows"
     )
     family = SuffixFamily()
     entry = rows.where("fp is not null")

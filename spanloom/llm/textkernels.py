@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def release() -> None:
+    """Give back what a worker would keep until its next task: Spark reuses workers for other stages."""
+    if len(_pow[0]) > CHUNK + 2:
+        _pow[:] = [np.ones(1, U64), np.ones(1, U64)]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def freeing(kernel: Callable) -> Callable:
+    """The kernel of ``mapInArrow``, with ``release`` at the end of the task."""
+
+    def run(batches):
+        try:
+            yield from kernel(batches)
+        finally:
+            release()
+
+    return run
+
+
 def powers(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, for 0 to n."""
     if len(_pow[0]) <= n:

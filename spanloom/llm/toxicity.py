@@ -259,7 +259,7 @@ def _rows(batches, lexicon: Lexicon, extra, kinds):
             part = b.slice(i, 1024)
             x = np.array([clause_features(t or "", lexicon, pattern) for t in part.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), *extra(x.reshape(part.num_rows, -1), part)], ["doc_id", *kinds]
+                [part.column("doc_id"), *extra(x.reshape(part.num_rows, -1), part)], ["doc_id", *kinds]
             )
 
 

@@ -2,23 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.llm import textkernels as K
+
 #: Ids (8 to 16 bytes each) that may be broadcast; above it the join shuffles.
 BROADCAST_IDS = 500_000
+#: Texts that Spark hands to Python at a time; its default of 10,000 would hold far more bytes than a kernel needs.
+TEXT_ROWS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+#: Work tables that this driver has written and not deleted: path by the number of its run.
+_written: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the cluster
-    names one; a temporary folder only where it is unset (tests, local mode)."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, local mode (tests) gets a temporary folder; a cluster gets an
+    error, as each executor would write to its own disk."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="spanloom-")
+    atexit.register(shutil.rmtree, own, True)
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 
@@ -31,17 +48,38 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/work-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
 
 
-def drop_stage(df: DataFrame) -> None:
-    """Delete the files of a work table that nothing reads any more."""
-    spark = df.sparkSession
+def drop_stage(*tables: DataFrame) -> None:
+    """Delete the files of work tables (as ``stage`` returned them) that nothing reads any more."""
+    for t in tables:
+        drop_paths(t.sparkSession, [t._work_path])
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/work-" in parent:
-            p = jvm.org.apache.hadoop.fs.Path(parent)
+    for path in paths:
+        if path in _written:
+            p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _written.remove(path)
+
+
+def work_tables() -> list[str]:
+    """Paths of the work tables that have been written and not deleted."""
+    return list(_written)
+
+
+def map_texts(df: DataFrame, kernel: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of whole texts; the worker gives its memory back at the end of each task."""
+    spark = df.sparkSession
+    if int(spark.conf.get(BATCH_ROWS)) > TEXT_ROWS:
+        spark.conf.set(BATCH_ROWS, TEXT_ROWS)
+    return df.mapInArrow(K.freeing(kernel), schema)
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
