@@ -1,7 +1,15 @@
-"""The corpus pipeline: five stages over ``documents``, each written and read again."""
+"""The corpus pipeline: five stages over ``documents``, each written and read again.
+
+A stage judges rows, not ids: every row has a key of its own (the file it stands in and
+its place there), so rows that share a ``doc_id``, or have none, are judged each.  All
+stages but the last return the columns of ``documents``; columns beyond ``doc_id`` and
+``text`` pass through unread.  A null text counts as empty, an empty table gives an empty
+one, texts are read whole however long, and repeated rows are copies of each other.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,37 +19,58 @@ from spanloom.llm.near_dedup import near_duplicates
 from spanloom.llm.pieces import encode_documents
 from spanloom.llm.quality import score_quality, train_quality
 from spanloom.llm.queries import table, tokenizer_bytes
-from spanloom.llm.work import keep_keys, stage
+from spanloom.llm.work import drop_paths, keep_keys, stage, work_tables
+
+KEY = "row_key_"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with KEY: the hash of a row's file and its place in it, the same in every scan.
 
+    Rows that come from no file are written first."""
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.select("*", place.alias(KEY))
+    except AnalysisException:
+        return stage(docs, "docs").select("*", place.alias(KEY))
 
-def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """``docs`` less the ids of ``verdict``; rows without an id stay.  The verdict is a work table."""
-    return keep_keys(docs, stage(verdict.where("doc_id is not null").distinct(), "verdict"), ["doc_id"], "left_anti")
+
+def _without(keyed: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The rows whose KEY is not in ``verdict``, which becomes a work table."""
+    return keep_keys(keyed, stage(verdict.select(KEY).distinct(), "verdict"), [KEY], "left_anti").drop(KEY)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Rows that the quality classifier accepts.  Empty and null texts score like a text without words."""
     model = train_quality(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, score_quality(docs, model).where("predicted = 0").select("doc_id"))
+    keyed = _keyed(docs)
+    return _without(keyed, score_quality(keyed, model, key=KEY).where("predicted = 0"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _without(docs, exact_duplicates(docs).where("not kept").select("doc_id"))
+    """One row of each group of equal texts: that of the largest ``doc_id``, or any of several such rows.
+
+    Null and empty texts are one group."""
+    keyed = _keyed(docs)
+    return _without(keyed, exact_duplicates(keyed, key=KEY).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8."""
-    return _without(docs, near_duplicates(docs, shingle=5, percent=80).where("not kept").select("doc_id"))
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8): that of the least ``doc_id``.
+
+    Texts without words link with nothing, so their rows stay."""
+    keyed = _keyed(docs)
+    return _without(keyed, near_duplicates(keyed, shingle=5, percent=80, key=KEY).where("not kept"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return _without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Rows without a passage of a benchmark item; texts without words stay."""
+    keyed = _keyed(docs)
+    return _without(keyed, contaminated(keyed, table(spark, sf_dir, "benchmark"), key=KEY))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the digest of what they decode to."""
+    """Token ids of each row's text, with the digest of what they decode to; one row for each row, empty texts too."""
     out = encode_documents(docs, tokenizer_bytes())
     return out.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256")
@@ -61,8 +90,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each stage's rows written as Parquet before the next."""
+    """All stages in order.  Each stage's rows are written as Parquet before the next, and its work tables then deleted."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.split()[0].lower())
+        before = set(work_tables())
+        out = stage(step(spark, docs, sf_dir), name.split()[0].lower())
+        drop_paths(spark, [p for p in work_tables() if p not in before and p != out._work_path])
+        docs = out
     return docs
