@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.functions import scalars as L
 from spanloom.functions.scalars import human, stars
 from spanloom.operators import correlate as C
 from spanloom.operators import coverage as V
@@ -17,12 +18,15 @@ from spanloom.operators import joins as X
 from spanloom.operators import scores as S
 from spanloom.operators import simulate as M
 from spanloom.operators import varbin as B
-from spanloom.operators.reshape import crosstab, uncrosstab
+from spanloom.operators.reshape import crosstab, uncrosstab, with_places
 from spanloom.plans import views as P
 from spanloom.plans.views import with_
+from spanloom.sources import bed as R
+from spanloom.sources.folders import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: The iterations of the view; each of its features has all of them.
 ITERATIONS = list(range(-1, 19))
 
 
@@ -252,12 +256,12 @@ def _(spark, d):
 
 @query("crosstab", with_("it") + " SELECT id, " + ", ".join(f'max(CASE WHEN iteration = {i} THEN score END) AS "I{i}"' for i in ITERATIONS) + " FROM it GROUP BY id")
 def _(spark, d):
-    return crosstab(P.iterated(spark, d), ITERATIONS, check=False)
+    return crosstab(P.iterated(spark, d), ITERATIONS)
 
 
 @query("uncrosstab", with_("it") + f" , ids AS (SELECT DISTINCT id FROM it) SELECT ids.id, i::INTEGER AS iteration, max(score) AS score FROM ids CROSS JOIN range(-1, 19) t(i) LEFT JOIN it ON it.id = ids.id AND it.iteration = i GROUP BY ALL")
 def _(spark, d):
-    return uncrosstab(crosstab(P.iterated(spark, d), ITERATIONS, check=False), ITERATIONS)
+    return uncrosstab(crosstab(P.iterated(spark, d), ITERATIONS), ITERATIONS)
 
 
 for _how, _agg in {
@@ -311,10 +315,75 @@ def _(spark, d):
     return rounded(S.frequency(S.aggregate_iterations(P.iterated(spark, d))), "x", "at_most", "at_least")
 
 
-@query("distribution_paired", with_("it") + """, a AS (SELECT id, max(score) FILTER (iteration = -1) AS actual FROM it GROUP BY id)
-    SELECT round_even((score - actual) / 20, 0) * 20 AS x, count(*) AS n FROM it JOIN a USING (id) WHERE iteration >= 0 GROUP BY 1""")
+def _distribution_sql(rows: str, size: str) -> str:
+    return with_("it") + f""", q0 AS (SELECT id, max(score) FILTER (iteration = -1) AS actual, median(score) FILTER (iteration >= 0) AS sim FROM it GROUP BY id), v AS ({rows}),
+        h AS (SELECT series, round_even(v / {size}, 0) * {size} + 0.0 AS x, count(*) AS n FROM v GROUP BY ALL) SELECT series, x, n, round(n / sum(n) OVER (PARTITION BY series), 6) AS share FROM h"""
+
+
+_OWN = "SELECT 'actual' AS series, actual AS v FROM q0"
+for _kind, (_rows, _size) in {
+    "unpaired_all": (f"{_OWN} UNION ALL SELECT 'simulated', score FROM it WHERE iteration >= 0", 20.0),
+    "unpaired_agg": (f"{_OWN} UNION ALL SELECT 'simulated', sim FROM q0", 20.0),
+    "paired_all": ("SELECT 'delta' AS series, actual - score AS v FROM it JOIN q0 USING (id) WHERE iteration >= 0", 20.0),
+    "paired_agg": ("SELECT 'delta' AS series, actual - sim AS v FROM q0", 20.0),
+    "percentile": ("SELECT 'percentile' AS series, round_even((count(*) FILTER (score < actual) + count(*) FILTER (score = actual) / 2.0) / count(*) * 100, 0) AS v FROM it JOIN q0 USING (id) WHERE iteration >= 0 GROUP BY id", 5.0),
+}.items():
+
+    @query("distribution_paired" if _kind == "paired_all" else f"distribution_{_kind}", _distribution_sql(_rows, str(_size)))
+    def _(spark, d, kind=_kind, size=_size):
+        out = S.distribution(P.iterated(spark, d), kind, bin_size=size, how="MEDIAN")
+        return rounded(out.withColumn("x", F.col("x") + 0.0), "share")
+
+
+@query("relate_iterations", with_("it") + """, e AS (SELECT round_even(bed_score / 5, 0) * 5 AS x, iteration, avg(score) AS m, median(score) AS d FROM it WHERE iteration >= 0 GROUP BY ALL)
+    SELECT x, round(avg(m), 6) AS mean_mean, round(median(d), 6) AS median_median, round(quantile_cont(d, 0.05), 6) AS median_q05, round(quantile_cont(d, 0.95), 6) AS median_q95 FROM e GROUP BY x""")
+def _(spark, d):
+    return rounded(S.relate_iterations(P.iterated(spark, d), "bed_score", "score", 5.0), "mean_mean", "median_median", "median_q05", "median_q95")
+
+
+@query("aggregate_summary", _QUANT + """, w AS (SELECT iteration, avg(score) AS v FROM it GROUP BY iteration), z AS (SELECT v AS a FROM w WHERE iteration = -1),
+    t AS (SELECT any_value(a) AS actual, avg(v) AS mean, stddev_samp(v) AS sd, count(*) AS n_iterations, least(count(*) FILTER (v <= a), count(*) FILTER (v >= a)) / count(*) AS tail_p FROM w, z WHERE iteration >= 0)
+    SELECT round(any_value(t.actual), 6) AS actual, round(any_value(t.mean), 6) AS mean, round(any_value(sd), 6) AS sd, any_value(n_iterations) AS n_iterations, round(any_value(tail_p), 6) AS tail_p,
+    count(*) AS n_features, round(avg(quantile), 6) AS mean_quantile FROM q, t""")
+def _(spark, d):
+    out = S.aggregate(P.iterated(spark, d)).drop("gaussian_p", "sign_p", "rank_p")
+    return rounded(out, "actual", "mean", "sd", "tail_p", "mean_quantile")
+
+
+@query("aggregate_tests")
+def _(spark, d):
+    """The p values of the summary: Gaussian, sign and signed rank."""
+    return S.aggregate(P.iterated(spark, d)).select("gaussian_p", "sign_p", "rank_p")
+
+
+@query("strata_rank_sums", with_("it") + """, a AS (SELECT id % 2 AS g, score FROM it WHERE iteration = -1), r AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS k FROM a),
+    u AS (SELECT count(*) AS t FROM a GROUP BY score), s AS (SELECT count(*) FILTER (g = 0) AS n, count(*) FILTER (g = 1) AS m, sum(k) FILTER (g = 0) AS ranks FROM r), v AS (SELECT sum(1.0 * t * t * t - t) AS ties FROM u),
+    w AS (SELECT *, ranks - n * (n + 1) / 2.0 - n * m / 2.0 AS z0, sqrt(n * m / 12.0 * ((n + m + 1) - ties / (1.0 * (n + m) * (n + m - 1)))) AS sd FROM s, v)
+    SELECT n, m, CAST(ranks AS DOUBLE) AS ranks, CAST(ties AS DOUBLE) AS ties, round((z0 - sign(z0) * 0.5) / sd, 6) AS z FROM w""")
+def _(spark, d):
+    own = P.iterated(spark, d).where("iteration = -1").select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("stratum"), "score")
+    return rounded(S.rank_sums(own, "a", "b"), "z")
+
+
+@query("strata_table")
 def _(spark, d):
-    return S.distribution_paired(P.iterated(spark, d), 20.0)
+    it = P.iterated(spark, d)
+    strata = it.select("id").distinct().select(F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("stratum"), "id")
+    return S.strata_table(it, [("s0", "s1"), ("s1", "s2")], strata)
+
+
+@query("mask_and_log", with_("it") + " SELECT id, iteration, CASE WHEN score > 100 THEN round(log10(score), 6) END AS score, CASE WHEN score > 100 THEN round(log10(score), 6) ELSE 0 END AS masked FROM it")
+def _(spark, d):
+    it = P.iterated(spark, d).select("id", "iteration", F.when(F.col("score") > 100, F.col("score")).otherwise(0.0).alias("score"))
+    out = S.apply_log10(it)
+    return rounded(S.mask_null(out.withColumn("masked", F.col("score")), score="masked"), "score", "masked")
+
+
+@query("crosstab_places", with_("it", "iv") + """ SELECT iv.chrom, iv.s AS start, iv.e AS "end", iv.name, max(CASE WHEN iteration = -1 THEN it.score END) AS "I-1", max(CASE WHEN iteration = 18 THEN it.score END) AS "I18"
+    FROM it JOIN iv ON iv.event_id = it.id GROUP BY ALL""")
+def _(spark, d):
+    own = P.intervals(spark, d).withColumn("id", F.col("event_id"))
+    return with_places(crosstab(P.iterated(spark, d), ITERATIONS), own).select("chrom", "start", "end", "name", "I-1", "I18")
 
 
 @query("cdf_points", with_("it") + """ SELECT DISTINCT id, score, round(cume_dist() OVER (PARTITION BY id ORDER BY score), 6) AS share,
@@ -394,14 +463,19 @@ def _(spark, d):
     return _placed(spark, d, offset_control=1000)[0]
 
 
-@query("permute_lengths", with_("f") + ', n AS (SELECT least(e - s, 400) AS length, count(*) AS c FROM f WHERE event_id % 50 < 2 GROUP BY 1) SELECT CAST(i AS INTEGER) AS iteration, length, c AS n FROM n, range(-1, 10) t(i)')
+@query("permute_lengths", with_("f") + ", n AS (SELECT e - s AS length, count(*) AS c FROM f GROUP BY 1) SELECT CAST(i AS INTEGER) AS iteration, length, c AS n FROM n, range(-1, 10) t(i)")
 def _(spark, d):
-    # the id filter and the cut to 400 bases are those of the SQL
-    f = _named(P.features(spark, d).where("event_id % 50 < 2")).withColumn("end", F.least(F.col("end"), F.col("start") + 400))
-    placed = M.permute(f, P.chroms(spark), iterations=10, seed=11, exclusions=P.refs(spark, d).where("event_id % 100 = 0"))
+    placed = _placed(spark, d)[0]
     return placed.groupBy("iteration", (F.col("end") - F.col("start")).alias("length")).agg(F.count("*").alias("n"))
 
 
+@query("permute_collapsed", with_("f") + ", n AS (SELECT count(*) AS n FROM f) SELECT CAST(i AS INTEGER) AS iteration, CAST(n AS DOUBLE) AS n FROM n, range(-1, 10) t(i)")
+def _(spark, d):
+    """All features of an iteration stand in its padded, merged regions."""
+    regions = M.collapsed(_placed(spark, d)[0], padding=100, unpadded=True)
+    return regions.groupBy("iteration").agg(F.sum("score").alias("n"))
+
+
 @query("permute_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
 def _(spark, d):
     """Placements beyond a chromosome, on an exclusion, or on another placement: none."""
@@ -418,12 +492,34 @@ def _(spark, d):
     return flagship(spark, d)
 
 
+_GROWN = """k AS (SELECT greatest(1, ceil(count(*) / 1000.0))::BIGINT AS k FROM events), gv AS (SELECT event_id, 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % (500000 * k) AS s,
+    (event_id * 7919) % (500000 * k) + 1 + CAST(floor(value * 4) AS BIGINT) AS e FROM events, k), gf AS (SELECT * FROM gv WHERE event_id % 3 <> 0), gr AS (SELECT * FROM gv WHERE event_id % 3 = 0)"""
+
+
+@query("simulate_actual", f"""WITH {_GROWN} SELECT CAST(gf.event_id AS VARCHAR) AS id, CAST(count(gr.s) AS DOUBLE) AS actual, 10::BIGINT AS n
+    FROM gf LEFT JOIN gr ON gf.chrom = gr.chrom AND gr.s <= gf.e AND gr.e >= gf.s GROUP BY gf.event_id""")
+def _(spark, d):
+    """Of each feature, the actual score and how many simulations it was held against."""
+    return flagship(spark, d).select("id", "actual", "n")
+
+
 @query("hotspot")
 def _(spark, d):
     features, _, chroms = P.simulated(spark, d)
     return M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=5, seed=3)
 
 
+@query("hotspot_first", f"""WITH {_GROWN}, m AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM gf),
+    g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
+    c AS (SELECT count(*) AS n FROM g GROUP BY chrom, gid), t AS (SELECT max(n) AS most, CAST(sum(n) AS BIGINT) AS total FROM c)
+    SELECT any_value(total) AS n_features, any_value(most) AS cluster_size, CAST(count(*) AS INTEGER) AS n_clusters, count(*) * any_value(most) AS n_clustered FROM c, t WHERE n = most""")
+def _(spark, d):
+    """The first round's clusters, of all features."""
+    features, _, chroms = P.simulated(spark, d)
+    out = M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=2, seed=3, rounds=1)
+    return out.select("n_features", "cluster_size", "n_clusters", "n_clustered")
+
+
 # ---- coverage and copy number ---------------------------------------------------------
 
 _BREAKS = with_("fr") + """, bk AS (SELECT sample, chrom, pos, CAST(sum(d) AS INTEGER) AS delta FROM (SELECT sample, chrom, pos, 1 AS d FROM fr UNION ALL SELECT sample, chrom, pos + len, -1 FROM fr) GROUP BY ALL HAVING sum(d) <> 0)"""
@@ -466,11 +562,12 @@ def _(spark, d):
     return rounded(n, "norm").select("chrom", "bin", "sample", "norm", "med_cov", "adj_len")
 
 
-@query("correct_for_gaps", with_("r") + """, bn AS (SELECT 'chr' || c AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 9999 AS e FROM range(1, 6) t(c), range(0, 60) u(b)), g AS (SELECT chrom, s, e FROM r WHERE event_id % 60 = 0)
-    SELECT bn.chrom, bin, 10000::BIGINT AS length, CAST(10000 - coalesce(sum(least(bn.e + 1, g.e) - greatest(bn.s, g.s)) FILTER (g.s IS NOT NULL), 0) AS BIGINT) AS no_gap_len
-    FROM bn LEFT JOIN g ON bn.chrom = g.chrom AND g.s < bn.e + 1 AND g.e > bn.s GROUP BY bn.chrom, bin""")
+@query("correct_for_gaps", _COLLAPSED_REFS[: _COLLAPSED_REFS.index("x AS (")].rstrip().rstrip(",") + """, bn AS (SELECT 'chr' || q AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 9999 AS e FROM range(1, 6) t(q), range(0, 60) u(b))
+    SELECT bn.chrom, bin, 10000::BIGINT AS length, CAST(10000 - coalesce(sum(least(bn.e + 1, c.re) - greatest(bn.s, c.rs)) FILTER (c.rs IS NOT NULL), 0) AS BIGINT) AS no_gap_len
+    FROM bn LEFT JOIN c ON bn.chrom = c.chrom AND c.rs < bn.e + 1 AND c.re > bn.s GROUP BY bn.chrom, bin""")
 def _(spark, d):
-    return B.correct_for_gaps(P.fixed_bins(spark), P.refs(spark, d).where("event_id % 60 = 0")).select("chrom", "bin", "length", "no_gap_len")
+    gaps = I.collapse(P.refs(spark, d), names=False)
+    return B.correct_for_gaps(P.fixed_bins(spark), gaps).select("chrom", "bin", "length", "no_gap_len")
 
 
 @query("bin_ends")
@@ -510,6 +607,134 @@ def _(spark, d):
     return rounded(B.cnv_runs(ch, min_bins=2), "mean_dcn")
 
 
+_NORM = ORACLE["norm_median"]
+
+
+def _normal(spark, d):
+    raw, bins = _raw(spark, d)
+    return B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
+
+
+@query("plot_values", _NORM.replace("SELECT chrom, bin, sample, round(norm, 6) AS norm", "SELECT chrom, bin, sample, norm").join(("WITH pv AS (", """), c AS (SELECT *, floor(9000.0 / adj_len * 2 * 1000 + 0.5) / 1000 AS cn_raw, 9000.0 / adj_len * 2 AS cn FROM pv),
+    y AS (SELECT *, (norm - med_cov) / med_cov * cn * 1000 + 0.5 AS y FROM c) SELECT chrom, bin, sample, cn_raw, round(CASE WHEN y < 0 THEN ceil(y) ELSE floor(y) END / 1000, 2) AS dcn_raw FROM y""")))
+def _(spark, d):
+    out = B.plot_values(_normal(spark, d), ref_mean=9000.0).select("chrom", "bin", "sample", "cn_raw", "dcn_raw")
+    return rounded(out, "dcn_raw", digits=2)
+
+
+@query("sample_blocks", _WEIGHTS + """ SELECT chrom, bin, max(raw) FILTER (sample = 's0') AS raw_s0, max(raw) FILTER (sample = 's1') AS raw_s1, max(raw) FILTER (sample = 's2') AS raw_s2 FROM raw GROUP BY chrom, bin""")
+def _(spark, d):
+    return B.sample_blocks(_raw(spark, d)[0], ["s0", "s1", "s2"], ("raw",))
+
+
+@query("bin_peaks", """WITH pv AS (""" + _NORM + """), b AS (SELECT DISTINCT chrom, bin, adj_len, CAST(bin % 3 AS INTEGER) AS cn FROM pv), c AS (SELECT cn, floor(adj_len / 500.0 + 0.5) * 500 AS a, count(*) AS k FROM b GROUP BY ALL),
+    p AS (SELECT cn, a AS peak FROM c QUALIFY row_number() OVER (PARTITION BY cn ORDER BY k DESC, a) = 1) SELECT b.cn, count(*) AS n, round(avg(adj_len), 6) AS mean, round(stddev_samp(adj_len), 6) AS sd, any_value(peak) AS peak FROM b JOIN p USING (cn) GROUP BY b.cn""")
+def _(spark, d):
+    bins = _normal(spark, d).select("chrom", "bin", "adj_len", (F.col("bin") % 3).cast("int").alias("cn")).distinct()
+    return rounded(B.bin_peaks(bins, width=500.0).withColumn("peak", F.col("peak").cast("double")), "mean", "sd")
+
+
+@query("bin_ends_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+def _(spark, d):
+    """Bins that do not begin where the one before ends, or do not reach from 0 to the chromosome's end: none."""
+    bins = QUERIES["bin_ends"](spark, d)
+    b = I.with_previous(bins, ["chrom"], "bin", ["end"])
+    torn = b.where(F.coalesce(F.col("previous.end") + 1, F.lit(0)) != F.col("start")).select(F.lit("gap").alias("rule"))
+    last = bins.groupBy("chrom").agg(F.max("end").alias("top")).join(P.chroms(spark), "chrom").where("top > size or top < size - 1").select(F.lit("end").alias("rule"))
+    return torn.unionByName(last).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query("copy_number_rows", _WEIGHTS + " SELECT chrom, bin, count(*) AS n_samples, TRUE AS in_range FROM raw GROUP BY chrom, bin")
+def _(spark, d):
+    """Each bin has one modal number, and each of its samples one change, within their bounds."""
+    cn = QUERIES["viterbi_cn"](spark, d).where("cn between 0 and 5")
+    dcn = QUERIES["copy_changes"](spark, d).groupBy("chrom", "bin").agg(F.count("*").alias("n_samples"), F.max(F.abs("dcn")).alias("most"))
+    return cn.join(dcn, ["chrom", "bin"]).select("chrom", "bin", "n_samples", (F.col("most") <= 2).alias("in_range"))
+
+
+_READS = """rd AS (SELECT event_id, 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % 5000 AS start, (event_id * 31) % 50 AS mate_start, event_id % 32 AS flag, (event_id * 7) % 61 AS mapq, CAST(floor(value) AS BIGINT) AS quality, printf('r%010d', event_id) AS name FROM events)"""
+
+
+def _reads(spark, d) -> DataFrame:
+    return P.table(spark, d, "events").select(
+        "event_id", F.concat(F.lit("chr"), (F.col("user_id") % 5 + 1).cast("string")).alias("chrom"), ((F.col("event_id") * 7919) % 5000).alias("start"), ((F.col("event_id") * 31) % 50).alias("mate_start"),
+        (F.col("event_id") % 32).alias("flag"), ((F.col("event_id") * 7) % 61).alias("mapq"), F.floor("value").alias("quality"), F.format_string("r%010d", "event_id").alias("name"),
+    )
+
+
+@query("usable_reads", f"WITH {_READS} SELECT event_id FROM rd WHERE mapq >= 20 AND flag & 1 = 1 AND flag & 8 = 0 AND flag & 16 = 0")
+def _(spark, d):
+    return V.strand_reads(V.usable_reads(_reads(spark, d), min_mapq=20, require=1, forbid=8), "-", invert=True).select("event_id")
+
+
+@query("merge_alignments", f"""WITH {_READS} SELECT event_id FROM rd WHERE flag & 4 <> 0 UNION ALL
+    SELECT event_id FROM (SELECT *, row_number() OVER (PARTITION BY chrom, start, mate_start, flag & 16 ORDER BY quality DESC, name) AS k FROM rd WHERE flag & 4 = 0) WHERE k = 1""")
+def _(spark, d):
+    r = _reads(spark, d)
+    return V.merge_alignments(r.where("event_id % 2 = 0"), r.where("event_id % 2 = 1")).select("event_id")
+
+
+@query("chunk_tiles_bed", """SELECT 'chr' || c AS chrom, CAST(i AS INTEGER) AS chunk, CAST(i * 130000 AS BIGINT) AS start, CAST(CASE WHEN i = n THEN size ELSE (i + 1) * 130000 END AS BIGINT) AS "end"
+    FROM (SELECT c, 600000 AS size, greatest(0, CAST(ceil((600000 - 1.1 * 130000) / 130000) AS BIGINT)) AS n FROM range(1, 6) t(c)), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
+def _(spark, d):
+    """A 24th of the bases is 125,000, which rounds up."""
+    return V.chunk_tiles(P.chroms(spark), V.chunk_size(3_000_000, 24), half_open=True)
+
+
+# ---- readers and writers --------------------------------------------------------------
+
+
+@query("bed_round_trip", with_("f") + f" SELECT chrom, {BED3}, name, score, strand FROM f")
+def _(spark, d):
+    """Features written as BED files and read again."""
+    path = shared_path(spark, "bed")
+    R.write_bed(P.features(spark, d).select("chrom", "start", "end", "name", "score", "strand"), path)
+    return R.read_bed(spark, path, stranded=True, allow_empty=False).drop("extra")
+
+
+@query("bed_lines", with_("f") + ' SELECT chrom, s - 10 AS start, e + 10 AS "end", name FROM f')
+def _(spark, d):
+    """Lines with thousands marks, carriage returns, comments and blank names, padded at load."""
+    f = P.features(spark, d)
+    line = F.concat_ws("\t", "chrom", F.regexp_replace(F.format_number("start", 0), "x", ""), F.col("end").cast("string"), "name", F.lit("NA"), F.lit("+\r"))
+    lines = f.select(line.alias("value")).unionByName(f.select(F.concat(F.lit("#"), "name").alias("value")))
+    return R.parse_bed(lines, padding=10).select("chrom", "start", "end", "name")
+
+
+@query("fasta_round_trip", "SELECT CAST(doc_id AS VARCHAR) AS chrom, length(text) AS n, sha256(repeat(translate(CAST(doc_id AS VARCHAR), '0123456789', 'ACGTNACGTN'), 40)) AS seq FROM documents")
+def _(spark, d):
+    """Sequences written as FASTA files and read again; ``n`` is of the text they were named after."""
+    docs = P.table(spark, d, "documents")
+    name = F.col("doc_id").cast("string")
+    seq = docs.select(name.alias("chrom"), F.repeat(F.translate(name, "0123456789", "ACGTNACGTN"), 40).alias("seq"))
+    path = shared_path(spark, "fasta")
+    R.to_fasta(seq).write.text(path)
+    return R.read_fasta(spark, path).join(docs.select(name.alias("chrom"), F.length("text").cast("long").alias("n")), "chrom").select("chrom", "n", F.sha2("seq", 256).alias("seq"))
+
+
+@query("latest_stats", "SELECT user_id AS entity, event_type AS name, CAST(arg_max(event_id % 7, event_id) AS VARCHAR) AS value FROM events GROUP BY ALL HAVING arg_max(event_id % 7, event_id) <> 0")
+def _(spark, d):
+    e = P.table(spark, d, "events")
+    value = F.when(F.col("event_id") % 7 == 0, "").otherwise((F.col("event_id") % 7).cast("string"))
+    return R.latest_stats(e.select(F.col("user_id").alias("entity"), F.col("event_type").alias("name"), value.alias("value"), F.col("event_id").alias("version")))
+
+
+@query("weighed_chroms", """SELECT chrom, size, CASE WHEN chrom IN ('chrX', 'chrY') THEN 1 ELSE 2 END::INTEGER AS copies FROM (SELECT CASE o_orderkey % 8 WHEN 0 THEN 'chrX' WHEN 1 THEN 'chrY' WHEN 2 THEN 'chrM' WHEN 3 THEN 'un_7' ELSE 'chr' || (o_orderkey % 20) END AS chrom, o_orderkey AS size FROM orders)
+    WHERE chrom <> 'chrM' AND chrom <> 'un_7'""")
+def _(spark, d):
+    k = F.col("o_orderkey")
+    name = F.when(k % 8 == 0, "chrX").when(k % 8 == 1, "chrY").when(k % 8 == 2, "chrM").when(k % 8 == 3, "un_7").otherwise(F.concat(F.lit("chr"), (k % 20).cast("string")))
+    return R.weigh_chroms(P.table(spark, d, "orders").select(name.alias("chrom"), k.alias("size")), canonical=True)
+
+
+@query("gap_rows", """SELECT 'chr' || (o_orderkey % 5) AS chrom, o_orderkey AS start, o_orderkey + 10 AS "end", o_orderstatus AS name, 10.0::DOUBLE AS score, '+' AS strand FROM orders""")
+def _(spark, d):
+    """A gap table mapped to BED columns by place, and by name."""
+    o = P.table(spark, d, "orders").select(F.concat(F.lit("chr"), (F.col("o_orderkey") % 5).cast("string")).alias("chrom"), F.col("o_orderkey").alias("chromStart"), (F.col("o_orderkey") + 10).alias("chromEnd"), F.lit(10).alias("size"), F.col("o_orderstatus").alias("type"))
+    a = G.gap_features(o.where("chromStart % 2 = 0"))
+    return a.unionByName(G.map_columns(o.where("chromStart % 2 = 1"), chrom=1, start=2, end=3, name=5, score=4))
+
+
 # ---- genome ---------------------------------------------------------------------------
 
 
@@ -524,6 +749,51 @@ def _(spark, d):
     return G.transcript_name(P.transcripts(spark, d).withColumn("name2", F.lit(""))).select("chrom", "start", "end", "name")
 
 
+@query("transcript_symbols", with_("tx") + """ SELECT chrom, min(s) AS start, max(e) AS "end", 'transcript:' || name || ';gene:' || CASE WHEN any_value(CAST(substr(name, 2) AS BIGINT)) % 3 = 0 THEN 'sym_' || name ELSE any_value(gene) END AS name FROM tx GROUP BY chrom, name""")
+def _(spark, d):
+    t = P.transcripts(spark, d).withColumn("name2", F.col("gene"))
+    symbols = t.where(F.substring("name", 2, 20).cast("long") % 3 == 0).select("name", F.concat(F.lit("sym_"), "name").alias("symbol"))
+    return G.transcript_name(t, symbols).select("chrom", "start", "end", "name")
+
+
+@query("gene_span_rows", with_("tx") + """, t AS (SELECT gene, chrom, strand, name, min(s) AS s, max(e) AS e FROM tx GROUP BY ALL), m AS (SELECT *, max(e) OVER (PARTITION BY gene, chrom, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM t),
+    g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY gene, chrom, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
+    c AS (SELECT gene, chrom, strand, min(s) AS s, max(e) AS e FROM g GROUP BY gene, chrom, strand, gid)
+    SELECT chrom, s AS start, e AS "end", CASE WHEN count(*) OVER w > 1 THEN gene || ':' || row_number() OVER (PARTITION BY gene, chrom, strand ORDER BY CAST(s AS VARCHAR)) ELSE gene END AS name, strand FROM c WINDOW w AS (PARTITION BY gene, chrom, strand)""")
+def _(spark, d):
+    return G.gene_span_rows(P.transcripts(spark, d)).select("chrom", "start", "end", "name", "strand")
+
+
+@query("named_exon_spans", with_("tx") + """ SELECT chrom, s AS start, e AS "end", strand, min(gene) AS name FROM tx GROUP BY ALL""")
+def _(spark, d):
+    """Spans of exons with their genes' names, which here are one for each span."""
+    return G.named_spans(P.transcripts(spark, d))
+
+
+@query("genome_counts", with_("tx") + """, t AS (SELECT name, any_value(gene) AS gene, max(e) - min(s) AS n FROM tx GROUP BY name) SELECT 5::BIGINT AS n_chromosomes, 3000000::BIGINT AS n_bases, count(*) AS n_transcripts, count(DISTINCT gene) AS n_genes, CAST(sum(n) AS BIGINT) AS transcript_bases FROM t""")
+def _(spark, d):
+    return G.genome_stats(G.canonical_sizes(P.chroms(spark)), P.transcripts(spark, d))
+
+
+@query("ignored_chroms", with_("f") + " SELECT event_id FROM f WHERE chrom NOT IN ('chr2', 'chr4')")
+def _(spark, d):
+    return G.ignore_chroms(P.features(spark, d), "2, chr4", suffixes=True).select("event_id")
+
+
+@query("segment_map_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+def _(spark, d):
+    """Stretches that overlap, are empty, or should have been merged with the one before: none."""
+    m = I.with_previous(G.segment_map(P.transcripts(spark, d)), ["chrom", "strand"], "start", ["end", "name", "feature", "splice", "gene_length"])
+    same = F.struct("name", "feature", "splice", "gene_length") == F.struct("previous.name", "previous.feature", "previous.splice", "previous.gene_length")
+    bad = F.when(F.col("start") >= F.col("end"), "empty").when(F.col("previous.end") > F.col("start"), "overlap").when((F.col("previous.end") == F.col("start")) & same, "not merged")
+    return m.select(bad.alias("rule")).where("rule is not null").groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query("split_lengths", with_("f") + """, w AS (SELECT greatest(1, floor((max(e - s) - min(e - s)) / 100.0 + 0.5)) AS w FROM f) SELECT CAST(floor((e - s) / w + 0.5) * w AS BIGINT) AS length, count(*) AS n FROM f, w GROUP BY 1""")
+def _(spark, d):
+    return G.split_histogram(P.features(spark, d)).withColumn("length", F.col("length").cast("long"))
+
+
 @query("exon_rows", with_("tx") + """ SELECT gene, chrom, strand, s AS start, e AS "end" FROM tx""")
 def _(spark, d):
     return G.exon_rows(P.transcripts(spark, d))
@@ -604,3 +874,69 @@ def _(spark, d):
 def _(spark, d):
     o = P.table(spark, d, "orders")
     return o.select(F.col("o_orderkey").alias("job"), stars(F.col("o_totalprice") / 1e7).alias("mark"), F.regexp_extract(human("o_totalprice"), "([KMG]?)$", 1).alias("unit"))
+
+
+@query("job_states", with_("jobs") + " SELECT job, exit_status IS NOT NULL AND exit_status <> 0 AS in_error, exit_status IS NULL AS deletable FROM jobs")
+def _(spark, d):
+    return J.job_states(P.jobs(spark, d)).select("job", "in_error", "deletable")
+
+
+@query("status_listing", with_("jobs") + " SELECT command AS job_name, ' ' AS array, CAST(job AS VARCHAR) AS job_id, coalesce(CAST(exit_status AS VARCHAR), '-') AS exit_status, '-' AS start_time, '-' AS wall_time, state AS maxvmem FROM jobs")
+def _(spark, d):
+    j = P.jobs(spark, d).select(F.col("command").alias("job_name"), F.lit(None).cast("string").alias("array"), F.col("job").alias("job_id"), "exit_status", F.lit("").alias("start_time"), F.lit(None).cast("string").alias("wall_time"), F.col("state").alias("maxvmem"))
+    return J.project_status(j)
+
+
+@query("log_states", """SELECT o_orderkey AS job, CASE WHEN o_orderkey % 4 = 0 THEN 'pending' ELSE 'day ' || o_orderkey END AS start_time, CASE WHEN o_orderkey % 4 = 0 THEN -1 WHEN o_orderkey % 4 = 1 THEN 137 ELSE o_orderkey % 3 END::INTEGER AS exit_status,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '99:99:99' ELSE '00:10:00' END AS wall_time, CASE WHEN o_orderkey % 4 > 1 THEN 1.5 END AS maxvmem FROM orders""")
+def _(spark, d):
+    k = F.col("o_orderkey")
+    text = F.concat_ws("\n", F.when(k % 4 > 0, F.concat(F.lit("start_time: day "), k.cast("string"))), F.when(k % 4 > 1, F.concat(F.lit("exit_status: "), (k % 3).cast("string"), F.lit("\nwalltime: 00:10:00\nmaxvmem: 1500M"))))
+    out = J.parse_logs(P.table(spark, d, "orders").select(k.alias("job"), text.alias("text")))
+    return out.withColumn("exit_status", F.coalesce("exit_status", F.lit(-1)))
+
+
+@query("remapped", with_("jobs") + " SELECT job, CASE WHEN predecessor % 2 = 0 THEN predecessor + 1000000 ELSE predecessor END AS predecessor FROM jobs")
+def _(spark, d):
+    j = P.jobs(spark, d)
+    ids = j.where("predecessor % 2 = 0").select(F.col("predecessor").alias("old"), (F.col("predecessor") + 1000000).alias("new")).distinct()
+    return J.remap(j.select("job", F.array("predecessor").alias("predecessors")), ids).select("job", F.col("predecessors")[0].alias("predecessor"))
+
+
+@query("settings_round_trip", "SELECT o_orderkey AS job, 'KEY' || (o_orderkey % 5) AS name, o_orderstatus || '=' || o_orderkey AS value FROM orders WHERE o_orderstatus <> 'P'")
+def _(spark, d):
+    v = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("job"), F.concat(F.lit("KEY"), (F.col("o_orderkey") % 5).cast("string")).alias("name"), F.when(F.col("o_orderstatus") != "P", F.concat_ws("=", "o_orderstatus", F.col("o_orderkey").cast("string"))).alias("value"))
+    return J.read_snapshot(J.snapshot_lines(v))
+
+
+@query("job_texts", "SELECT o_orderkey AS job, '/log/' || o_orderkey AS path, 'state ' || o_orderstatus AS text FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey < 500")
+def _(spark, d):
+    o = P.table(spark, d, "orders")
+    files = o.select(F.col("o_orderkey").alias("job"), F.when(F.col("o_orderkey") % 2 == 0, "log").otherwise("script").alias("kind"), F.concat(F.lit("/log/"), F.col("o_orderkey").cast("string")).alias("path"), F.concat(F.lit("\x1b[H\x1b[2Jstate "), "o_orderstatus").alias("text"))
+    return J.texts_of_jobs(P.jobs(spark, d).where("job < 500"), files, "log")
+
+
+@query("files_by_size", "SELECT o_clerk_path AS path, size FROM (SELECT '/d/' || o_orderkey AS o_clerk_path, o_orderkey % 100 AS size FROM orders)")
+def _(spark, d):
+    return J.order_by_size(P.table(spark, d, "orders").select(F.concat(F.lit("/d/"), F.col("o_orderkey").cast("string")).alias("path"), (F.col("o_orderkey") % 100).alias("size")))
+
+
+@query("snipped", "WITH n AS (SELECT event_id AS n, event_type AS value FROM events), b AS (SELECT min(n) AS lo, max(n) AS hi FROM n) SELECT n, value FROM n, b WHERE n < lo + 5 OR n > hi - 5")
+def _(spark, d):
+    return J.snip(P.table(spark, d, "events").select(F.col("event_id").alias("n"), F.col("event_type").alias("value")))
+
+
+@query("latest_jobs", with_("jobs") + " SELECT command, max(job) AS job FROM jobs GROUP BY command")
+def _(spark, d):
+    return J.latest(P.jobs(spark, d)).select("command", "job")
+
+
+@query("text_scalars", """SELECT o_orderkey AS job, reverse(translate(translate(CAST(o_orderkey AS VARCHAR), '0123456789', 'ACGTNACGTN'), 'ACGTN', 'TGCA.')) AS rc, o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 + 5 AS seconds,
+    ((26 * 365 + (o_orderkey % 12 + 1) * 30 + 3) * 24 + o_orderkey % 24) * 60 + 7 AS minutes, round(o_orderkey / 1000.0, 3) AS gb, 'g' || o_orderkey AS gene FROM orders""")
+def _(spark, d):
+    k = F.col("o_orderkey")
+    o = P.table(spark, d, "orders").select(
+        k.alias("job"), F.translate(k.cast("string"), "0123456789", "ACGTNACGTN").alias("seq"), F.format_string("%02d:%02d:05", k % 24, k % 60).alias("wall"),
+        F.format_string("%02d/03/26 %02d:07", k % 12 + 1, k % 24).alias("at"), F.concat(k.cast("string"), F.lit("M")).alias("mem"), F.concat(F.lit("transcript:t;gene:g"), k.cast("string")).alias("name"),
+    )
+    return o.select("job", L.reverse_complement("seq").alias("rc"), L.wall_seconds("wall").alias("seconds"), L.status_minutes("at").alias("minutes"), L.memory_gigabytes("mem").alias("gb"), L.name_field("name")["gene"].alias("gene"))

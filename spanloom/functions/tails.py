@@ -22,6 +22,16 @@ def dpois(k: int, mean: float) -> float:
     return exp(k * log(mean) - mean - lgamma(k + 1))
 
 
+def log_dpois(k: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Logs of Poisson probabilities of whole counts, of which each distinct one's factorial is taken once."""
+    k, mean = np.broadcast_arrays(np.asarray(k, float), np.asarray(mean, float))
+    kinds, at = np.unique(k, return_inverse=True)
+    factorial = np.array([lgamma(x + 1) for x in kinds])[at].reshape(k.shape)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = k * np.log(mean) - mean - factorial
+    return np.where(mean > 0, out, np.where(k == 0, 0.0, -np.inf))
+
+
 def sign_test(positive: int, n: int) -> float:
     """Two-sided exact binomial test at one half."""
     if n == 0:
@@ -32,21 +42,21 @@ def sign_test(positive: int, n: int) -> float:
     return min(1.0, 2 * pnorm((k + 0.5 - n / 2) / sqrt(n / 4)))
 
 
-def signed_rank_test(values: list[float], mu: float = 0.5) -> float:
-    """Wilcoxon signed rank: exact below 50 values without ties or zeros, else normal with continuity."""
-    d = np.asarray(values, float) - mu
+def signed_rank_test(values: list[float], mu: float = 0.5, times: list[int] | None = None) -> float:
+    """Wilcoxon signed rank: exact below 50 values without ties or zeros, else normal with continuity.
+
+    ``times`` says how often each value occurs, so that distinct values with counts will do."""
+    d = np.round(np.asarray(values, float) - mu, 12)
+    held = np.ones(len(d), np.int64) if times is None else np.asarray(times, np.int64)
     zeros = bool((d == 0).any())
-    d = d[d != 0]
-    n = len(d)
+    d, held = d[d != 0], held[d != 0]
+    n = int(held.sum())
     if n == 0:
         return float("nan")
-    size = np.abs(d)
-    order = np.argsort(size, kind="stable")
-    rank = np.empty(n)
-    kinds, inverse, count = np.unique(size, return_inverse=True, return_counts=True)
-    end = np.cumsum(count)
-    rank = (end - (count - 1) / 2)[inverse]
-    v = rank[d > 0].sum()
+    kinds, inverse = np.unique(np.abs(d), return_inverse=True)
+    count = np.bincount(inverse, held, len(kinds))
+    rank = (np.cumsum(count) - (count - 1) / 2)[inverse]
+    v = float((rank * held)[d > 0].sum())
     if n < 50 and not zeros and len(kinds) == n:
         ways = np.zeros(n * (n + 1) // 2 + 1)
         ways[0] = 1
@@ -64,15 +74,17 @@ def signed_rank_test(values: list[float], mu: float = 0.5) -> float:
 
 def rank_sum_test(x: list[float], y: list[float]) -> float:
     """Wilcoxon rank sum by the normal law, with continuity and tie correction."""
-    n, m = len(x), len(y)
+    kinds, inverse, count = np.unique(np.concatenate([x, y]), return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[inverse]
+    return rank_sum_p(len(x), len(y), float(rank[: len(x)].sum()), float((count.astype(float) ** 3 - count).sum()))
+
+
+def rank_sum_p(n: int, m: int, ranks: float, ties: float) -> float:
+    """The same from the sizes, the sum of the first sample's ranks, and the sum of t^3 - t over ties of t."""
     if n < 2 or m < 2:
         return float("nan")
-    both = np.concatenate([x, y])
-    kinds, inverse, count = np.unique(both, return_inverse=True, return_counts=True)
-    rank = (np.cumsum(count) - (count - 1) / 2)[inverse]
-    w = rank[:n].sum() - n * (n + 1) / 2
-    z = w - n * m / 2
-    sd = sqrt(n * m / 12 * ((n + m + 1) - float((count**3 - count).sum()) / ((n + m) * (n + m - 1))))
+    z = ranks - n * (n + 1) / 2 - n * m / 2
+    sd = sqrt(max(0.0, n * m / 12 * ((n + m + 1) - ties / ((n + m) * (n + m - 1)))))
     if sd == 0:
         return float("nan")
     z = (z - np.sign(z) * 0.5) / sd

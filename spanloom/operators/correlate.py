@@ -48,11 +48,25 @@ def pearson(aligned: DataFrame, *, weighted: bool = False, compat: bool = False)
     return out.withColumn("r", F.col("cov") / (F.col("sd_x") * F.col("sd_y")))
 
 
-def average_ranks(df: DataFrame, score: str, rank: str) -> DataFrame:
-    """Add the mean rank of ties.  Distinct values are counted first; they are what is sorted."""
+def ranked_values(df: DataFrame, score: str, runs: int = 64) -> DataFrame:
+    """Distinct values with their counts, and how many rows stand before and in all: ``score, ties, before, total``.
+
+    Values are cut into ``runs`` ranges; what stands before a range is a sum over ranges, so
+    no task sorts all values."""
     counts = df.groupBy(score).agg(F.count("*").alias("ties"))
-    before = F.sum("ties").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(score, (F.coalesce(before, F.lit(0)) + (F.col("ties") + 1) / 2).alias(rank))
+    cut = counts.agg(F.percentile_approx(score, [i / runs for i in range(1, runs)], 1000).alias("cuts"))
+    ranged = counts.crossJoin(F.broadcast(cut)).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col(score)))).drop("cuts")
+    w = Window.orderBy("range")  # one row for each of at most ``runs`` ranges
+    sums = ranged.groupBy("range").agg(F.sum("ties").alias("in_range"))
+    sums = sums.select("range", (F.sum("in_range").over(w) - F.col("in_range")).alias("base"), F.sum("in_range").over(Window.partitionBy()).alias("total"))
+    own = Window.partitionBy("range").orderBy(score)
+    before = F.col("base") + F.sum("ties").over(own) - F.col("ties")
+    return ranged.join(F.broadcast(sums), "range").select(score, "ties", before.alias("before"), "total")
+
+
+def average_ranks(df: DataFrame, score: str, rank: str) -> DataFrame:
+    """Add the mean rank of ties."""
+    ranks = ranked_values(df, score).select(score, (F.col("before") + (F.col("ties") + 1) / 2).alias(rank))
     return df.join(ranks, score)
 
 

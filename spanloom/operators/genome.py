@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.operators.intervals import collapse, split
+from spanloom.operators.intervals import collapse, cumulative, split, with_previous
+from spanloom.sources.folders import materialized
 
 
 def upper_bases(seq: str | Column) -> Column:
@@ -37,8 +38,29 @@ def main_chroms(chroms: DataFrame) -> DataFrame:
     return chroms.where("chrom like 'chr%' and chrom != 'chrM' and not contains(chrom, '_')")
 
 
-def genome_stats(chroms: DataFrame) -> DataFrame:
-    return chroms.agg(F.count("*").alias("n_chromosomes"), F.sum("size").alias("n_bases"))
+def ignore_chroms(df: DataFrame, spec: str | None, *, suffixes: bool = False) -> DataFrame:
+    """Without the chromosomes of ``spec``, names parted by commas or blanks; with ``suffixes`` also names that end in one of them."""
+    names = [n for n in re.split(r"[\s,]+", spec or "") if n]
+    gone = F.col("chrom").isin(names)
+    for n in names if suffixes else ():
+        gone = gone | F.col("chrom").endswith(n)
+    return df.where(~gone) if names else df
+
+
+def canonical_sizes(chroms: DataFrame, least: int = 1) -> DataFrame:
+    """Main chromosomes of at least ``least`` bases."""
+    return main_chroms(chroms).where(F.col("size") >= least)
+
+
+def genome_stats(chroms: DataFrame, transcripts: DataFrame | None = None) -> DataFrame:
+    """``n_chromosomes, n_bases`` and, of ``transcripts``, ``n_transcripts, n_genes, transcript_bases``."""
+    out = chroms.agg(F.count("*").alias("n_chromosomes"), F.sum("size").alias("n_bases"))
+    if transcripts is None:
+        return out
+    t = transcripts.agg(
+        F.count("*").alias("n_transcripts"), F.countDistinct("gene").alias("n_genes"), F.sum(F.col("txEnd") - F.col("txStart")).alias("transcript_bases")
+    )
+    return out.crossJoin(t)  # one row each
 
 
 def transcript_name(t: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
@@ -70,11 +92,12 @@ def motif_bins(sequences: DataFrame, motif: str, bin_size: int = 1000) -> DataFr
     A bin's text begins with the last L - 1 bases of the bin before, so that matches across
     the border count; the last bin keeps its nominal width."""
     carry = motif_length(motif) - 1
-    bins = sequences.where("length(seq) > 0").select("chrom", upper_bases("seq").alias("seq"), F.explode(F.expr(f"sequence(0L, (length(seq) - 1) div {bin_size})")).alias("bin"))
+    # the sequence is cut once; what is exploded is a bin's text alone
+    cuts = F.regexp_extract_all(upper_bases("seq"), F.lit(f"(?s).{{1,{bin_size}}}"), F.lit(0))
+    text = F.transform("cuts", lambda x, i: F.concat(F.when(i > 0, F.right(F.get("cuts", i - 1), F.lit(carry))).otherwise(""), x))
+    bins = sequences.where("length(seq) > 0").select("chrom", cuts.alias("cuts")).select("chrom", F.posexplode(text).alias("bin", "text"))
     start = F.col("bin") * bin_size
-    first = F.greatest(F.lit(0), start - carry)
-    text = F.substring("seq", (first + 1).cast("int"), (start + bin_size - first).cast("int"))
-    value = F.floor(F.regexp_count(text, F.lit(motif)) / bin_size * 10000 + 0.5) / 10000
+    value = F.floor(F.regexp_count("text", F.lit(motif)) / bin_size * 10000 + 0.5) / 10000
     return bins.select("chrom", start.cast("long").alias("start"), (start + bin_size).cast("long").alias("end"), value.alias("score"))
 
 
@@ -87,8 +110,10 @@ def split_sequences(sequences: DataFrame, site: str) -> DataFrame:
     pattern = "(?:" + "|".join(p.replace("N", ".") for p in dict.fromkeys((forward, back))) + ")"
     # pieces end with a match, or are what is left
     piece = F.regexp_extract_all("seq", F.lit(f"((?s).*?{pattern}|.+$)"), F.lit(1))
-    rows = sequences.select("chrom", piece.alias("all")).select("chrom", "all", F.posexplode("all").alias("at", "seq"))
-    start = F.aggregate(F.slice("all", 1, F.col("at")), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+    rows = sequences.select("chrom", F.monotonically_increasing_id().alias("row"), piece.alias("all")).select("chrom", "row", F.posexplode("all").alias("at", "seq"))
+    # a sequence's pieces are as many rows as it had bases at most, and their starts one running sum
+    length = F.length("seq").cast("long")
+    start = F.sum(length).over(Window.partitionBy("chrom", "row").orderBy("at")) - length
     out = rows.withColumn("start", start)
     plus = F.col("seq").endswith(forward.replace("N", "."))
     return out.select("chrom", "start", (F.col("start") + F.length("seq")).alias("end"), F.when(plus, "+").otherwise("-").alias("strand"), "seq")
@@ -140,7 +165,7 @@ def lift_over(points: DataFrame, changes: DataFrame) -> DataFrame:
     replaced span are -1; others stay.  Changes are few per chromosome and do not overlap, so
     they come along as one sorted array."""
     own = changes.groupBy("chrom").agg(F.collect_list(F.struct("last_before", "first_after", "inserted")).alias("changes"))
-    p = points.join(F.broadcast(own), "chrom", "left")
+    p = points.join(own, "chrom", "left")  # broadcast only below Spark's limit of size
     shift = F.aggregate(
         F.coalesce("changes", F.array().cast("array<struct<last_before:bigint,first_after:bigint,inserted:bigint>>")), F.lit(0).cast("long"),
         lambda a, c: a + F.when(F.col("pos") >= c["first_after"], c["inserted"] - (c["first_after"] - c["last_before"] - 1)).otherwise(0),
@@ -152,9 +177,12 @@ def lift_over(points: DataFrame, changes: DataFrame) -> DataFrame:
 def find_features(sequences: DataFrame, wanted: DataFrame) -> DataFrame:
     """Places of exact sequences (``name, chrom, text``), not overlapping: BED rows."""
     hit = F.split(upper_bases("seq"), F.concat(F.lit(r"\Q"), upper_bases("text"), F.lit(r"\E")), -1)
-    rows = sequences.join(wanted, "chrom").select("chrom", "name", F.length("text").alias("len"), hit.alias("parts")).where("size(parts) > 1")
-    rows = rows.select("chrom", "name", "len", "parts", F.posexplode("parts").alias("at", "part")).where("at < size(parts) - 1")
-    start = F.aggregate(F.slice("parts", 1, F.col("at") + 1), F.lit(0).cast("long"), lambda a, x: a + F.length(x)) + F.col("at") * F.col("len")
+    own = sequences.withColumn("row", F.monotonically_increasing_id())
+    rows = own.join(wanted, "chrom").select("chrom", "row", "name", "text", F.length("text").alias("len"), hit.alias("parts")).where("size(parts) > 1")
+    rows = rows.select("chrom", "row", "name", "text", "len", F.size("parts").alias("n"), F.posexplode(F.transform("parts", F.length)).alias("at", "part"))
+    w = Window.partitionBy("chrom", "row", "name", "text").orderBy("at")
+    rows = rows.withColumn("before", F.sum(F.col("part").cast("long")).over(w)).where("at < n - 1")
+    start = F.col("before") + F.col("at") * F.col("len")
     return rows.select("chrom", start.alias("start"), (start + F.col("len")).alias("end"), "name", F.lit(0.0).alias("score"), F.lit("+").alias("strand"))
 
 
@@ -167,6 +195,48 @@ def best_names(names: Column) -> Column:
     return F.array_sort(F.when(F.size(better) > 0, better).otherwise(single))
 
 
+def family_root(names: Column) -> Column:
+    """An array of the one root that all names of a family share, or the names themselves.
+
+    Names are ordered by length, then as text.  Tried in turn: the shortest name, if all
+    others go on with word characters; the first without its last capital, or without a
+    hyphen and one or two digits, or without one or two digits, if all others are that root
+    and such an ending; and the longest beginning of the shortest that all share, of at
+    least two characters and at most four less than it."""
+    by_length = F.transform(F.array_sort(F.transform(names, lambda n: F.struct(F.length(n).alias("k"), n.alias("n")))), lambda x: x["n"])
+    first, others = F.get(by_length, F.lit(0)), F.slice(by_length, F.lit(2), F.greatest(F.size(by_length) - 1, F.lit(0)))
+
+    def rest(n: Column, root: Column) -> Column:
+        return F.when(n.startswith(root), F.substr(n, F.length(root) + 1))
+
+    def all_go_on(root: Column, ending: str) -> Column:
+        return F.forall(others, lambda n: F.coalesce(rest(n, root).rlike(f"^(?:{ending})$"), F.lit(False)))
+
+    out = F.when(F.size(by_length) < 2, by_length).when(all_go_on(first, r"\w+"), F.array(first))
+    for ending in (r"[A-Z]", r"-\d{1,2}", r"\d{1,2}"):
+        root = F.regexp_extract(first, f"^(.+?)(?:{ending})$", 1)
+        out = out.when((root != "") & all_go_on(root, ending), F.array(root))
+    least = F.greatest(F.lit(2), F.length(first) - 4)
+    starts = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda d: F.left(first, F.greatest(F.length(first) - d, least)))
+    shared = F.filter(starts, lambda s: (F.length(first) >= 2) & F.forall(others, lambda n: n.startswith(s)))
+    return out.when(F.size(shared) > 0, F.slice(shared, 1, 1)).otherwise(by_length)
+
+
+def named_spans(transcripts: DataFrame) -> DataFrame:
+    """Exon spans with the condensed names of all genes that share them: ``chrom, start, end, strand, name``."""
+    ex = exon_rows(transcripts)
+    own = ex.groupBy("chrom", "start", "end", "strand").agg(F.collect_set("gene").alias("genes"))
+    return own.select("chrom", "start", "end", "strand", F.array_join(family_root(best_names(F.col("genes"))), ",").alias("name"))
+
+
+def gene_span_rows(transcripts: DataFrame) -> DataFrame:
+    """Merged transcripts of each gene as BED rows: ``chrom, start, end, name, score, strand``; several spans get ``:1``, ``:2``, ..."""
+    s = gene_spans(transcripts)
+    k = F.split("key", r"\|")
+    name = F.when(F.col("spans") > 1, F.concat_ws(":", k[0], F.col("nth").cast("string"))).otherwise(k[0])
+    return s.select(k[1].alias("chrom"), F.col("span_start").alias("start"), F.col("span_end").alias("end"), name.alias("name"), F.lit(0.0).alias("score"), k[2].alias("strand"))
+
+
 def exon_rows(transcripts: DataFrame) -> DataFrame:
     """``gene, chrom, strand, start, end`` of all exons, from comma-joined or array starts and ends."""
     kind = transcripts.schema["exonStarts"].dataType.simpleString()
@@ -175,15 +245,20 @@ def exon_rows(transcripts: DataFrame) -> DataFrame:
     return transcripts.select("gene", "chrom", "strand", F.explode(z).alias("x")).select("gene", "chrom", "strand", F.col("x.s").alias("start"), F.col("x.e").alias("end"))
 
 
+def gene_spans(transcripts: DataFrame) -> DataFrame:
+    """Transcripts of a gene that overlap, merged: ``key`` (gene|chrom|strand), ``span_start, span_end``, ``nth`` of ``spans``."""
+    tx = transcripts.select(F.concat_ws("|", "gene", "chrom", "strand").alias("chrom"), F.col("txStart").alias("start"), F.col("txEnd").alias("end"), F.lit("").alias("name"), F.lit(0.0).alias("score"), F.lit("+").alias("strand"))
+    spans = collapse(tx, names=False).select(F.col("chrom").alias("key"), F.col("start").alias("span_start"), F.col("end").alias("span_end"))
+    w = Window.partitionBy("key").orderBy(F.col("span_start").cast("string"))  # a gene has few spans
+    return spans.withColumns({"nth": F.row_number().over(w), "spans": F.count("*").over(Window.partitionBy("key"))})
+
+
 def gene_parts(transcripts: DataFrame) -> DataFrame:
     """Exons and introns of gene spans: ``chrom, start, end, name, strand, gene_length, kind, splice``.
 
     Transcripts of a gene that overlap are one span; several spans get ``:1``, ``:2``, ...
     Exons merge; they have the odd splice numbers, the introns between them the even ones."""
-    tx = transcripts.select(F.concat_ws("|", "gene", "chrom", "strand").alias("chrom"), F.col("txStart").alias("start"), F.col("txEnd").alias("end"), F.lit("").alias("name"), F.lit(0.0).alias("score"), F.lit("+").alias("strand"))
-    spans = collapse(tx, names=False).select(F.col("chrom").alias("key"), F.col("start").alias("span_start"), F.col("end").alias("span_end"))
-    w = Window.partitionBy("key").orderBy(F.col("span_start").cast("string"))
-    spans = spans.withColumns({"nth": F.row_number().over(w), "spans": F.count("*").over(Window.partitionBy("key"))})
+    spans = gene_spans(transcripts)
     ex = exon_rows(transcripts).withColumn("key", F.concat_ws("|", "gene", "chrom", "strand"))
     ex = ex.join(spans, "key").where("start >= span_start and end <= span_end")
     name = F.when(F.col("spans") > 1, F.concat_ws(":", "gene", "nth")).otherwise(F.col("gene"))
@@ -207,7 +282,7 @@ def segment_map(transcripts: DataFrame, *, stranded: bool = False) -> DataFrame:
     Where elements overlap, sense wins over antisense (``stranded`` reflects each element to
     the other strand), then exon over intron; if several are left the stretch is ambiguous.
     Equal neighbours merge."""
-    parts = gene_parts(transcripts)
+    parts = materialized(gene_parts(transcripts))  # read many times below
     if stranded:
         anti = parts.withColumn("strand", F.when(F.col("strand") == "+", "-").otherwise("+")).withColumn("sense", F.lit(0))
         parts = parts.withColumn("sense", F.lit(1)).unionByName(anti)
@@ -232,9 +307,10 @@ def segment_map(transcripts: DataFrame, *, stranded: bool = False) -> DataFrame:
     best = F.max("score").over(Window.partitionBy("chrom", "strand", "start", "end"))
     won = all_.withColumn("best", best).where("score = best").groupBy("chrom", "strand", "start", "end").agg(F.count("*").alias("n"), F.min("name").alias("info"))
     won = won.withColumn("info", F.when(F.col("n") == 1, F.col("info")).otherwise("ambiguous"))
-    w = Window.partitionBy("chrom", "strand").orderBy("start")
-    turn = F.when((F.lag("info").over(w) == F.col("info")) & (F.lag("end").over(w) == F.col("start")), 0).otherwise(1)
-    runs = won.withColumn("turn", turn).withColumn("run", F.sum("turn").over(w))
+    own = ["chrom", "strand"]
+    won = with_previous(materialized(won), own, "start", ["end", "info"])
+    turn = F.when((F.col("previous.info") == F.col("info")) & (F.col("previous.end") == F.col("start")), 0).otherwise(1)
+    runs = cumulative(won.withColumn("turn", turn), own, "start", "turn", "run")
     out = runs.groupBy("chrom", "strand", "run", "info").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     g = lambda k: F.get_json_object("info", f"$.{k}")
     side = F.when(g("sense") == "0", F.lit("anti")).otherwise(F.lit(""))

@@ -1,7 +1,7 @@
 """Interval algebra: padding, merging, splitting, complements, grouping and depth.
 
-Features are half-open.  Chromosomes can be few and huge, so running maxima are taken
-in two steps: within position bins (many tasks), then over what the bins leave.
+Features are half-open.  Chromosomes can be few and huge, so running values are taken in
+two steps: within position bins (many tasks), starting from running values over the bins.
 """
 
 from __future__ import annotations
@@ -32,6 +32,29 @@ def offset(features: DataFrame, by: int) -> DataFrame:
     return features.withColumns({"start": F.col("start") + by, "end": F.col("end") + by})
 
 
+def with_previous(df: DataFrame, keys: list[str], pos: str, columns: list[str], bin_size: int = BIN) -> DataFrame:
+    """Add ``previous``: ``pos`` and ``columns`` of the row before, in order of ``pos``, within ``keys``.
+
+    In two steps: within position bins; a bin's first row takes the last of the bin before that has one."""
+    d = df.withColumn("bin_", F.floor(F.col(pos) / bin_size))
+    row = F.struct(pos, *columns)
+    last = d.groupBy(*keys, "bin_").agg(F.max(row).alias("last_"))
+    over = Window.partitionBy(*keys).orderBy("bin_")
+    last = last.select(*keys, "bin_", F.lag("last_").over(over).alias("before_"))
+    own = Window.partitionBy(*keys, "bin_").orderBy(row)
+    return d.join(last, [*keys, "bin_"]).withColumn("previous", F.coalesce(F.lag(row).over(own), F.col("before_"))).drop("bin_", "before_")
+
+
+def cumulative(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_size: int = BIN) -> DataFrame:
+    """Add the running sum of ``value`` in order of ``pos`` within ``keys``: within position bins, plus what stands before the bin."""
+    d = df.withColumn("bin_", F.floor(F.col(pos) / bin_size))
+    over = Window.partitionBy(*keys).orderBy("bin_")
+    base = d.groupBy(*keys, "bin_").agg(F.sum(value).alias("sum_"))
+    base = base.select(*keys, "bin_", (F.sum("sum_").over(over) - F.col("sum_")).alias("base_"))
+    own = Window.partitionBy(*keys, "bin_").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return d.join(base, [*keys, "bin_"]).withColumn(name, F.sum(value).over(own) + F.col("base_")).drop("bin_", "base_")
+
+
 def _islands(df: DataFrame, keys: list[str]) -> DataFrame:
     """Number the islands of each key: a row opens one if it starts beyond all ends before."""
     w = Window.partitionBy(*keys).orderBy("start", "end")
@@ -42,6 +65,23 @@ def _islands(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _opening(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``opening``, the start of the island that a bin's part belongs to.
+
+    The parts of a bin do not meet.  A part that starts within the reach of the bins before
+    goes on with their last island; all others open one.  So a bin needs to know only the
+    largest end and the last opening before it, running values over bins: no task holds the
+    parts of a chromosome."""
+    over = Window.partitionBy(*keys).orderBy("bin")
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    bins = parts.groupBy(*keys, "bin").agg(F.max("end").alias("top"), F.max("start").alias("last"))
+    bins = bins.withColumn("reach", F.max("top").over(earlier))
+    opened = F.when(F.col("reach").isNull() | (F.col("last") > F.col("reach")), F.col("last"))
+    bins = bins.select(*keys, "bin", "reach", F.max(opened).over(earlier).alias("before"))
+    alone = F.col("reach").isNull() | (F.col("start") > F.col("reach"))
+    return parts.join(bins, [*keys, "bin"]).withColumn("opening", F.when(alone, F.col("start")).otherwise(F.col("before"))).drop("reach", "before")
+
+
 def collapse(
     features: DataFrame, *, stranded: bool = False, padding: int = 0, unpadded: bool = False, names: bool = True, bin_size: int = BIN
 ) -> DataFrame:
@@ -60,7 +100,7 @@ def collapse(
     part = _islands(f, ["chrom", "key", "bin"]).groupBy("chrom", "key", "bin", "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), own.alias("own")
     )
-    whole = _islands(part.drop("island"), ["chrom", "key"]).groupBy("chrom", "key", "island").agg(
+    whole = _opening(part, ["chrom", "key"]).groupBy("chrom", "key", "opening").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"), own.alias("own")
     )
     joined = F.array_join(F.transform(F.array_sort("own"), lambda x: x["name"]), "::") if names else F.lit(None).cast("string")
@@ -114,7 +154,7 @@ def group(
     return out.select("chrom", "start", "end", "name", score.alias("score"), (F.col("key") if stranded else F.lit("+")).alias("strand"))
 
 
-def _tiles(points: DataFrame, keys: list[str], bin_size: int) -> DataFrame:
+def tiles(points: DataFrame, keys: list[str], bin_size: int = BIN) -> DataFrame:
     """Consecutive pairs of distinct positions: ``keys, s, e``.
 
     ``lead`` runs in position bins; each bin's last position takes the first of the next bin that has one."""
@@ -139,9 +179,9 @@ def split(features: DataFrame, *, stranded: bool = False, chroms: DataFrame | No
         f = f.join(F.broadcast(chroms.select("chrom", "size")), "chrom").withColumn("end", F.least("end", "size")).drop("size")
     keys = ["chrom", "key"]
     points = f.select(*keys, F.col("start").alias("pos")).unionByName(f.select(*keys, F.col("end").alias("pos")))
-    tiles = _tiles(points, keys, bin_size).withColumn("cell", F.floor(F.col("s") / cell))
+    pairs = tiles(points, keys, bin_size).withColumn("cell", F.floor(F.col("s") / cell))
     spread = f.withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / cell), F.floor((F.col("end") - 1) / cell))))
-    out = spread.join(tiles, [*keys, "cell"]).where("s >= start and e <= end")
+    out = spread.join(pairs, [*keys, "cell"]).where("s >= start and e <= end")
     out = out.select("chrom", F.col("s").alias("start"), F.col("e").alias("end"), "name", "score", (F.col("key") if stranded else F.lit("+")).alias("strand"))
     if gaps:
         if chroms is None:
@@ -159,8 +199,8 @@ def complement(features: DataFrame, chroms: DataFrame, *, stranded: bool = False
     whole = sizes.withColumn("strand", strands)
     merged = collapse(features, stranded=stranded, names=False, bin_size=bin_size).join(F.broadcast(sizes), "chrom")
     merged = merged.select("chrom", "strand", "start", "end", "size")
-    w = Window.partitionBy("chrom", "strand").orderBy("start")
-    before = merged.withColumn("from", F.coalesce(F.lag("end").over(w), F.lit(0))).select("chrom", "strand", F.col("from").alias("start"), F.least("start", "size").alias("end"))
+    gap = with_previous(merged, ["chrom", "strand"], "start", ["end"], bin_size)
+    before = gap.select("chrom", "strand", F.coalesce("previous.end", F.lit(0)).alias("start"), F.least("start", "size").alias("end"))
     tail = whole.join(merged.groupBy("chrom", "strand").agg(F.max("end").alias("last")), ["chrom", "strand"], "left").select(
         "chrom", "strand", F.coalesce("last", F.lit(0)).alias("start"), F.col("size").alias("end")
     )
@@ -175,16 +215,20 @@ def depth(features: DataFrame, *, weight: str | None = None, bin_size: int = BIN
     Sweep line over position bins: a bin starts from the sum of all changes before it."""
     d = F.lit(1).cast("long") if weight is None else F.col(weight)
     ends = features.select("chrom", F.col("start").alias("pos"), d.alias("d")).unionByName(features.select("chrom", F.col("end").alias("pos"), (-d).alias("d")))
-    p = ends.groupBy("chrom", "pos").agg(F.sum("d").alias("d")).withColumn("bin", F.floor(F.col("pos") / bin_size))
-    bins = p.groupBy("chrom", "bin").agg(F.sum("d").alias("sum"), F.min("pos").alias("low"))
-    over = Window.partitionBy("chrom").orderBy("bin")
-    bins = bins.select(
-        "chrom", "bin", (F.sum("sum").over(over) - F.col("sum")).alias("base"), F.lead("low").over(over).alias("next")
-    )
-    w = Window.partitionBy("chrom", "bin").orderBy("pos")
+    changes = ends.groupBy("chrom", "pos").agg(F.sum("d").alias("d"))
+    return sweep(changes, ["chrom"], bin_size).withColumnRenamed("level", "depth").where("depth > 0")
+
+
+def sweep(changes: DataFrame, keys: list[str], bin_size: int = BIN) -> DataFrame:
+    """Stretches between successive changes ``pos, d`` of a level: ``keys, start, end, level``."""
+    p = changes.withColumn("bin", F.floor(F.col("pos") / bin_size))
+    bins = p.groupBy(*keys, "bin").agg(F.sum("d").alias("sum"), F.min("pos").alias("low"))
+    over = Window.partitionBy(*keys).orderBy("bin")
+    bins = bins.select(*keys, "bin", (F.sum("sum").over(over) - F.col("sum")).alias("base"), F.lead("low").over(over).alias("next"))
+    w = Window.partitionBy(*keys, "bin").orderBy("pos")
     return (
         p.withColumns({"run": F.sum("d").over(w), "here": F.lead("pos").over(w)})
-        .join(bins, ["chrom", "bin"])
-        .select("chrom", F.col("pos").alias("start"), F.coalesce("here", "next").alias("end"), (F.col("run") + F.col("base")).alias("depth"))
-        .where("end is not null and depth > 0")
+        .join(bins, [*keys, "bin"])
+        .select(*keys, F.col("pos").alias("start"), F.coalesce("here", "next").alias("end"), (F.col("run") + F.col("base")).alias("level"))
+        .where("end is not null")
     )

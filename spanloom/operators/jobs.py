@@ -84,15 +84,21 @@ def extend(wanted: DataFrame, jobs: DataFrame) -> DataFrame:
 def successors(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """All jobs reachable from ``seeds (batch_id, job)`` along ``edges (batch_id, predecessor, job)``, seeds included.
 
-    Frontier by frontier, each written to the checkpoint folder; a job is visited once, so cycles end."""
-    seen = seeds.select("batch_id", "job").distinct()
-    front = seen
+    Each round follows paths of exactly twice the length, and writes what is reached and the
+    longer paths to the checkpoint folder, so a chain of n jobs takes log2(n) rounds.  A
+    round that reaches nothing new is the last; a job counts once, so cycles end."""
+    hop = edges.select("batch_id", F.col("predecessor").alias("a"), F.col("job").alias("b")).distinct()
+    seen = seeds.select("batch_id", "job").distinct().checkpoint()
+    n = seen.count()
     while True:
-        new = front.withColumnRenamed("job", "predecessor").join(edges, ["batch_id", "predecessor"]).select("batch_id", "job").distinct()
-        new = new.join(seen, ["batch_id", "job"], "left_anti").checkpoint()
-        if not new.take(1):
+        step = seen.withColumnRenamed("job", "a").join(hop, ["batch_id", "a"]).select("batch_id", F.col("b").alias("job"))
+        seen = seen.unionByName(step).distinct().checkpoint()
+        more = seen.count()
+        if more == n:
             return seen
-        seen, front = seen.unionByName(new), new
+        n = more
+        onward = hop.select("batch_id", F.col("a").alias("b"), F.col("b").alias("c"))
+        hop = hop.join(onward, ["batch_id", "b"]).select("batch_id", "a", F.col("c").alias("b")).distinct().checkpoint()
 
 
 def delete_order(jobs: DataFrame) -> DataFrame:
@@ -100,6 +106,56 @@ def delete_order(jobs: DataFrame) -> DataFrame:
     return jobs.orderBy(F.desc("job"))
 
 
+#: Columns of a status listing, and those that a chain shows.
+LISTED = ("job_name", "array", "job_id", "exit_status", "start_time", "wall_time", "maxvmem")
+CHAINED = ("job_name", "array", "job_id", "exit_status", "job", "predecessors")
+
+
+def project_status(jobs: DataFrame, *, chain: bool = False) -> DataFrame:
+    """The columns of a listing as text; what is empty shows as ``-``, an array mark or memory as a blank."""
+    blank = {"array", "maxvmem", "job", "predecessors"}
+    shown = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(" " if c in blank else "-"))
+    return jobs.select(*[shown(c).alias(c) for c in (CHAINED if chain else LISTED)])
+
+
+def job_states(jobs: DataFrame) -> DataFrame:
+    """Add ``in_error`` (an exit status that is neither 0 nor open) and ``deletable`` (not ended, not deleted)."""
+    ended = F.col("exit_status").isNotNull()
+    return jobs.withColumns({"in_error": ended & (F.col("exit_status") != 0), "deletable": ~ended & ~F.coalesce("deleted", F.lit(False))})
+
+
+def texts_of_jobs(jobs: DataFrame, files: DataFrame, kind: str) -> DataFrame:
+    """Logs or scripts of the jobs, in order: ``job, path, text``, clear-screen sequences removed.
+
+    ``files`` has ``job, kind, path, text``."""
+    own = files.where(F.col("kind") == kind).join(jobs.select("job").distinct(), "job")
+    return own.select("job", "path", F.replace("text", F.lit("\x1b[H\x1b[2J"), F.lit("")).alias("text")).orderBy("job", "path")
+
+
+def snapshot_lines(values: DataFrame, mark: str = "=") -> DataFrame:
+    """Settings ``job, name, value`` as lines of a snapshot, without unset ones: ``job, name, line``."""
+    return values.where("value is not null").select("job", "name", F.concat("name", F.lit(mark), "value").alias("line"))
+
+
+def read_snapshot(lines: DataFrame, mark: str = "=") -> DataFrame:
+    """The settings of snapshot lines ``job, line``: the name ends at the first mark; lines without one are passed over."""
+    at = F.instr("line", mark)
+    return lines.where(at > 1).select("job", F.substring("line", F.lit(1), at - 1).alias("name"), F.substr("line", at + len(mark)).alias("value"))
+
+
+def order_by_size(files: DataFrame, *, largest_first: bool = True) -> DataFrame:
+    """``path, size`` by size, then path."""
+    return files.orderBy(F.desc("size") if largest_first else F.asc("size"), "path")
+
+
+def snip(lines: DataFrame, most: int = 10) -> DataFrame:
+    """``n, value`` of a text of at most ``most`` lines, else of its first and last ``most // 2``."""
+    half = most // 2
+    total = lines.agg(F.count("*").alias("total"), F.min("n").alias("first"), F.max("n").alias("last"))
+    near = (F.col("n") < F.col("first") + half) | (F.col("n") > F.col("last") - half)
+    return lines.crossJoin(F.broadcast(total)).where((F.col("total") <= most) | near).select("n", "value")  # one row of totals
+
+
 def remap(jobs: DataFrame, ids: DataFrame) -> DataFrame:
     """Dependency arrays with old job ids replaced by new ones (``old, new``); others stay."""
     own = jobs.select("job", F.posexplode_outer("predecessors").alias("at", "old")).join(ids, "old", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.operators.intervals import collapse, pad, strand_index
+from spanloom.operators.intervals import collapse, pad, strand_index, tiles
 
 COLLAPSED = {"LENGTH", "FRACTION", "BOOLEAN", "BOOLEAN_ENDS"}
 ZERO_DEFAULT = {"COUNT", "COUNT_ENDS", "WEIGHTED"} | COLLAPSED
@@ -150,8 +150,8 @@ def probe_count(features: DataFrame, probes: DataFrame, *, cell: int = 1 << 14)
 
 def probe_gaps(probes: DataFrame, chroms: DataFrame, max_gap: int) -> DataFrame:
     """Stretches between successive probes (from 0, and to the end) of over ``max_gap``."""
-    points = probes.select("chrom", F.col("start").alias("pos")).unionByName(chroms.select("chrom", F.col("size").alias("pos"))).distinct()
-    w = Window.partitionBy("chrom").orderBy("pos")
-    return points.withColumn("start", F.coalesce(F.lag("pos").over(w), F.lit(0))).where(F.col("pos") - F.col("start") > max_gap).select(
-        "chrom", "start", F.col("pos").alias("end")
-    )
+    points = probes.select("chrom", F.col("start").alias("pos"))
+    for edge in (F.lit(0).cast("long"), F.col("size")):
+        points = points.unionByName(chroms.select("chrom", edge.alias("pos")))
+    pairs = tiles(points, ["chrom"])
+    return pairs.where(F.col("e") - F.col("s") > max_gap).select("chrom", F.col("s").alias("start"), F.col("e").alias("end"))

@@ -29,6 +29,18 @@ def crosstab(iterated: DataFrame, iterations: list[int], *, check: bool = True)
     return wide.drop("cells", "kinds")
 
 
+def crosstab_order(wide: DataFrame) -> DataFrame:
+    """A crosstab by chromosome and place."""
+    return wide.orderBy("chrom", "start", "end", "name")
+
+
+def with_places(wide: DataFrame, features: DataFrame) -> DataFrame:
+    """A crosstab with the BED columns of the actual features (``id, chrom, start, end, name, score, strand``) in front."""
+    bed = ["chrom", "start", "end", "name", "score", "strand"]
+    rest = [c for c in wide.columns if c != "id"]
+    return features.select("id", *bed).join(wide, "id").select(*bed, *rest)
+
+
 def uncrosstab(wide: DataFrame, iterations: list[int]) -> DataFrame:
     """``id, iteration, score`` of a wide table; empty cells stay as nulls."""
     long = wide.unpivot(["id"], [iteration_column(i) for i in iterations], "column", "score")

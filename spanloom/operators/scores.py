@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from spanloom.functions import tails
 from spanloom.functions.scalars import binned, log10_or_null
+from spanloom.operators.correlate import ranked_values
 
 AGGREGATES: dict[str, Callable[[], Column]] = {
     "AVERAGE": lambda: F.avg("score"),
@@ -94,22 +95,13 @@ def aggregate_features(quantiles: DataFrame) -> dict[str, float]:
     # values with their counts: at most one per distinct mid-rank, of which there are 2 n_iterations + 1
     counts = quantiles.groupBy("quantile").count().collect()
     if counts:
-        out["rank"] = tails.signed_rank_test([r["quantile"] for r in counts for _ in range(r["count"])])
+        out["rank"] = tails.signed_rank_test([r["quantile"] for r in counts], times=[r["count"] for r in counts])
     return out
 
 
 def mid_rank_percentile(df: DataFrame, score: str, runs: int = 64) -> DataFrame:
     """Add ``percentile``: mid-rank times 100.  Ranks come from counts of distinct values, not from one global sort of rows."""
-    counts = df.groupBy(score).agg(F.count("*").alias("ties"))
-    cut = counts.agg(F.percentile_approx(score, [i / runs for i in range(1, runs)], 1000).alias("cuts"))
-    ranged = counts.crossJoin(F.broadcast(cut)).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col(score))))
-    total = ranged.groupBy("range").agg(F.sum("ties").alias("in_range"))
-    w = Window.orderBy("range")  # one row for each of at most ``runs`` ranges
-    before = total.select("range", (F.sum("in_range").over(w) - F.col("in_range")).alias("before"), F.sum("in_range").over(Window.partitionBy()).alias("all"))
-    own = Window.partitionBy("range").orderBy(score)
-    ranks = ranged.join(F.broadcast(before), "range").select(
-        score, (((F.col("before") + F.sum("ties").over(own) - F.col("ties")) + F.col("ties") / 2) / F.col("all") * 100).alias("percentile")
-    )
+    ranks = ranked_values(df, score, runs).select(score, ((F.col("before") + F.col("ties") / 2) / F.col("total") * 100).alias("percentile"))
     return df.join(ranks, score)
 
 
@@ -149,23 +141,77 @@ def by_score(
     return all_.groupBy("stratum", "iteration").agg(F.count("*").alias("n"), AGGREGATES[how]().alias("value"))
 
 
+def rank_sums(scores: DataFrame, a: str, b: str) -> DataFrame:
+    """What a rank-sum test of two strata needs, one row: sizes ``n, m``, ``ranks`` of the first, ``ties``, and the score ``z``.
+
+    Ranks come from counts of distinct scores (``stratum, score``), so no stratum is gathered."""
+    two = scores.where(F.col("stratum").isin(a, b) & F.col("score").isNotNull())
+    own = two.groupBy("score").agg(F.count_if(F.col("stratum") == a).alias("first"), F.count_if(F.col("stratum") == b).alias("second"))
+    t = F.col("ties").cast("double")
+    sums = ranked_values(two, "score").join(own, "score").agg(
+        F.coalesce(F.sum("first"), F.lit(0)).alias("n"), F.coalesce(F.sum("second"), F.lit(0)).alias("m"),
+        F.sum(F.col("first") * (F.col("before") + (t + 1) / 2)).alias("ranks"), F.sum(t * t * t - t).alias("ties"),
+    )
+    n, m = F.col("n").cast("double"), F.col("m").cast("double")
+    z = F.col("ranks") - n * (n + 1) / 2 - n * m / 2
+    var = n * m / 12 * ((n + m + 1) - F.col("ties") / ((n + m) * (n + m - 1)))
+    return sums.withColumn("z", F.when((n > 1) & (m > 1) & (var > 0), (z - F.signum(z) * 0.5) / F.sqrt(var)))
+
+
 def compare_strata(scores: DataFrame, a: str, b: str) -> dict[str, float]:
-    """Welch and Fisher tests of two strata's scores, from their moments and zero counts."""
+    """Welch, rank-sum and Fisher tests of two strata's scores, from their moments, rank sums, and counts of zeros and ones."""
     m = {
         r["stratum"]: r
         for r in scores.where(F.col("stratum").isin(a, b)).groupBy("stratum").agg(
-            F.count("score").alias("n"), F.avg("score").alias("mean"), F.var_samp("score").alias("var"), F.sum((F.col("score") != 0).cast("long")).alias("hit")
+            F.count("score").alias("n"), F.avg("score").alias("mean"), F.var_samp("score").alias("var"),
+            F.count_if(F.col("score") == 0).alias("zero"), F.count_if(F.col("score") == 1).alias("one"),
         ).collect()
     }
-    if a not in m or b not in m:
-        return {"welch": float("nan"), "fisher": float("nan")}
+    nan = float("nan")
+    if a not in m or b not in m or min(m[a]["n"], m[b]["n"]) < 2:
+        return {"welch": nan, "rank_sum": nan, "fisher": nan}
     x, y = m[a], m[b]
+    r = rank_sums(scores, a, b).first()
     return {
         "welch": tails.welch_test(x["n"], x["mean"], x["var"] or 0.0, y["n"], y["mean"], y["var"] or 0.0),
-        "fisher": tails.fisher_test(x["hit"], x["n"] - x["hit"], y["hit"], y["n"] - y["hit"]),
+        "rank_sum": tails.rank_sum_p(r["n"], r["m"], r["ranks"], r["ties"]),
+        "fisher": tails.fisher_test(x["zero"], x["one"], y["zero"], y["one"]),
     }
 
 
+def strata_table(iterated: DataFrame, pairs: list[tuple[str, str]], strata: DataFrame) -> DataFrame:
+    """Pairwise tests of strata, a row for each pair: ``first, second, welch, rank_sum, fisher, quantile_rank_sum``.
+
+    ``strata`` (``stratum, id``) says which features a stratum holds.  Scores are the actual
+    ones; the last column compares the features' quantiles among their simulations."""
+    actual = iterated.where("iteration = -1").join(strata, "id").select("stratum", "score")
+    quantiles = feature_quantile(iterated).join(strata, "id").select("stratum", F.col("quantile").alias("score"))
+    rows = []
+    for a, b in pairs:
+        r = rank_sums(quantiles, a, b).first()
+        got = compare_strata(actual, a, b)
+        rows.append((a, b, got["welch"], got["rank_sum"], got["fisher"], tails.rank_sum_p(r["n"], r["m"], r["ranks"] or 0.0, r["ties"] or 0.0)))
+    return iterated.sparkSession.createDataFrame(rows, "first string, second string, welch double, rank_sum double, fisher double, quantile_rank_sum double")
+
+
+def aggregate(iterated: DataFrame, how: str = "AVERAGE") -> DataFrame:
+    """The summary of a simulation in one row.
+
+    By iteration: the actual aggregate, mean and sd of the simulated ones, tail p, and the
+    two-sided p of a Gaussian fitted to their histogram.  By feature: how many there are,
+    their mean quantile, and sign and signed-rank p of the quantiles against one half."""
+    by_iteration = aggregate_iterations(iterated, how)
+    t = tail_p(by_iteration).first()
+    _, _, gaussian = gaussian_p(by_iteration)
+    quantiles = feature_quantile(iterated)
+    f = quantiles.agg(F.count("*").alias("n"), F.avg("quantile").alias("mean")).first()
+    tests = aggregate_features(quantiles)
+    return iterated.sparkSession.createDataFrame(
+        [(t["actual"], t["mean"], t["sd"], t["n"], t["p"], gaussian, f["n"], f["mean"], tests["sign"], tests["rank"])],
+        "actual double, mean double, sd double, n_iterations long, tail_p double, gaussian_p double, n_features long, mean_quantile double, sign_p double, rank_p double",
+    )
+
+
 def frequency(by_iteration: DataFrame, bins: int = 50) -> DataFrame:
     """Histogram of iteration values in ``bins`` bins, with shares at or below and at or above: ``x, n, at_most, at_least``."""
     sims = by_iteration.where("iteration >= 0")
@@ -180,11 +226,44 @@ def frequency(by_iteration: DataFrame, bins: int = 50) -> DataFrame:
     return hist.select("x", "n", (at_most / total).alias("at_most"), ((total - at_most + F.col("n")) / total).alias("at_least"))
 
 
-def distribution_paired(iterated: DataFrame, bin_size: float) -> DataFrame:
-    """Histogram of each simulation's score less the feature's actual score: ``x, n``."""
-    actual = F.max(F.when(F.col("iteration") == -1, F.col("score"))).over(Window.partitionBy("id"))
-    diff = iterated.withColumn("d", F.col("score") - actual).where("iteration >= 0")
-    return diff.groupBy((F.bround(F.col("d") / bin_size) * bin_size).alias("x")).agg(F.count("*").alias("n"))
+FEATURE_AGGREGATES = {"AVERAGE": F.avg, "MEDIAN": F.median, "MIN": F.min, "MAX": F.max}
+DISTRIBUTIONS = ("unpaired_all", "unpaired_agg", "paired_all", "paired_agg", "percentile")
+
+
+def distribution(iterated: DataFrame, kind: str, *, bin_size: float | None = None, bins: int = 50, how: str = "AVERAGE") -> DataFrame:
+    """Histogram with shares, by one of DISTRIBUTIONS: ``series, x, n, share``.
+
+    Unpaired kinds show actual scores (series ``actual``) beside simulated ones, all or their
+    aggregate ``how`` of each feature; paired kinds show a feature's actual score less each
+    simulation's, or less their aggregate; ``percentile`` shows the rounded mid-rank of the
+    actual score among the feature's simulations.  Values are rounded half to even to
+    multiples of ``bin_size``, by default a ``bins``-th of their range (1 without a range)."""
+    actual = F.max(F.when(F.col("iteration") == -1, F.col("score")))
+    simulated = F.col("iteration") >= 0
+    if kind in ("unpaired_all", "unpaired_agg"):
+        own = iterated.where("iteration = -1").select(F.lit("actual").alias("series"), F.col("score").alias("v"))
+        sims = iterated.where(simulated)
+        sims = sims.select("score") if kind == "unpaired_all" else sims.groupBy("id").agg(FEATURE_AGGREGATES[how]("score").alias("score"))
+        rows = own.unionByName(sims.select(F.lit("simulated").alias("series"), F.col("score").alias("v")))
+    elif kind == "paired_all":
+        with_actual = iterated.withColumn("actual", actual.over(Window.partitionBy("id"))).where(simulated)
+        rows = with_actual.select(F.lit("delta").alias("series"), (F.col("actual") - F.col("score")).alias("v"))
+    elif kind == "paired_agg":
+        per = iterated.groupBy("id").agg(actual.alias("actual"), FEATURE_AGGREGATES[how](F.when(simulated, F.col("score"))).alias("sim"))
+        rows = per.select(F.lit("delta").alias("series"), (F.col("actual") - F.col("sim")).alias("v"))
+    elif kind == "percentile":
+        rows = feature_quantile(iterated.where("score is not null")).where("actual is not null")
+        rows = rows.select(F.lit("percentile").alias("series"), F.bround(F.col("quantile") * 100).alias("v"))
+    else:
+        raise ValueError(f"unknown distribution {kind}")
+    rows = rows.where("v is not null")
+    if bin_size is None:
+        width = rows.agg(((F.max("v") - F.min("v")) / bins).alias("w")).select(F.when(F.col("w") > 0, F.col("w")).otherwise(1.0).alias("w"))
+        rows = rows.crossJoin(F.broadcast(width))  # one row
+    else:
+        rows = rows.withColumn("w", F.lit(bin_size))
+    hist = rows.groupBy("series", (F.bround(F.col("v") / F.col("w")) * F.col("w")).alias("x")).agg(F.count("*").alias("n"))
+    return hist.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("series")))  # as many rows as bins
 
 
 def relate(df: DataFrame, x: str, y: str, bin_size: float) -> DataFrame:
@@ -195,6 +274,17 @@ def relate(df: DataFrame, x: str, y: str, bin_size: float) -> DataFrame:
     )
 
 
+def relate_iterations(df: DataFrame, x: str, y: str, bin_size: float) -> DataFrame:
+    """By bins of ``x``, over iterations: the mean of their means, and median and 5 and 95 % quantiles of their medians."""
+    each = df.where("iteration >= 0").groupBy((F.bround(F.col(x) / bin_size) * bin_size).alias("x"), "iteration").agg(
+        F.avg(y).alias("mean"), F.median(y).alias("median")
+    )
+    q = F.percentile("median", [0.05, 0.95])
+    return each.groupBy("x").agg(
+        F.avg("mean").alias("mean_mean"), F.median("median").alias("median_median"), q[0].alias("median_q05"), q[1].alias("median_q95")
+    )
+
+
 def cdf_points(iterated: DataFrame) -> DataFrame:
     """Empirical distribution of each feature's simulations: ``id, score, share, mid``."""
     w = Window.partitionBy("id").orderBy("score")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import collapse, offset
 from spanloom.operators.joins import crossing, outside
+from spanloom.sources.folders import materialized
 
 PLACED = "iteration int, id string, chrom string, start long, end long, score double, strand string"
 
@@ -49,6 +50,34 @@ class Occupied:
         return total / (e - s) > most
 
 
+#: Draws from the whole genome before the free places are listed.
+DRAWS = 2000
+
+
+def _free_starts(length, names, sizes, excluded, taken, strand, stranded) -> list[tuple[int, int, int, str]]:
+    """Runs of starts at which a feature of ``length`` meets nothing: chromosome number, first, how many, strand."""
+    out = []
+    for k, (chrom, size) in enumerate(zip(names, sizes)):
+        for side in ("+", "-") if stranded else (strand,):
+            full = Occupied()
+            for own in (excluded.get(chrom), taken.get((chrom, side if stranded else "."))):
+                for a, b in zip(own.start, own.end) if own else ():
+                    full.add(a, b)
+            for a, b in zip([0, *full.end], [*full.start, size]):
+                if b - a >= length:
+                    out.append((k, a, b - a - length + 1, side))
+    return out
+
+
+def _draw(runs: list[tuple[int, int, int, str]], rng) -> tuple[int, int, str]:
+    """One of the starts of ``runs``, each as likely as the others."""
+    end = np.cumsum([n for _, _, n, _ in runs])
+    x = int(rng.integers(end[-1]))
+    i = int(np.searchsorted(end, x, "right"))
+    k, first, n, side = runs[i]
+    return k, first + x - int(end[i] - n), side
+
+
 def place(
     features: pd.DataFrame, iteration: int, chroms: list[tuple[str, int, int]], excluded: dict[str, Occupied], probes: dict[str, np.ndarray] | None,
     *, seed: int, stranded: bool, max_excluded: float, max_overlap: float, min_probes: int, max_attempts: int,
@@ -61,14 +90,23 @@ def place(
     rows = []
     for f in features.sort_values(["chrom", "start", "end", "id"], kind="stable").itertuples(index=False):
         length = f.end - f.start
-        for _ in range(max_attempts):
-            x = int(rng.integers(ends[-1]))
-            k = int(np.searchsorted(ends, x, "right"))
-            chrom, s = names[k], x - int(ends[k] - sizes[k])
-            e = s + length
+        exact = None
+        for attempt in range(max_attempts):
+            if attempt == DRAWS and not max_overlap and not max_excluded:
+                # the genome is nearly full: from here on, draw among the places that are free
+                exact = _free_starts(length, names, sizes, excluded, taken, f.strand, stranded)
+            if exact:
+                k, s, strand = _draw(exact, rng)
+                chrom = names[k]
+                e = s + length
+            else:
+                x = int(rng.integers(ends[-1]))
+                k = int(np.searchsorted(ends, x, "right"))
+                chrom, s = names[k], x - int(ends[k] - sizes[k])
+                e = s + length
+                strand = ("+", "-")[int(rng.integers(2))] if stranded else f.strand
             if e > sizes[k] or (chrom in excluded and excluded[chrom].blocks(s, e, max_excluded, False)):
                 continue
-            strand = ("+", "-")[int(rng.integers(2))] if stranded else f.strand
             own = taken.setdefault((chrom, strand if stranded else "."), Occupied())
             if own.blocks(s, e, max_overlap, True):
                 continue
@@ -135,6 +173,16 @@ def permute(
     return out
 
 
+def collapsed(placed: DataFrame, *, padding: int = 0, unpadded: bool = False, stranded: bool = False) -> DataFrame:
+    """The regions of each iteration's placements, with how many features each holds as score: ``iteration, chrom, start, end, name, score, strand``.
+
+    Padding is added before merging and, with ``unpadded``, taken off the regions again."""
+    named = placed.select(F.concat_ws("|", F.col("iteration").cast("string"), "chrom").alias("chrom"), "start", "end", F.col("id").alias("name"), "score", "strand")
+    merged = collapse(named, padding=padding, unpadded=unpadded, stranded=stranded)
+    key = F.split("chrom", r"\|", 2)
+    return merged.select(key[0].cast("int").alias("iteration"), key[1].alias("chrom"), "start", "end", "name", F.col("n").cast("double").alias("score"), "strand")
+
+
 def simulate(features: DataFrame, chroms: DataFrame, refs: DataFrame, *, score_type: str = "COUNT", **how) -> DataFrame:
     """Scores of actual and random placements: ``id, iteration, score``.  One plan: place, then cross."""
     named = features.withColumn("score", F.coalesce("score", F.lit(0.0)))
@@ -142,11 +190,6 @@ def simulate(features: DataFrame, chroms: DataFrame, refs: DataFrame, *, score_t
     return crossing(placed, refs, score_type).select("id", "iteration", F.col("cross_score").alias("score"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once, without its lineage."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def hotspot(features: DataFrame, chroms: DataFrame, *, iterations: int = 100, seed: int = 1, exclusions: DataFrame | None = None, rounds: int | None = None, **how) -> DataFrame:
     """Largest clusters of overlapping features, round after round, against random placements.
 
@@ -158,7 +201,7 @@ def hotspot(features: DataFrame, chroms: DataFrame, *, iterations: int = 100, se
     spark = features.sparkSession
     left, rows, number = features, [], 0
     while rounds is None or number < rounds:
-        clusters = _cut(collapse(left, names=False))
+        clusters = materialized(collapse(left, names=False))
         total = clusters.agg(F.sum("n").alias("n")).first()["n"]
         if not total:
             break
@@ -172,7 +215,7 @@ def hotspot(features: DataFrame, chroms: DataFrame, *, iterations: int = 100, se
         reach = held.groupBy(F.floor(F.col("held") / most).alias("j")).agg(F.count("*").alias("n")).collect()
         rows.append((number, int(total), most, k, most * k, [(int(r["j"]), int(r["n"])) for r in reach]))
         mine = clusters.where(F.col("n") == most).select("chrom", "start", "end", F.lit("+").alias("strand"), F.lit(0.0).alias("score"), F.lit("x").alias("name"))
-        left = _cut(outside(left, mine))
+        left = materialized(outside(left, mine))
         exclusions = mine if exclusions is None else exclusions.select(*mine.columns).unionByName(mine)
         number += 1
     out = spark.createDataFrame(rows, "round int, n_features long, cluster_size long, n_clusters int, n_clustered long, reach array<struct<j: long, n: long>>")

@@ -53,9 +53,11 @@ def two_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def iterated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A complete grid: twenty iterations from -1, and as many features as the table fills."""
+    id_ = F.floor(F.col("event_id") / 20)
     return table(spark, sf_dir, "events").select(
-        (F.col("event_id") % 50).alias("id"), (F.floor(F.col("event_id") / 50) - 1).cast("int").alias("iteration"), F.col("value").alias("score"),
-        (F.col("event_id") % 50 + 1).cast("double").alias("length"), ((F.col("event_id") % 50) * 1.5).alias("bed_score"),
+        id_.alias("id"), (F.col("event_id") % 20 - 1).cast("int").alias("iteration"), F.col("value").alias("score"),
+        (id_ % 50 + 1).cast("double").alias("length"), ((id_ % 50) * 1.5).alias("bed_score"),
     )
 
 
@@ -109,8 +111,8 @@ SQL = {
         GROUP BY ALL)""",
     "al": """al AS (SELECT chrom, s, e, coalesce(max(score) FILTER (name = 'a'), 0) AS x, coalesce(max(score) FILTER (name = 'b'), 0) AS y,
         count(*) FILTER (name = 'a') > 0 AS has_x, count(*) FILTER (name = 'b') > 0 AS has_y FROM two GROUP BY ALL)""",
-    "it": """it AS (SELECT event_id % 50 AS id, CAST(event_id // 50 - 1 AS INTEGER) AS iteration, value AS score, CAST(event_id % 50 + 1 AS DOUBLE) AS length,
-        (event_id % 50) * 1.5 AS bed_score FROM events)""",
+    "it": """it AS (SELECT event_id // 20 AS id, CAST(event_id % 20 - 1 AS INTEGER) AS iteration, value AS score, CAST((event_id // 20) % 50 + 1 AS DOUBLE) AS length,
+        ((event_id // 20) % 50) * 1.5 AS bed_score FROM events)""",
     "fr": """fr AS (SELECT 's' || (event_id % 3) AS sample, 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % 500000 AS pos,
         CAST(1 + floor(value) AS BIGINT) AS len FROM events)""",
     "tx": """tx AS (SELECT 'g' || (l_orderkey % 400) AS gene, 't' || l_orderkey AS name, 'chr' || (l_orderkey % 5) AS chrom,
