@@ -1,44 +1,48 @@
 """Removal of long repeats with a logarithmic family of sparse suffix arrays.
 
-A window is a run of ``length`` bytes.  Its anchor is the place in it whose next ``K``
+A window is a run of ``length`` bytes.  Its anchor is the place in it whose next ``ANCHOR``
 bytes hash lowest (leftmost of equals), so equal windows have their anchors at the same
 place.  Successive windows mostly share an anchor; the windows of one anchor form a
 territory.  Only the suffixes at anchors are indexed: about one for each
-(length - K) / 2 bytes.
-
-1. Documents come in batches.  Each batch gets its suffix array: its anchor suffixes in
-   order of their first bytes, then of the fingerprint of their first ``K``.
-2. The array is merge-scanned with the arrays of all levels for suffixes that agree in
-   ``K`` bytes.  Arrays of equal level then merge into one of the next level, so there
-   are as many levels as the number of batches has bits.
-3. Territories of matched suffixes that are equal in full are repeats throughout.
-   Where only part may agree, at the edges of a repeat, the windows themselves are
-   compared: in one task per suffix, or, for suffixes in very many places, by a
-   pre-aggregated count of windows, so no task holds an unbounded group.
+(length - ANCHOR) / 2 bytes.
+
+1. Documents come in batches.  Each batch gets its suffix array: the first ``ANCHOR`` bytes
+   of its anchor suffixes, each once, in the order of those bytes.
+2. The array is merged with the arrays of all levels into one sorted stream, cut into
+   ranges of content.  The scan takes the longest common prefix of neighbours in the
+   order; neighbours that agree in all ``ANCHOR`` bytes are matches.  The same scan writes
+   the merged array of the levels that are of equal size, so there are as many levels as
+   the number of batches has bits.  Levels are tables in a folder, and can be opened again.
+3. Territories of matched suffixes that are equal in full (128-bit cryptographic digests)
+   are repeats throughout.  Where only part may agree, at the edges of a repeat, the
+   windows themselves are compared: in one task per suffix, where candidates by hash are
+   verified on their bytes, or, for suffixes in very many places, by a pre-aggregated
+   count of windows under 128 bits of hash, so no task holds an unbounded group.
 4. All repeated windows of a document are joined to spans, and the rest is kept.
-
-Hashes of 64 bits or more stand for bytes in each step.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import drop_stage, keep_keys, map_texts, stage
+from spanloom.llm.work import drop_stage, keep_keys, map_texts, stage, work_dir
 
-ANCHOR = 128
+#: Bytes of a suffix that the index holds and compares.
+ANCHOR = 64
 #: Territories of one suffix that a task compares; beyond, windows are counted.
 GROUP = 4000
 
-ROWS = "doc_id long, same long, head long, fp long, body long, lo int, hi int, n int"
+ROWS = "doc_id long, same long, suffix binary, fp long, body binary, lo int, hi int, n int"
 _ROWS = pa.schema(
-    [("doc_id", pa.int64()), ("same", pa.int64()), ("head", pa.int64()), ("fp", pa.int64()), ("body", pa.int64()),
+    [("doc_id", pa.int64()), ("same", pa.int64()), ("suffix", pa.binary()), ("fp", pa.int64()), ("body", pa.binary()),
      ("lo", pa.int32()), ("hi", pa.int32()), ("n", pa.int32())]
 )
 
@@ -77,6 +81,14 @@ def territories(data: np.ndarray, off: np.ndarray, length: int):
     return doc[lo], lo, np.flatnonzero(stop), anchor[lo], prefix
 
 
+def _fixed(rows: np.ndarray) -> pa.Array:
+    """A binary column of the rows of a byte matrix."""
+    n, width = rows.shape
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))]
+    )
+
+
 def _index(batches, length: int):
     for b in batches:
         data, off = K.texts(b.column("text"))
@@ -86,75 +98,151 @@ def _index(batches, length: int):
             if not len(lo):
                 continue
             fp = K.span_hash(d, anchor, anchor + ANCHOR, prefix)
-            body = K.mix(K.span_hash(d, lo, hi + length, prefix) + (anchor - lo).astype(np.uint64))
-            head = np.zeros(len(lo), np.uint64)
-            for k in range(8):
-                head = (head << K.U64(8)) | d[anchor + k].astype(np.uint64)
+            raw = d.tobytes()
+            # the digest covers the bytes and where the anchor stands in them
+            body = np.frombuffer(
+                b"".join(
+                    hashlib.blake2b(raw[x : y + length], digest_size=16, salt=(z - x).to_bytes(4, "little")).digest()
+                    for x, y, z in zip(lo.tolist(), hi.tolist(), anchor.tolist())
+                ),
+                np.uint64,
+            ).reshape(-1, 2)
             # what repeats within a text is settled here: one row stands for it, the spans are joined
-            order = np.lexsort((lo, body, fp, doc))
+            order = np.lexsort((lo, body[:, 1], body[:, 0], doc))
             first = np.ones(len(lo), bool)
-            first[1:] = (body[order][1:] != body[order][:-1]) | (fp[order][1:] != fp[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+            first[1:] = (body[order][1:] != body[order][:-1]).any(1) | (doc[order][1:] != doc[order][:-1])
             run = np.flatnonzero(first)
             count = np.diff(np.append(run, len(lo)))
             keep = order[run]
             many = np.sort(order[np.repeat(count, count) > 1])
-            parts = [(doc[keep], head[keep], fp[keep], body[keep], lo[keep], hi[keep], count, False)]
+            suffix = np.lib.stride_tricks.sliding_window_view(d, ANCHOR)[anchor[keep]]
+            base = o[doc[keep]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[i:j][doc[keep]].astype(np.int64)), pa.array(same[i:j][doc[keep]]), _fixed(suffix),
+                    pa.array(fp[keep].view(np.int64)), _fixed(body[keep].view(np.uint8).reshape(-1, 16)),
+                    pa.array((lo[keep] - base).astype(np.int32)), pa.array((hi[keep] - base).astype(np.int32)), pa.array(count.astype(np.int32)),
+                ],
+                schema=_ROWS,
+            )
             if len(many):
                 edge = np.ones(len(many), bool)
                 edge[1:] = (doc[many][1:] != doc[many][:-1]) | (lo[many][1:] > hi[many][:-1] + 1)
                 e = np.flatnonzero(edge)
-                last = np.append(e[1:], len(many)) - 1
-                z = np.zeros(len(e), np.uint64)
-                parts.append((doc[many[e]], z, z, z, lo[many[e]], hi[many[last]], np.zeros(len(e), np.int64), True))
-            for dd, hh, ff, bb, ll, hi_, nn, done in parts:
-                base = o[dd]
-                empty = np.full(len(dd), done)
+                own, last = doc[many[e]], np.append(e[1:], len(many)) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[i:j][dd].astype(np.int64)), pa.array(same[i:j][dd]),
-                        pa.array(hh.view(np.int64), mask=empty), pa.array(ff.view(np.int64), mask=empty),
-                        pa.array(bb.view(np.int64), mask=empty), pa.array((ll - base).astype(np.int32)),
-                        pa.array((hi_ - base).astype(np.int32)), pa.array(nn.astype(np.int32)),
+                        pa.array(ids[i:j][own].astype(np.int64)), pa.array(same[i:j][own]), pa.nulls(len(e), pa.binary()),
+                        pa.nulls(len(e), pa.int64()), pa.nulls(len(e), pa.binary()), pa.array((lo[many[e]] - o[own]).astype(np.int32)),
+                        pa.array((hi[many[last]] - o[own]).astype(np.int32)), pa.array(np.zeros(len(e), np.int32)),
                     ],
                     schema=_ROWS,
                 )
 
 
+def common_prefixes(suffixes: np.ndarray) -> np.ndarray:
+    """For each row of a byte matrix, how many leading bytes it shares with the row before (0 for the first)."""
+    out = np.zeros(len(suffixes), np.int64)
+    differ = suffixes[1:] != suffixes[:-1]
+    out[1:] = np.where(differ.any(1), differ.argmax(1), suffixes.shape[1])
+    return out
+
+
+SCANNED = "suffix binary, fp long, n long, merged boolean, hit boolean"
+
+
+def _scan(batches):
+    """The merge-scan of one range of the sorted stream of ``suffix, fp, n, fresh, merging``.
+
+    Neighbours whose common prefix is the whole suffix are one suffix.  It is a hit if the
+    new array has it, and another array, or it twice.  ``n`` counts what merges."""
+    held: list[pa.RecordBatch] = []
+
+    def settle(b: pa.Table, last: bool):
+        """Rows of the suffixes of ``b``, but for the last one unless the stream has ended."""
+        raw = b.column("suffix").combine_chunks()
+        at = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+        rows = np.frombuffer(raw.buffers()[2], np.uint8)[at[0] : at[-1]].reshape(-1, ANCHOR)
+        first = np.flatnonzero(common_prefixes(rows) < ANCHOR)
+        if not last:
+            rest = b.slice(int(first[-1]))
+            first = first[:-1]
+            b = b.slice(0, b.num_rows - rest.num_rows)
+            held[:] = rest.to_batches()
+        if len(first):
+            col = {c: b.column(c).to_numpy() for c in ("fp", "n", "fresh", "merging")}
+            n, fresh = col["n"].astype(np.int64), col["fresh"].astype(bool)
+            total, own = np.add.reduceat(n, first), np.add.reduceat(n * fresh, first)
+            merged = np.add.reduceat(n * col["merging"], first)
+            yield pa.RecordBatch.from_arrays(
+                [_fixed(rows[first]), pa.array(col["fp"][first]), pa.array(merged), pa.array(merged > 0), pa.array((own > 0) & (total > 1))],
+                ["suffix", "fp", "n", "merged", "hit"],
+            )
+
+    for b in batches:
+        if b.num_rows:
+            yield from settle(pa.Table.from_batches([*held, b]), False)
+    if held:
+        yield from settle(pa.Table.from_batches(held), True)
+
+
 class SuffixFamily:
-    """Suffix arrays in levels of geometrically growing size."""
-
-    def __init__(self) -> None:
-        self.levels: dict[int, DataFrame] = {}
-        self.matched: list[DataFrame] = []
-
-    def add(self, rows: DataFrame) -> None:
-        """Sort a batch's suffixes, scan them against all levels, and merge equal levels."""
-        array = self._sorted(rows.select("head", "fp", "n", F.struct("doc_id", "lo").alias("at")))
-        self.matched.append(array.where("n > 1").select("head", "fp"))
-        for level in self.levels.values():
-            self.matched.append(stage(array.join(level, ["head", "fp"], "left_semi").select("head", "fp"), "match"))
+    """Suffix arrays in levels of geometrically growing size, as tables in ``folder``.
+
+    A family that is opened on the folder of an earlier one goes on with its levels.  The
+    folder must be shared by all executors; by default it is a new one among the work tables."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
+        self.spark = spark
+        self.folder = folder or f"{work_dir(spark)}/work-family-{uuid.uuid4().hex}"
+        self.levels: dict[int, str] = {}
+        self.version = 0
+        try:
+            known = spark.read.schema("version int, rank int, path string").parquet(f"{self.folder}/levels")
+            last = known.agg(F.max("version")).first()[0]
+        except AnalysisException:  # a new family
+            last = None
+        if last is not None:
+            self.version = last
+            self.levels = {r["rank"]: r["path"] for r in known.where((F.col("version") == last) & (F.col("rank") >= 0)).collect()}
+
+    def read(self, rank: int) -> DataFrame:
+        """A level's array: ``suffix, fp, n``, in files that are ranges in the order of ``suffix``."""
+        return self.spark.read.schema(SCANNED).parquet(self.levels[rank]).where("merged").select("suffix", "fp", "n")
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Index a batch of suffixes (``suffix, fp, n``) and return ``fp`` of those that stand elsewhere too.
+
+        The batch's array is scanned with the arrays of all levels, and merges with those of
+        ranks 0, 1, ... up to the first that is free."""
+        array = rows.groupBy("suffix", "fp").agg(F.sum("n").cast("long").alias("n"))
         rank = 0
         while rank in self.levels:
-            old = self.levels.pop(rank)
-            array = self._sorted(array.unionByName(old))
             rank += 1
-        self.levels[rank] = array
-
-    @staticmethod
-    def _sorted(rows: DataFrame) -> DataFrame:
-        return stage(
-            rows.groupBy("head", "fp")
-            .agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-            .sortWithinPartitions("head", "fp"),
-            "suffixes",
-        )
-
-    def repeated(self) -> DataFrame:
-        """The suffixes (head, fp) that stand in more than one place."""
-        out = self.matched[0]
-        for m in self.matched[1:]:
-            out = out.unionByName(m)
-        return out.distinct()
+        stream = array.withColumns({"fresh": F.lit(True), "merging": F.lit(True)})
+        for r in self.levels:
+            stream = stream.unionByName(self.read(r).withColumns({"fresh": F.lit(False), "merging": F.lit(r < rank)}))
+        path = f"{self.folder}/level-{rank}-{uuid.uuid4().hex}"
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        map_texts(stream.repartitionByRange(tasks, "suffix").sortWithinPartitions("suffix"), _scan, SCANNED).where(
+            "merged or hit"
+        ).write.parquet(path)
+        gone = [self.levels.pop(r) for r in range(rank)]
+        self.levels[rank] = path
+        self.version += 1
+        listed = [(self.version, r, p) for r, p in self.levels.items()]
+        self.spark.createDataFrame(listed, "version int, rank int, path string").coalesce(1).write.mode("append").parquet(f"{self.folder}/levels")
+        for p in gone:
+            self._delete(p)
+        return self.spark.read.schema(SCANNED).parquet(path).where("hit").select("fp")
+
+    def _delete(self, path: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    def delete(self) -> None:
+        """Remove the family's tables."""
+        self._delete(self.folder)
 
 
 def _cut(batches, length: int):
@@ -177,14 +265,20 @@ def _cut_batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], ["fp", "doc_id", "same", "lo", "hi", "bytes"])
 
 
+def _joined(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and where each row begins (one entry more than rows)."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]], at - at[0]
+
+
 def _window_hashes(column: pa.ChunkedArray, length: int):
     """Two hashes of each window of each row, and the row number of each window."""
-    rows = column.to_pylist()
-    data = np.frombuffer(b"".join(rows), np.uint8)
-    size = np.array([len(r) for r in rows], np.int64)
-    begin = np.cumsum(size) - size
-    n = size - length + 1
-    row = np.repeat(np.arange(len(rows)), n)
+    data, edges = _joined(column)
+    begin, n = edges[:-1], np.diff(edges) - length + 1
+    row = np.repeat(np.arange(len(begin)), n)
     at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     prefix = K.prefix_sum(data)
     a = K.span_hash(data, at, at + length, prefix)
@@ -212,15 +306,41 @@ def _spans(table, row, first, last) -> pa.Table:
     )
 
 
+def _verified(data: np.ndarray, left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
+    """Which pairs of windows, given by their places in ``data``, are equal byte by byte.
+
+    Pairs that advance together are compared as one stretch."""
+    ok = np.ones(len(left), bool)
+    order = np.lexsort((left, right - left))
+    x, y = left[order], right[order]
+    edge = np.ones(len(x), bool)
+    edge[1:] = (y - x)[1:] != (y - x)[:-1]
+    edge[1:] |= x[1:] != x[:-1] + 1
+    first = np.flatnonzero(edge)
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(x)]):
+        n = j - i - 1 + length
+        p, q = data[x[i] : x[i] + n], data[y[i] : y[i] + n]
+        if not np.array_equal(p, q):
+            bad = np.concatenate([[0], np.cumsum(p != q)])
+            ok[order[i:j]] = bad[length:] == bad[: j - i]
+    return ok
+
+
 def _compare(table: pa.Table, length: int) -> pa.Table:
     """Spans of the windows of one suffix's territories that occur in two of its rows."""
     a, b, row, at = _window_hashes(table.column("bytes"), length)
     order = np.lexsort((b, a))
-    same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+    same = np.flatnonzero((a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1]))
+    left, right = np.minimum(order[same], order[same + 1]), np.maximum(order[same], order[same + 1])
+    data, begin = _joined(table.column("bytes"))
+    ok = _verified(data, begin[row[left]] + at[left], begin[row[right]] + at[right], length)
     twice = np.zeros(len(a), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    return _spans(table, *_runs(row[twice], at[twice]))
+    twice[left[ok]] = True
+    twice[right[ok]] = True
+    out = _spans(table, *_runs(row[twice], at[twice]))
+    if len(data) > K.CHUNK:
+        K.release()
+    return out
 
 
 def _windows(batches, length: int):
@@ -267,9 +387,10 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     Returns one row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256,
     kept`` (the remaining bytes, which may cut a character).  Strings are judged on the
     input; overlaps count; matches never cross documents.  A null text counts as empty;
-    texts shorter than ``length`` stay whole; equal rows are copies of each other and
-    both go; a null ``doc_id`` stays null; other columns are ignored; an empty table
-    gives an empty one."""
+    texts shorter than ``length`` stay whole; very long texts are read whole; equal rows are
+    copies of each other and both go; a null ``doc_id`` stays null; other columns are
+    ignored; an empty table gives an empty one.  Documents are indexed in ``batches``, by
+    the hash of their id and text."""
     if length <= ANCHOR:
         raise ValueError(f"length must be over {ANCHOR}")
     no_id = F.lit(-(1 << 63)).cast("long")  # stands for null, which would join with nothing
@@ -279,13 +400,17 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     rows = stage(
         map_texts(docs.where(F.octet_length("text") >= length).select("doc_id", "same", "text"), lambda it: _index(it, length), ROWS), "rows"
     )
-    family = SuffixFamily()
-    entry = rows.where("fp is not null")
+    family = SuffixFamily(docs.sparkSession)
+    entry = rows.where("fp is not null").select("doc_id", "same", "suffix", "fp", "n")
+    matched = None
     for i in range(batches):
-        family.add(entry.where(F.pmod(F.xxhash64("doc_id", "same"), F.lit(batches)) == i))
-    hit = stage(entry.join(family.repeated(), ["head", "fp"], "left_semi").drop("head"), "hit")
-    for t in (*family.levels.values(),):
-        drop_stage(t)
+        some = family.add(entry.where(F.pmod(F.xxhash64("doc_id", "same"), F.lit(batches)) == i))
+        some = stage(some, "match")  # the level may be merged away
+        matched = some if matched is None else matched.unionByName(some)
+    # a fingerprint only leads to the suffix: another suffix of the same one is compared in vain
+    keys = stage(matched.distinct(), "keys")
+    hit = stage(keep_keys(rows.where("fp is not null").drop("suffix"), keys, ["fp"]), "hit")
+    family.delete()
 
     place = F.struct("doc_id", "same", "lo")
     body = hit.groupBy("fp", "body").agg(F.sum("n").alias("n"), F.min(place).alias("first"))
@@ -306,9 +431,10 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
         return keep_keys(texts, lists.select(*own), own).join(lists, own)
 
     cut = stage(
-        beside(todo)
-        .dropDuplicates(["doc_id", "same"])
-        .mapInArrow(lambda it: _cut(it, length), "fp long, doc_id long, same long, lo int, hi int, bytes binary"),
+        map_texts(
+            beside(todo).dropDuplicates(["doc_id", "same"]), lambda it: _cut(it, length),
+            "fp long, doc_id long, same long, lo int, hi int, bytes binary",
+        ),
         "cut",
     )
     size = cut.groupBy("fp").agg(F.count("*").alias("size")).where(F.col("size") > GROUP)
@@ -319,9 +445,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     spans = few.groupBy("fp").applyInArrow(lambda t: _compare(t, length), span)
     if any_hot:
         window = stage(
-            keep_keys(cut, hot, ["fp"]).mapInArrow(
-                lambda it: _windows(it, length), "a long, b long, doc_id long, same long, lo int"
-            ),
+            map_texts(keep_keys(cut, hot, ["fp"]), lambda it: _windows(it, length), "a long, b long, doc_id long, same long, lo int"),
             "window",
         )
         twice = window.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
@@ -333,6 +457,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, batches: int = 4) -> D
     spans = stage(spans.groupBy("doc_id", "same").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
     none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
     rest = keep_keys(texts, spans.select(*own), own, "left_anti").select("doc_id", "text", none)
-    return beside(spans).select("doc_id", "text", "spans").unionByName(rest).mapInArrow(
-        lambda it: _keep(it, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    ).withColumn("doc_id", F.nullif("doc_id", no_id))
+    drop_stage(rows, hit, body, todo, cut)
+    out = map_texts(
+        beside(spans).select("doc_id", "text", "spans").unionByName(rest), lambda it: _keep(it, length),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+    )
+    return out.withColumn("doc_id", F.nullif("doc_id", no_id))

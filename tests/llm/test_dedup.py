@@ -66,6 +66,23 @@ def test_near_group_of_edited_copies(spark):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_near_large_buckets(spark, monkeypatch):
+    """Groups beyond a block: turns of bands, and a last round that deals out blocks of the largest component."""
+    monkeypatch.setattr(N, "BLOCK", 6)
+    r = random.Random(18)
+    rows, i = [], 0
+    for base in range(3):
+        w = [f"b{base}w{r.randrange(400)}" for _ in range(100)]
+        for _ in range(30):
+            v = list(w)
+            for _ in range(r.randrange(0, 8)):
+                v[r.randrange(100)] = f"e{r.randrange(9999)}"
+            rows.append((i, " ".join(v)))
+            i += 1
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect()}
+    assert got == brute_components(rows, 3, 85)
+
+
 def test_near_edges(spark, empty):
     assert N.near_duplicates(empty).collect() == []
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (None, "a b c d e f g"), (7, None), (5, "q r s t u v w x")]
@@ -129,6 +146,47 @@ def test_repeats_equal_brute_force(docs, corpus, length):
     assert got == brute_repeats(corpus, length)
 
 
+def test_family_keeps_order_and_levels(spark, tmp_path):
+    """Levels are sorted by content, grow like binary digits, and match later batches after they are opened again."""
+    from spanloom.llm.suffixes import ANCHOR, SuffixFamily
+
+    r = random.Random(6)
+    pool = [bytes(r.choice(b"ab") for _ in range(ANCHOR)) for _ in range(60)]
+    fp = {s: k for k, s in enumerate(dict.fromkeys(pool))}
+    seen = Counter()
+    for k in range(7):
+        batch = Counter(r.choice(pool) for _ in range(15))
+        rows = spark.createDataFrame([(bytearray(s), fp[s], n) for s, n in batch.items()], "suffix binary, fp long, n int")
+        family = SuffixFamily(spark, str(tmp_path / "family"))
+        got = {x["fp"] for x in family.add(rows).collect()}
+        assert got == {fp[s] for s, n in batch.items() if n + seen[s] > 1}
+        seen += batch
+        assert sorted(family.levels) == [b for b in range(4) if (k + 1) >> b & 1]
+        total = Counter()
+        for rank in family.levels:
+            level = [(bytes(x["suffix"]), x["n"]) for x in family.read(rank).collect()]
+            assert len({s for s, _ in level}) == len(level)
+            total += Counter(dict(level))
+            for part in family.read(rank).rdd.glom().collect():
+                assert [x["suffix"] for x in part] == sorted(x["suffix"] for x in part)
+        assert total == seen
+
+
+def test_common_prefixes():
+    from spanloom.llm.suffixes import common_prefixes
+
+    rows = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [1, 3, 4], [2, 3, 4]], np.uint8)
+    assert common_prefixes(rows).tolist() == [0, 3, 2, 1, 0]
+
+
+def test_windows_are_verified_on_bytes():
+    from spanloom.llm.suffixes import _verified
+
+    data = np.frombuffer(b"abcdefgh" + b"abcdeXgh", np.uint8)
+    left = np.arange(5)
+    assert _verified(data, left, left + 8, 4).tolist() == [True, True, False, False, False]
+
+
 def test_repeats_of_a_suffix_in_many_places(spark, monkeypatch):
     from spanloom.llm import suffixes
 
