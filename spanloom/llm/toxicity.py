@@ -1,16 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are read as symbols (insult, threat, target, negation, report, other).  Three
-small transducers are composed into one machine: the first marks a clause as hostile
-and weighs insult and threat words, the second raises the weight where a target stands
-in the clause, the third lowers it after a negation or a verb of reported speech.  A
-clause gets one outcome and one weight; a document is scored from its matched clauses,
-never from isolated words.
+Words are read as symbols (insult, threat, target, negation, report, other).  Five
+machines are composed into one: insults and threats each give a hostile word its weight;
+a negation changes the weight of the next hostile word, a verb of reported speech that of
+all that follow in the clause; a target, before or after, changes the weight of the whole
+clause when it ends.  A document is scored from its matched clauses, never from isolated
+words.
 
 The insult words and stems are induced from labelled rows.  A term is counted by the
 distinct contexts (the words before and after) it has in toxic and in clean documents,
 so many copies of one toxic text count once, and it is learned only if a Chernoff bound
-rules out that so many toxic contexts of so few in all are chance for any term.
+rules out that so many toxic contexts of so few in all are chance for any term.  The
+weights of the machines' arcs are learned too, each held near a prior as far as the rows
+do not speak against it.
 """
 
 from __future__ import annotations
@@ -23,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm import textkernels as K
-from spanloom.llm.quality import held_out, training_rows
-from spanloom.llm.work import stage
+from spanloom.llm.quality import held_out, training_rows, training_texts
+from spanloom.llm.work import map_texts, stage
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
@@ -37,74 +38,102 @@ THREATS = "kill murder stab strangle töten umbringen tuer égorger matar degoll
 
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
+HOSTILE = (INSULT, THREAT)
 
-Arcs = dict[tuple[int, int], tuple[int, float]]
+#: Arc weights before any row is seen: factors of a hostile word's weight.
+PRIOR = {"threat": 1.0, "loose threat": 0.2, "target": 1.5, "negation": 0.5, "report": 0.5}
 
 
 @dataclass(frozen=True)
-class Transducer:
-    """Arcs (state, symbol) -> (state, weight factor); a missing arc stays and weighs 1."""
+class Machine:
+    """Arcs (state, symbol) -> state, where a missing arc stays; ``marks`` are the (state, symbol) that carry its weight."""
 
     states: int
-    arcs: Arcs
+    arcs: dict[tuple[int, int], int]
+    marks: frozenset[tuple[int, int]]
 
-    def step(self, state: int, symbol: int) -> tuple[int, float]:
-        return self.arcs.get((state, symbol), (state, 1.0))
+    def step(self, state: int, symbol: int) -> tuple[int, bool]:
+        return self.arcs.get((state, symbol), state), (state, symbol) in self.marks
 
 
-def hostile() -> Transducer:
-    """State 1 after an insult, 2 after a threat, 3 after both."""
-    arcs: Arcs = {}
-    for s in range(4):
-        arcs[s, INSULT] = (s | 1, 1.0)
-        arcs[s, THREAT] = (s | 2, 1.5)
-    return Transducer(4, arcs)
+def insult() -> Machine:
+    """State 1 after an insult."""
+    return Machine(2, {(0, INSULT): 1}, frozenset((s, INSULT) for s in (0, 1)))
 
 
-def aimed(factor: float = 1.5) -> Transducer:
-    """After a target, hostile words weigh more."""
-    return Transducer(2, {(0, TARGET): (1, 1.0), (1, INSULT): (1, factor), (1, THREAT): (1, factor)})
+def threat() -> Machine:
+    """State 1 after a threat."""
+    return Machine(2, {(0, THREAT): 1}, frozenset((s, THREAT) for s in (0, 1)))
 
 
-def softened(negated: float = 0.6, reported: float = 0.5) -> Transducer:
-    """A hostile word weighs less after a negation (state 1, then 3) or a verb of report (state 2, to the end)."""
-    arcs: Arcs = {}
-    for s in (0, 1, 3):
-        arcs[s, NEGATION] = (1, 1.0)
-        arcs[s, REPORT] = (2, 1.0)
-    for symbol in (INSULT, THREAT):
-        arcs[1, symbol] = (3, negated)
-        arcs[2, symbol] = (2, reported)
-    return Transducer(4, arcs)
+def target() -> Machine:
+    """State 1 once somebody is meant; its weight is paid at the end of the clause."""
+    return Machine(2, {(0, TARGET): 1}, frozenset())
 
 
-def compose(a: Transducer, b: Transducer) -> Transducer:
-    """Both read each symbol; the weights multiply."""
-    arcs: Arcs = {}
-    for s in range(a.states):
-        for t in range(b.states):
-            for symbol in range(6):
-                (x, v), (y, w) = a.step(s, symbol), b.step(t, symbol)
-                arcs[s * b.states + t, symbol] = (x * b.states + y, v * w)
-    return Transducer(a.states * b.states, arcs)
+def negation() -> Machine:
+    """State 1 after a negation, until the next hostile word, which carries the weight."""
+    return Machine(2, {(0, NEGATION): 1} | {(1, h): 0 for h in HOSTILE}, frozenset((1, h) for h in HOSTILE))
 
 
-GRAMMAR = compose(compose(hostile(), aimed()), softened())
-#: Outcomes of a matched clause: plain, aimed, softened, with a threat.
-N_OUTCOMES = 4
+def report() -> Machine:
+    """State 1 after a verb of reported speech; hostile words then carry the weight."""
+    return Machine(2, {(0, REPORT): 1}, frozenset((1, h) for h in HOSTILE))
 
 
-def read_clause(symbols: list[tuple[int, float]]) -> tuple[float, int] | None:
-    """Weight and outcome of a clause of (symbol, word weight), or None without a hostile word."""
-    state, total = 0, 0.0
+def compose(machines: list[Machine]) -> list[list[tuple[int, int]]]:
+    """The product machine, all reading each symbol: by state and symbol, the next state and the marks as bits."""
+    size = 1
+    for m in machines:
+        size *= m.states
+    table = []
+    for state in range(size):
+        row = []
+        for symbol in range(6):
+            rest, place, after, marks = state, 1, 0, 0
+            for k, m in enumerate(machines):
+                rest, own = divmod(rest, m.states)
+                to, marked = m.step(own, symbol)
+                after += to * place
+                marks |= marked << k
+                place *= m.states
+            row.append((after, marks))
+        table.append(row)
+    return table
+
+
+GRAMMAR = compose([insult(), threat(), target(), negation(), report()])
+_MARK_THREAT, _MARK_NEGATION, _MARK_REPORT, _STATE_TARGET = 2, 8, 16, 4
+#: Classes of what a clause pays: threat or insult, negated, reported, aimed.
+N_CLASSES = 16
+
+
+def read_clause(symbols: list[tuple[int, float]]) -> list[tuple[int, float]]:
+    """The weights that a clause of (symbol, word weight) pays, by class; empty without a hostile word."""
+    state, paid = 0, []
     for symbol, weight in symbols:
-        state, factor = GRAMMAR.step(state, symbol)
-        if symbol in (INSULT, THREAT):
-            total += weight * factor
-    kind, aim, soft = state // 8, state // 4 % 2, state % 4
-    if not kind:
-        return None
-    return total, 3 if kind & 2 else 2 if soft >= 2 else 1 if aim else 0
+        state, marks = GRAMMAR[state][symbol]
+        if symbol in HOSTILE:
+            kind = 8 * bool(marks & _MARK_THREAT) + 4 * bool(marks & _MARK_NEGATION) + 2 * bool(marks & _MARK_REPORT)
+            paid.append((kind, weight))
+    aimed = bool(state & _STATE_TARGET)
+    return [(kind + aimed, weight) for kind, weight in paid]
+
+
+def class_factors(arcs: dict[str, float]) -> np.ndarray:
+    """The product of the arc weights that each class went over."""
+    out = np.ones(N_CLASSES)
+    for c in range(N_CLASSES):
+        is_threat, negated, reported, aimed = c & 8, c & 4, c & 2, c & 1
+        if is_threat:
+            out[c] *= arcs["threat"] if aimed else arcs["loose threat"]
+        if aimed:
+            out[c] *= arcs["target"]
+        if negated:
+            out[c] *= arcs["negation"]
+        if reported:
+            out[c] *= arcs["report"]
+    return out
 
 
 @dataclass
@@ -113,6 +142,7 @@ class Lexicon:
 
     words: dict[str, float]
     stems: dict[str, float]
+    threat: float = 4.0
 
     def pattern(self) -> re.Pattern | None:
         known = [re.escape(w) for w in sorted({*self.words, *THREATS}, reverse=True)]
@@ -127,9 +157,8 @@ class Lexicon:
         for n in range(4, min(len(word), 12) + 1):
             if (w := self.stems.get(word[:n])) is not None:
                 return INSULT, w
-        if word in _CLOSED:
-            return _CLOSED[word], 1.0
-        return OTHER, 0.0
+        symbol = _CLOSED.get(word, OTHER)
+        return symbol, self.threat if symbol == THREAT else 0.0
 
 
 _CLOSED = (
@@ -138,68 +167,95 @@ _CLOSED = (
 
 
 def clause_features(text: str, lexicon: Lexicon, pattern: re.Pattern | None) -> list[float]:
-    """Of the matched clauses: count by outcome, sum of weights, and log weight per clause of the text."""
-    out = [0.0] * (N_OUTCOMES + 2)
+    """Of the matched clauses: sums of weights by class; then how many there are, and how many clauses in all."""
+    out = [0.0] * (N_CLASSES + 2)
     low = text.lower()
     if pattern is None or not pattern.search(low):
         return out
-    n = 0
     for clause in CLAUSE.split(low):
         if not clause:
             continue
-        n += 1
+        out[N_CLASSES + 1] += 1
         if not pattern.search(clause):
             continue
-        hit = read_clause([lexicon.symbol(w) for w in WORD.findall(clause)])
-        if hit:
-            out[hit[1]] += 1
-            out[N_OUTCOMES] += hit[0]
-    out[N_OUTCOMES + 1] = out[N_OUTCOMES] / max(1, n)
-    for i in range(len(out)):
-        out[i] = float(np.log1p(out[i]))
+        paid = read_clause([lexicon.symbol(w) for w in WORD.findall(clause)])
+        for kind, weight in paid:
+            out[kind] += weight
+        out[N_CLASSES] += bool(paid)
     return out
 
 
+def _hostility(x: np.ndarray, arcs: dict[str, float]) -> np.ndarray:
+    """Logs of the weight that a document's clauses pay, and of its share per clause."""
+    paid = x[:, :N_CLASSES] @ class_factors(arcs)
+    return np.log1p(np.column_stack([paid, paid / np.maximum(1, x[:, N_CLASSES + 1])]))
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
-    weights: np.ndarray  # of clause_features, then the intercept
+    arcs: dict[str, float]
+    weights: np.ndarray  # of the two logs of hostility, then the intercept
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = x @ self.weights[:-1] + self.weights[-1]
+        z = _hostility(x, self.arcs) @ self.weights[:-1] + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Newton steps of a ridge logistic regression; weights of matches never fall below zero."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, float]:
+    """Newton steps of a ridge logistic regression, and its log loss; weights of hostility never fall below zero."""
     full = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(full.shape[1])
     penalty = np.r_[np.full(x.shape[1], ridge), 1e-3]
-    for _ in range(40):
+    p = np.full(len(x), 0.5)
+    for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
         h = full.T @ (full * np.maximum(p * (1 - p), 1e-6)[:, None]) + np.diag(penalty)
         w = w + np.linalg.solve(h, full.T @ (y - p) - penalty * w)
         w[:-1] = np.maximum(w[:-1], 0)
-    return w
+    p = np.clip(1 / (1 + np.exp(-np.clip(full @ w, -30, 30))), 1e-12, 1 - 1e-12)
+    return w, float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+
+def _fit(x: np.ndarray, y: np.ndarray, prior_rows: float = 5.0) -> tuple[dict[str, float], np.ndarray]:
+    """Arc weights by coordinate steps on the log loss, and the regression on them.
+
+    Moving an arc by a factor e from its prior must win as much as ``prior_rows`` nats."""
+    arcs = dict(PRIOR)
+    if not len(x) or y.min() == y.max():
+        share = min(max(float(y.mean()) if len(y) else 0.0, 1e-3), 1 - 1e-3)
+        return arcs, np.array([1.0, 0.0, np.log(share / (1 - share))])
+
+    def loss(try_: dict[str, float]) -> tuple[float, np.ndarray]:
+        w, nats = _logistic(_hostility(x, try_), y)
+        return nats + prior_rows * sum(np.log(try_[k] / PRIOR[k]) ** 2 for k in PRIOR), w
+
+    best, w = loss(arcs)
+    for step in (2.0, 1.4, 1.15):
+        for k in PRIOR:
+            for factor in (step, 1 / step):
+                while True:
+                    try_ = arcs | {k: arcs[k] * factor}
+                    value, ww = loss(try_)
+                    if value >= best - 1e-9:
+                        break
+                    arcs, best, w = try_, value, ww
+    return arcs, w
 
 
 def train_toxicity(
-    docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_train_rows: int = 20_000, max_terms: int = 4_000,
-    chance: float = 0.01, odds: float = 25.0,
+    docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_train_rows: int = 20_000, chance: float = 0.01, odds: float = 25.0,
 ) -> ToxicityModel:
     """Induce the lexicon and fit the weights on at most ``max_train_rows`` labelled documents.
 
     Terms are whole words (``=word``) and stems of 4 to 12 letters (``^stem``) whose odds in
     toxic documents are ``odds`` times those in clean ones, and that pass the bound on
-    ``chance`` over all terms.  The driver holds at most ``max_terms`` terms and, for the
-    weights, a few numbers for each training document."""
-    chosen = F.broadcast(training_rows(labels, label, max_train_rows))
-    train = stage(
-        docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        .join(chosen, "doc_id")
-        .dropDuplicates(["doc_id"]),
-        "train",
-    )
+    ``chance`` over all terms.  All of them count.  A term needs several contexts of its own
+    in the chosen documents, so these bound the lexicon; the driver also holds eighteen
+    numbers for each of them.  Of several texts with one id, the one with the least hash
+    counts; null ids and labels are passed over; a null text is empty."""
+    chosen = training_rows(labels, label, max_train_rows)
+    train = stage(training_texts(docs, chosen).withColumn("text", F.coalesce("text", F.lit(""))), "train")
     words = train.select(
         "y", F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)).alias("words")
     ).select("y", "words", F.posexplode("words").alias("at", "word"))
@@ -238,18 +294,20 @@ def train_toxicity(
             both.where("pos > 0")
             .where((share > p) & (rate >= odds) & (bound >= float(np.log(n_kinds / chance))))
             .orderBy(F.desc("pos"), "neg", "term")
-            .limit(max_terms)
         )
         for r in top.collect():
             weight = float(np.log((r["pos"] + 0.5) / n_pos / ((r["neg"] + 0.5) / n_neg)))
             (lexicon.words if r["term"][0] == "=" else lexicon.stems)[r["term"][1:]] = weight
-    got = train.select("doc_id", "text", "y").mapInArrow(
+        if lexicon.words:
+            lexicon.threat = float(np.mean(list(lexicon.words.values())))
+    got = map_texts(
+        train.select("doc_id", "text", "y"),
         lambda it: _rows(it, lexicon, lambda x, b: [b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"]),
         "doc_id long, y double, x array<double>",
     ).orderBy("doc_id").toArrow()
     y = got.column("y").to_numpy()
-    x = np.array(got.column("x").to_pylist(), float).reshape(len(y), N_OUTCOMES + 2)
-    return ToxicityModel(lexicon, _logistic(x, y))
+    x = np.array(got.column("x").to_pylist(), float).reshape(len(y), N_CLASSES + 2)
+    return ToxicityModel(lexicon, *_fit(x, y))
 
 
 def _rows(batches, lexicon: Lexicon, extra, kinds):
@@ -267,17 +325,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, threshold: float =
     """One row per input row: ``doc_id, held_out, score, predicted, clauses`` (matched clauses).
 
     Reads ``doc_id`` and ``text`` alone; other columns are ignored.  Null and empty texts
-    have no clause and get the lowest score; equal texts score alike; a null ``doc_id``
-    stays null and is not held out; an empty table gives an empty one."""
-    return (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(
-            lambda it: _rows(
-                it, model.lexicon,
-                lambda x, b: [pa.array(model.score(x)), pa.array(np.expm1(x[:, :N_OUTCOMES]).sum(1).round().astype(np.int64))],
-                ["score", "clauses"],
-            ),
-            "doc_id long, score double, clauses long",
-        )
-        .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "clauses")
-    )
+    have no clause and get the lowest score, like all texts without a hostile word; equal
+    texts score alike; very long texts are read whole; a null ``doc_id`` stays null and is
+    not held out; an empty table gives an empty one."""
+    return map_texts(
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
+        lambda it: _rows(
+            it, model.lexicon, lambda x, b: [pa.array(model.score(x)), pa.array(x[:, N_CLASSES].astype(np.int64))], ["score", "clauses"]
+        ),
+        "doc_id long, score double, clauses long",
+    ).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "clauses")

@@ -3,20 +3,23 @@
 import hashlib
 import os
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
 from spanloom.llm import decontaminate as D
 from spanloom.llm import pieces as P
 from spanloom.llm import quality as Q
 from spanloom.llm import toxicity as T
-from spanloom.llm.queries import PIECE_MODEL, TOKENIZERS, tokenizer_bytes
+from spanloom.llm.queries import PIECE_MODEL, tokenizer_bytes
 
 from .conftest import prose
 
-needs_model = pytest.mark.skipif(not os.path.exists(os.path.join(TOKENIZERS, PIECE_MODEL)), reason="no tokenizer files")
+needs_model = pytest.mark.skipif(not os.path.exists(public_tokenizers.path(PIECE_MODEL)), reason="no tokenizer files")
 
 
 def test_additive_model_learns_an_interaction():
@@ -73,20 +76,50 @@ def test_one_label_or_none_trains(spark, empty):
         assert T.score_toxicity(d, T.train_toxicity(d, l)).count() == 2
 
 
-def test_grammar_weighs_clauses():
-    lex = T.Lexicon({"vile": 2.0}, {})
-    read = lambda t: T.read_clause([lex.symbol(w) for w in t.split()])
-    plain, aimed, denied, told = (read(t) for t in ("a vile thing", "you are vile", "you are not vile", "she said you are vile"))
-    assert plain == (2.0, 0) and aimed == (3.0, 1)
-    assert denied[0] < aimed[0] and denied[1] == 2 and told[0] < aimed[0] and told[1] == 2
-    assert read("you will kill vile") == (1.0 * 1.5 * 1.5 + 3.0, 3)
-    assert read("a fine day") is None
+def test_grammar_reads_clauses():
+    lex = T.Lexicon({"vile": 2.0}, {}, threat=3.0)
+    factor = T.class_factors(T.PRIOR)
+    read = lambda t: sum(factor[k] * w for k, w in T.read_clause([lex.symbol(w) for w in t.split()]))
+    assert read("a vile thing") == 2.0 and read("you are vile") == read("vile are you") == 3.0
+    assert read("you are not vile") == 1.5 and read("she said that is vile") == 1.5  # who reports is a target too
+    assert read("not vile and vile") == 1.0 + 2.0  # a negation spends itself on one word
+    assert read("dijo vile vile") == 2.0  # a report holds to the end
+    assert read("kill it") == pytest.approx(0.6) and read("they will kill you") == 4.5
+    assert T.read_clause([lex.symbol(w) for w in "a fine day".split()]) == []
+
+
+def brute_read(symbols):
+    """The same rules, told without machines."""
+    aimed = any(s == T.TARGET for s, _ in symbols)
+    out = []
+    for i, (s, w) in enumerate(symbols):
+        if s in T.HOSTILE:
+            reported = any(x == T.REPORT for x, _ in symbols[:i])
+            since = [x for x, _ in symbols[:i]]
+            last_hostile = max((k for k, x in enumerate(since) if x in T.HOSTILE), default=-1)
+            negated = T.NEGATION in since[last_hostile + 1 :]
+            out.append((8 * (s == T.THREAT) + 4 * negated + 2 * reported + aimed, w))
+    return out
+
+
+def test_composed_machine_equals_brute_force():
+    r = random.Random(5)
+    for _ in range(500):
+        clause = [(r.randrange(6), 1.0 + k) for k in range(r.randrange(12))]
+        assert T.read_clause(clause) == brute_read(clause)
 
 
-def test_composition_multiplies_weights():
-    c = T.compose(T.hostile(), T.aimed(3.0))
-    state, w = c.step(0, T.TARGET)
-    assert w == 1.0 and c.step(state, T.THREAT)[1] == 4.5
+def test_arc_weights_are_learned():
+    r = np.random.default_rng(3)
+    x = np.zeros((400, T.N_CLASSES + 2))
+    y = r.integers(0, 2, 400).astype(float)
+    x[:, T.N_CLASSES + 1] = 5
+    x[np.arange(400), np.where(y == 1, 1, 4)] = 3.0  # toxic where aimed, clean where negated
+    arcs, w = T._fit(x, y)
+    assert arcs["negation"] < T.PRIOR["negation"] and arcs["target"] > arcs["negation"]
+    assert arcs["report"] == T.PRIOR["report"]  # never seen
+    p = T.ToxicityModel(T.Lexicon({}, {}), arcs, w).score(x)
+    assert p[y == 1].min() > p[y == 0].max()
 
 
 def test_alignment_scores():
@@ -150,7 +183,7 @@ def test_decontamination_beyond_the_bounds(spark, monkeypatch):
 def test_pieces_equal_the_library(docs, corpus, empty):
     import sentencepiece
 
-    lib = sentencepiece.SentencePieceProcessor(model_file=os.path.join(TOKENIZERS, PIECE_MODEL))
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_MODEL))
     got = {r["doc_id"]: r for r in P.encode_documents(docs, tokenizer_bytes()).collect()}
     for i, t in corpus:
         ids = lib.encode(t or "")
@@ -163,7 +196,7 @@ def test_pieces_equal_the_library(docs, corpus, empty):
 def test_piece_spans_are_the_library_s():
     import sentencepiece
 
-    lib = sentencepiece.SentencePieceProcessor(model_file=os.path.join(TOKENIZERS, PIECE_MODEL))
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_MODEL))
     m = P.Pieces(tokenizer_bytes())
     for t in ("Hello  world\n\tx", " é日本 😀▁y ", "a\x00b", "   ", "x" * 300, "ab\r\ncd  ef"):
         ids, begin, end, off = m.encode([t])
@@ -200,3 +233,33 @@ def test_bytes_that_are_no_text_are_repaired():
 
 def test_hashes_are_of_the_digest_columns():
     assert hashlib.sha256(b"1,2").hexdigest() == hashlib.sha256(",".join(["1", "2"]).encode()).hexdigest()
+
+
+def test_decontamination_equals_brute_force(spark, monkeypatch):
+    """Every pair that shares a gram and aligns, however the benchmark's size makes it run."""
+    r = random.Random(31)
+    items = [(i, prose(r, r.randrange(1, 60))) for i in range(12)] + [(50, "tiny item"), (51, None)]
+    rows = [(i, prose(r, r.randrange(0, 90))) for i in range(20)]
+    for k in range(40):
+        w = items[k % 12][1].split()
+        for _ in range(r.randrange(0, len(w) // 3 + 1)):
+            at = r.randrange(len(w))
+            w[at : at + r.randrange(2)] = [prose(r, 1)] * r.randrange(2)
+        rows.append((100 + k, prose(r, r.randrange(20)) + " " + " ".join(w) + " " + prose(r, r.randrange(20))))
+    rows += [(200, "a tiny item"), (201, "tiny item"), (202, ""), (203, None), (204, " ".join(t for _, t in items[:12]))]
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").lower())
+    grams = lambda w: {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+    want = {}
+    for i, t in rows:
+        for j, u in items:
+            a, b = words(t), words(u)
+            if grams(a) & grams(b) and brute_align(a, b) >= len(b):
+                want[i, j] = brute_align(a, b) / (2 * len(b))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    find = lambda: {(x["doc_id"], x["item_id"]): x["score"] for x in D.contaminated(docs, bench).collect()}
+    assert len(want) > 40 and find() == pytest.approx(want)
+    monkeypatch.setattr(D, "TASK_GRAMS", 5)
+    monkeypatch.setattr(D, "TASK_WORDS", 5)
+    monkeypatch.setattr(D, "SEEDS", 2)
+    monkeypatch.setattr(D, "CELLS", 200)
+    assert find() == pytest.approx(want)
