@@ -1,6 +1,6 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or a run of up to RUN successive lines, as notices are often wrapped; a run
+A block is a line, or a run of up to ``run`` successive lines, as notices are often wrapped; a run
 counts only where no shorter run inside it matches the same template.  Tokens of the templates are ordered by their frequency over all
 blocks, rarest first.  A template that must share ``need`` tokens with a block shares
 one of its ``size - need + 1`` rarest with the block's as many, so only those prefixes
@@ -12,6 +12,7 @@ All of it is DataFrame and SQL functions; the templates are a fixed, small table
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +56,9 @@ def _places(words: str, phrase: tuple[str, ...]) -> str:
     return f"filter(transform({words}, (x, i) -> IF({test}, i, -1)), p -> p >= 0)"
 
 
-def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None = None, containment: float = 0.9) -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, *, templates: list[tuple[str, str]] | None = None, containment: float = 0.9, run: int = RUN
+) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score, n_blocks``.
 
@@ -64,9 +67,12 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     largest containment found (1 for a phrase, 0 for none); ``n_blocks`` counts the matches.
     Null texts count as empty and have no words; equal rows give equal results, and rows
     with a null ``doc_id`` are matched like others; other columns are ignored; an empty
-    table gives an empty one.  Templates are a parameter of fixed size, and broadcast."""
+    table gives an empty one; very long texts are read whole.  Templates are a parameter of
+    fixed size, and broadcast; they may be whole license texts, in any writing, with ``run``
+    the lines that such a text may be wrapped over."""
     spark = docs.sparkSession
-    rows = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates or TEMPLATES)]
+    low_words = lambda text: re.findall(WORD, text.translate(str.maketrans(_UP, _LOW)))
+    rows = [(i, label, sorted(set(low_words(text)))) for i, (label, text) in enumerate(templates or TEMPLATES)]
     rows = [r for r in rows if r[2]]
     least = min((math.ceil(len(r[2]) * containment - 1e-9) for r in rows), default=1)
     vocabulary = sorted({w for r in rows for w in r[2]})
@@ -77,7 +83,9 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     low = F.when(
         F.col("text").rlike("(?i)license"), F.split(F.translate("text", _UP, _LOW), BETWEEN)
     ).otherwise(F.array().cast("array<string>"))
-    lines = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(F.split(F.lower(line), BETWEEN), vocab))
+    # lower() equals lowering A-Z in words of a-z but for the Kelvin sign, which is hidden from it
+    plain = F.when(F.col("text").contains("\u212a"), F.replace("text", F.lit("\u212a"), F.lit("\u00e5"))).otherwise(F.col("text"))
+    lines = F.transform(F.split(plain, "\n"), lambda line: F.array_intersect(F.split(F.lower(line), BETWEEN), vocab))
     scanned = scanned.select(
         "doc_id",
         F.xxhash64("text").alias("same"),
@@ -100,7 +108,7 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
 
         return F.filter(F.transform("lines", run), lambda r: F.size(r["own"]) >= least)
 
-    block = scanned.select("doc_id", "same", F.inline(F.concat(*[runs(w) for w in range(1, RUN + 1)])))
+    block = scanned.select("doc_id", "same", F.inline(F.concat(*[runs(w) for w in range(1, run + 1)])))
     often = scanned.select(F.explode(F.flatten("lines")).alias("word")).groupBy("word").agg(F.count("*").alias("often"))
     words = F.broadcast(spark.range(1).select(F.explode(vocab).alias("word")))
     order = words.join(often, "word", "left").agg(
@@ -138,7 +146,7 @@ def scan_licenses(docs: DataFrame, *, templates: list[tuple[str, str]] | None =
     at = ["doc_id", "same", "line", "width", "template", "label"]
     matched = candidates.where(shared >= F.col("need")).select(*at, (shared / F.col("size")).alias("share")).distinct()
     # a match is passed on, without a share, to the longer runs around it
-    longer = F.array(*[F.struct((F.col("line") - d).alias("line"), (F.col("width") + e).alias("width"), F.lit(None).cast("double").alias("share")) for e in range(1, RUN) for d in range(e + 1)])
+    longer = F.array(*[F.struct((F.col("line") - d).alias("line"), (F.col("width") + e).alias("width"), F.lit(None).cast("double").alias("share")) for e in range(1, run) for d in range(e + 1)])
     own = F.array(F.struct("line", "width", "share"))
     found = (
         matched.select("doc_id", "same", "template", "label", F.inline(F.concat(own, longer)))

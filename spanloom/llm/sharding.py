@@ -90,8 +90,8 @@ def assign_shards(docs: DataFrame, *, shards: int = 16) -> DataFrame:
     Returns one row per input row: ``doc_id, size, text_crc32, law, shard, slot,
     grown_shard``.  ``size`` is the UTF-8 length plus one; a null text has none and counts
     as empty.  ``slot`` is gapless from 0 within a shard.  Rows that repeat, or have no
-    ``doc_id``, are placed like others; other columns are ignored; an empty table gives an
-    empty one.  One group larger than an even share makes its shard larger: groups are
+    ``doc_id``, are placed like others; a very long text is one row like any other, placed
+    by its size; other columns are ignored; an empty table gives an empty one.  One group larger than an even share makes its shard larger: groups are
     never split."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(
