@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_MODEL = "piece_bpe_32k.model"
+#: The key of op1's query, so that its results can be compared; a secret one is the caller's.
+QUERY_KEY = "key of the registered query"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +29,7 @@ def tokenizer_bytes(name: str = PIECE_MODEL, path: str | None = None) -> bytes:
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanloom.llm.surrogates import replace_private
 
-    return replace_private(table(spark, sf_dir, "documents"))
+    return replace_private(table(spark, sf_dir, "documents"), key=QUERY_KEY)
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 All DataFrame and SQL functions.  Every distinct entity (a phone number is the same
 however it is punctuated, an address whatever its case) gets one surrogate from a keyed
-hash, so mentions of one entity agree across all documents; a surrogate that equals
+hash (HMAC), so mentions of one entity agree across all documents; a surrogate that equals
 another entity's, or a real value, is drawn again until all are distinct.  A draw that
 has failed some times may be longer or of wider form, so that no format runs out.  Family
 names have surrogates of their own, so that long and short mentions of a person agree.
@@ -10,6 +10,8 @@ names have surrogates of their own, so that long and short mentions of a person
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +24,57 @@ PATTERNS = {
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d.]*\d)",
     "card": r"(?<!\d)[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?!\d)",
     "phone": r"(?<![\d+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{8,14}(?!\d)",
-    "name": r"\b(?:Mr|Mrs|Ms|Herr|Frau|Señora|Señor|Monsieur|Madame)\.? \p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?|(?:г-н|г-жа) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
+    "name": None,  # from the parts below
+}
+#: Words that stand before a person's name, by gender (none: either) and script.
+TITLES = {
+    ("m", "latin"): "Mr Herr Señor Sr Monsieur Mister Sir Don".split(),
+    ("f", "latin"): "Mrs Ms Miss Frau Señora Sra Señorita Madame Mme Mademoiselle Mlle Lady Doña".split(),
+    ("", "latin"): "Dr Prof Professor Doktor Docteur Doctor Doctora".split(),
+    ("m", "cyrillic"): "г-н господин".split(),
+    ("f", "cyrillic"): "г-жа госпожа".split(),
+    ("m", "greek"): "κύριος κ Κύριος Κ".split(),
+    ("f", "greek"): "κυρία κα Κυρία Κα".split(),
 }
+#: A name's word: capital and small letters, in parts joined by hyphens, or after a short prefix as in O'Neil.
+_WORD = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)*"
+_TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t)))
+PATTERNS["name"] = rf"(?<![\p{{L}}\d_-])(?:{_TITLE})\.? {_WORD}(?: {_WORD})?"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity: each pattern's match holds one of them.
-HINT = r"@|\d\d|\d\.\d|[=:] ?\"?[A-Za-z0-9/+_-]{8}|Mr|Ms|Herr|Frau|Señor|Monsieur|Madame|г-"
+HINT = rf"@|\d\d|\d\.\d|[=:] ?\"?[A-Za-z0-9/+_-]{{8}}|(?<![\p{{L}}\d_-])(?:{_TITLE})\.? "
 
 #: Given names by gender and script.
 NAMES = {
     ("m", "latin"): "Adam Bruno Carl Daniel Edgar Felix Georg Hugo Ivan Jonas Karl Leon Martin Niklas Oscar Paul".split(),
     ("f", "latin"): "Anna Berta Clara Diana Emma Flora Greta Helena Irene Julia Katrin Laura Maria Nora Olivia Paula".split(),
     ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Леонид Максим Никита Олег Павел Роман Семён Тимур".split(),
+    ("m", "greek"): "Άγγελος Βασίλης Γιώργος Δημήτρης Ηλίας Θάνος Ιάσων Κώστας Λάμπρος Μάριος Νίκος Πέτρος Σπύρος Τάσος Φώτης Χρήστος".split(),
+    ("f", "greek"): "Άννα Βάσω Γεωργία Δήμητρα Ελένη Ζωή Θάλεια Ιωάννα Κατερίνα Λίνα Μαρία Νίκη Ξένια Ρένα Σοφία Χριστίνα".split(),
     ("f", "cyrillic"): "Алла Вера Галина Дарья Елена Жанна Зоя Инна Ксения Лидия Марина Нина Ольга Полина Раиса Софья".split(),
 }
 SYLLABLES = {
     "latin": "ba be bo da de do ka ke ko la le lo ma me mo na".split(),
     "cyrillic": "ба бе бо да де до ка ке ко ла ле ло ма ме мо на".split(),
+    "greek": "βα βε βο δα δε δο κα κε κο λα λε λο μα με μο να".split(),
 }
 
 
-def _stream(seed: Column, length: Column) -> Column:
+def hmac_sha256(key: bytes, message: Column) -> Column:
+    """Hex digits of the keyed-hash message authentication code, from SQL's SHA-256."""
+    block = (sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = bytes(x ^ 0x36 for x in block), bytes(x ^ 0x5C for x in block)
+    first = F.unhex(F.sha2(F.concat(F.lit(inner), F.encode(message, "UTF-8")), 256))
+    return F.sha2(F.concat(F.lit(outer), first), 256)
+
+
+def _stream(key: str, seed: Column, length: Column) -> Column:
     """Hex digits of a keyed hash, two for each of ``length`` characters and more."""
     return F.array_join(
-        F.transform(F.sequence(F.lit(0), F.floor(length / 32).cast("int") + 1), lambda j: F.sha2(F.concat_ws("|", seed, j.cast("string")), 256)), ""
+        F.transform(
+            F.sequence(F.lit(0), F.floor(length / 32).cast("int") + 1), lambda j: hmac_sha256(key.encode(), F.concat_ws("|", seed, j.cast("string")))
+        ),
+        "",
     )
 
 
@@ -95,13 +125,15 @@ def draw(df: DataFrame, key: str) -> DataFrame:
 
     Kind ``family`` is a family name alone; a name takes the surrogate of its family name from ``family``."""
     df = df.withColumn(
-        "stream", _stream(F.concat_ws("|", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), F.length("canon"))
+        "stream", _stream(key, F.concat_ws("|", "kind", "canon", F.col("attempt").cast("string")), F.length("canon"))
     )
     octets = f"""array_join(transform(split(canon, '[.]'), (o, i) -> cast(CASE least(3, length(o) + attempt div 4)
         WHEN 1 THEN 1 + {_byte('stream', 'i')} % 9 WHEN 2 THEN 10 + {_byte('stream', 'i')} % 90
         ELSE 100 + {_byte('stream', 'i')} % 155 END AS string)), '.')"""
     body = "substring(_d, 1, length(_d) - 1)"
-    female = "canon RLIKE '^(Mrs|Ms|Frau|Señora|Madame|г-жа) '"
+    women, men = ("|".join(t for (g, _), ts in TITLES.items() for t in ts if g == gender) for gender in "fm")
+    # a title of either gender leaves it to the hash
+    female = f"(canon RLIKE '^({women}) ' OR (NOT canon RLIKE '^({men}) ' AND {_byte('stream', '1')} % 2 = 0))"
     parts = "split(canon, ' ')"
 
     def pick(values: list[str], at: str) -> str:
@@ -116,7 +148,14 @@ def draw(df: DataFrame, key: str) -> DataFrame:
         return f"IF(size({parts}) > 2, concat_ws(' ', get({parts}, 0), {given}, family), concat_ws(' ', get({parts}, 0), family))"
 
     def family(script: str) -> str:
-        return f"initcap({syllables(script, '0', '4 + attempt div 2')})"
+        word = f"initcap({syllables(script, '0', '4 + attempt div 2')})"
+        # double names stay double, and a prefix as in O'Neil stays
+        second = f"IF(canon LIKE '%-%', concat('-', initcap({syllables(script, '9 + attempt div 2', '3')})), '')"
+        prefix = "IF(ascii(substring(canon, 2, 1)) IN (39, 8217), left(canon, 2), '')"  # an apostrophe
+        return f"concat({prefix}, {word}, {second})"
+
+    def by_script(f) -> str:
+        return f"CASE WHEN canon RLIKE '[\\u0400-\\u04FF]' THEN {f('cyrillic')} WHEN canon RLIKE '[\\u0370-\\u03FF]' THEN {f('greek')} ELSE {f('latin')} END"
 
     more = f"IF(attempt < 4, '', array_join(transform(sequence(1, greatest(1, attempt div 4)), i -> char(97 + {_byte('stream', 'length(canon) + i')} % 26)), ''))"
     tail = "length(canon) - length(substring_index(canon, '.', -1)) - 1"
@@ -128,39 +167,47 @@ def draw(df: DataFrame, key: str) -> DataFrame:
             WHEN 'card' THEN concat({body}, {_luhn(body)})
             WHEN 'phone' THEN _d
             WHEN 'email' THEN concat({more}, {_letters('canon', 'stream', f'i >= {tail}')})
-            WHEN 'name' THEN IF(canon RLIKE '[\\\\u0400-\\\\u04FF]', {name('cyrillic')}, {name('latin')})
-            WHEN 'family' THEN IF(canon RLIKE '[\\\\u0400-\\\\u04FF]', {family('cyrillic')}, {family('latin')})
+            WHEN 'name' THEN {by_script(name)}
+            WHEN 'family' THEN {by_script(family)}
             ELSE concat({_letters('canon', 'stream')}, {more}) END"""),
     ).drop("stream", "_d")
 
 
 def assign_surrogates(entities: DataFrame, key: str, rounds: int = 64) -> DataFrame:
     """``kind, canon, surrogate`` for distinct ``kind, canon``: no two surrogates are equal and
-    none is a real value.  Names are drawn for once their family names have surrogates."""
+    none is a real value, of whatever kinds.  Names are drawn for once their family names have
+    surrogates; so what titles a person has, the family name is the same."""
     split = entities.select("kind", "canon", F.when(F.col("kind") == "name", F.substring_index("canon", " ", -1)).alias("family"))
     families = split.where("family is not null").select(F.lit("family").alias("kind"), F.col("family").alias("canon")).distinct()
     single = split.where("family is null").select("kind", "canon").unionByName(families)
     done = _distinct_draws(single.withColumn("family", F.lit(None).cast("string")), key, rounds)
     new = done.where("kind = 'family'").select(F.col("canon").alias("family"), F.col("surrogate").alias("new"))
     names = split.join(new, "family").select("kind", "canon", F.col("new").alias("family"))
-    return done.where("kind != 'family'").unionByName(_distinct_draws(stage(names, "name"), key, rounds))
+    done = stage(done.where("kind != 'family'"), "single")
+    return done.unionByName(_distinct_draws(stage(names, "name"), key, rounds, done))
 
 
-def _distinct_draws(entities: DataFrame, key: str, rounds: int) -> DataFrame:
-    """``kind, canon, surrogate``.  Rows that collide are drawn again; the least canon keeps its draw."""
+def _distinct_draws(entities: DataFrame, key: str, rounds: int, others: DataFrame | None = None) -> DataFrame:
+    """``kind, canon, surrogate``.  Rows that collide, with each other, with real values or with
+    the surrogates of ``others``, are drawn again; the least kind and canon keeps its draw."""
     left = entities.select("kind", "canon", "family", F.lit(0).alias("attempt"))
     # a draw costs far more than reading an entity, so few files must not mean few tasks
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = None
     for n in range(rounds):
         drawn = stage(draw(left.repartition(tasks, "kind", "canon"), key), "draw")
-        real = entities.select("kind", F.col("canon").alias("surrogate")).withColumn("real", F.lit(True))
-        taken = real if done is None else real.unionByName(done.select("kind", "surrogate", F.lit(True).alias("real")))
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("first"))
+        taken = entities.select(F.col("canon").alias("surrogate"))
+        for more in (done, others):
+            if more is not None:
+                taken = taken.unionByName(more.select("surrogate"))
+                taken = taken.unionByName(more.select(F.col("canon").alias("surrogate"))) if more is others else taken
+        taken = taken.distinct().withColumn("real", F.lit(True))
+        own = F.struct("kind", "canon")
+        first = drawn.groupBy("surrogate").agg(F.min(own).alias("first"))
         judged = stage(
-            drawn.join(first, ["kind", "surrogate"])
-            .join(taken.distinct(), ["kind", "surrogate"], "left")
-            .withColumn("ok", F.col("real").isNull() & (F.col("canon") == F.col("first")))
+            drawn.join(first, "surrogate")
+            .join(taken, "surrogate", "left")
+            .withColumn("ok", F.col("real").isNull() & (own == F.col("first")))
             .select("kind", "canon", "family", "surrogate", "attempt", "ok"),
             "drawn",
         )
@@ -190,13 +237,14 @@ def render(kind: Column, surface: Column, canon: Column, surrogate: Column) -> C
     )
 
 
-def replace_private(docs: DataFrame, *, key: str = "surrogate-key-1") -> DataFrame:
+def replace_private(docs: DataFrame, *, key: str) -> DataFrame:
     """One row per input row: ``doc_id, n_entities, kinds, text`` with all entities replaced.
 
+    ``key`` is the secret that surrogates hang on: with another key they are others.
     ``kinds`` are the distinct types found, sorted and comma-joined.  A null text stays null
     with no entities; texts without entities come back unchanged; equal texts are replaced
     alike; a null ``doc_id`` stays null; other columns are ignored; an empty table gives an
-    empty one.  Distinct entities, not mentions, are drawn for, so an address in a third of
+    empty one; very long texts are read whole.  Distinct entities, not mentions, are drawn for, so an address in a third of
     all rows is one row of the surrogate table."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     holds = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False))

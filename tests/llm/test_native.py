@@ -31,7 +31,7 @@ def test_surrogates_keep_type_format_and_identity(spark):
         (5, "Mrs. Jane Doe met Mr John Smith and г-н Иван Петров"),
         (6, "nothing here 123 45.6"), (7, None), (8, ""), (9, "bob.7@mail3.example.com"), (None, "44.195.207.247"),
     ]
-    got = {r["doc_id"]: r for r in U.replace_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r for r in U.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
     a, b = re.findall(r"[\w.]+@[\w.]+[a-z]", got[1]["text"])
     assert a.lower() == b and a[0].isupper() and "bob" not in b and b.endswith(".com") and got[9]["text"] == b
     x, y = re.match(r"call (\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1-\(\d{3}\)-\d{3}-\d{4})$", got[2]["text"]).groups()
@@ -60,9 +60,9 @@ def test_surrogates_depend_on_the_key(spark):
 
 
 def test_surrogates_edges(docs, corpus, empty):
-    got = {r["doc_id"]: r["text"] for r in U.replace_private(docs).collect()}
+    got = {r["doc_id"]: r["text"] for r in U.replace_private(docs, key="k").collect()}
     assert got == dict(corpus)
-    assert U.replace_private(empty).collect() == []
+    assert U.replace_private(empty, key="k").collect() == []
 
 
 def brute_license(text):
@@ -143,7 +143,7 @@ def test_sizes_are_near_equal(spark):
 @pytest.mark.parametrize("text, kind", [("a.b@c.example.org", "email"), ("10.0.0.1", "ip"), ("+1 (456) 555-2186", "phone"), ("4404 1894 9746 0879", "card"), ("token=abcdef123", "secret")])
 def test_kinds(spark, text, kind):
     d = spark.createDataFrame([(1, f"see {text}, ok")], "doc_id long, text string")
-    got = U.replace_private(d).first()
+    got = U.replace_private(d, key="k").first()
     assert got["kinds"] == kind and text not in got["text"] and got["text"].startswith("see ") and got["text"].endswith(", ok")
 
 
@@ -152,13 +152,13 @@ SHORTEST = ["a@b.co", "token=abcdefgh", "api_key=sk-live-abcdefgh", "password: a
 
 def test_a_text_of_one_entity_is_found(spark):
     d = spark.createDataFrame(list(enumerate(SHORTEST)), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in U.replace_private(d).collect()}
+    got = {r["doc_id"]: r for r in U.replace_private(d, key="k").collect()}
     assert [t for i, t in enumerate(SHORTEST) if got[i]["n_entities"] != 1 or got[i]["text"] == t] == []
 
 
 def test_long_and_short_mentions_of_a_person_agree(spark):
     d = spark.createDataFrame([(1, "Mr John Smith"), (2, "Mr. Smith"), (3, "Mrs Smith"), (4, "Mr Jack Smith"), (5, "г-н Иван Петров"), (6, "г-н Петров")], "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in U.replace_private(d).collect()}
+    got = {r["doc_id"]: r["text"] for r in U.replace_private(d, key="k").collect()}
     last = {i: t.split()[-1] for i, t in got.items()}
     assert last[1] == last[2] == last[3] == last[4] != "Smith" and last[5] == last[6] != "Петров" and len(set(got.values())) == 6
 
@@ -183,3 +183,81 @@ def test_wrapped_notices_are_found(spark):
     rows = [(i, f"x\n{t}\ny") for i, (_, t) in wrapped.items()] + [(9, wrapped[4][1].replace("\n", " ") + "\n\nof the and"), (10, "This is free and unencumbered\n" + "a\n" * 6 + "software released into the public domain")]
     got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {**{i: (label, 1) for i, (label, _) in wrapped.items()}, 9: ("unlicense", 1), 10: ("", 0)}
+
+
+def brute_entities(text):
+    """Kinds and surfaces, by another regex engine, place by place."""
+    import regex
+
+    out, at = [], 0
+    while at <= len(text):
+        hits = [(m.start(), k, m[0]) for k, p in U.PATTERNS.items() if (m := regex.compile(p).search(text, at))]
+        if not hits:
+            break
+        first = min(h[0] for h in hits)
+        _, kind, surface = next(h for h in hits if h[0] == first)
+        out.append((kind, surface))
+        at = first + len(surface)
+    return out
+
+
+def test_surrogates_equal_brute_force(spark, docs, corpus):
+    """The same entities as a plain scan finds; between them nothing changes; equal entities, and only they, agree."""
+    import regex
+
+    rows = [(1000 + i, t) for i, t in enumerate([
+        "dns 8.8.8.8 and 1.1.1.1", "password=ab-cdefgh1", "Mr John Smith met Mr. Smith and Mrs Smith", "Herr Müller-Lüdenscheid rief an", "Ms O'Neil left",
+        "Dr Anna Weber, Prof. Weber", "г-н Иванов и г-жа Анна Иванова", "κ. Παπάς και κα Μαρία Παπά", "mail a@b.org or A@B.org", "+4915112345678 or +49 (151) 1234 5678",
+        "4111 1111 1111 1111; 4111-1111-1111-1111", "Señora Nuñez y Sra García", "token: abcdefgh", "nobody here", "",
+    ])]
+    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in U.replace_private(d, key="k").collect()}
+    agree, values = {}, {}
+    for i, t in [*corpus, *rows]:
+        found = brute_entities(t or "")
+        assert got[i]["n_entities"] == len(found) and got[i]["kinds"] == ",".join(sorted({k for k, _ in found})), t
+        parts, at = [], 0
+        for _, surface in found:
+            j = t.index(surface, at)
+            parts.append(t[at:j])
+            at = j + len(surface)
+        shape = "(.+?)".join(regex.escape(x) for x in parts) + ("(.+?)" if found else "") + regex.escape((t or "")[at:])
+        m = regex.fullmatch(shape, got[i]["text"] or "", regex.S)
+        assert m, (t, got[i]["text"])
+        for (kind, surface), new in zip(found, m.groups()):
+            assert new != surface
+            canon = regex.sub(r"\D", "", surface) if kind in ("phone", "card") else surface.lower() if kind == "email" else surface.replace(".", "") if kind == "name" else surface
+            new = regex.sub(r"\D", "", new) if kind in ("phone", "card") else new.lower() if kind == "email" else new.replace(".", "") if kind == "name" else new
+            assert agree.setdefault((kind, canon), new) == new and values.setdefault(new, canon) == canon
+    family = lambda i, k: got[i]["text"].replace(",", "").split()[k]
+    assert family(1002, 2) == family(1002, 5) == family(1002, 8)
+    assert family(1005, 2) == family(1005, 4) and "-" in family(1003, 1) and family(1004, 1).startswith("O'")
+
+
+def test_codes_are_hmac(spark):
+    import hashlib
+    import hmac
+
+    from pyspark.sql import functions as F
+
+    for key in (b"k", b"x" * 100):
+        row = spark.range(1).select(U.hmac_sha256(key, F.lit("message ü")).alias("h")).first()
+        assert row["h"] == hmac.new(key, "message ü".encode(), hashlib.sha256).hexdigest()
+
+
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software."""
+
+
+def test_whole_license_texts_are_found(spark):
+    short = " ".join(MIT_TEXT.split()[:20])
+    narrow = "\n".join(MIT_TEXT.replace("\n", " ").split(", "))
+    rows = [(1, "code\n" + MIT_TEXT + "\nmore"), (2, MIT_TEXT.replace("\n", " ")), (3, narrow), (4, short), (5, "nothing of it")]
+    out = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates=[("whole-mit", MIT_TEXT)], run=12)
+    assert {r["doc_id"]: r["labels"] for r in out.collect()} == {1: "whole-mit", 2: "whole-mit", 3: "whole-mit", 4: "", 5: ""}
