@@ -45,13 +45,13 @@ def with_previous(df: DataFrame, keys: list[str], pos: str, columns: list[str],
     return d.join(last, [*keys, "bin_"]).withColumn("previous", F.coalesce(F.lag(row).over(own), F.col("before_"))).drop("bin_", "before_")
 
 
-def cumulative(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_size: int = BIN) -> DataFrame:
-    """Add the running sum of ``value`` in order of ``pos`` within ``keys``: within position bins, plus what stands before the bin."""
+def cumulative(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_size: int = BIN, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Add the running sum of ``value`` in order of ``pos``, then ``ties``, within ``keys``: within position bins, plus what stands before the bin."""
     d = df.withColumn("bin_", F.floor(F.col(pos) / bin_size))
     over = Window.partitionBy(*keys).orderBy("bin_")
     base = d.groupBy(*keys, "bin_").agg(F.sum(value).alias("sum_"))
     base = base.select(*keys, "bin_", (F.sum("sum_").over(over) - F.col("sum_")).alias("base_"))
-    own = Window.partitionBy(*keys, "bin_").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = Window.partitionBy(*keys, "bin_").orderBy(pos, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.join(base, [*keys, "bin_"]).withColumn(name, F.sum(value).over(own) + F.col("base_")).drop("bin_", "base_")
 
 

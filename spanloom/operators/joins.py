@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.operators.intervals import collapse, pad, strand_index, tiles
+from spanloom.operators.intervals import collapse, cumulative, pad, strand_index, tiles
 
 COLLAPSED = {"LENGTH", "FRACTION", "BOOLEAN", "BOOLEAN_ENDS"}
 ZERO_DEFAULT = {"COUNT", "COUNT_ENDS", "WEIGHTED"} | COLLAPSED
@@ -57,6 +57,9 @@ def crossing(
     if score_type.startswith("DISTANCE"):
         scored = nearest(places, r, keys, center=score_type == "DISTANCE_CENTER")
         default = F.lit(max_null)
+    elif score_type == "COUNT" and not compat:
+        scored = crossing_counts(places.where("start != end"), r, keys, touch=touch)
+        default = F.lit(0.0)
     else:
         pairs = overlap_join(places.where("start != end"), r, keys, cell=cell, touch=touch)
         if compat:
@@ -71,6 +74,27 @@ def crossing(
     )
 
 
+def crossing_counts(places: DataFrame, refs: DataFrame, keys: list[str], *, touch: bool = True) -> DataFrame:
+    """How many references each distinct place crosses, without pairing them, so a pile-up is no hot cell.
+
+    Those that have begun by its end, less those that have ended before its start: two
+    running counts over the ordered union of places and references."""
+
+    def passed(at: str, ref: str, refs_first: bool, name: str) -> DataFrame:
+        order = F.lit(0 if refs_first else 2)
+        none = F.lit(None).cast("long")
+        u = places.select(*keys, "start", "end", F.col(at).alias("pos"), F.lit(1).alias("rank"), F.lit(0).alias("one")).unionByName(
+            refs.groupBy(*keys, F.col(ref).alias("pos")).agg(F.count("*").cast("int").alias("one")).select(
+                *keys, none.alias("start"), none.alias("end"), "pos", order.alias("rank"), "one"
+            )
+        )
+        return cumulative(u, keys, "pos", "one", name, ties=("rank",)).where("rank = 1").select(*keys, "start", "end", name)
+
+    begun = passed("end", "rs", touch, "begun")
+    ended = passed("start", "re", not touch, "ended")
+    return begun.join(ended, [*keys, "start", "end"]).select(*keys, "start", "end", (F.col("begun") - F.col("ended")).cast("double").alias("cross_score"))
+
+
 def _value(score_type: str, min_fraction: float) -> Column:
     length = F.col("end") - F.col("start")
     overlap = F.least("end", "re") - F.greatest("start", "rs")

@@ -58,6 +58,51 @@ def series(spec: str, values: dict[str, str | None] | None = None) -> Iterator[d
         yield {k: v for d in combo for k, v in d.items()}
 
 
+@dataclass(frozen=True)
+class Directive:
+    """One setting that a stage declares: required, or with a default; ``kind`` makes its value."""
+
+    name: str
+    default: str | None = None
+    required: bool = False
+    kind: Callable[[str], Any] = str
+
+    @classmethod
+    def parse(cls, text: str) -> Directive:
+        """``require NAME`` or ``option NAME [default]``."""
+        m = re.fullmatch(r"\s*(require|option)\s+\$?(\w+)(?:\s+\[(.*)\])?\s*", text)
+        if not m or (m[1] == "require" and m[3] is not None):
+            raise ValueError(f"not a directive: {text}")
+        return cls(m[2], m[3], m[1] == "require")
+
+
+def settle(directives: list[Directive], values: dict[str, str | None]) -> dict[str, Any]:
+    """The declared settings' values; a required one without a value is an error."""
+    out: dict[str, Any] = {}
+    for d in directives:
+        v = value_of(values.get(d.name))
+        if v is None:
+            if d.required:
+                raise KeyError(f"variable {d.name} is not set")
+            v = value_of(d.default)
+        out[d.name] = None if v is None else d.kind(v)
+    return out
+
+
+def array_task(task: int, *lists: list[str]) -> tuple[str, ...]:
+    """The objects of an array's task, numbered from 1 over the cross of the lists, the last of which turns fastest."""
+    total, place = 1, task - 1
+    for values in lists:
+        total *= len(values)
+    if not 0 <= place < total:
+        raise IndexError(f"task {task} of {total}")
+    out: list[str] = []
+    for values in reversed(lists):
+        place, i = divmod(place, len(values))
+        out.append(values[i])
+    return tuple(reversed(out))
+
+
 @dataclass
 class Pipeline:
     """Named stages, each a function of its predecessors' results; run in an order that respects them."""
