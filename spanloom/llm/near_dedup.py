@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import components, drop_stage, keep_keys, map_texts, stage
+from spanloom.llm.work import drop_stage, keep_keys, map_texts, merged_components, stage
 
 BATCH = 32
 #: Members of a bucket that one task compares with as many others.
@@ -38,7 +38,7 @@ BLOCK = 1024
 #: Shingles (8 bytes each) of such a block, so that few very long texts fit too.
 BLOCK_SHINGLES = 4_000_000
 #: Ends of the runs of bands that are taken in turns; all bands beyond the last.
-TURNS = (2, 8)
+TURNS = (4,)
 
 
 def _sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -302,7 +302,7 @@ def near_duplicates(
     def in_blocks(n: Column, weight: Column) -> Column:
         return F.greatest(F.ceil(n / BLOCK), F.ceil(weight / BLOCK_SHINGLES)).cast("int")
 
-    comp = links = None
+    comp = None
     # where every bucket fits a block, one turn compares all pairs
     turns = TURNS if (size.agg(F.max("size")).first()[0] or 0) > BLOCK else ()
     for lo, hi in zip((0, *turns), (*turns, bands)):
@@ -313,9 +313,7 @@ def near_duplicates(
             "bucket", F.pmod(F.xxhash64("cls", F.lit(lo)), in_blocks(F.col("size"), F.col("weight"))).cast("int").alias("block"), "cls", "comp"
         )
         likely = dealt.join(sigs, "cls").groupBy("bucket", "block").applyInArrow(lambda key, t: _likely_forest(key, t, threshold, miss), PAIR)
-        found = verified(likely)
-        links = found if links is None else links.unionByName(found)
-        comp = stage(components(links, "a", "b"), "comp")
+        comp = stage(merged_components(comp, verified(likely), "a", "b"), "comp")
 
     # what is left: buckets of several components, the largest of which needs no comparison within
     rest = with_comp(member.select("bucket", "cls", "n"))
@@ -354,7 +352,7 @@ def near_duplicates(
         exact = open_.join(sets_of(open_), "cls").groupBy("bucket", "i", "j").applyInArrow(
             lambda key, t: _exact_forest(key, t, threshold, miss, percent), PAIR
         )
-        comp = stage(components(links.unionByName(exact.distinct()), "a", "b"), "comp")
+        comp = stage(merged_components(comp, exact.distinct(), "a", "b"), "comp")
     drop_stage(member, size, mixed, open_)
 
     # equal sets of a component meet by class; a component's rows are counted only by class

@@ -8,8 +8,10 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from spanloom.llm import textkernels as K
 
@@ -90,20 +92,47 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_se
     return df.join(keys, on, how)
 
 
+#: Edges (two ids each) that one task joins into components; more are first contracted by shuffles.
+FEW_EDGES = 10_000
+
+
+def _join_few(batches, kind: pa.DataType):
+    """Components of all edges that the task reads, by union-find: every node with the least node it reaches."""
+    root: dict = {}
+
+    def top(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for b in batches:
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist()):
+            root.setdefault(u, u)
+            root.setdefault(v, v)
+            x, y = top(u), top(v)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([top(x) for x in nodes], kind)], ["node", "comp"])
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components by contraction.
 
     ``edges`` is an undirected edge list over any orderable type.  Returns
     ``(node, comp)`` for every node of an edge; ``comp`` is the smallest node
     reachable.  In each round every node is merged into its least neighbour, so
-    the graph shrinks until no edge is left; the merges are then composed.  Each
-    round is written to the shared folder; the driver only learns whether edges
-    are left."""
+    the graph shrinks, until a count finds few edges left, which one task settles; the
+    merges are then composed.  Each round is written to the shared folder; the driver
+    only learns how many edges are left."""
     left = stage(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges"
     )
+    kind = left.schema["u"].dataType.simpleString()
+    arrow = to_arrow_type(left.schema["u"].dataType)
     merges: list[DataFrame] = []
-    while left.take(1) or not merges:
+    while left.count() > FEW_EDGES:
         both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("comp"))
         low = stage(low, "merge")
@@ -115,8 +144,22 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         )
         drop_stage(left)
         left = after
+    merges.append(stage(left.coalesce(1).mapInArrow(lambda it: _join_few(it, arrow), f"node {kind}, comp {kind}"), "merge"))
+    drop_stage(left)
     out = merges[-1]
     for low in reversed(merges[:-1]):
         above = out.toDF("comp", "top")
+        # a root of this round that meets no other later on is not a node there
         out = low.join(above, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
     return out
+
+
+def merged_components(comp: DataFrame | None, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """``comp`` (node, comp) after more edges: only they are joined, as edges between its components."""
+    if comp is None:
+        return components(edges, a, b)
+    of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c_{x}"))
+    named = edges.join(of(a), a, "left").join(of(b), b, "left")
+    more = components(named.select(F.coalesce(f"c_{a}", a).alias("x"), F.coalesce(f"c_{b}", b).alias("y")), "x", "y")
+    moved = comp.join(more.toDF("comp", "top"), "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    return moved.unionByName(more.join(comp.select("node"), "node", "left_anti"))

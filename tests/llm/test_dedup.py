@@ -102,6 +102,22 @@ def test_components_of_a_chain(spark):
     assert components(e.limit(0), "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 3, 10_000])
+def test_components_equal_brute_force_however_many_rounds(spark, monkeypatch, few):
+    from spanloom.llm import work
+
+    monkeypatch.setattr(work, "FEW_EDGES", few)
+    r = random.Random(few)
+    pairs = [(r.randrange(60), r.randrange(60)) for _ in range(45)]
+    old, new = pairs[:25], pairs[25:]
+    u = Union(range(60))
+    for a, b in pairs:
+        u.join(a, b)
+    first = components(spark.createDataFrame(old, "a long, b long"), "a", "b")
+    got = dict(map(tuple, work.merged_components(first, spark.createDataFrame(new, "a long, b long"), "a", "b").collect()))
+    assert got == {n: u.find(n) for n in got} and {n for p in pairs for n in p if p[0] != p[1]} <= set(got)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 50, 5000])
 def test_golomb_round_trip(n):
     v = np.unique(np.random.default_rng(n).integers(0, 1 << 22, n))
