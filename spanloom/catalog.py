@@ -615,8 +615,8 @@ def _normal(spark, d):
     return B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
 
 
-@query("plot_values", _NORM.replace("SELECT chrom, bin, sample, round(norm, 6) AS norm", "SELECT chrom, bin, sample, norm").join(("WITH pv AS (", """), c AS (SELECT *, floor(9000.0 / adj_len * 2 * 1000 + 0.5) / 1000 AS cn_raw, 9000.0 / adj_len * 2 AS cn FROM pv),
-    y AS (SELECT *, (norm - med_cov) / med_cov * cn * 1000 + 0.5 AS y FROM c) SELECT chrom, bin, sample, cn_raw, round(CASE WHEN y < 0 THEN ceil(y) ELSE floor(y) END / 1000, 2) AS dcn_raw FROM y""")))
+@query("plot_values", _NORM.replace("SELECT chrom, bin, sample, round(norm, 6) AS norm", "SELECT chrom, bin, sample, norm").join(("WITH pv AS (", """), c AS (SELECT *, floor(9000.0 / adj_len * 2 * 100 + 0.5) / 100 AS cn_raw FROM pv),
+    y AS (SELECT *, (norm - med_cov) / med_cov * cn_raw * 100 + 0.5 AS y FROM c) SELECT chrom, bin, sample, cn_raw, round(CASE WHEN y < 0 THEN ceil(y) ELSE floor(y) END / 100 + 0.0, 2) AS dcn_raw FROM y""")))
 def _(spark, d):
     out = B.plot_values(_normal(spark, d), ref_mean=9000.0).select("chrom", "bin", "sample", "cn_raw", "dcn_raw")
     return rounded(out, "dcn_raw", digits=2)
