@@ -96,6 +96,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.3)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.secrets import find_secrets, secret_digests
+
+    return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanloom.llm.conversations import Repair, damage, repair_digests
+
+    rows = table(spark, sf_dir, "conversations")
+    return repair_digests(rows, Repair(damage(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_licenses": op2_licenses,
@@ -107,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_secrets": op12_secrets,
+    "op13_conversations": op13_conversations,
 }
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,9 +171,62 @@ NEAR_SQL = rf"""
     k AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
     SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w LEFT JOIN n USING (doc_id) JOIN k ON k.doc_id = w.doc_id"""
 
+
+
+def _least(*ways: str) -> str:
+    return f"least({', '.join(ways)})"
+
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    """A state's element (twelve digits of cost, then the audit, so that text order is their order) after an edit."""
+    return f"lpad((left({state}, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({state}, 13) || '{letter}'"
+
+
+def conversations_sql() -> str:
+    """The repair as a recursion over turns that carries the best element of each of the four states."""
+    crc = "SELECT i, i::BIGINT AS v FROM range(256) r(i)"
+    for _ in range(8):
+        crc = f"SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END AS v FROM ({crc})"
+    to = lambda state, initial: f"CASE WHEN bad THEN NULL WHEN r = '{initial}' THEN {_edit(state, 'late', 'K')} ELSE {_edit(state, '3 + late', 'R')} END"
+    step = {
+        0: _edit("e0", "4", "D"),
+        1: _least(_edit("e1", "4", "D"), f"CASE WHEN NOT bad AND r = 's' THEN {_edit('e0', 'late', 'K')} END"),
+        2: _least(_edit("e2", "4", "D"), to("e0", "u"), to("e1", "u"), to("e3", "u")),
+        3: _least(_edit("e3", "4", "D"), to("e2", "a")),
+    }
+    raw = ", ".join(f"{x} AS e{k}" for k, x in step.items())
+    user = _least("e2", *(_edit(f"e{k}", "3", "I") for k in (0, 1, 3)))
+    return rf"""
+        WITH RECURSIVE table_ AS (SELECT list(v ORDER BY i) AS crcs FROM ({crc})),
+        o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+        h AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda c: ord(c)::BIGINT)),
+            lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS how FROM o, table_),
+        d AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+            CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE how WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE how <> 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS r FROM d),
+        f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            NOT regexp_matches(text, '[.!?][ 	-]*$') AS open_, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM n),
+        m AS (SELECT *, blank OR again AS bad, CASE WHEN open_ THEN 3 ELSE 0 END AS late FROM f),
+        s AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+            count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT bad AND open_) AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM m GROUP BY conv_id),
+        w AS (SELECT conv_id, 0::BIGINT AS i, '000000000000' AS e0, NULL::VARCHAR AS e1, '000000000003I' AS e2, '000000000006II' AS e3 FROM s
+            UNION ALL SELECT conv_id, i, e0, e1, e2, {_least("e3", _edit("e2", "3", "I"))} FROM (SELECT conv_id, i, e0, e1, {user} AS e2, e3 FROM (
+                SELECT m.conv_id, m.i, {raw} FROM w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i + 1))),
+        a AS (SELECT s.*, left(least(e0, e3), 12)::BIGINT AS cost, substr(least(e0, e3), 13) AS audit FROM s JOIN w ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i),
+        c AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS p FROM a),
+        q AS (SELECT conv_id, p, audit[p] AS op, len(replace(audit, 'D', '')) % 2 AS system, p - len(replace(left(audit, p), 'I', '')) AS skip, len(replace(left(audit, p), 'D', '')) AS kept FROM c),
+        t AS (SELECT q.conv_id, sha256(string_agg(CASE WHEN op = 'K' THEN role WHEN (kept - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN op = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS hash FROM q LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM q.conv_id AND m.i = p - skip WHERE op <> 'D' GROUP BY q.conv_id)
+        SELECT x.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) x LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM x.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM x.conv_id"""
+
+
 ORACLE: dict[str, str] = {
     "op2_licenses": licenses_sql(),
     "op4_near_dedup": NEAR_SQL,
+    "op13_conversations": conversations_sql(),
     "op8_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
