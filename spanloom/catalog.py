@@ -52,7 +52,7 @@ BED3 = 's AS start, e AS "end"'
 
 
 def _collapse_sql(key: str = "'.'", pad: int = 0, names: bool = False) -> str:
-    return f"""{with_('f')}, cp AS (SELECT chrom, {key} AS k, s - {pad} AS s, e + {pad} AS e, name FROM f),
+    return f"""{with_('iv')}, cp AS (SELECT chrom, {key} AS k, s - {pad} AS s, e + {pad} AS e, name FROM iv),
         m AS (SELECT *, max(e) OVER (PARTITION BY chrom, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM cp),
         g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
         c AS (SELECT chrom, k, min(s) AS s, max(e) AS e, count(*) AS n, string_agg(CASE WHEN name = '0' THEN chrom || ':' || s || '-' || e || '[' || k || ']' ELSE name END, '::' ORDER BY s, e, name) AS name FROM g GROUP BY chrom, k, gid)"""
@@ -60,27 +60,27 @@ def _collapse_sql(key: str = "'.'", pad: int = 0, names: bool = False) -> str:
 
 @query("collapse", _collapse_sql(names=True) + f" SELECT chrom, {BED3}, name, 0.0::DOUBLE AS score, '+' AS strand, n FROM c")
 def _(spark, d):
-    return I.collapse(P.features(spark, d))
+    return I.collapse(P.intervals(spark, d))
 
 
 @query("collapse_stranded", _collapse_sql("strand") + f" SELECT chrom, {BED3}, name, 0.0::DOUBLE AS score, k AS strand, n FROM c")
 def _(spark, d):
-    return I.collapse(P.features(spark, d), stranded=True)
+    return I.collapse(P.intervals(spark, d), stranded=True)
 
 
 @query("collapse_padded", _collapse_sql(pad=250) + ' SELECT chrom, s + 250 AS start, e - 250 AS "end", n FROM c')
 def _(spark, d):
-    return I.collapse(P.features(spark, d), padding=250, unpadded=True, names=False).select("chrom", "start", "end", "n")
+    return I.collapse(P.intervals(spark, d), padding=250, unpadded=True, names=False).select("chrom", "start", "end", "n")
 
 
-@query("pad_unpad", with_("f") + ' SELECT name, s - 100 AS start, e + 100 AS "end" FROM f')
+@query("pad_unpad", with_("iv") + ' SELECT name, s - 100 AS start, e + 100 AS "end" FROM iv')
 def _(spark, d):
-    return I.pad(P.features(spark, d), 100).select("name", "start", "end")
+    return I.pad(P.intervals(spark, d), 100).select("name", "start", "end")
 
 
-@query("offset_control", with_("f") + ' SELECT name, s + 5000 AS start, e + 5000 AS "end" FROM f')
+@query("offset_control", with_("iv") + ' SELECT name, s + 5000 AS start, e + 5000 AS "end" FROM iv')
 def _(spark, d):
-    return I.offset(P.features(spark, d), 5000).select("name", "start", "end")
+    return I.offset(P.intervals(spark, d), 5000).select("name", "start", "end")
 
 
 def _grouped(d: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def _grouped(d: DataFrame) -> DataFrame:
     return d.withColumns({"start": F.floor(F.col("start") / 20000) * 20000, "end": F.floor(F.col("start") / 20000) * 20000 + 20000})
 
 
-_GROUP_SQL = with_("f") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, name, score FROM f)
+_GROUP_SQL = with_("iv") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, name, score FROM iv)
     SELECT chrom, s AS start, s + 20000 AS "end", string_agg(name, '::' ORDER BY name) AS name, {v} AS score, '+' AS strand FROM g GROUP BY chrom, s"""
 for _type, _agg in {
     "COUNT": "count(*)::DOUBLE", "SUM": "round(sum(score), 6)", "AVERAGE": "round(avg(score), 6)", "MEDIAN": "round(median(score), 6)",
@@ -97,31 +97,31 @@ for _type, _agg in {
 
     @query(f"group_{_type.lower()}", _GROUP_SQL.replace("{v}", _agg))
     def _(spark, d, kind=_type):
-        return rounded(I.group(_grouped(P.features(spark, d)), kind), "score")
+        return rounded(I.group(_grouped(P.intervals(spark, d)), kind), "score")
 
 
 @query(
     "group_median_upper",
-    with_("f") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, list_sort(list(score)) AS v FROM f GROUP BY ALL)
+    with_("iv") + """, g AS (SELECT chrom, (s // 20000) * 20000 AS s, list_sort(list(score)) AS v FROM iv GROUP BY ALL)
     SELECT chrom, s AS start, v[CAST(floor(len(v) / 2.0 + 0.5) AS BIGINT) + 1] AS score FROM g""",
 )
 def _(spark, d):
-    return _grouped(P.features(spark, d)).groupBy("chrom", "start").agg(I.median_upper().alias("score"))
+    return _grouped(P.intervals(spark, d)).groupBy("chrom", "start").agg(I.median_upper().alias("score"))
 
 
-_SPLIT = with_("f", "chroms") + """, p AS (SELECT DISTINCT chrom, pos FROM (SELECT chrom, s AS pos FROM f UNION ALL SELECT chrom, e FROM f)),
+_SPLIT = with_("iv", "chroms") + """, p AS (SELECT DISTINCT chrom, pos FROM (SELECT chrom, s AS pos FROM iv UNION ALL SELECT chrom, e FROM iv)),
     q AS (SELECT chrom, pos AS ps, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS pe FROM p),
-    sp AS (SELECT f.chrom, q.ps, q.pe, f.name, f.score FROM f JOIN q ON f.chrom = q.chrom AND q.ps >= f.s AND q.pe <= f.e)"""
+    sp AS (SELECT iv.chrom, q.ps, q.pe, iv.name, iv.score FROM iv JOIN q ON iv.chrom = q.chrom AND q.ps >= iv.s AND q.pe <= iv.e)"""
 
 
 @query("split", _SPLIT + ' SELECT chrom, ps AS start, pe AS "end", name, score FROM sp')
 def _(spark, d):
-    return I.split(P.features(spark, d)).select("chrom", "start", "end", "name", "score")
+    return I.split(P.intervals(spark, d)).select("chrom", "start", "end", "name", "score")
 
 
 @query("split_grouped", _SPLIT + """ SELECT chrom, ps AS start, pe AS "end", string_agg(name, '::' ORDER BY name) AS name, round(sum(score), 6) AS score FROM sp GROUP BY ALL""")
 def _(spark, d):
-    return rounded(I.group(I.split(P.features(spark, d)), "SUM"), "score").select("chrom", "start", "end", "name", "score")
+    return rounded(I.group(I.split(P.intervals(spark, d)), "SUM"), "score").select("chrom", "start", "end", "name", "score")
 
 
 _GAPS = _collapse_sql() + """, z AS (SELECT 'chr' || i AS chrom, 600000 AS size FROM range(1, 6) t(i)),
@@ -132,15 +132,15 @@ _GAPS = _collapse_sql() + """, z AS (SELECT 'chr' || i AS chrom, 600000 AS size
 
 @query("gaps_complement", _GAPS + """ SELECT chrom, a AS start, b AS "end", 'GAP' AS name FROM gaps""")
 def _(spark, d):
-    return I.complement(P.features(spark, d), P.chroms(spark)).select("chrom", "start", "end", "name")
+    return I.complement(P.intervals(spark, d), P.chroms(spark)).select("chrom", "start", "end", "name")
 
 
-@query("split_gaps", _SPLIT + """, u AS (SELECT chrom, ps AS start, pe AS "end", name FROM sp) """ + ", " + _GAPS[len(with_("f")) + 2 :] + """ SELECT * FROM u UNION ALL SELECT chrom, a, b, 'GAP' FROM gaps""")
+@query("split_gaps", _SPLIT + """, u AS (SELECT chrom, ps AS start, pe AS "end", name FROM sp) """ + ", " + _GAPS[len(with_("iv")) + 2 :] + """ SELECT * FROM u UNION ALL SELECT chrom, a, b, 'GAP' FROM gaps""")
 def _(spark, d):
-    return I.split(P.features(spark, d), chroms=P.chroms(spark), gaps=True).select("chrom", "start", "end", "name")
+    return I.split(P.intervals(spark, d), chroms=P.chroms(spark), gaps=True).select("chrom", "start", "end", "name")
 
 
-_DEPTH = with_("f") + """, p AS (SELECT chrom, pos, sum(d) AS d FROM (SELECT chrom, s AS pos, 1 AS d FROM f UNION ALL SELECT chrom, e, -1 FROM f) GROUP BY chrom, pos),
+_DEPTH = with_("iv") + """, p AS (SELECT chrom, pos, sum(d) AS d FROM (SELECT chrom, s AS pos, 1 AS d FROM iv UNION ALL SELECT chrom, e, -1 FROM iv) GROUP BY chrom, pos),
     w AS (SELECT chrom, pos AS s, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS e,
           sum(d) OVER (PARTITION BY chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth FROM p),
     dp AS (SELECT chrom, s, e, CAST(depth AS BIGINT) AS depth FROM w WHERE e IS NOT NULL AND depth > 0)"""
@@ -148,31 +148,38 @@ _DEPTH = with_("f") + """, p AS (SELECT chrom, pos, sum(d) AS d FROM (SELECT chr
 
 @query("depth", _DEPTH + f" SELECT chrom, {BED3}, depth FROM dp")
 def _(spark, d):
-    return I.depth(P.features(spark, d))
+    return I.depth(P.intervals(spark, d))
 
 
 @query("depth_histogram", _DEPTH + """, h AS (SELECT depth, CAST(sum(e - s) AS BIGINT) AS n FROM dp GROUP BY depth)
     SELECT * FROM h UNION ALL SELECT 0, 5 * 600000 - CAST((SELECT sum(n) FROM h) AS BIGINT)""")
 def _(spark, d):
-    return V.depth_histogram(P.features(spark, d), P.chroms(spark))
+    return V.depth_histogram(P.intervals(spark, d), P.chroms(spark))
 
 
 @query("base_coverage", _DEPTH + f" SELECT chrom, {BED3}, round(depth / 50.0, 6) AS coverage FROM dp")
 def _(spark, d):
-    return rounded(V.base_coverage(P.features(spark, d), 50.0), "coverage")
+    return rounded(V.base_coverage(P.intervals(spark, d), 50.0), "coverage")
 
 
-@query("bin_coverage", with_("f") + " SELECT strand, chrom, CAST(floor(s / 1000.0 + 0.5) * 1000 AS BIGINT) AS bin, round(sum(score), 6) AS coverage FROM f GROUP BY ALL")
+@query("bin_coverage", with_("iv") + " SELECT strand, chrom, CAST(floor(s / 1000.0 + 0.5) * 1000 AS BIGINT) AS bin, round(sum(score), 6) AS coverage FROM iv GROUP BY ALL")
 def _(spark, d):
-    return rounded(V.bin_coverage(P.features(spark, d), 1000, count="score"), "coverage")
+    return rounded(V.bin_coverage(P.intervals(spark, d), 1000, count="score"), "coverage")
 
 
-@query("chunk_tiles", """SELECT 'chr' || c AS chrom, CAST(i AS INTEGER) AS chunk, CAST(i * 41000 + 1 AS BIGINT) AS start,
+_SIZES = with_("iv") + """, z AS (SELECT chrom, CAST(max(e) + sum(score) AS BIGINT) AS size FROM iv GROUP BY chrom)"""
+
+
+def _sizes(spark, d) -> DataFrame:
+    """Chromosomes as long as their furthest end and all their scores together."""
+    return P.intervals(spark, d).groupBy("chrom").agg(F.round(F.max("end") + F.sum("score")).cast("long").alias("size"))
+
+
+@query("chunk_tiles", _SIZES.replace("CAST(max(e) + sum(score) AS BIGINT)", "CAST(round(max(e) + sum(score)) AS BIGINT)") + """ SELECT chrom, CAST(i AS INTEGER) AS chunk, CAST(i * 41000 + 1 AS BIGINT) AS start,
     CAST(CASE WHEN i = n THEN size ELSE (i + 1) * 41000 END AS BIGINT) AS "end"
-    FROM (SELECT c, 100000 * c AS size, greatest(0, CAST(ceil((100000 * c - 1.1 * 41000) / 41000) AS BIGINT)) AS n FROM range(1, 6) t(c)), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
+    FROM (SELECT chrom, size, greatest(0, CAST(ceil((size - 1.1 * 41000) / 41000) AS BIGINT)) AS n FROM z), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
 def _(spark, d):
-    sizes = P.chroms(spark).select("chrom", (F.substring("chrom", 4, 2).cast("long") * 100000).alias("size"))
-    return V.chunk_tiles(sizes, 41000)
+    return V.chunk_tiles(_sizes(spark, d), 41000)
 
 
 # ---- interval joins -------------------------------------------------------------------
@@ -476,15 +483,16 @@ def _(spark, d):
     return regions.groupBy("iteration").agg(F.sum("score").alias("n"))
 
 
-@query("permute_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+@query("permute_rules", with_("f") + """, n AS (SELECT count(*) AS n FROM f) SELECT CAST(i AS INTEGER) AS iteration, n AS inside, n AS clear, n AS apart FROM n, range(0, 10) t(i)""")
 def _(spark, d):
-    """Placements beyond a chromosome, on an exclusion, or on another placement: none."""
+    """How many placements of each iteration lie inside a chromosome, off the exclusions, and apart from the others: all."""
     placed, ex, chroms = _placed(spark, d)
-    sims = placed.where("iteration >= 0")
-    out = sims.join(F.broadcast(chroms.select("chrom", "size")), "chrom", "left").where("size is null or start < 0 or end > size").select(F.lit("bounds").alias("rule"))
-    hit = X.crossing(sims, ex, "LENGTH", touch=False).where("cross_score > 0").select(F.lit("exclusion").alias("rule"))
-    met = I.depth(sims.select(F.concat_ws("|", "iteration", "chrom").alias("chrom"), "start", "end")).where("depth > 1").select(F.lit("overlap").alias("rule"))
-    return out.unionByName(hit).unionByName(met).groupBy("rule").agg(F.count("*").alias("n"))
+    sims = placed.where("iteration >= 0").withColumn("own", F.concat_ws("|", "iteration", "chrom"))
+    inside = sims.join(F.broadcast(chroms.select("chrom", "size")), "chrom").where("start >= 0 and end <= size").groupBy("iteration").agg(F.count("*").alias("inside"))
+    clear = X.crossing(sims, ex, "LENGTH", touch=False).where("cross_score = 0").groupBy("iteration").agg(F.count("*").alias("clear"))
+    own = sims.select("iteration", F.col("own").alias("chrom"), "start", "end", "score", "strand")
+    apart = X.crossing(own, own, "COUNT", touch=False).where("cross_score = 1").groupBy("iteration").agg(F.count("*").alias("apart"))
+    return inside.join(clear, "iteration").join(apart, "iteration")
 
 
 @query("simulate")
@@ -505,17 +513,17 @@ def _(spark, d):
 
 @query("hotspot")
 def _(spark, d):
-    features, _, chroms = P.simulated(spark, d)
+    features, chroms = P.grown(spark, d)
     return M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=5, seed=3)
 
 
-@query("hotspot_first", f"""WITH {_GROWN}, m AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM gf),
+@query("hotspot_first", f"""WITH {_GROWN}, m AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM gv),
     g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m),
     c AS (SELECT count(*) AS n FROM g GROUP BY chrom, gid), t AS (SELECT max(n) AS most, CAST(sum(n) AS BIGINT) AS total FROM c)
     SELECT any_value(total) AS n_features, any_value(most) AS cluster_size, CAST(count(*) AS INTEGER) AS n_clusters, count(*) * any_value(most) AS n_clustered FROM c, t WHERE n = most""")
 def _(spark, d):
     """The first round's clusters, of all features."""
-    features, _, chroms = P.simulated(spark, d)
+    features, chroms = P.grown(spark, d)
     out = M.hotspot(_named(features).withColumn("name", F.col("id")), chroms, iterations=2, seed=3, rounds=1)
     return out.select("n_features", "cluster_size", "n_clusters", "n_clustered")
 
@@ -562,20 +570,81 @@ def _(spark, d):
     return rounded(n, "norm").select("chrom", "bin", "sample", "norm", "med_cov", "adj_len")
 
 
-@query("correct_for_gaps", _COLLAPSED_REFS[: _COLLAPSED_REFS.index("x AS (")].rstrip().rstrip(",") + """, bn AS (SELECT 'chr' || q AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 9999 AS e FROM range(1, 6) t(q), range(0, 60) u(b))
-    SELECT bn.chrom, bin, 10000::BIGINT AS length, CAST(10000 - coalesce(sum(least(bn.e + 1, c.re) - greatest(bn.s, c.rs)) FILTER (c.rs IS NOT NULL), 0) AS BIGINT) AS no_gap_len
-    FROM bn LEFT JOIN c ON bn.chrom = c.chrom AND c.rs < bn.e + 1 AND c.re > bn.s GROUP BY bn.chrom, bin""")
+@query("correct_for_gaps", _collapse_sql() + """, bn AS (SELECT 'chr' || q AS chrom, b AS bin, b * 10000 AS s, b * 10000 + 9999 AS e FROM range(1, 6) t(q), range(0, 60) u(b))
+    SELECT bn.chrom, bin, 10000::BIGINT AS length, CAST(10000 - coalesce(sum(least(bn.e + 1, c.e) - greatest(bn.s, c.s)) FILTER (c.s IS NOT NULL), 0) AS BIGINT) AS no_gap_len
+    FROM bn LEFT JOIN c ON bn.chrom = c.chrom AND c.s < bn.e + 1 AND c.e > bn.s GROUP BY bn.chrom, bin""")
 def _(spark, d):
-    gaps = I.collapse(P.refs(spark, d), names=False)
+    gaps = I.collapse(P.intervals(spark, d), names=False)
     return B.correct_for_gaps(P.fixed_bins(spark), gaps).select("chrom", "bin", "length", "no_gap_len")
 
 
-@query("bin_ends")
+_WALK = """, mg AS (SELECT chrom, pos, sum(x) AS x FROM (SELECT chrom, pos, delta / avg_len AS x FROM bk JOIN (SELECT sample, floor(avg(len) + 0.5) AS avg_len FROM fr GROUP BY sample) USING (sample) UNION ALL SELECT DISTINCT chrom, 0, 0.0 FROM bk) GROUP BY ALL),
+    lv AS (SELECT chrom, pos, sum(x) OVER w AS level, lead(pos) OVER w - pos AS n FROM mg WINDOW w AS (PARTITION BY chrom ORDER BY pos)),
+    li AS (SELECT chrom, pos, level, coalesce(sum(level * n) OVER (PARTITION BY chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS total FROM lv),
+    ar AS (SELECT chrom, list(pos ORDER BY pos) AS p, list(level ORDER BY pos) AS l, list(total ORDER BY pos) AS t FROM li GROUP BY chrom),
+    w AS (SELECT chrom, target, 0::BIGINT AS n, 0::BIGINT AS s FROM ar, targets UNION ALL SELECT chrom, target, n + 1, e + 1 FROM step WHERE e IS NOT NULL)"""
+_STEP = """SELECT chrom, target, n, s, CASE WHEN k <= len(t) THEN CAST(trunc(p[k] - (t[k] - goal) / l[k - 1] - 0.5) AS BIGINT) END AS e FROM (
+    SELECT *, len([1 FOR y IN t IF y < goal]) + 1 AS k FROM (SELECT *, t[i] + (s - p[i]) * l[i] + target AS goal FROM (
+        SELECT chrom, target, n, s, p, l, t, len([1 FOR y IN p IF y <= s]) AS i FROM w JOIN ar USING (chrom))))"""
+
+
+def _bins_sql(targets: str) -> str:
+    """Bins of each target by a recursion from bin to bin, over the cumulative line as lists."""
+    return _BREAKS.replace("WITH ", "WITH RECURSIVE ", 1) + f", targets AS ({targets})" + _WALK.replace("FROM step", f"FROM ({_STEP})") + (
+        f", bins AS (SELECT chrom, target, n AS bin, s AS start, coalesce(e, 600000) AS stop FROM ({_STEP}) WHERE e IS NOT NULL OR s <= 600000)"
+    )
+
+
+@query("bin_ends", _bins_sql("SELECT 60.0::DOUBLE AS target") + ' SELECT chrom, bin, start, stop AS "end" FROM bins')
 def _(spark, d):
     fr = P.fragments(spark, d)
     return B.bin_ends(V.break_map(fr), P.chroms(spark), _lengths(fr), bin_count=20.0, n_samples=3)
 
 
+_COUNTS = list(range(25, 425, 25))
+_CANDIDATES = _bins_sql(f"SELECT unnest({_COUNTS})::BIGINT AS vbc, floor(vbc / 3.0 + 0.5) * 3 AS target") + """, sz AS (SELECT vbc, stop - start + 1 - coalesce((SELECT sum(least(stop + 1, g.e) - greatest(start, g.s)) FROM gaps g WHERE g.chrom = bins.chrom AND g.s < stop + 1 AND g.e > start), 0) AS v
+        FROM bins JOIN targets USING (target) WHERE chrom = 'chr2' AND start >= 1000 AND stop <= 480000),
+    pk AS (SELECT vbc, v FROM sz JOIN (SELECT vbc, median(v) AS mid FROM sz GROUP BY vbc) USING (vbc) WHERE v BETWEEN mid - mid / 2 AND mid + mid / 2),
+    cd AS (SELECT vbc AS count, median(v) AS median, avg(v) AS mean, stddev_samp(v) AS sd FROM pk GROUP BY vbc)"""
+_CANDIDATES = _CANDIDATES.replace(", targets AS (", ", gaps AS (SELECT chrom, s, e FROM (SELECT 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % 500000 AS s, (event_id * 7919) % 500000 + 3 AS e FROM events WHERE event_id % 5 = 0)), targets AS (", 1)
+
+
+def _candidates(spark, d) -> DataFrame:
+    """All nominal counts on one chromosome, with short gaps."""
+    fr = P.fragments(spark, d)
+    start = (F.col("event_id") * 7919) % 500000
+    gaps = P.intervals(spark, d).where("event_id % 5 = 0").select("chrom", start.alias("start"), (start + 3).alias("end"))
+    return B.candidate_counts(B.cumulative_line(V.break_map(fr), _lengths(fr)), P.chroms(spark), ("chr2", 1000, 480000), _COUNTS, n_samples=3, gaps=gaps)
+
+
+@query("bin_count_candidates", _CANDIDATES + " SELECT count, round(median, 6) AS median, round(mean, 6) AS mean, round(sd, 6) AS sd FROM cd")
+def _(spark, d):
+    return rounded(_candidates(spark, d).withColumn("count", F.col("count").cast("long")), "median", "mean", "sd")
+
+
+@query("bin_count", _CANDIDATES + " SELECT count, round(mean, 6) AS mean FROM cd WHERE mean - 1.25 * sd > 2.0 / 3 * (mean + 1.25 * sd) ORDER BY count LIMIT 1")
+def _(spark, d):
+    return rounded(B.pick_bin_count(_candidates(spark, d)).select(F.col("count").cast("long").alias("count"), "mean"), "mean")
+
+
+@query("reference_stats", with_("iv") + """, o AS (SELECT e - s AS v FROM iv WHERE chrom = 'chr2' AND s >= 10000 AND e <= 400000), m AS (SELECT median(v) AS mid FROM o)
+    SELECT round(median(v), 6) AS median, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd FROM o, m WHERE v >= mid - mid / 2 AND v <= mid + mid / 2""")
+def _(spark, d):
+    return rounded(B.reference_stats(P.intervals(spark, d).withColumn("no_gap_len", F.col("end") - F.col("start")), "chr2", 10000, 400000), "median", "mean", "sd")
+
+
+_STATS = with_("iv") + """, p AS (SELECT iv.chrom, cn, e - s AS v FROM iv, range(1, 4) t(cn)),
+    k AS (SELECT chrom, cn, count(*) AS n, median(v) AS median, avg(v) AS mean, stddev_samp(v) AS sd FROM p WHERE v BETWEEN {k} * (200 - 2.5 * 30) AND {k} * (200 + 2.5 * 30) GROUP BY ALL),
+    b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY n DESC, cn) = 1)
+    SELECT c.chrom, CASE WHEN n > 100 THEN round(median, 6) ELSE 0 END::DOUBLE AS median, CASE WHEN n > 100 THEN round(mean, 6) ELSE 0 END::DOUBLE AS mean, CASE WHEN n > 100 THEN round(sd, 6) ELSE 0 END::DOUBLE AS sd FROM (SELECT DISTINCT chrom FROM iv) c LEFT JOIN b USING (chrom)"""
+for _name, _compat in (("bin_stats", False), ("bin_stats_compat", True)):
+
+    @query(_name, _STATS.replace("{k}", "1.0" if _compat else "(2.0 / cn)"))
+    def _(spark, d, compat=_compat):
+        bins = P.intervals(spark, d).withColumn("adj_len", F.col("end") - F.col("start"))
+        return rounded(B.bin_stats(bins, mean=200.0, sd=30.0, compat=compat), "median", "mean", "sd")
+
+
 @query("viterbi_cn")
 def _(spark, d):
     raw, bins = _raw(spark, d)
@@ -585,7 +654,21 @@ def _(spark, d):
     return B.copy_number(one, mean=m["m"], sd=max(m["s"], 1.0))
 
 
-@query("copy_changes")
+def _changes_sql() -> str:
+    """The path by a recursion over bins that carries the best score and path of each state."""
+    moves = "[sc[a] + CASE WHEN a = b THEN ln(0.95) ELSE ln(0.05 / 4) END FOR a IN range(1, 6)]"
+    return _WEIGHTS.replace("WITH ", "WITH RECURSIVE ", 1) + f""", tt AS (SELECT sample, sum(raw) AS t FROM raw GROUP BY sample), wt AS (SELECT sample, t / (SELECT median(t) FROM tt) AS weight FROM tt),
+        md AS (SELECT chrom, bin, CASE WHEN floor(median(raw / weight) + 0.5) = 0 THEN 1.0 ELSE floor(median(raw / weight) + 0.5) END AS m FROM raw JOIN wt USING (sample) GROUP BY ALL),
+        o AS (SELECT chrom, sample, bin, row_number() OVER (PARTITION BY chrom, sample ORDER BY bin) AS i, round_even(raw, 0) AS x, weight * m / 2 AS one FROM raw JOIN wt USING (sample) JOIN md USING (chrom, bin)),
+        em AS (SELECT chrom, sample, bin, i, [greatest(x * ln(mu) - mu - lgamma(x + 1), ln(1e-300)) FOR mu IN [0.05 * one + 1, one, one * 2, one * 3, one * 4]] AS e FROM o),
+        v AS (SELECT chrom, sample, i, [y - ln(5) FOR y IN e] AS sc, ['1', '2', '3', '4', '5'] AS path FROM em WHERE i = 1
+            UNION ALL SELECT chrom, sample, i, [list_max(ways[b]) + e[b] FOR b IN range(1, 6)], [path[list_position(ways[b], list_max(ways[b]))] || b FOR b IN range(1, 6)]
+            FROM (SELECT em.chrom, em.sample, em.i, e, path, [{moves} FOR b IN range(1, 6)] AS ways FROM v JOIN em ON em.chrom = v.chrom AND em.sample = v.sample AND em.i = v.i + 1)),
+        last AS (SELECT chrom, sample, path[list_position(sc, list_max(sc))] AS path FROM v QUALIFY row_number() OVER (PARTITION BY chrom, sample ORDER BY i DESC) = 1)
+        SELECT chrom, bin, sample, CAST(CAST(path[i] AS INTEGER) - 3 AS INTEGER) AS dcn FROM last JOIN em USING (chrom, sample)"""
+
+
+@query("copy_changes", _changes_sql())
 def _(spark, d):
     raw, bins = _raw(spark, d)
     n = B.normalise(raw, bins.withColumn("no_gap_len", F.col("end") - F.col("start") + 1), bin_count=50.0)
@@ -634,14 +717,11 @@ def _(spark, d):
     return rounded(B.bin_peaks(bins, width=500.0).withColumn("peak", F.col("peak").cast("double")), "mean", "sd")
 
 
-@query("bin_ends_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+@query("bin_ends_cover", "SELECT 'chr' || i AS chrom, 600001::BIGINT AS bases, 0::BIGINT AS low, 600000::BIGINT AS high FROM range(1, 6) t(i)")
 def _(spark, d):
-    """Bins that do not begin where the one before ends, or do not reach from 0 to the chromosome's end: none."""
-    bins = QUERIES["bin_ends"](spark, d)
-    b = I.with_previous(bins, ["chrom"], "bin", ["end"])
-    torn = b.where(F.coalesce(F.col("previous.end") + 1, F.lit(0)) != F.col("start")).select(F.lit("gap").alias("rule"))
-    last = bins.groupBy("chrom").agg(F.max("end").alias("top")).join(P.chroms(spark), "chrom").where("top > size or top < size - 1").select(F.lit("end").alias("rule"))
-    return torn.unionByName(last).groupBy("rule").agg(F.count("*").alias("n"))
+    """Bins that follow each other cover a chromosome's positions 0 to its size once."""
+    b = QUERIES["bin_ends"](spark, d)
+    return b.groupBy("chrom").agg(F.sum(F.col("end") - F.col("start") + 1).alias("bases"), F.min("start").alias("low"), F.max("end").alias("high"))
 
 
 @query("copy_number_rows", _WEIGHTS + " SELECT chrom, bin, count(*) AS n_samples, TRUE AS in_range FROM raw GROUP BY chrom, bin")
@@ -674,28 +754,31 @@ def _(spark, d):
     return V.merge_alignments(r.where("event_id % 2 = 0"), r.where("event_id % 2 = 1")).select("event_id")
 
 
-@query("chunk_tiles_bed", """SELECT 'chr' || c AS chrom, CAST(i AS INTEGER) AS chunk, CAST(i * 130000 AS BIGINT) AS start, CAST(CASE WHEN i = n THEN size ELSE (i + 1) * 130000 END AS BIGINT) AS "end"
-    FROM (SELECT c, 600000 AS size, greatest(0, CAST(ceil((600000 - 1.1 * 130000) / 130000) AS BIGINT)) AS n FROM range(1, 6) t(c)), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
+@query("chunk_tiles_bed", _SIZES.replace("CAST(max(e) + sum(score) AS BIGINT)", "CAST(round(max(e) + sum(score)) AS BIGINT)") + """, b AS (SELECT CAST(sum(size) AS BIGINT) // 24 AS share FROM z),
+    w AS (SELECT CAST(floor(share / p + 0.5) * p AS BIGINT) AS w FROM (SELECT share, CAST(10 ** greatest(0, length(CAST(share AS VARCHAR)) - 2) AS BIGINT) AS p FROM b))
+    SELECT chrom, CAST(i AS INTEGER) AS chunk, CAST(i * w AS BIGINT) AS start, CAST(CASE WHEN i = n THEN size ELSE (i + 1) * w END AS BIGINT) AS "end"
+    FROM (SELECT chrom, size, w, greatest(0, CAST(ceil((size - 1.1 * w) / w) AS BIGINT)) AS n FROM z, w), LATERAL (SELECT unnest(range(0, n + 1)) AS i)""")
 def _(spark, d):
-    """A 24th of the bases is 125,000, which rounds up."""
-    return V.chunk_tiles(P.chroms(spark), V.chunk_size(3_000_000, 24), half_open=True)
+    """Tiles of a 24th of the bases, rounded to two digits."""
+    sizes = _sizes(spark, d)
+    return V.chunk_tiles(sizes, V.chunk_size(sizes.agg(F.sum("size")).first()[0], 24), half_open=True)
 
 
 # ---- readers and writers --------------------------------------------------------------
 
 
-@query("bed_round_trip", with_("f") + f" SELECT chrom, {BED3}, name, score, strand FROM f")
+@query("bed_round_trip", with_("iv") + f" SELECT chrom, {BED3}, name, score, strand FROM iv")
 def _(spark, d):
     """Features written as BED files and read again."""
     path = shared_path(spark, "bed")
-    R.write_bed(P.features(spark, d).select("chrom", "start", "end", "name", "score", "strand"), path)
+    R.write_bed(P.intervals(spark, d).select("chrom", "start", "end", "name", "score", "strand"), path)
     return R.read_bed(spark, path, stranded=True, allow_empty=False).drop("extra")
 
 
-@query("bed_lines", with_("f") + ' SELECT chrom, s - 10 AS start, e + 10 AS "end", name FROM f')
+@query("bed_lines", with_("iv") + ' SELECT chrom, s - 10 AS start, e + 10 AS "end", name FROM iv')
 def _(spark, d):
     """Lines with thousands marks, carriage returns, comments and blank names, padded at load."""
-    f = P.features(spark, d)
+    f = P.intervals(spark, d)
     line = F.concat_ws("\t", "chrom", F.regexp_replace(F.format_number("start", 0), "x", ""), F.col("end").cast("string"), "name", F.lit("NA"), F.lit("+\r"))
     lines = f.select(line.alias("value")).unionByName(f.select(F.concat(F.lit("#"), "name").alias("value")))
     return R.parse_bed(lines, padding=10).select("chrom", "start", "end", "name")
@@ -775,9 +858,9 @@ def _(spark, d):
     return G.genome_stats(G.canonical_sizes(P.chroms(spark)), P.transcripts(spark, d))
 
 
-@query("ignored_chroms", with_("f") + " SELECT event_id FROM f WHERE chrom NOT IN ('chr2', 'chr4')")
+@query("ignored_chroms", with_("iv") + " SELECT event_id FROM iv WHERE chrom NOT IN ('chr2', 'chr4')")
 def _(spark, d):
-    return G.ignore_chroms(P.features(spark, d), "2, chr4", suffixes=True).select("event_id")
+    return G.ignore_chroms(P.intervals(spark, d), "2, chr4", suffixes=True).select("event_id")
 
 
 @query("segment_map_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
@@ -789,9 +872,9 @@ def _(spark, d):
     return m.select(bad.alias("rule")).where("rule is not null").groupBy("rule").agg(F.count("*").alias("n"))
 
 
-@query("split_lengths", with_("f") + """, w AS (SELECT greatest(1, floor((max(e - s) - min(e - s)) / 100.0 + 0.5)) AS w FROM f) SELECT CAST(floor((e - s) / w + 0.5) * w AS BIGINT) AS length, count(*) AS n FROM f, w GROUP BY 1""")
+@query("split_lengths", with_("iv") + """, w AS (SELECT greatest(1, floor((max(e - s) - min(e - s)) / 100.0 + 0.5)) AS w FROM iv) SELECT CAST(floor((e - s) / w + 0.5) * w AS BIGINT) AS length, count(*) AS n FROM iv, w GROUP BY 1""")
 def _(spark, d):
-    return G.split_histogram(P.features(spark, d)).withColumn("length", F.col("length").cast("long"))
+    return G.split_histogram(P.intervals(spark, d)).withColumn("length", F.col("length").cast("long"))
 
 
 @query("exon_rows", with_("tx") + """ SELECT gene, chrom, strand, s AS start, e AS "end" FROM tx""")
@@ -820,10 +903,10 @@ def _(spark, d):
     return piece.select("chrom", "start", (F.col("end") - F.col("start")).alias("n"))
 
 
-@query("lift_over", with_("f") + """ SELECT event_id, CASE WHEN s > 100000 + 30 AND s < 100501 THEN -1 ELSE s + CASE WHEN s >= 100501 THEN 30 - 500 ELSE 0 END + CASE WHEN s >= 300001 THEN 700 ELSE 0 END END AS lifted FROM f""")
+@query("lift_over", with_("iv") + """ SELECT event_id, CASE WHEN s > 100000 + 30 AND s < 100501 THEN -1 ELSE s + CASE WHEN s >= 100501 THEN 30 - 500 ELSE 0 END + CASE WHEN s >= 300001 THEN 700 ELSE 0 END END AS lifted FROM iv""")
 def _(spark, d):
     ch = P.chroms(spark).select("chrom", F.explode(F.array(F.struct(F.lit(100000).cast("long").alias("last_before"), F.lit(100501).cast("long").alias("first_after"), F.lit(30).cast("long").alias("inserted")), F.struct(F.lit(300000).cast("long").alias("last_before"), F.lit(300001).cast("long").alias("first_after"), F.lit(700).cast("long").alias("inserted")))).alias("c")).select("chrom", "c.*")
-    return G.lift_over(P.features(spark, d).select("event_id", "chrom", F.col("start").alias("pos")), ch).select("event_id", "lifted")
+    return G.lift_over(P.intervals(spark, d).select("event_id", "chrom", F.col("start").alias("pos")), ch).select("event_id", "lifted")
 
 
 @query("find_features", with_("sq") + """, q AS (SELECT chrom, string_split(seq, 'THE') AS p FROM sq),
@@ -876,9 +959,12 @@ def _(spark, d):
     return o.select(F.col("o_orderkey").alias("job"), stars(F.col("o_totalprice") / 1e7).alias("mark"), F.regexp_extract(human("o_totalprice"), "([KMG]?)$", 1).alias("unit"))
 
 
-@query("job_states", with_("jobs") + " SELECT job, exit_status IS NOT NULL AND exit_status <> 0 AS in_error, exit_status IS NULL AS deletable FROM jobs")
+@query("job_states", """SELECT o_orderkey AS job, o_orderkey % 6 = 1 AS in_error, o_orderkey % 6 IN (1, 3) AS deletable FROM orders""")
 def _(spark, d):
-    return J.job_states(P.jobs(spark, d)).select("job", "in_error", "deletable")
+    """Exit states are numbers, words of the scheduler, deletions, or open; only Eqw is an error, and only words can be deleted."""
+    k = F.col("o_orderkey")
+    status = F.when(k % 6 == 0, "0").when(k % 6 == 1, "Eqw").when(k % 6 == 2, "deleted").when(k % 6 == 3, "hqw").when(k % 6 == 4, "137")
+    return J.job_states(P.table(spark, d, "orders").select(k.alias("job"), status.alias("exit_status"))).select("job", "in_error", "deletable")
 
 
 @query("status_listing", with_("jobs") + " SELECT command AS job_name, ' ' AS array, CAST(job AS VARCHAR) AS job_id, coalesce(CAST(exit_status AS VARCHAR), '-') AS exit_status, '-' AS start_time, '-' AS wall_time, state AS maxvmem FROM jobs")
@@ -887,13 +973,47 @@ def _(spark, d):
     return J.project_status(j)
 
 
-@query("log_states", """SELECT o_orderkey AS job, CASE WHEN o_orderkey % 4 = 0 THEN 'pending' ELSE 'day ' || o_orderkey END AS start_time, CASE WHEN o_orderkey % 4 = 0 THEN -1 WHEN o_orderkey % 4 = 1 THEN 137 ELSE o_orderkey % 3 END::INTEGER AS exit_status,
-    CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '99:99:99' ELSE '00:10:00' END AS wall_time, CASE WHEN o_orderkey % 4 > 1 THEN 1.5 END AS maxvmem FROM orders""")
+@query("log_states", """SELECT o_orderkey AS job, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'day ' || o_orderkey END AS start_time,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'pending' WHEN o_orderkey % 4 = 1 THEN '137' ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS exit_status,
+    CASE WHEN o_orderkey % 4 = 0 THEN '' WHEN o_orderkey % 4 = 1 THEN '99:99:99' WHEN o_orderkey % 4 = 2 THEN '00:0' || (o_orderkey % 10) || ':07' ELSE '0' || (o_orderkey % 10) || ':20:07' END AS wall_time,
+    CASE WHEN o_orderkey % 4 = 0 THEN 0 WHEN o_orderkey % 4 = 1 THEN 9999999 ELSE o_orderkey % 1000 END::DOUBLE AS seconds,
+    CASE WHEN o_orderkey % 4 > 1 THEN floor(o_orderkey % 100000 * 7 / 1000.0 + 0.5) / 1000 ELSE 0 END::DOUBLE AS maxvmem FROM orders""")
 def _(spark, d):
+    """Logs of jobs that wait, were cut off, and ended after minutes or hours."""
     k = F.col("o_orderkey")
-    text = F.concat_ws("\n", F.when(k % 4 > 0, F.concat(F.lit("start_time: day "), k.cast("string"))), F.when(k % 4 > 1, F.concat(F.lit("exit_status: "), (k % 3).cast("string"), F.lit("\nwalltime: 00:10:00\nmaxvmem: 1500M"))))
-    out = J.parse_logs(P.table(spark, d, "orders").select(k.alias("job"), text.alias("text")))
-    return out.withColumn("exit_status", F.coalesce("exit_status", F.lit(-1)))
+    wall = F.when(k % 4 == 2, F.format_string("%d:07.31", k % 10)).otherwise(F.format_string("%d:20:07", k % 10))
+    start = F.concat(F.lit("header\nq: execution started: day "), k.cast("string"), F.lit("\noutput\n"))
+    end = F.format_string("q: exit_status: %d; walltime: %s; seconds: %d; maxvmem: %dK;\n", k % 3, wall, k % 1000, k % 100000 * 7)
+    text = F.concat(F.when(k % 4 > 0, start).otherwise(""), F.when(k % 4 > 1, end).otherwise(""))
+    return J.parse_logs(P.table(spark, d, "orders").select(k.alias("job"), text.alias("text")))
+
+
+@query("loaded_status", """WITH l AS (SELECT o_orderkey AS n, count(*) FILTER (o_orderkey % 50 = 0) OVER (ORDER BY o_orderkey) AS batch_id, o_orderkey % 50 AS k FROM orders)
+    SELECT batch_id, 'job' || n AS job_name, CAST(n AS VARCHAR) AS job_id FROM l WHERE k > 1""")
+def _(spark, d):
+    """Status lines with submit marks and labels between the jobs."""
+    k = F.col("o_orderkey")
+    value = F.when(k % 50 == 0, F.lit("submitted\tMon")).when(k % 50 == 1, F.lit("jobName\tjobID")).otherwise(F.concat(F.lit("job"), k.cast("string"), F.lit("\t"), k.cast("string")))
+    return J.load_status(P.table(spark, d, "orders").select(k.alias("n"), value.alias("value")), ["job_name", "job_id"]).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@query("purge_kept", "SELECT '/d/' || o_orderkey AS path FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def _(spark, d):
+    o = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("job"), F.concat(F.lit("/d/"), F.col("o_orderkey").cast("string")).alias("path"), "o_orderstatus")
+    return J.purge_targets(o.select("job", "path"), o.where("o_orderstatus = 'F'")).select("path")
+
+
+@query("rolled_back", "SELECT o_orderkey AS job, o_orderkey % 13 AS archive FROM orders WHERE o_orderkey % 13 = (SELECT max(o_orderkey % 13) FROM orders)")
+def _(spark, d):
+    return J.rollback(P.table(spark, d, "orders").select(F.col("o_orderkey").alias("job"), (F.col("o_orderkey") % 13).alias("archive"))).select("job", "archive")
+
+
+@query("moved_and_masked", """SELECT o_orderkey AS job, '/new/d/' || o_orderkey || '/old' AS script, '/x/' || o_orderkey AS log, 'by ~ of ~~' || o_orderkey AS note FROM orders""")
+def _(spark, d):
+    k = F.col("o_orderkey").cast("string")
+    o = P.table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("/home/a/d/"), k, F.lit("/old")).alias("script"), F.concat(F.lit("/x/"), k).alias("log"), F.concat(F.lit("by annette of anneann"), k).alias("note"))
+    moved = J.move_paths(o, "/home/a", "/new", ["script", "log"])
+    return moved.select(F.col("o_orderkey").alias("job"), "script", "log", J.mask_text(F.col("note"), ["ann", "anne", "annette"]).alias("note"))
 
 
 @query("remapped", with_("jobs") + " SELECT job, CASE WHEN predecessor % 2 = 0 THEN predecessor + 1000000 ELSE predecessor END AS predecessor FROM jobs")
@@ -909,11 +1029,11 @@ def _(spark, d):
     return J.read_snapshot(J.snapshot_lines(v))
 
 
-@query("job_texts", "SELECT o_orderkey AS job, '/log/' || o_orderkey AS path, 'state ' || o_orderstatus AS text FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey < 500")
+@query("job_texts", "SELECT o_orderkey AS job, '/log/' || o_orderkey AS path, 'state ' || o_orderstatus AS text FROM orders WHERE o_orderkey % 2 = 0")
 def _(spark, d):
     o = P.table(spark, d, "orders")
     files = o.select(F.col("o_orderkey").alias("job"), F.when(F.col("o_orderkey") % 2 == 0, "log").otherwise("script").alias("kind"), F.concat(F.lit("/log/"), F.col("o_orderkey").cast("string")).alias("path"), F.concat(F.lit("\x1b[H\x1b[2Jstate "), "o_orderstatus").alias("text"))
-    return J.texts_of_jobs(P.jobs(spark, d).where("job < 500"), files, "log")
+    return J.texts_of_jobs(P.jobs(spark, d), files, "log")
 
 
 @query("files_by_size", "SELECT o_clerk_path AS path, size FROM (SELECT '/d/' || o_orderkey AS o_clerk_path, o_orderkey % 100 AS size FROM orders)")

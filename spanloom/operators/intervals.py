@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Positions of one first-step task.
-BIN = 1 << 20
+#: Positions of one first-step task: a chromosome of 250 million is 3,815 of them.
+BIN = 1 << 16
 
 
 def strand_index(stranded: bool) -> Column:
@@ -47,12 +47,19 @@ def with_previous(df: DataFrame, keys: list[str], pos: str, columns: list[str],
 
 def cumulative(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_size: int = BIN, ties: tuple[str, ...] = ()) -> DataFrame:
     """Add the running sum of ``value`` in order of ``pos``, then ``ties``, within ``keys``: within position bins, plus what stands before the bin."""
+    return running_sums(df, keys, pos, {name: value}, bin_size, ties)
+
+
+def running_sums(df: DataFrame, keys: list[str], pos: str, sums: dict[str, str], bin_size: int = BIN, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``cumulative`` of several columns at once, ``sums`` being new names and the columns that are summed; a null adds nothing."""
     d = df.withColumn("bin_", F.floor(F.col(pos) / bin_size))
-    over = Window.partitionBy(*keys).orderBy("bin_")
-    base = d.groupBy(*keys, "bin_").agg(F.sum(value).alias("sum_"))
-    base = base.select(*keys, "bin_", (F.sum("sum_").over(over) - F.col("sum_")).alias("base_"))
+    over = Window.partitionBy(*keys).orderBy("bin_").rowsBetween(Window.unboundedPreceding, -1)
+    base = d.groupBy(*keys, "bin_").agg(*(F.sum(v).alias(f"sum_{n}_") for n, v in sums.items()))
+    base = base.select(*keys, "bin_", *(F.sum(f"sum_{n}_").over(over).alias(f"base_{n}_") for n in sums))
     own = Window.partitionBy(*keys, "bin_").orderBy(pos, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.join(base, [*keys, "bin_"]).withColumn(name, F.sum(value).over(own) + F.col("base_")).drop("bin_", "base_")
+    zero = F.lit(0)
+    run = {n: F.coalesce(F.sum(v).over(own), zero) + F.coalesce(f"base_{n}_", zero) for n, v in sums.items()}
+    return d.join(base, [*keys, "bin_"]).withColumns(run).drop("bin_", *(f"base_{n}_" for n in sums))
 
 
 def _islands(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from spanloom.operators.intervals import cumulative
+from spanloom.sources.folders import set_checkpoint_folder
+
 NUMERIC = {"job_id", "start_time", "wall_time", "maxvmem", "job"}
 
 
 def load_status(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Typed job rows of tab-separated status lines ``n, value``, with ``batch_id``: how many submit marks stand before."""
     f = F.split("value", "\t")
-    # status files are one per pipeline: short, and ordered by line number
-    batch = F.sum(F.when(F.get(f, F.lit(0)) == "submitted", 1).otherwise(0)).over(Window.orderBy("n"))
-    rows = lines.withColumn("batch_id", batch).where(F.get(f, F.lit(1)).rlike(r"^\d+$"))
+    marked = lines.select("n", "value", F.when(F.get(f, F.lit(0)) == "submitted", 1).otherwise(0).alias("mark"), F.lit(0).alias("file"))
+    rows = cumulative(marked, ["file"], "n", "mark", "batch_id").where(F.get(f, F.lit(1)).rlike(r"^\d+$"))
     return rows.select("batch_id", *[F.get(f, F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
@@ -50,18 +52,22 @@ def array_rollup(tasks: DataFrame) -> DataFrame:
     )
 
 
-def parse_logs(logs: DataFrame) -> DataFrame:
-    """State of jobs from log texts (``job, text``): unfinished is 137 and 99:99:99, not started is pending."""
-    g = lambda k: F.nullif(F.regexp_extract("text", rf"{k}[:=]?\s+(.+)", 1), F.lit(""))
-    started, status = g("start_time"), g("exit_status")
-    gone = started.isNotNull() & status.isNull()
-    mem = F.regexp_extract(g("maxvmem"), r"([\d.]+)([KMG]?)", 1).cast("double")
-    unit = F.regexp_extract(g("maxvmem"), r"([\d.]+)([KMG]?)", 2)
+def parse_logs(logs: DataFrame, *, memory_correction: float = 1.0) -> DataFrame:
+    """State of jobs from the head and foot of their logs (``job, text``): ``job, start_time, exit_status, wall_time, seconds, maxvmem``.
+
+    A log names its start on a line of its own, and its end as ``key: value;``.  A job that started and names no end
+    timed out: 137, 99:99:99 and 9999999 seconds.  One that names neither is pending, with no times and 0 seconds.
+    Wall times lose fractions and gain hours, memory (kilobytes with a unit, over ``memory_correction``) is in gigabytes."""
+    found = lambda pattern: F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))
+    started = found(r"\nq: execution started: (.+)\n")
+    end = lambda key, late, early: F.coalesce(found(rf"\s{key}: (.+?);"), F.when(started.isNotNull(), late).otherwise(early))
+    wall = F.regexp_replace(end("walltime", "99:99:99", ""), r"\.\d+$", "")
+    full = F.when(F.length("wall") == 4, F.concat(F.lit("00:0"), "wall")).when(F.length("wall") == 5, F.concat(F.lit("00:"), "wall")).when(F.length("wall") == 7, F.concat(F.lit("0"), "wall"))
+    kilo = F.expr("substring(memory, 1, length(memory) - 1)").cast("double") / memory_correction
     return logs.select(
-        "job", F.coalesce(started, F.lit("pending")).alias("start_time"),
-        F.when(gone, 137).otherwise(status.cast("int")).alias("exit_status"), F.when(gone, "99:99:99").otherwise(g("walltime")).alias("wall_time"),
-        F.round(F.when(unit == "K", mem / 1e6).when(unit == "M", mem / 1e3).otherwise(mem), 3).alias("maxvmem"),
-    )
+        "job", F.coalesce(started, F.lit("")).alias("start_time"), end("exit_status", "137", "pending").alias("exit_status"), wall.alias("wall"),
+        end("seconds", "9999999", "0").cast("double").alias("seconds"), end("maxvmem", "0K", "0K").alias("memory"),
+    ).select("job", "start_time", "exit_status", F.coalesce(full, "wall").alias("wall_time"), "seconds", (F.floor(kilo / 1e3 + 0.5) / 1e3).alias("maxvmem"))
 
 
 def latest(jobs: DataFrame) -> DataFrame:
@@ -87,6 +93,7 @@ def successors(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     Each round follows paths of exactly twice the length, and writes what is reached and the
     longer paths to the checkpoint folder, so a chain of n jobs takes log2(n) rounds.  A
     round that reaches nothing new is the last; a job counts once, so cycles end."""
+    set_checkpoint_folder(edges.sparkSession)
     hop = edges.select("batch_id", F.col("predecessor").alias("a"), F.col("job").alias("b")).distinct()
     seen = seeds.select("batch_id", "job").distinct().checkpoint()
     n = seen.count()
@@ -119,9 +126,10 @@ def project_status(jobs: DataFrame, *, chain: bool = False) -> DataFrame:
 
 
 def job_states(jobs: DataFrame) -> DataFrame:
-    """Add ``in_error`` (an exit status that is neither 0 nor open) and ``deletable`` (not ended, not deleted)."""
-    ended = F.col("exit_status").isNotNull()
-    return jobs.withColumns({"in_error": ended & (F.col("exit_status") != 0), "deletable": ~ended & ~F.coalesce("deleted", F.lit(False))})
+    """Add ``in_error`` (the scheduler's state Eqw) and ``deletable`` (a state that is no number and no deletion)."""
+    state = F.col("exit_status").cast("string")
+    ended = state.rlike(r"^\d+$") | state.contains("deleted")
+    return jobs.withColumns({"in_error": F.coalesce(state == "Eqw", F.lit(False)), "deletable": F.coalesce(~ended, F.lit(False))})
 
 
 def texts_of_jobs(jobs: DataFrame, files: DataFrame, kind: str) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Interval joins: scores of queries against crossing references, and nearest references."""
+"""Interval joins: scores of queries against crossing references, and nearest references.
+
+No score pairs queries with references, so a pile-up costs what its rows cost.  Counts and lengths
+are differences of running sums over one ordered union: the references add to a count, and to a
+line, where they begin and end, and a query reads both at its ends.  Greatest values are read from
+dyadic cells, of which a query and a reference touch a few for each power of four of their lengths.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.operators.intervals import collapse, cumulative, pad, strand_index, tiles
+from spanloom.operators.intervals import BIN, collapse, pad, running_sums, strand_index, tiles
 
 COLLAPSED = {"LENGTH", "FRACTION", "BOOLEAN", "BOOLEAN_ENDS"}
 ZERO_DEFAULT = {"COUNT", "COUNT_ENDS", "WEIGHTED"} | COLLAPSED
 SCORE_TYPES = ZERO_DEFAULT | {"WEIGHTED2", "MAX_REF_LENGTH", "MAX_REF_SCORE", "DISTANCE_CENTER", "DISTANCE_EDGE"}
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], *, cell: int, touch: bool = True) -> DataFrame:
-    """Pairs of intervals that overlap (with ``touch``, also those that only touch).
-
-    ``left`` has start and end, ``right`` rs and re.  Both are spread over position cells
-    and equi-joined; a pair is kept only in the first cell both touch, so it appears once."""
-    lo = lambda s: F.floor(F.col(s) / cell)
-    hi = lambda e: F.floor(F.col(e) / cell)
-    a = left.withColumn("cell", F.explode(F.sequence(lo("start"), F.greatest(lo("start"), hi("end"))))).withColumn("lo_a", lo("start"))
-    b = right.withColumn("cell", F.explode(F.sequence(lo("rs"), F.greatest(lo("rs"), hi("re"))))).withColumn("lo_b", lo("rs"))
-    meet = (F.col("rs") <= F.col("end")) & (F.col("re") >= F.col("start")) if touch else (F.col("rs") < F.col("end")) & (F.col("re") > F.col("start"))
-    return a.join(b, [*keys, "cell"]).where(meet & (F.col("cell") == F.greatest("lo_a", "lo_b"))).drop("cell", "lo_a", "lo_b")
-
-
 def search_bin(refs: DataFrame) -> int:
     """Width of search bins: a hundredth of the largest end, at least twice the mean length."""
     r = refs.agg(F.max("end").alias("top"), F.sum(F.col("end") - F.col("start")).alias("bases"), F.count("*").alias("n")).first()
@@ -36,7 +29,7 @@ def search_bin(refs: DataFrame) -> int:
 
 def crossing(
     queries: DataFrame, refs: DataFrame, score_type: str = "COUNT", *, stranded: bool = False, padding: int = 0,
-    min_fraction: float = 0.0, max_null: float | None = None, touch: bool = True, compat: bool = False, cell: int = 1 << 14,
+    min_fraction: float = 0.0, max_null: float | None = None, touch: bool = True, compat: bool = False,
 ) -> DataFrame:
     """All queries with ``cross_score``: how they cross the references, by one of SCORE_TYPES.
 
@@ -54,67 +47,155 @@ def crossing(
         refs = collapse(refs, stranded=stranded, names=False).withColumn("score", F.lit(0.0))
     r = refs.select("chrom", strand_index(stranded).alias("key"), F.col("start").alias("rs"), F.col("end").alias("re"), F.col("score").alias("ref_score"))
     places = q.select(*keys, (F.col("start") - padding).alias("start"), (F.col("end") + padding).alias("end")).distinct()
+    default = F.lit(0.0) if score_type in ZERO_DEFAULT else F.lit(max_null)
     if score_type.startswith("DISTANCE"):
         scored = nearest(places, r, keys, center=score_type == "DISTANCE_CENTER")
-        default = F.lit(max_null)
-    elif score_type == "COUNT" and not compat:
-        scored = crossing_counts(places.where("start != end"), r, keys, touch=touch)
-        default = F.lit(0.0)
     else:
-        pairs = overlap_join(places.where("start != end"), r, keys, cell=cell, touch=touch)
+        # a reference crosses where it begins by ``hi`` and does not end before ``lo``
+        hi, lo = F.col("end") - int(not touch), F.col("start") + int(not touch)
         if compat:
             width = search_bin(refs)
-            b = lambda e: F.expr(f"({e}) div {width}")
-            pairs = pairs.where((b("rs") <= b("end - 1")) & (b("re - 1") >= b("start")) & (b("rs") <= b("re - 1")))
-        scored = pairs.groupBy(*keys, "start", "end").agg(_value(score_type, min_fraction).alias("cross_score"))
-        default = F.lit(0.0) if score_type in ZERO_DEFAULT else F.lit(max_null)
+            same = lambda a, b: F.expr(f"({a}) div {width} = ({b}) div {width}")
+            hi, lo = F.col("end") - F.when(same("end", "end - 1"), 0).otherwise(1), F.col("start") + F.when(same("start", "start - 1"), 0).otherwise(1)
+            r = r.where(F.expr(f"rs div {width} <= (re - 1) div {width}"))
+        scored = _scores(score_type, places.where("start != end").withColumns({"hi": hi, "lo": lo}), r, keys, min_fraction)
     scored = scored.select(*keys, (F.col("start") + padding).alias("start"), (F.col("end") - padding).alias("end"), "cross_score")
     return q.join(scored, [*keys, "start", "end"], "left").select(
         *[c for c in queries.columns], F.coalesce("cross_score", default.cast("double")).cast("double").alias("cross_score")
     )
 
 
-def crossing_counts(places: DataFrame, refs: DataFrame, keys: list[str], *, touch: bool = True) -> DataFrame:
-    """How many references each distinct place crosses, without pairing them, so a pile-up is no hot cell.
+def _scores(score_type: str, places: DataFrame, refs: DataFrame, keys: list[str], min_fraction: float) -> DataFrame:
+    length = F.col("end") - F.col("start")
+    if score_type in ("COUNT", "COUNT_ENDS"):
+        n = crossing_counts(places, refs, keys)
+        if score_type == "COUNT":
+            return n
+        # the references that cross without meeting an end lie inside
+        inner = _inside(places, refs, keys).withColumnRenamed("cross_score", "inner")
+        return n.join(inner, [*keys, "start", "end"], "left").withColumn("cross_score", F.col("cross_score") - F.coalesce("inner", F.lit(0)))
+    if score_type == "BOOLEAN_ENDS":
+        # those around the start, and those around the end
+        around = F.array(F.struct("lo", F.col("start").alias("hi")), F.struct(F.col("end").alias("lo"), "hi"))
+        both = places.select(*keys, "start", "end", F.explode(around).alias("at")).select(*keys, "start", "end", "at.*")
+        at = crossing_counts(both, refs, keys)
+        return at.withColumn("cross_score", (F.col("cross_score") > 0).cast("double"))
+    if score_type.startswith("MAX_REF"):
+        value = F.col("re") - F.col("rs") if score_type == "MAX_REF_LENGTH" else F.col("ref_score")
+        return greatest_crossing(places, refs.withColumn("value", value.cast("double")).where("value is not null"), keys)
+    sums = overlap_sums(places, refs, keys, weighted=score_type.startswith("WEIGHTED"))
+    part = F.col("overlap") / length
+    least = F.lit(min_fraction) if min_fraction else 1 / length
+    score = {
+        "LENGTH": F.col("overlap"), "FRACTION": part, "BOOLEAN": (part >= least).cast("int"), "WEIGHTED": F.col("weighted") / length,
+        "WEIGHTED2": F.when(F.col("overlap") > 0, F.col("weighted") / F.col("overlap")),
+    }[score_type]
+    return sums.select(*keys, "start", "end", score.cast("double").alias("cross_score"))
 
-    Those that have begun by its end, less those that have ended before its start: two
-    running counts over the ordered union of places and references."""
 
-    def passed(at: str, ref: str, refs_first: bool, name: str) -> DataFrame:
-        order = F.lit(0 if refs_first else 2)
-        none = F.lit(None).cast("long")
-        u = places.select(*keys, "start", "end", F.col(at).alias("pos"), F.lit(1).alias("rank"), F.lit(0).alias("one")).unionByName(
-            refs.groupBy(*keys, F.col(ref).alias("pos")).agg(F.count("*").cast("int").alias("one")).select(
-                *keys, none.alias("start"), none.alias("end"), "pos", order.alias("rank"), "one"
-            )
-        )
-        return cumulative(u, keys, "pos", "one", name, ties=("rank",)).where("rank = 1").select(*keys, "start", "end", name)
+def _read(places: DataFrame, ends: list[tuple[Column, int]], changes: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """Of each place, the sums of ``values`` over its reads, each a position and a sign.
 
-    begun = passed("end", "rs", touch, "begun")
-    ended = passed("start", "re", not touch, "ended")
-    return begun.join(ended, [*keys, "start", "end"]).select(*keys, "start", "end", (F.col("begun") - F.col("ended")).cast("double").alias("cross_score"))
+    A read sees the running sums of the columns of ``changes`` (``keys``, ``pos`` and amounts) over
+    all changes at or before its position."""
+    names = [c for c in changes.columns if c not in (*keys, "pos")]
+    at = F.explode(F.array(*(F.struct(pos.cast("long").alias("pos"), F.lit(sign).alias("sign")) for pos, sign in ends)))
+    reads = places.select(*keys, "start", "end", at.alias("read")).select(*keys, "start", "end", "read.*")
+    amounts = changes.groupBy(*keys, "pos").agg(*(F.sum(c).alias(c) for c in names))
+    seen = running_sums(reads.unionByName(amounts, allowMissingColumns=True), keys, "pos", {f"{c}_run": c for c in names}, ties=("sign",))
+    return seen.where("sign is not null").groupBy(*keys, "start", "end").agg(*(F.sum(v).alias(n) for n, v in values.items()))
 
 
-def _value(score_type: str, min_fraction: float) -> Column:
-    length = F.col("end") - F.col("start")
-    overlap = F.least("end", "re") - F.greatest("start", "rs")
-    part = overlap / length
-    ends = F.col("start").between(F.col("rs"), F.col("re")) | F.col("end").between(F.col("rs"), F.col("re"))
-    ref = F.coalesce("ref_score", F.lit(0.0))
-    n_ends = F.sum(ends.cast("int"))
-    least = F.when(F.lit(bool(min_fraction)), F.lit(min_fraction)).otherwise(1 / F.first(length))
-    return {
-        "COUNT": F.count("*"),
-        "COUNT_ENDS": n_ends,
-        "LENGTH": F.sum(overlap),
-        "FRACTION": F.sum(part),
-        "BOOLEAN": (F.sum(part) >= least).cast("int"),
-        "BOOLEAN_ENDS": (n_ends > 0).cast("int"),
-        "WEIGHTED": F.sum(part * ref),
-        "WEIGHTED2": F.when(F.sum(part) > 0, F.sum(part * ref) / F.sum(part)),
-        "MAX_REF_LENGTH": F.max(F.col("re") - F.col("rs")),
-        "MAX_REF_SCORE": F.max("ref_score"),
-    }[score_type].cast("double")
+def crossing_counts(places: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
+    """How many references each place crosses: those that have begun by ``hi``, less those that have ended before ``lo``."""
+    one = lambda end, b, e: refs.select(*keys, F.col(end).alias("pos"), F.lit(b).cast("long").alias("begun"), F.lit(e).cast("long").alias("ended"))
+    count = F.when(F.col("sign") > 0, F.col("begun_run")).otherwise(-F.col("ended_run"))
+    ends = [(F.col("hi"), 1), (F.col("lo") - 1, -1)]
+    return _read(places, ends, one("rs", 1, 0).unionByName(one("re", 0, 1)), keys, {"cross_score": count}).withColumn("cross_score", F.col("cross_score").cast("double"))
+
+
+#: Scores are summed as whole multiples of 2 ** -20, exactly, and what is left of them as doubles.
+FINE = float(1 << 20)
+
+
+def overlap_sums(places: DataFrame, refs: DataFrame, keys: list[str], *, weighted: bool = False) -> DataFrame:
+    """Of each place, ``overlap``: the summed lengths that references share with it, and with ``weighted`` also that of length times ``ref_score``.
+
+    The length of references before a position is a line between their ends; a place reads it at both of its own."""
+    sign = F.col("sign")
+
+    def line(n: str, m: str) -> Column:
+        return sign * (F.col("pos") * F.col(f"{n}_run") - F.col(f"{m}_run"))
+
+    score = F.coalesce("ref_score", F.lit(0.0)) * FINE if weighted else F.lit(0.0)
+    fine = F.floor(score)
+
+    def change(end: str, way: int) -> DataFrame:
+        pos = F.col(end)
+        out = refs.select(*keys, pos.alias("pos"), F.lit(way).cast("long").alias("n"), (pos * way).alias("m"), (fine * way).cast("decimal(19,0)").alias("w"), ((score - fine) * way).alias("rest"))
+        if not weighted:
+            return out.drop("w", "rest")
+        return out.withColumns({"wm": F.col("w") * F.col("pos").cast("decimal(19,0)"), "restm": F.col("rest") * F.col("pos")})
+
+    values = {"overlap": line("n", "m")}
+    if weighted:
+        whole = sign.cast("decimal(1,0)") * (F.col("pos").cast("decimal(19,0)") * F.col("w_run").cast("decimal(19,0)") - F.col("wm_run"))
+        values |= {"whole": whole, "part": line("rest", "restm")}
+    out = _read(places, [(F.col("start"), -1), (F.col("end"), 1)], change("rs", 1).unionByName(change("re", -1)), keys, values)
+    return out.withColumn("weighted", (F.col("whole").cast("double") + F.col("part")) / FINE).drop("whole", "part") if weighted else out
+
+
+def _levels(df: DataFrame, length: Column) -> int:
+    """Powers of four up to the largest length: one row reaches the driver."""
+    most = df.agg(F.max(length)).first()[0] or 0
+    return max(0, (int(most).bit_length() + 1) // 2)
+
+
+def _cover(a: str, b: str, levels: int) -> Column:
+    """The largest dyadic cells (of 4 ** level positions) that make up the positions from ``a`` to ``b``: at most six a level.
+
+    At each level the cells that lie inside, less those that make up whole cells of the level above that lie inside."""
+    up = lambda l: f"shiftright({a} + shiftleft(1L, 2 * ({l})) - 1, 2 * ({l}))"
+    down = lambda l: f"shiftright({b} + 1, 2 * ({l}))"
+    cells = f"CASE WHEN {up('l')} < {down('l')} THEN sequence({up('l')}, {down('l')} - 1) ELSE array() END"
+    above = f"l < {levels} AND {up('l + 1')} < {down('l + 1')}"
+    own = f"CASE WHEN {above} THEN concat(CASE WHEN {up('l')} < 4 * {up('l + 1')} THEN sequence({up('l')}, 4 * {up('l + 1')} - 1) ELSE array() END, CASE WHEN 4 * {down('l + 1')} < {down('l')} THEN sequence(4 * {down('l + 1')}, {down('l')} - 1) ELSE array() END) ELSE {cells} END"
+    return F.explode(F.expr(f"flatten(transform(sequence(0, {levels}), l -> transform({own}, c -> struct(l AS level, c AS cell))))"))
+
+
+def _up(pos: str, levels: int) -> Column:
+    """The cell of each level that holds a position."""
+    return F.explode(F.expr(f"transform(sequence(0, {levels}), l -> struct(l AS level, shiftright({pos}, 2 * l) AS cell))"))
+
+
+def greatest_crossing(places: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each place, the greatest ``value`` of the references it crosses.
+
+    They begin between ``lo`` and ``hi``, or begin before ``lo`` and reach it.  For the former a
+    place asks the cells that make up its span for the greatest value that begins in each; for the
+    latter, the cells around ``lo`` for the greatest value that has the cell among those it is made of.
+    Cells are one row each before places meet them, so no join pairs rows of both tables."""
+    top, deep = _levels(places, F.col("hi") - F.col("lo") + 1), _levels(refs, F.col("re") - F.col("rs") + 1)
+    best = lambda d: d.select(*keys, "kind", "c.*", "value").groupBy(*keys, "kind", "level", "cell").agg(F.max("value").alias("value"))
+    begins = best(refs.select(*keys, F.lit(0).alias("kind"), _up("rs", top).alias("c"), "value"))
+    covers = best(refs.select(*keys, F.lit(1).alias("kind"), _cover("rs", "re", deep).alias("c"), "value"))
+    span = places.where("lo <= hi").select(*keys, "start", "end", F.lit(0).alias("kind"), _cover("lo", "hi", top).alias("c"))
+    point = places.select(*keys, "start", "end", F.lit(1).alias("kind"), _up("lo", deep).alias("c"))
+    asked = span.unionByName(point).select(*keys, "start", "end", "kind", "c.*")
+    return asked.join(begins.unionByName(covers), [*keys, "kind", "level", "cell"]).groupBy(*keys, "start", "end").agg(F.max("value").alias("cross_score"))
+
+
+def _inside(places: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
+    """How many references begin after a place's start and end before its end.
+
+    By the cells that make up the starts they may have, each with its own running count of ends."""
+    span = places.where("end - start > 1").withColumns({"from": F.col("start") + 1, "to": F.col("end") - 1})
+    top = _levels(span, F.col("to") - F.col("from") + 1)
+    cells = span.select(*keys, "start", "end", "to", _cover("`from`", "`to`", top).alias("c")).select(*keys, "start", "end", "to", "c.*")
+    ended = refs.where(F.col("re") - F.col("rs") < (1 << 2 * top)).select(*keys, F.col("re").alias("pos"), F.lit(1).cast("long").alias("one"), _up("rs", top).alias("c"))
+    ended = ended.select(*keys, "pos", "one", "c.*")
+    found = _read(cells, [(F.col("to"), 1)], ended, [*keys, "level", "cell"], {"cross_score": F.col("one_run")})
+    return found.groupBy(*keys, "start", "end").agg(F.sum("cross_score").cast("double").alias("cross_score"))
 
 
 def nearest(places: DataFrame, refs: DataFrame, keys: list[str], *, center: bool = False, cap: float = 1e9) -> DataFrame:
@@ -131,16 +212,16 @@ def nearest(places: DataFrame, refs: DataFrame, keys: list[str], *, center: bool
     # above: the smallest start of those that start after it.  Of the former, the largest end is the nearest.
     u = places.select(*keys, F.col("qe").alias("pos"), F.lit(1).alias("kind"), "start", "end", "qs", "qe", none.alias("a"), none.alias("b")).unionByName(
         r.select(*keys, F.col("a").alias("pos"), F.lit(0).alias("kind"), none.alias("start"), none.alias("end"), none.alias("qs"), none.alias("qe"), "a", "b")
-    ).withColumn("bin", F.floor(F.col("pos") / (1 << 20)))
+    ).withColumn("bin", F.floor(F.col("pos") / BIN))
     bins = u.groupBy(*keys, "bin").agg(F.max("b").alias("top"), F.min("a").alias("low"))
-    w = Window.partitionBy(*keys).orderBy("bin")
-    bins = bins.select(
-        *keys, "bin", F.max("top").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("top"),
-        F.min("low").over(w.rowsBetween(1, Window.unboundedFollowing)).alias("low"),
-    )
-    own = Window.partitionBy(*keys, "bin").orderBy("pos", "kind")
-    below = F.greatest(F.max("b").over(own.rowsBetween(Window.unboundedPreceding, 0)), F.col("top"))
-    above = F.least(F.min("a").over(own.rowsBetween(0, Window.unboundedFollowing)), F.col("low"))
+    # frames that grow from the start, in either order: Spark computes any other anew for each row
+    up, down = Window.partitionBy(*keys).orderBy("bin"), Window.partitionBy(*keys).orderBy(F.desc("bin"))
+    earlier = (Window.unboundedPreceding, -1)
+    bins = bins.select(*keys, "bin", F.max("top").over(up.rowsBetween(*earlier)).alias("top"), F.min("low").over(down.rowsBetween(*earlier)).alias("low"))
+    up, down = Window.partitionBy(*keys, "bin").orderBy("pos", "kind"), Window.partitionBy(*keys, "bin").orderBy(F.desc("pos"), F.desc("kind"))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    below = F.greatest(F.max("b").over(up.rowsBetween(*so_far)), F.col("top"))
+    above = F.least(F.min("a").over(down.rowsBetween(*so_far)), F.col("low"))
     found = u.join(bins, [*keys, "bin"]).withColumns({"below": below, "above": above}).where("kind = 1")
     before = F.when(F.col("below").isNotNull(), F.greatest(F.lit(0), F.col("qs") - F.col("below")))
     gap = F.least(before, F.col("above") - F.col("qe"), F.lit(int(cap)))
@@ -159,17 +240,18 @@ def outside(features: DataFrame, spans: DataFrame, *, stranded: bool = False, ce
     return f.join(s, same & (f["start"] >= s["rs"]) & (f["end"] <= s["re"]), "left_anti").drop("key", "cell")
 
 
-def excluded_fraction(features: DataFrame, exclusions: DataFrame, *, cell: int = 1 << 14) -> DataFrame:
+def excluded_fraction(features: DataFrame, exclusions: DataFrame) -> DataFrame:
     """Share of each feature that merged exclusions cover, as ``excluded``."""
-    return crossing(features, exclusions, "FRACTION", touch=False, cell=cell).withColumnRenamed("cross_score", "excluded")
+    return crossing(features, exclusions, "FRACTION", touch=False).withColumnRenamed("cross_score", "excluded")
 
 
-def probe_count(features: DataFrame, probes: DataFrame, *, cell: int = 1 << 14) -> DataFrame:
+def probe_count(features: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes (points) in the closed span [start, end - 1] of each feature, as ``n_probes``."""
-    q = features.select("chrom", "start", "end").distinct()
-    p = probes.select("chrom", F.col("start").alias("rs"), F.col("start").alias("re"))
-    hit = overlap_join(q, p, ["chrom"], cell=cell).where("rs <= end - 1").groupBy("chrom", "start", "end").agg(F.count("*").alias("n_probes"))
-    return features.join(hit, ["chrom", "start", "end"], "left").withColumn("n_probes", F.coalesce("n_probes", F.lit(0)))
+    places = features.select("chrom", "start", "end").distinct()
+    changes = probes.select("chrom", F.col("start").alias("pos"), F.lit(1).cast("long").alias("n"))
+    ends = [(F.col("end") - 1, 1), (F.col("start") - 1, -1)]
+    count = _read(places.where("start < end"), ends, changes, ["chrom"], {"n_probes": F.col("sign") * F.col("n_run")})
+    return features.join(count, ["chrom", "start", "end"], "left").withColumn("n_probes", F.coalesce("n_probes", F.lit(0).cast("long")))
 
 
 def probe_gaps(probes: DataFrame, chroms: DataFrame, max_gap: int) -> DataFrame:

@@ -33,13 +33,19 @@ def chroms(spark: SparkSession) -> DataFrame:
     return spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("chrom"), F.lit(600000).cast("long").alias("size"), F.lit(1).alias("copies"))
 
 
-def simulated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Features, references and chromosomes of a genome that grows with the table, so that all features
-    find places.  A thousand events are laid out as in ``intervals``, on ``chroms``."""
+def grown(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All features, and chromosomes, of a genome that grows with the table, so that all find places.
+    A thousand events are laid out as in ``intervals``, on ``chroms``."""
     k = max(1, -(-table(spark, sf_dir, "events").count() // 1000))
     start = (F.col("event_id") * 7919) % (500000 * k)
     iv = intervals(spark, sf_dir).withColumns({"start": start, "end": start + (F.col("end") - F.col("start"))})
-    return iv.where("event_id % 3 != 0"), iv.where("event_id % 3 = 0"), chroms(spark).withColumn("size", F.col("size") * k)
+    return iv, chroms(spark).withColumn("size", F.col("size") * k)
+
+
+def simulated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``grown`` as features, references and chromosomes."""
+    iv, sizes = grown(spark, sf_dir)
+    return iv.where("event_id % 3 != 0"), iv.where("event_id % 3 = 0"), sizes
 
 
 def two_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,9 +108,22 @@ def test_jobs(spark):
     want = spark.createDataFrame([(c,) for c in "wxyz"], "command string")
     assert sorted(r[0] for r in J.extend(want, jobs).collect()) == ["w", "y", "z"]
     assert sorted(r["job"] for r in jobs.where(J.job_selector("3+,1")).collect()) == [1, 3, 4]
-    logs = spark.createDataFrame([(1, "start_time: 5\nexit_status: 0\nwalltime: 00:01:00\nmaxvmem: 500M"), (2, "start_time: 6"), (3, "")], "job int, text string")
-    got = {r["job"]: (r["start_time"], r["exit_status"], r["wall_time"], r["maxvmem"]) for r in J.parse_logs(logs).collect()}
-    assert got == {1: ("5", 0, "00:01:00", 0.5), 2: ("6", 137, "99:99:99", None), 3: ("pending", None, None, None)}
+
+
+def test_log_and_exit_states(spark):
+    texts = [
+        "x\nq: execution started: Mon 1\nout\nq: exit_status: 0; walltime: 0:59.12; seconds: 59; maxvmem: 1499500K;\n", "x\nq: execution started: Tue\nout",
+        "", "x\nq: execution started: Wed\n exit_status: 3; walltime: 12:34.5; seconds: 754; maxvmem: 12K;", "x\nq: execution started: Thu\n exit_status: 1; walltime: 1:02:03; seconds: 3723; maxvmem: 2000000K;",
+    ]
+    got = J.parse_logs(spark.createDataFrame(list(enumerate(texts)), "job int, text string")).orderBy("job").collect()
+    assert [tuple(r)[1:] for r in got] == [
+        ("Mon 1", "0", "00:00:59", 59.0, 1.5), ("Tue", "137", "99:99:99", 9999999.0, 0.0), ("", "pending", "", 0.0, 0.0),
+        ("Wed", "3", "00:12:34", 754.0, 0.0), ("Thu", "1", "01:02:03", 3723.0, 2.0),
+    ]
+    states = spark.createDataFrame([(s,) for s in ("0", "137", "Eqw", "hqw", "deleted", None)], "exit_status string")
+    assert [tuple(r)[1:] for r in J.job_states(states).collect()] == [(False, False), (False, False), (True, True), (False, True), (False, False), (False, False)]
+    lines = spark.createDataFrame(list(enumerate(["submitted\tMon", "jobName\tjobID", "a\t1", "submitted\tTue", "b\t2", "c\t3"])), "n long, value string")
+    assert sorted(map(tuple, J.load_status(lines, ["name", "id"]).collect())) == [(1, "a", "1"), (2, "b", "2"), (2, "c", "3")]
 
 
 def test_closure_stays_in_its_batch(spark, tmp_path):

@@ -85,11 +85,10 @@ def brute(q, r, touch):
 
 
 @pytest.mark.parametrize("touch", [True, False])
-@pytest.mark.parametrize("cell", [16, 1 << 14])
-def test_crossing_equals_brute_force(bed, touch, cell):
+def test_crossing_equals_brute_force(bed, touch):
     q, r = random_features(120, 8), random_features(150, 9)
     q = [(*x[:3], str(i), *x[4:]) for i, x in enumerate(q)]
-    got = X.crossing(bed(q), bed(r), "COUNT", touch=touch, cell=cell)
+    got = X.crossing(bed(q), bed(r), "COUNT", touch=touch)
     want = {str(i): float(len(h)) for i, h in brute(q, r, touch).items()}
     assert {x["name"]: x["cross_score"] for x in got.collect()} == want
     far = X.crossing(bed(q), bed(r), "DISTANCE_EDGE")
