@@ -1,9 +1,12 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. All word n-grams of the benchmark items are looked up in every document.
-2. Every hit is a seed.  Rareness does not choose among them: the copies of an item raise
-   the counts of the grams that an edited copy kept, so those would be lost first.
-3. Seeds join documents to items on a diagonal; around it, the document's words are
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+1. All word n-grams of the benchmark's items are counted by the different items that hold them, so
+   copies of an item do not make its grams common.
+2. The seeds of an item are its grams that at most ``RARE`` items hold, and in any case the rarest
+   three quarters of its grams.  A phrase of all items is no seed of an item that has grams of its own, and pairs
+   no document with it; it is one of an item that is nothing else.  A document that kept none of the
+   rarest three quarters of an item's grams is no copy of it.
+3. Seeds that a document hits join it to items on a diagonal; around it, the document's words are
    aligned with the item's, unless too few of the item's words are there at all to reach
    the score, which frequent phrases seldom pass.  The local alignment score, over that of a perfect copy,
    finds copies that were edited, cut or extended.
@@ -15,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanloom.llm import textkernels as K
 from spanloom.llm.work import keep_keys, map_texts, stage
@@ -31,12 +35,14 @@ CELLS = 1 << 20
 #: Diagonals that start one alignment.
 SLOT = 16
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
+#: Items that may share a rare gram, and the share of an item's grams that are its seeds in any case.
+RARE, RAREST = 8, 0.75
 
 
 def _hashed(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = K.LOWER[data]
     s, e, first = K.words(low, off, K.ALNUM)
-    return K.span_hash(low, s, e), first
+    return K.word_hash(low, s, e), first
 
 
 def _grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,6 +68,20 @@ def _gram_rows(batches, n: int, only: np.ndarray | None):
             )
 
 
+def seed_grams(own: DataFrame) -> DataFrame:
+    """The rows of ``gram, item_id, item_pos`` whose gram is a seed of its item.
+
+    Items of the same grams count as one.  An item's grams meet in one task, as an item is one text."""
+    kind = own.groupBy("item_id").agg(F.bit_xor(F.xxhash64("gram", "item_pos")).alias("x"), F.sum(F.xxhash64("gram").cast("decimal(20,0)")).alias("y"))
+    held = own.join(kind, "item_id")
+    common = held.groupBy("gram").agg(F.countDistinct("x", "y").alias("n_items"))
+    held = held.join(common, "gram")
+    rank = Window.partitionBy("item_id").orderBy("n_items", "gram", "item_pos")
+    ranked = held.withColumns({"nth": F.row_number().over(rank), "all": F.count("*").over(Window.partitionBy("item_id"))})
+    bound = ranked.where(F.col("nth") <= F.ceil(F.col("all") * RAREST)).groupBy("item_id").agg(F.greatest(F.max("n_items"), F.lit(RARE)).alias("most"))
+    return held.join(bound, "item_id").where("n_items <= most").select("gram", "item_id", "item_pos")
+
+
 def align(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman scores of rows of two padded word arrays (0 pads ``doc``, 1 pads ``item``),
     and the document word after which each best local alignment ends.
@@ -160,7 +180,7 @@ def contaminated(
         .agg(F.min("text").alias("text"))
     )
     own = stage(map_texts(items, lambda it: _gram_rows(it, n, None), "gram long, id long, pos int"), "grams")
-    own = own.select("gram", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"))
+    own = stage(seed_grams(own.select("gram", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"))), "seeds")
     distinct = own.select("gram").distinct()
     few = own.limit(TASK_GRAMS + 1).count() <= TASK_GRAMS
     schema = f"gram long, id {kind}, pos int"

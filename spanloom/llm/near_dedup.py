@@ -41,10 +41,14 @@ BLOCK_SHINGLES = 4_000_000
 TURNS = (4,)
 
 
-def _sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+#: Seeds of the hashes of words: of signatures and classes, and, with nothing in common, of the sets that links are verified on.
+SIGN, VERIFY = 1, 2
+
+
+def _sets(data: np.ndarray, off: np.ndarray, k: int, seed: int = SIGN) -> tuple[np.ndarray, np.ndarray]:
     low = K.LOWER[data]
     s, e, first = K.words(low, off, K.NOT_BLANK)
-    return K.shingles(K.span_hash(low, s, e), first, k)
+    return K.shingles(K.word_hash(low, s, e, seed), first, k)
 
 
 def _sign(batches, k: int, bands: int, rows: int):
@@ -209,11 +213,11 @@ def _exact_forest(key, table: pa.Table, threshold: float, miss: float, percent:
 
 
 def _set_rows(batches, k: int):
-    """The shingle sets of texts, as sorted 64-bit hashes."""
+    """The shingle sets of texts, as sorted 64-bit hashes that are independent of those of the signatures."""
     for b in batches:
         data, off = K.texts(b.column("text"))
         for i, j, d, o in K.chunks(data, off):
-            h, so = _sets(d, o, k)
+            h, so = _sets(d, o, k, VERIFY)
             own = [np.unique(h[so[x] : so[x + 1]]).tobytes() for x in range(j - i)]
             yield pa.RecordBatch.from_arrays([b.column("cls").slice(i, j - i), pa.array(own, pa.binary())], ["cls", "set"])
 
@@ -359,7 +363,10 @@ def near_duplicates(
     least = with_comp(signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct(F.col("row.doc_id").isNull(), "row")).alias("first")))
     named = least.groupBy("comp").agg(F.min("first").alias("first")).select("comp", F.col("first.row").alias("first"))
     least = stage(least.select("cls", "comp").join(named, "comp").select("cls", "first"), "named")
-    out = signed.select("row", "n_shingles", "cls").join(least, "cls", "left").withColumn("first", F.coalesce("first", "row"))
+    # texts without words have no class; joined, they would all meet in one task
+    bare = signed.select("row", "n_shingles", "cls")
+    out = bare.where("cls is not null").join(least, "cls", "left").unionByName(bare.where("cls is null"), allowMissingColumns=True)
+    out = out.withColumn("first", F.coalesce("first", "row"))
     if key:
         return out.select("row.doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"), F.col("row.own").alias(key))
     return out.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -112,6 +113,36 @@ def words(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np.ndar
     return starts, ends, np.searchsorted(starts, off)
 
 
+#: Bytes from which a word is hashed by BLAKE2, one at a time.
+LONG_WORD = 512
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Keyed 64-bit hashes of words: eight bytes at a time go through a finaliser that mixes all bits.
+
+    Unlike sums of powers modulo 2**64, no pattern of bytes cancels out.  Different seeds give
+    hashes that have nothing in common, and long words are hashed by BLAKE2 under the seed."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    n = (ends - starts).astype(np.int64)
+    key = mix(np.full(1, (seed * 2 + 1) * 0x9E3779B97F4A7C15 % (1 << 64), U64))[0]
+    lanes = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,)) if len(data) else np.zeros(0, U64)
+    out = mix(n.astype(U64) ^ key)
+    left = np.flatnonzero(n <= LONG_WORD)
+    at, todo = starts[left].astype(np.int64), n[left]
+    while len(left):
+        lane = lanes[at]
+        short = todo < 8
+        lane[short] &= (U64(1) << (U64(8) * todo[short].astype(U64))) - U64(1)
+        out[left] = mix((out[left] ^ mix(lane + key)) + U64(0x9FB21C651E98DF25))
+        go = todo > 8
+        left, at, todo = left[go], at[go] + 8, todo[go] - 8
+    for i in np.flatnonzero(n > LONG_WORD):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=int(key).to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, prefix: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of byte spans: differences of one polynomial prefix sum, mixed with the length."""
     if not len(starts):

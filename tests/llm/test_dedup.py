@@ -219,3 +219,14 @@ def test_repeats_edges(spark, empty):
     rows = [(None, "ab" * 400), (4, None), (4, "z" * 399), (4, "z" * 401)]
     got = sorted((tuple(r)[:4] for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert got == sorted([(None, 800, 800, 1), (4, 0, 0, 0), (4, 399, 0, 0), (4, 401, 401, 1)], key=repr)
+
+
+def test_texts_that_cancel_out_in_sums_of_powers_are_not_linked(spark):
+    """The Thue-Morse word and its exchange have equal sums of powers of any odd base modulo 2**64."""
+    t = "a"
+    for _ in range(10):
+        t = "".join("ab" if c == "a" else "ba" for c in t)
+    u = t.translate(str.maketrans("ab", "ba"))
+    rows = [(1, t), (2, u), (3, f"x {t} y {u} z"), (4, f"x {u} y {t} z"), (5, t)]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert {g.doc_id: g.component_id for g in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}

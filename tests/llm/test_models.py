@@ -80,33 +80,46 @@ def test_grammar_reads_clauses():
     lex = T.Lexicon({"vile": 2.0}, {}, threat=3.0)
     factor = T.class_factors(T.PRIOR)
     read = lambda t: sum(factor[k] * w for k, w in T.read_clause([lex.symbol(w) for w in t.split()]))
-    assert read("a vile thing") == 2.0 and read("you are vile") == read("vile are you") == 3.0
-    assert read("you are not vile") == 1.5 and read("she said that is vile") == 1.5  # who reports is a target too
-    assert read("not vile and vile") == 1.0 + 2.0  # a negation spends itself on one word
-    assert read("dijo vile vile") == 2.0  # a report holds to the end
-    assert read("kill it") == pytest.approx(0.6) and read("they will kill you") == 4.5
+    neg, rep, aim = (T.PRIOR[k] for k in ("negation", "report", "target"))
+    assert read("vile") == read("vile vile") == read("not vile") == 0.0  # said of nothing: no pattern
+    assert read("a vile thing") == read("vile things") == 2.0 and read("you are vile") == read("vile are you") == pytest.approx(2 * aim)
+    assert read("you are not vile") == pytest.approx(2 * neg * aim) and read("the word vile stands") == pytest.approx(2 * rep)
+    assert read("a not vile and vile") == pytest.approx(2 * neg + 2)  # a negation spends itself on one word
+    assert read("dijo vile vile thing") == pytest.approx(4 * rep)  # a report holds to the end
+    assert read("kill it") == 0.0 and read("they will kill you") == read("kill you") == read("you kill") == pytest.approx(3 * aim)
     assert T.read_clause([lex.symbol(w) for w in "a fine day".split()]) == []
 
 
 def brute_read(symbols):
     """The same rules, told without machines."""
-    aimed = any(s == T.TARGET for s, _ in symbols)
+    kinds = [s for s, _ in symbols]
+    aimed, hosted = T.TARGET in kinds, T.TARGET in kinds or T.OTHER in kinds
     out = []
     for i, (s, w) in enumerate(symbols):
-        if s in T.HOSTILE:
-            reported = any(x == T.REPORT for x, _ in symbols[:i])
-            since = [x for x, _ in symbols[:i]]
-            last_hostile = max((k for k, x in enumerate(since) if x in T.HOSTILE), default=-1)
-            negated = T.NEGATION in since[last_hostile + 1 :]
-            out.append((8 * (s == T.THREAT) + 4 * negated + 2 * reported + aimed, w))
+        if s in T.HOSTILE and (hosted if s == T.INSULT else aimed):
+            before = kinds[:i]
+            last_hostile = max((k for k, x in enumerate(before) if x in T.HOSTILE), default=-1)
+            out.append((8 * (s == T.THREAT) + 4 * (T.NEGATION in before[last_hostile + 1 :]) + 2 * (T.REPORT in before) + aimed, w))
     return out
 
 
 def test_composed_machine_equals_brute_force():
     r = random.Random(5)
-    for _ in range(500):
+    for _ in range(2000):
         clause = [(r.randrange(6), 1.0 + k) for k in range(r.randrange(12))]
-        assert T.read_clause(clause) == brute_read(clause)
+        assert sorted(T.read_clause(clause)) == sorted(brute_read(clause))
+
+
+def test_every_machine_is_read():
+    """Without any one of the five, some clause is read otherwise."""
+    r = random.Random(6)
+    clauses = [[(r.randrange(6), 1.0 + k) for k in range(r.randrange(1, 8))] for _ in range(500)]
+    whole = [sorted(T.read_clause(c)) for c in clauses]
+    makers = [T.insult, T.threat, T.target, T.negation, T.report]
+    for k in range(5):
+        idle = T.Machine(makers[k]().states, {}, frozenset())
+        grammar = T.compose([idle if j == k else m() for j, m in enumerate(makers)])
+        assert [sorted(T.read_clause(c, grammar)) for c in clauses] != whole
 
 
 def test_arc_weights_are_learned():
@@ -116,12 +129,57 @@ def test_arc_weights_are_learned():
     x[:, T.N_CLASSES + 1] = 5
     x[np.arange(400), np.where(y == 1, 1, 4)] = 3.0  # toxic where aimed, clean where negated
     arcs, w = T._fit(x, y)
-    assert arcs["negation"] < T.PRIOR["negation"] and arcs["target"] > arcs["negation"]
-    assert arcs["report"] == T.PRIOR["report"]  # never seen
+    assert arcs["negation"] <= T.PRIOR["negation"] and arcs["target"] > arcs["negation"]
     p = T.ToxicityModel(T.Lexicon({}, {}), arcs, w).score(x)
     assert p[y == 1].min() > p[y == 0].max()
 
 
+def brute_score(model, text):
+    """The whole score of a text, by the rules."""
+    low = (text or "").lower()
+    paid, clauses = 0.0, 0
+    any_ = False
+    parts = re.split(r"([.!?;:\n]+)", low)
+    for clause, end in zip(parts[::2], [*parts[1::2], ""]):
+        symbols = [model.lexicon.symbol(w) for w in re.findall(r"[^\W\d_]+", clause)] + [(T.OTHER, 0.0)] * ("!" in end)
+        clauses += bool(clause)
+        any_ |= any(s in T.HOSTILE for s, _ in symbols)
+        for kind, w in brute_read(symbols):
+            f = 1.0
+            if kind & 1:
+                f *= model.arcs["target"]
+            if kind & 2:
+                f *= model.arcs["report"]
+            if kind & 4:
+                f *= model.arcs["negation"]
+            if kind & 8:
+                f *= model.arcs["threat"]
+            paid += f * w
+    z = model.weights[0] * np.log1p(paid) + model.weights[1] * np.log1p(paid / max(1, clauses) if any_ else 0.0) + model.weights[2]
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def test_toxic_scores_equal_brute_force_and_patterns_decide(spark, judged):
+    d, labels, _ = judged
+    m = T.train_toxicity(d, labels)
+    probes = [
+        "nasty", "dictionary entry: nasty. it is a noun.", "you are not nasty", "she said you nasty", "the word nasty stands here", "not nasty, not vile",
+        "you nasty thing", "a vile day for him", "", None, "kill", "they kill you", "vile! nasty? no", "nasty vile", "he wrote: you are vile",
+    ]
+    df = spark.createDataFrame([*enumerate(probes)], "doc_id long, text string").unionByName(d)
+    texts = {r.doc_id: r.text for r in d.collect()}
+    got = T.score_toxicity(df, m).collect()
+    assert len(got) == len(probes) + len(texts)
+    own = {t: min(r.score for r in T.score_toxicity(spark.createDataFrame([(1, t)], "doc_id long, text string"), m).collect()) for t in probes}
+    for t in probes[:6]:
+        assert own[t] < 0.3, t
+    assert own["you nasty thing"] >= 0.3 and own["a vile day for him"] >= 0.3
+    for r in T.score_toxicity(d, m).collect():
+        assert r.score == pytest.approx(brute_score(m, texts[r.doc_id]), abs=1e-9)
+    for t in probes:
+        assert own[t] == pytest.approx(brute_score(m, t), abs=1e-9)
+
+
 def test_alignment_scores():
     item = np.arange(2, 12, dtype=np.uint64)[None, :]
     cut = np.delete(item[0], 4)[None, :]
@@ -226,9 +284,19 @@ def test_character_maps_equal_the_library():
             assert len(at) == len(norm) + 1 and all(x <= y for x, y in zip(at, at[1:])) and at[-1] <= len(t.encode())
 
 
-def test_bytes_that_are_no_text_are_repaired():
-    m = P.Pieces.__new__(P.Pieces)
-    assert m._repair(b"a\xff\xe6\x97b", None).decode() == "a���b"
+@needs_model
+def test_ids_of_bytes_that_are_no_text_decode_like_the_library():
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_MODEL))
+    m = P.Pieces(tokenizer_bytes())
+    byte = {int(lib.id_to_piece(i)[3:5], 16): i for i in range(lib.get_piece_size()) if lib.is_byte(i)}
+    r = random.Random(4)
+    assert byte
+    for seq in [b"a\xff\xe6\x97b", b"\xe6\x97", b"\xf0\x9f\x98\x80", b"\xc3\x28\xa9", *[bytes(r.randrange(256) for _ in range(r.randrange(1, 9))) for _ in range(60)]]:
+        ids = [byte[x] for x in seq]
+        out, ends = m.decode(np.array(ids), np.array([0, len(ids)]))
+        assert bytes(out).decode() == lib.decode(ids) and list(ends) == [0, len(out)]
 
 
 def test_hashes_are_of_the_digest_columns():
@@ -263,3 +331,18 @@ def test_decontamination_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(D, "SEEDS", 2)
     monkeypatch.setattr(D, "CELLS", 200)
     assert find() == pytest.approx(want)
+
+
+def test_boilerplate_grams_are_no_seeds(spark):
+    """A phrase of all items pairs no document with all of them, while edited copies, and copies of items that are nothing else, are found."""
+    r = random.Random(9)
+    phrase = "choose the best answer to the question below"
+    items = [(i, f"{phrase} {prose(r, 30)}") for i in range(60)] + [(900, phrase), (901, phrase.upper() + "!")]
+    rows = [(i, f"{prose(r, 10)} {phrase} {prose(r, 10)}") for i in range(50)]
+    cut = items[7][1].split()
+    rows += [(100, " ".join(cut[:20] + ["new"] + cut[22:])), (101, items[8][1])]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(docs, bench).collect()}
+    assert got == {(i, j) for i, _ in rows for j in (900, 901)} | {(100, 7), (101, 8)}
+    own = D.seed_grams(spark.createDataFrame([(g, i, 0) for i in range(60) for g in (1, 100 + i, 200 + i, 300 + i)] + [(1, 900, 0)], "gram long, item_id long, item_pos int"))
+    assert {x.item_id for x in own.where("gram = 1").collect()} == {900}
