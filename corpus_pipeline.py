@@ -21,52 +21,52 @@ from spanloom.llm.quality import score_quality, train_quality
 from spanloom.llm.queries import table, tokenizer_bytes
 from spanloom.llm.work import drop_paths, keep_keys, stage, work_tables
 
-KEY = "row_key_"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with KEY: the hash of a row's file and its place in it, the same in every scan.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key, and its name, which no column has: the hash of a row's file and its place in it, the same in every scan.
 
     Rows that come from no file are written first."""
+    key, taken = "row_key_", {c.lower() for c in docs.columns}
+    while key in taken:
+        key += "_"
     place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     try:
-        return docs.select("*", place.alias(KEY))
+        return docs.select("*", place.alias(key)), key
     except AnalysisException:
-        return stage(docs, "docs").select("*", place.alias(KEY))
+        return stage(docs, "docs").select("*", place.alias(key)), key
 
 
-def _without(keyed: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows whose KEY is not in ``verdict``, which becomes a work table."""
-    return keep_keys(keyed, stage(verdict.select(KEY).distinct(), "verdict"), [KEY], "left_anti").drop(KEY)
+def _without(keyed: DataFrame, verdict: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in ``verdict``, which becomes a work table."""
+    return keep_keys(keyed, stage(verdict.select(key).distinct(), "verdict"), [key], "left_anti").drop(key)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts.  Empty and null texts score like a text without words."""
     model = train_quality(docs, table(spark, sf_dir, "labels"))
-    keyed = _keyed(docs)
-    return _without(keyed, score_quality(keyed, model, key=KEY).where("predicted = 0"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, score_quality(keyed, model, key=key).where("predicted = 0"), key)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: that of the largest ``doc_id``, or any of several such rows.
 
     Null and empty texts are one group."""
-    keyed = _keyed(docs)
-    return _without(keyed, exact_duplicates(keyed, key=KEY).where("not kept"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, exact_duplicates(keyed, key=key).where("not kept"), key)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (five-word shingles, similarity 0.8): that of the least ``doc_id``.
 
     Texts without words link with nothing, so their rows stay."""
-    keyed = _keyed(docs)
-    return _without(keyed, near_duplicates(keyed, shingle=5, percent=80, key=KEY).where("not kept"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, near_duplicates(keyed, shingle=5, percent=80, key=key).where("not kept"), key)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of a benchmark item; texts without words stay."""
-    keyed = _keyed(docs)
-    return _without(keyed, contaminated(keyed, table(spark, sf_dir, "benchmark"), key=KEY))
+    keyed, key = _keyed(docs)
+    return _without(keyed, contaminated(keyed, table(spark, sf_dir, "benchmark"), key=key), key)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
