@@ -470,6 +470,17 @@ def _(spark, d):
     return _placed(spark, d, offset_control=1000)[0]
 
 
+@query("permute_draws", f"""WITH k AS (SELECT greatest(1, ceil(count(*) / 1000.0))::BIGINT AS k FROM events), gv AS (SELECT event_id, 'chr' || (user_id % 5 + 1) AS chrom, (event_id * 7919) % (500000 * k) AS s,
+    1 + CAST(floor(value * 4) AS BIGINT) AS n, CASE WHEN event_id % 2 = 0 THEN '+' ELSE '-' END AS strand, 600000 * k AS size FROM events, k),
+    d AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', '5', i, event_id || '|' || chrom || '|' || s || '|' || (s + n) || '|' || strand || '|1', a)), 1, 15)) AS BIGINT) % (5 * size) AS x FROM gv, range(0, 2) t(i), range(0, 60) u(a)),
+    f AS (SELECT * FROM d WHERE x % size + n <= size QUALIFY row_number() OVER (PARTITION BY i, event_id ORDER BY a) = 1)
+    SELECT CAST(i AS INTEGER) AS iteration, CAST(event_id AS VARCHAR) AS id, 'chr' || (x // size + 1) AS chrom, x % size AS start, x % size + n AS "end" FROM f""")
+def _(spark, d):
+    """Placements that may meet: each feature's first draw that fits its chromosome."""
+    f, chroms = P.grown(spark, d)
+    return M.permute(_named(f), chroms, iterations=2, seed=5, max_overlap=1.0).where("iteration >= 0").select("iteration", "id", "chrom", "start", "end")
+
+
 @query("permute_lengths", with_("f") + ", n AS (SELECT e - s AS length, count(*) AS c FROM f GROUP BY 1) SELECT CAST(i AS INTEGER) AS iteration, length, c AS n FROM n, range(-1, 10) t(i)")
 def _(spark, d):
     placed = _placed(spark, d)[0]

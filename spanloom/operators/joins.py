@@ -168,17 +168,20 @@ def _up(pos: str, levels: int) -> Column:
     return F.explode(F.expr(f"transform(sequence(0, {levels}), l -> struct(l AS level, shiftright({pos}, 2 * l) AS cell))"))
 
 
-def greatest_crossing(places: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
+def greatest_crossing(places: DataFrame, refs: DataFrame, keys: list[str], *, longest: int | None = None) -> DataFrame:
     """Of each place, the greatest ``value`` of the references it crosses.
 
     They begin between ``lo`` and ``hi``, or begin before ``lo`` and reach it.  For the former a
     place asks the cells that make up its span for the greatest value that begins in each; for the
     latter, the cells around ``lo`` for the greatest value that has the cell among those it is made of.
     Cells are one row each before places meet them, so no join pairs rows of both tables."""
-    top, deep = _levels(places, F.col("hi") - F.col("lo") + 1), _levels(refs, F.col("re") - F.col("rs") + 1)
+    if longest is None:
+        top, deep = _levels(places, F.col("hi") - F.col("lo") + 1), _levels(refs, F.col("re") - F.col("rs") + 1)
+    else:  # no place or reference is longer
+        top = deep = (int(longest + 1).bit_length() + 1) // 2
     best = lambda d: d.select(*keys, "kind", "c.*", "value").groupBy(*keys, "kind", "level", "cell").agg(F.max("value").alias("value"))
     begins = best(refs.select(*keys, F.lit(0).alias("kind"), _up("rs", top).alias("c"), "value"))
-    covers = best(refs.select(*keys, F.lit(1).alias("kind"), _cover("rs", "re", deep).alias("c"), "value"))
+    covers = best(refs.where("rs < re").select(*keys, F.lit(1).alias("kind"), _cover("(rs + 1)", "re", deep).alias("c"), "value"))
     span = places.where("lo <= hi").select(*keys, "start", "end", F.lit(0).alias("kind"), _cover("lo", "hi", top).alias("c"))
     point = places.select(*keys, "start", "end", F.lit(1).alias("kind"), _up("lo", deep).alias("c"))
     asked = span.unionByName(point).select(*keys, "start", "end", "kind", "c.*")

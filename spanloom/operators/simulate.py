@@ -1,7 +1,11 @@
 """Seeded random placement of features, enrichment by iteration, and hotspots.
 
-Placement is sequential inside an iteration, as features must not meet; iterations are
-independent, so they are the groups.  What a task holds is one iteration's features.
+Features are placed in rounds.  A feature's draws hang on the seed, the iteration, its own columns and
+the number of the draw alone; in each round it takes its next draw that fits, and a self-crossing of
+all draws of an iteration finds those that meet: of them the one of the greatest keyed rank stays and the
+others draw again.  So results do not depend on partitions, and no task holds an iteration.  Only where features
+may cover a part of each other (``max_overlap`` between 0 and 1) does a place depend on all before it, and an
+iteration's features are placed one by one.
 """
 
 from __future__ import annotations
@@ -10,11 +14,11 @@ import bisect
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import collapse, offset
-from spanloom.operators.joins import crossing, outside
+from spanloom.operators.joins import crossing, crossing_counts, greatest_crossing, outside, overlap_sums, probe_count
 from spanloom.sources.folders import materialized
 
 PLACED = "iteration int, id string, chrom string, start long, end long, score double, strand string"
@@ -45,7 +49,7 @@ class Occupied:
         for k in self.near(s, e):
             n = min(e, self.end[k]) - max(s, self.start[k])
             total += n
-            if both and n / (self.end[k] - self.start[k]) > most:
+            if both and n > most * (self.end[k] - self.start[k]):
                 return True
         return total / (e - s) > most
 
@@ -122,6 +126,93 @@ def place(
     return pd.DataFrame(rows, columns=["iteration", "id", "chrom", "start", "end", "score", "strand"])
 
 
+#: Draws of the first round for each feature; each round takes four times as many, as fewer features are left.
+FIRST_DRAWS, MOST_DRAWS = 2, 4096
+_FEATURE = ("id", "chrom", "start", "end", "score", "strand")
+
+
+def keyed_number(*parts: Column | str) -> Column:
+    """A whole number below 2 ** 60 that hangs on the parts, text or columns: fifteen hex digits of their MD5, as in any SQL."""
+    text = F.concat_ws("|", *(F.lit(x) if isinstance(x, str) else F.coalesce(x.cast("string"), F.lit("")) for x in parts))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def draws(features: DataFrame, chroms: list[tuple[str, int, int]], first: Column, n: int, *, seed: int, stranded: bool) -> DataFrame:
+    """``n`` draws of each feature from number ``first`` on, those that fit: adds ``draw, to_chrom, s, e, side``.
+
+    A draw is a base of all chromosomes laid end to end, copies included, and must leave the feature's length behind it."""
+    ends, laid = [], 0
+    for name, size, copies in chroms:
+        for _ in range(copies):
+            ends.append(F.struct(F.lit(name).alias("name"), F.lit(laid).cast("long").alias("low"), F.lit(laid + size).cast("long").alias("high")))
+            laid += size
+    if not laid:
+        raise ValueError("the genome has no bases")
+    d = features.withColumn("draw", F.explode(F.sequence(first, first + (n - 1))))
+    own = (str(seed), F.col("iteration"), F.col("own"), F.col("draw"))
+    d = d.withColumn("x", keyed_number(*own) % laid)
+    d = d.withColumn("on", F.filter(F.array(*ends), lambda c: (c["low"] <= F.col("x")) & (F.col("x") < c["high"]))[0])
+    side = F.when(keyed_number(*own, "strand") % 2 == 0, "+").otherwise("-") if stranded else F.col("strand")
+    length = F.col("end") - F.col("start")
+    d = d.where(F.col("x") + length <= F.col("on.high"))
+    s = F.col("x") - F.col("on.low")
+    return d.withColumns({"to_chrom": F.col("on.name"), "s": s, "e": s + length, "side": side}).drop("x", "on")
+
+
+def _allowed(d: DataFrame, exclusions: DataFrame | None, probes: DataFrame | None, max_excluded: float, min_probes: int) -> DataFrame:
+    """Draws of which no more than ``max_excluded`` lies in merged exclusions and that hold enough probes; both are read from running sums."""
+    place = [F.col("to_chrom").alias("chrom"), F.col("s").alias("start"), F.col("e").alias("end")]
+    back = lambda t: t.withColumnsRenamed({"chrom": "to_chrom", "start": "s", "end": "e"})
+    if exclusions is not None and max_excluded < 1:
+        merged = exclusions.select("chrom", F.col("start").alias("rs"), F.col("end").alias("re"))
+        held = back(overlap_sums(d.where("s < e").select(*place).distinct(), merged, ["chrom"]))
+        d = d.join(held, ["to_chrom", "s", "e"], "left").where(F.coalesce(F.col("overlap") / (F.col("e") - F.col("s")) <= max_excluded, F.lit(True))).drop("overlap")
+    if probes is not None and min_probes > 0:
+        d = d.join(back(probe_count(d.select(*place).distinct(), probes)), ["to_chrom", "s", "e"]).where(F.col("n_probes") >= min_probes).drop("n_probes")
+    return d
+
+
+def _place_in_rounds(
+    features: DataFrame, chroms: list[tuple[str, int, int]], exclusions: DataFrame | None, probes: DataFrame | None,
+    *, seed: int, stranded: bool, max_excluded: float, apart: bool, min_probes: int, max_attempts: int,
+) -> DataFrame:
+    """Places of ``features`` (their columns and ``iteration``); with ``apart`` none of an iteration (and strand) meet."""
+    left = materialized(features.withColumn("rank", keyed_number(str(seed), F.col("iteration"), F.col("own"), "rank")))
+    exclusions = materialized(collapse(exclusions, names=False)) if exclusions is not None else None
+    longest = left.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 0
+    keys = ["iteration", "to_chrom", *(["side"] if stranded else [])]
+    placed, tried, n = None, 0, FIRST_DRAWS
+    while not left.isEmpty():
+        if tried >= max_attempts:
+            lost = left.agg(F.min("id").alias("id")).first()["id"]
+            raise ValueError(f"feature {lost} found no place in {max_attempts} attempts")
+        n = min(n, max_attempts - tried)
+        d = _allowed(draws(left, chroms, F.lit(tried), n, seed=seed, stranded=stranded), exclusions, probes, max_excluded, min_probes)
+        if apart and placed is not None:
+            # draws that meet what is placed are passed over
+            places = d.where("s < e").select(*keys, F.col("s").alias("start"), F.col("e").alias("end")).distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
+            met = crossing_counts(places, placed.where("s < e").select(*keys, F.col("s").alias("rs"), F.col("e").alias("re")), keys)
+            met = met.where("cross_score > 0").withColumnsRenamed({"start": "s", "end": "e"}).drop("cross_score")
+            d = d.join(met, [*keys, "s", "e"], "left_anti")
+        shape = F.struct("draw", "to_chrom", "s", "e", "side")
+        first = materialized(d.groupBy("iteration", "own", "rank", "id", "score").agg(F.min(shape).alias("d")).select("iteration", "own", "rank", "id", "score", "d.*"))
+        good = first
+        if apart:
+            here = first.where("s < e").select(*keys, F.col("s").alias("start"), F.col("e").alias("end"), "rank")
+            places = here.select(*keys, "start", "end").distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
+            best = greatest_crossing(places, here.select(*keys, F.col("start").alias("rs"), F.col("end").alias("re"), F.col("rank").alias("value")), keys, longest=longest)
+            best = best.withColumnsRenamed({"start": "s", "end": "e", "cross_score": "best"})
+            good = first.join(best, [*keys, "s", "e"], "left").where("best is null or best = rank").drop("best")
+        good = materialized(good)
+        placed = good if placed is None else materialized(placed.unionByName(good))
+        left = materialized(left.join(good.select("iteration", "own"), ["iteration", "own"], "left_anti"))
+        tried, n = tried + n, min(4 * n, MOST_DRAWS)
+    empty = features.select("iteration", "id", F.col("chrom"), "start", "end", "score", "strand").limit(0)
+    if placed is None:
+        return empty
+    return placed.select("iteration", "id", F.col("to_chrom").alias("chrom"), F.col("s").alias("start"), F.col("e").alias("end"), "score", F.col("side").alias("strand"))
+
+
 def permute(
     features: DataFrame, chroms: DataFrame, *, iterations: int = 100, seed: int = 1, exclusions: DataFrame | None = None,
     probes: DataFrame | None = None, stranded: bool = False, max_excluded: float = 0.0, max_overlap: float = 0.0, min_probes: int = 0,
@@ -129,27 +220,44 @@ def permute(
 ) -> DataFrame:
     """Actual features (iteration -1), an optional shifted control (-2), and random placements (0, 1, ...).
 
-    Chromosomes are gathered once and sent to the tasks; merged exclusions and probe
-    positions meet each iteration's features there.  The seed and the iteration number decide every
-    draw, so results do not depend on partitions."""
-    keep = [F.col("id").cast("string"), "chrom", "start", "end", F.col("score").cast("double"), "strand"]
-    actual = features.select(*keep)
+    Chromosomes are gathered once and sent to the tasks.  A feature that finds no place in ``max_attempts`` draws is
+    an error.  With a ``max_overlap`` of 0 no two features of an iteration (with ``stranded``: and strand) meet, with 1 all may."""
+    actual = features.select(F.col("id").cast("string"), "chrom", "start", "end", F.col("score").cast("double"), "strand")
     sizes = [(r["chrom"], r["size"], r["copies"] if "copies" in r else 1) for r in chroms.orderBy("chrom").collect()]
+    if 0 < max_overlap < 1:
+        placed = _place_in_turn(
+            actual, sizes, exclusions, probes, iterations=iterations, seed=seed, stranded=stranded, max_excluded=max_excluded,
+            max_overlap=max_overlap, min_probes=min_probes, max_attempts=max_attempts,
+        )
+    else:
+        # equal rows are told apart by a number, and counted before they are
+        each = actual.groupBy(*_FEATURE).agg(F.count("*").alias("copies")).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _FEATURE if c != "score"), F.col("nth").cast("string"), F.when(F.col("nth") > 1, F.col("score").cast("string")))
+        own = each.select(*_FEATURE, text.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")) if iterations else each.select(*_FEATURE, text.alias("own"), F.lit(0).alias("iteration")).limit(0)
+        placed = _place_in_rounds(
+            own, sizes, exclusions, probes, seed=seed, stranded=stranded, max_excluded=max_excluded, apart=max_overlap <= 0,
+            min_probes=min_probes, max_attempts=max_attempts,
+        )
+    out = actual.select(F.lit(-1).alias("iteration"), *actual.columns).unionByName(placed)
+    if offset_control is not None:
+        out = offset(actual, offset_control).select(F.lit(-2).alias("iteration"), *actual.columns).unionByName(out)
+    return out
+
+
+def _place_in_turn(
+    actual: DataFrame, sizes: list[tuple[str, int, int]], exclusions: DataFrame | None, probes: DataFrame | None, *, iterations: int, **how
+) -> DataFrame:
+    """Places one by one, an iteration a group: for features that may cover a part of each other."""
     marks, own = None, [F.col(c).alias(f"mark_{c}") for c in ("chrom", "start", "end")]
     if exclusions is not None:
         marks = collapse(exclusions, names=False).select(F.lit("x").alias("kind"), *own)
     if probes is not None:
         points = probes.withColumn("end", F.col("start")).select(F.lit("p").alias("kind"), *own)
         marks = points if marks is None else marks.unionByName(points)
-
-    def run(key, pdf: pd.DataFrame, known: dict[str, Occupied], at: dict[str, np.ndarray] | None) -> pd.DataFrame:
-        return place(
-            pdf, int(key[0]), sizes, known, at, seed=seed, stranded=stranded, max_excluded=max_excluded,
-            max_overlap=max_overlap, min_probes=min_probes, max_attempts=max_attempts,
-        )
+    probed = probes is not None
 
     def plain(key, pdf):
-        return run(key, pdf, {}, None)
+        return place(pdf, int(key[0]), sizes, {}, None, **how)
 
     def marked(key, pdf, own):
         if pdf.empty:
@@ -157,20 +265,14 @@ def permute(
         own = own.sort_values("mark_start")
         known = {c: Occupied(x["mark_start"].tolist(), x["mark_end"].tolist()) for c, x in own[own["kind"] == "x"].groupby("mark_chrom")}
         at = {c: x["mark_start"].to_numpy() for c, x in own[own["kind"] == "p"].groupby("mark_chrom")}
-        return run(key, pdf, known, at if probed else None)
+        return place(pdf, int(key[0]), sizes, known, at if probed else None, **how)
 
-    probed = probes is not None
-    spark = features.sparkSession
-    each = spark.range(iterations).select(F.col("id").cast("int").alias("iteration"))
-    random = actual.withColumn("iteration", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))) if iterations else actual.crossJoin(each)
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))
+    random = actual.withColumn("iteration", numbers) if iterations else actual.withColumn("iteration", F.lit(0)).limit(0)
     if marks is None:
-        placed = random.groupBy("iteration").applyInPandas(plain, PLACED)
-    else:
-        placed = random.groupBy("iteration").cogroup(marks.crossJoin(each.withColumnRenamed("iteration", "mark_iteration")).groupBy("mark_iteration")).applyInPandas(marked, PLACED)
-    out = actual.select(F.lit(-1).alias("iteration"), *actual.columns).unionByName(placed)
-    if offset_control is not None:
-        out = offset(actual, offset_control).select(F.lit(-2).alias("iteration"), *actual.columns).unionByName(out)
-    return out
+        return random.groupBy("iteration").applyInPandas(plain, PLACED)
+    marks = marks.withColumn("mark_iteration", numbers) if iterations else marks.withColumn("mark_iteration", F.lit(0)).limit(0)
+    return random.groupBy("iteration").cogroup(marks.groupBy("mark_iteration")).applyInPandas(marked, PLACED)
 
 
 def collapsed(placed: DataFrame, *, padding: int = 0, unpadded: bool = False, stranded: bool = False) -> DataFrame:

@@ -103,3 +103,8 @@ def test_gaps_and_weights_read_lines(spark):
     lengths = spark.createDataFrame([("s", 2.0), ("t", 10.0)], "sample string, avg_len double")
     got = {(x.sample, x.bin): x.raw for x in B.bin_weights(breaks, bins, lengths).collect()}
     assert got == {("s", 0): 7.0, ("s", 1): 6.0, ("s", 2): 5.0, ("s", 3): 5.0} | {("t", k): 1.0 for k in range(6)}
+
+
+def test_a_query_of_one_base_does_not_cross_what_starts_behind_it(bed):
+    got = X.crossing(bed([("c", 5, 6, "q", 1.0, "+")]), bed([("c", 6, 9, "r", 4.0, "+")]), "MAX_REF_SCORE", touch=False, max_null=-1.0)
+    assert got.first()["cross_score"] == -1.0
