@@ -5,7 +5,8 @@ however it is punctuated, an address whatever its case) gets one surrogate from
 hash (HMAC), so mentions of one entity agree across all documents; a surrogate that equals
 another entity's, or a real value, is drawn again until all are distinct.  A draw that
 has failed some times may be longer or of wider form, so that no format runs out.  Family
-names have surrogates of their own, so that long and short mentions of a person agree.
+names have surrogates of their own, so that long and short mentions of a person agree; the full name
+of a titled person is replaced wherever the text repeats it without the title.
 """
 
 from __future__ import annotations
@@ -23,7 +24,11 @@ PATTERNS = {
     "secret": r"(?i:\b(?:password|passwd|token|secret|api[_-]?key)\b) ?[=:] ?\"?[A-Za-z0-9/+_-]{8,}\"?",
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d.]*\d)",
     "card": r"(?<!\d)[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?!\d)",
-    "phone": r"(?<![\d+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{8,14}(?!\d)",
+    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ip6": r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])|(?<![\w:])(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6}(?![\w:])",
+    "phone": r"(?<![\d+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{8,14}(?!\d)"
+    r"|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){1,2}[ .-]?\d{4,8}(?!\d)|(?<![\d+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])",
     "name": None,  # from the parts below
 }
 #: Words that stand before a person's name, by gender (none: either) and script.
@@ -42,7 +47,7 @@ _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t
 PATTERNS["name"] = rf"(?<![\p{{L}}\d_-])(?:{_TITLE})\.? {_WORD}(?: {_WORD})?"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity: each pattern's match holds one of them.
-HINT = rf"@|\d\d|\d\.\d|[=:] ?\"?[A-Za-z0-9/+_-]{{8}}|(?<![\p{{L}}\d_-])(?:{_TITLE})\.? "
+HINT = rf"@|\d\d|:[0-9a-fA-F:]|\d\.\d|[=:] ?\"?[A-Za-z0-9/+_-]{{8}}|(?<![\p{{L}}\d_-])(?:{_TITLE})\.? "
 
 #: Given names by gender and script.
 NAMES = {
@@ -113,7 +118,9 @@ def canonical(kind: Column, surface: Column) -> Column:
     """What mentions of one entity have in common; it is also what a surrogate is drawn for."""
     return (
         F.when(kind == "email", F.lower(surface))
-        .when(kind.isin("phone", "card"), F.regexp_replace(surface, r"\D", ""))
+        .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(surface, r"\D", ""))
+        .when(kind == "iban", F.replace(surface, F.lit(" "), F.lit("")))
+        .when(kind == "ip6", F.lower(surface))
         .when(kind == "secret", F.regexp_extract(surface, r"[=:] ?\"?([A-Za-z0-9/+_-]{8,})\"?$", 1))
         .when(kind == "name", F.regexp_replace(surface, r"\.", ""))
         .otherwise(surface)
@@ -160,12 +167,21 @@ def draw(df: DataFrame, key: str) -> DataFrame:
     more = f"IF(attempt < 4, '', array_join(transform(sequence(1, greatest(1, attempt div 4)), i -> char(97 + {_byte('stream', 'length(canon) + i')} % 26)), ''))"
     tail = "length(canon) - length(substring_index(canon, '.', -1)) - 1"
     df = df.withColumn("_d", F.expr(_letters("canon", "stream", "IF(kind = 'phone', attempt < 4 AND (i = 0 OR i < length(canon) - 9), i = 0)")))
+    # an account keeps its country and gets the check digits that belong to the new one
+    account = _letters("canon", "stream", "i < 4")
+    worth = f"""aggregate(transform(split(concat(substring({account}, 5), left(canon, 2), '00'), ''), c -> IF(c RLIKE '[A-Z]', cast(ascii(c) - 55 AS string), c)),
+        0, (a, x) -> IF(length(x) = 2, (a * 100 + cast(x AS int)) % 97, (a * 10 + cast(x AS int)) % 97))"""
+    iban = f"concat(left(canon, 2), lpad(cast(98 - {worth} AS string), 2, '0'), substring({account}, 5))"
+    hexes = f"array_join(transform(split(canon, ''), (c, i) -> IF(c = ':', c, lower(hex({_byte('stream', 'i')} % 15 + 1)))), '')"
     return df.withColumn(
         "surrogate",
         F.expr(f"""CASE kind
             WHEN 'ip' THEN {octets}
             WHEN 'card' THEN concat({body}, {_luhn(body)})
             WHEN 'phone' THEN _d
+            WHEN 'ssn' THEN _d
+            WHEN 'iban' THEN {iban}
+            WHEN 'ip6' THEN {hexes}
             WHEN 'email' THEN concat({more}, {_letters('canon', 'stream', f'i >= {tail}')})
             WHEN 'name' THEN {by_script(name)}
             WHEN 'family' THEN {by_script(family)}
@@ -224,12 +240,16 @@ def render(kind: Column, surface: Column, canon: Column, surrogate: Column) -> C
     digits = F.array_join(
         F.zip_with(F.split(surface, "[0-9]", -1), F.split(surrogate, ""), lambda sep, d: F.concat(F.coalesce(sep, F.lit("")), F.coalesce(d, F.lit("")))), ""
     )
+    spaced = F.array_join(
+        F.zip_with(F.split(surface, "[A-Z0-9]", -1), F.split(surrogate, ""), lambda sep, d: F.concat(F.coalesce(sep, F.lit("")), F.coalesce(d, F.lit("")))), ""
+    )
     cased = F.array_join(
         F.zip_with(F.split(surface, ""), F.split(surrogate, ""), lambda a, b: F.when((F.upper(a) == a) & (F.lower(a) != a), F.upper(b)).otherwise(b)), ""
     )
     dotted = F.when(surface.contains(". "), F.regexp_replace(surrogate, "^(\\S+) ", "$1. ")).otherwise(surrogate)
     return (
-        F.when(kind.isin("phone", "card"), digits)
+        F.when(kind.isin("phone", "card", "ssn"), digits)
+        .when(kind == "iban", spaced)
         .when(kind == "email", cased)
         .when(kind == "name", dotted)
         .when(kind == "secret", F.replace(surface, canon, surrogate))
@@ -237,6 +257,18 @@ def render(kind: Column, surface: Column, canon: Column, surrogate: Column) -> C
     )
 
 
+def _untitled(kind: Column, surface: Column) -> Column:
+    """Given and family name of a titled mention that has both."""
+    bare = F.regexp_replace(surface, r"^\S+ ", "")
+    return F.when((kind == "name") & bare.contains(" "), bare)
+
+
+def _repeats(text: Column, names: Column) -> Column:
+    """A stretch of text with the untitled mentions of ``names`` (their surrogates beside them, the longest first) replaced."""
+    whole = lambda n: F.concat(F.lit(r"(?<![\p{L}\d_-])\Q"), n, F.lit(r"\E(?![\p{L}\d_-])"))
+    return F.aggregate(names, text, lambda t, n: F.regexp_replace(t, whole(n["real"]), n["new"]))
+
+
 def replace_private(docs: DataFrame, *, key: str) -> DataFrame:
     """One row per input row: ``doc_id, n_entities, kinds, text`` with all entities replaced.
 
@@ -262,14 +294,17 @@ def replace_private(docs: DataFrame, *, key: str) -> DataFrame:
     surrogate = stage(assign_surrogates(entities, key), "surrogate")
     new = (
         mention.join(surrogate, ["kind", "canon"])
-        .select("doc_id", "same", "pos", "kind", render(F.col("kind"), F.col("surface"), F.col("canon"), F.col("surrogate")).alias("new"))
+        .select("doc_id", "same", "pos", "kind", "surface", render(F.col("kind"), F.col("surface"), F.col("canon"), F.col("surrogate")).alias("new"))
         .distinct()
         .groupBy("doc_id", "same")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "new", "kind"))).alias("new"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "new", "kind", _untitled(F.col("kind"), F.col("surface")).alias("real")))).alias("new"))
     )
     a, b = found.alias("a"), new.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.same") == F.col("b.same"))
-    between = F.split("text", ANY, -1)
+    # a person who is titled once in a text is the same person where the title is left out
+    full = F.transform(F.filter("new", lambda n: n["real"].isNotNull()), lambda n: F.struct((-F.length(n["real"])).alias("by"), n["real"].alias("real"), F.regexp_replace(n["new"], r"^\S+ ", "").alias("new")))
+    b = new.withColumn("names", F.array_sort(F.array_distinct(full))).alias("b")
+    between = F.when(F.size("names") > 0, F.transform(F.split("text", ANY, -1), lambda t: _repeats(t, F.col("names")))).otherwise(F.split("text", ANY, -1))
     changed = a.join(b, same).select(
         "a.doc_id",
         F.size("new").cast("long").alias("n_entities"),

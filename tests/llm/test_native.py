@@ -47,6 +47,30 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert [got[i]["n_entities"] for i in (1, 2, 3, 4, 5, 6, 7)] == [2, 2, 2, 2, 3, 0, 0]
 
 
+def mod97(iban):
+    s = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def test_more_kinds_and_untitled_repeats(spark):
+    rows = [
+        (1, "Mr John Smith met John Smith, and John Smithers; Mr. Smith left"), (2, "555-123-4567 or (555) 123-4567 or +49 30 1234567"),
+        (3, "ssn 123-45-6789."), (4, "pay DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432"), (5, "at 2001:db8::8a2e:370:7334 and fe80:0:0:0:1:2:3:4"),
+        (6, "at 10:30:15 or std::vector, 12-34-5678 and AB12 CDEF"), (7, "John Smith alone"),
+    ]
+    got = {r["doc_id"]: r for r in U.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    a, b, c, d, e, f, g = re.match(r"Mr (\w+) (\w+) met (\w+) (\w+), and (John Smithers); Mr\. (\w+) (left)$", got[1]["text"]).groups()
+    assert (a, b) == (c, d) and b == f and (a, b) != ("John", "Smith")
+    x, y, z = re.match(r"(\d{3}-\d{3}-\d{4}) or (\(\d{3}\) \d{3}-\d{4}) or (\+\d\d \d\d \d{7})$", got[2]["text"]).groups()
+    assert re.sub(r"\D", "", x) == re.sub(r"\D", "", y) != "5551234567" and re.sub(r"\D", "", z) != "49301234567"
+    assert re.match(r"ssn \d{3}-\d{2}-\d{4}\.$", got[3]["text"]) and "123-45-6789" not in got[3]["text"]
+    p, q = re.match(r"pay (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d) or (GB\d\d[A-Z]{4}\d{14})$", got[4]["text"]).groups()
+    assert mod97(p) == mod97(q) == 1 and "3704" not in p
+    assert re.match(r"at [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4} and [0-9a-f]{4}(:[0-9a-f]){7}$", got[5]["text"]) and "db8" not in got[5]["text"]
+    assert got[6]["text"] == rows[5][1] and got[7]["text"] == rows[6][1]
+    assert [got[i]["kinds"] for i in range(1, 7)] == ["name", "phone", "ssn", "iban", "ip6", ""]
+
+
 def test_surrogates_are_distinct_and_not_real(spark):
     rows = [(i, f"{a}.{b}.1.1") for i, (a, b) in enumerate((a, b) for a in range(1, 10) for b in range(1, 10))]
     e = spark.createDataFrame([("ip", t) for _, t in rows], "kind string, canon string")
