@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or a run of up to ``run`` successive lines, as notices are often wrapped; a run
-counts only where no shorter run inside it matches the same template.  Tokens of the templates are ordered by their frequency over all
+A block is a line, or a run of successive lines, as notices are often wrapped: runs of up to ``run``
+lines whatever their length, and runs of any number of lines that have at most ``SLACK`` times the
+words of the template.  A run counts only where no shorter run inside it matches the same template.  Tokens of the templates are ordered by their frequency over all
 blocks, rarest first.  A template that must share ``need`` tokens with a block shares
 one of its ``size - need + 1`` rarest with the block's as many, so only those prefixes
 are joined; short blocks (length filter) and matches too late in either order to still
@@ -16,6 +17,7 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanloom.llm.work import stage
 
@@ -41,8 +43,8 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
 ]
 
-#: Lines that a wrapped notice may take.
-RUN = 5
+#: Lines of a run of long lines; and the words of a longer run, as a multiple of the template's.
+RUN, SLACK = 5, 2
 
 #: Between words: ASCII characters that are neither digits nor letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -56,6 +58,28 @@ def _places(words: str, phrase: tuple[str, ...]) -> str:
     return f"filter(transform({words}, (x, i) -> IF({test}, i, -1)), p -> p >= 0)"
 
 
+def _short_lines(scanned: DataFrame, run: int, most: int, least: int) -> DataFrame:
+    """Runs of over ``run`` lines with at most ``most`` words: ``doc_id, same, line, width, span, own``.
+
+    Only texts that have as many short lines in a row are taken apart.  A line looks ahead as far as ``most`` words
+    reach, over lines that hold words of templates, so it sees at most as many lines."""
+    starts = F.sequence(F.lit(1), F.size("sizes") - run)
+    near = F.exists(starts, lambda i: F.aggregate(F.slice("sizes", i, F.lit(run + 1)), F.lit(0), lambda a, n: a + n) <= most)
+    some = scanned.where((F.size("sizes") > run) & near).select("doc_id", "same", "sizes", "lines").dropDuplicates(["doc_id", "same"])
+    rows = some.select("doc_id", "same", F.posexplode(F.arrays_zip("sizes", "lines")).alias("line", "x"))
+    text = Window.partitionBy("doc_id", "same")
+    before = F.coalesce(F.sum("x.sizes").over(text.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.select("doc_id", "same", "line", before.alias("before"), (before + F.col("x.sizes")).alias("upto"), F.col("x.lines").alias("own")).where("size(own) > 0")
+    ahead = F.collect_list(F.struct("line", "upto", "own")).over(text.orderBy("before").rangeBetween(Window.currentRow, most))
+    rows = rows.withColumn("ahead", ahead)
+    runs = F.transform(
+        "ahead", lambda y, k: F.struct((y["line"] - F.col("line") + 1).alias("width"), (y["upto"] - F.col("before")).alias("span"), (k + 1).alias("n"))
+    )
+    wide = rows.select("doc_id", "same", "line", "ahead", F.explode(F.filter(runs, lambda r: (r["width"] > run) & (r["span"] <= most))).alias("r"))
+    own = F.array_distinct(F.flatten(F.slice("ahead.own", F.lit(1), F.col("r.n"))))
+    return wide.select("doc_id", "same", "line", "r.width", "r.span", own.alias("own")).where(F.size("own") >= least)
+
+
 def scan_licenses(
     docs: DataFrame, *, templates: list[tuple[str, str]] | None = None, containment: float = 0.9, run: int = RUN
 ) -> DataFrame:
@@ -68,12 +92,12 @@ def scan_licenses(
     Null texts count as empty and have no words; equal rows give equal results, and rows
     with a null ``doc_id`` are matched like others; other columns are ignored; an empty
     table gives an empty one; very long texts are read whole.  Templates are a parameter of
-    fixed size, and broadcast; they may be whole license texts, in any writing, with ``run``
-    the lines that such a text may be wrapped over."""
+    fixed size, and broadcast; they may be whole license texts, in any writing, over any number of lines."""
     spark = docs.sparkSession
     low_words = lambda text: re.findall(WORD, text.translate(str.maketrans(_UP, _LOW)))
-    rows = [(i, label, sorted(set(low_words(text)))) for i, (label, text) in enumerate(templates or TEMPLATES)]
+    rows = [(i, label, sorted(set(low_words(text))), len(low_words(text))) for i, (label, text) in enumerate(templates or TEMPLATES)]
     rows = [r for r in rows if r[2]]
+    most = SLACK * max((r[3] for r in rows), default=0)
     least = min((math.ceil(len(r[2]) * containment - 1e-9) for r in rows), default=1)
     vocabulary = sorted({w for r in rows for w in r[2]})
     vocab = F.array(*[F.lit(w) for w in vocabulary])
@@ -85,17 +109,18 @@ def scan_licenses(
     ).otherwise(F.array().cast("array<string>"))
     # lower() equals lowering A-Z in words of a-z but for the Kelvin sign, which is hidden from it
     plain = F.when(F.col("text").contains("\u212a"), F.replace("text", F.lit("\u212a"), F.lit("\u00e5"))).otherwise(F.col("text"))
-    lines = F.transform(F.split(plain, "\n"), lambda line: F.array_intersect(F.split(F.lower(line), BETWEEN), vocab))
+    split = F.transform(F.split(plain, "\n"), lambda line: F.split(F.lower(line), BETWEEN))
+    lines = F.transform(split, lambda w: F.struct(F.size(F.array_remove(w, "")).alias("n"), F.array_intersect(w, vocab).alias("own")))
     scanned = scanned.select(
         "doc_id",
         F.xxhash64("text").alias("same"),
-        F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
         # a text that begins between words has an empty first entry
         F.filter(low, lambda w: w != "").alias("words"),
-        lines.alias("lines"),
+        lines.alias("cut"),
     )
     scanned = scanned.select(
-        "doc_id", "same", "n_words", "lines", *[F.expr(_places("words", p)).alias(label) for label, p in PHRASES.items()]
+        "doc_id", "same", F.aggregate("cut", F.lit(0).cast("long"), lambda a, c: a + c["n"]).alias("n_words"),
+        F.col("cut.n").alias("sizes"), F.col("cut.own").alias("lines"), *[F.expr(_places("words", p)).alias(label) for label, p in PHRASES.items()]
     )
     scanned = stage(scanned, "blocks")
 
@@ -104,11 +129,12 @@ def scan_licenses(
             last = F.get("lines", i + F.lit(width - 1))
             held = x if width == 1 else F.array_distinct(F.flatten(F.slice("lines", i + F.lit(1), F.lit(width))))
             some = (F.size(x) > 0) & last.isNotNull() & (F.size(last) > 0)
-            return F.struct(i.alias("line"), F.lit(width).alias("width"), F.when(some, held).otherwise(F.array().cast("array<string>")).alias("own"))
+            return F.struct(i.alias("line"), F.lit(width).alias("width"), F.lit(0).cast("long").alias("span"), F.when(some, held).otherwise(F.array().cast("array<string>")).alias("own"))
 
         return F.filter(F.transform("lines", run), lambda r: F.size(r["own"]) >= least)
 
     block = scanned.select("doc_id", "same", F.inline(F.concat(*[runs(w) for w in range(1, run + 1)])))
+    block = block.unionByName(_short_lines(scanned, run, most, least))
     often = scanned.select(F.explode(F.flatten("lines")).alias("word")).groupBy("word").agg(F.count("*").alias("often"))
     words = F.broadcast(spark.range(1).select(F.explode(vocab).alias("word")))
     order = words.join(often, "word", "left").agg(
@@ -121,8 +147,8 @@ def scan_licenses(
         return df.crossJoin(F.broadcast(order)).withColumn(column, F.array_intersect("order", column)).drop("order")
 
     entries = [
-        F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.array(*[F.lit(w) for w in parts]).alias("parts"))
-        for i, label, parts in rows
+        F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.array(*[F.lit(w) for w in parts]).alias("parts"), F.lit(SLACK * n).alias("longest"))
+        for i, label, parts, n in rows
     ]
     pattern = spark.range(1).select(F.inline(F.array(*entries)))
     pattern = (
@@ -130,31 +156,31 @@ def scan_licenses(
         .withColumn("size", F.size("parts"))
         .withColumn("need", F.ceil(F.col("size") * F.lit(containment) - F.lit(1e-9)).cast("int"))
     )
-    prefix = pattern.select("template", "label", "parts", "size", "need", F.posexplode("parts").alias("i", "word")).where(
+    prefix = pattern.select("template", "label", "parts", "longest", "size", "need", F.posexplode("parts").alias("i", "word")).where(
         "i < size - need + 1"
     )
     # tokens after the longest prefix of any template are not joined
     first = F.slice("own", F.lit(1), F.size("own") - F.lit(least - 1))
-    tokens = ranked(block, "own").select("doc_id", "same", "line", "width", "own", F.posexplode(first).alias("j", "word"))
+    tokens = ranked(block, "own").select("doc_id", "same", "line", "width", "span", "own", F.posexplode(first).alias("j", "word"))
     length = F.size("own")
     candidates = tokens.join(F.broadcast(prefix), "word").where(
-        (length >= F.col("need"))  # length
+        (F.col("span") <= F.col("longest"))
+        & (length >= F.col("need"))  # length
         & (F.col("j") < length - F.col("need") + 1)  # prefix of the block
         & (1 + F.least(F.col("size") - F.col("i") - 1, length - F.col("j") - 1) >= F.col("need"))  # position
     )
     shared = F.size(F.array_intersect("own", "parts"))
     at = ["doc_id", "same", "line", "width", "template", "label"]
     matched = candidates.where(shared >= F.col("need")).select(*at, (shared / F.col("size")).alias("share")).distinct()
-    # a match is passed on, without a share, to the longer runs around it
-    longer = F.array(*[F.struct((F.col("line") - d).alias("line"), (F.col("width") + e).alias("width"), F.lit(None).cast("double").alias("share")) for e in range(1, run) for d in range(e + 1)])
-    own = F.array(F.struct("line", "width", "share"))
+    # of runs that begin in a line the shortest; and not where a run that begins later ends as early
+    here = ["doc_id", "same", "template", "label"]
+    short = matched.groupBy(*here, "line").agg(F.min(F.struct((F.col("line") + F.col("width")).alias("stop"), "share")).alias("m"))
+    later = Window.partitionBy(*here).orderBy(F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)
     found = (
-        matched.select("doc_id", "same", "template", "label", F.inline(F.concat(own, longer)))
-        .groupBy(*at)
-        .agg(F.max("share").alias("share"), F.count_if(F.col("share").isNull()).alias("inner"))
-        .where("share IS NOT NULL AND inner = 0")
+        short.withColumn("inner", F.min("m.stop").over(later))
+        .where("inner is null or inner > m.stop")
         .groupBy("doc_id", "same")
-        .agg(F.collect_set("label").alias("more"), F.max("share").alias("share"), F.count("*").alias("n_blocks"))
+        .agg(F.collect_set("label").alias("more"), F.max("m.share").alias("share"), F.count("*").alias("n_blocks"))
     )
     all_places = F.concat(*PHRASES)
     base = F.filter(F.array(*[F.when(F.size(p) > 0, F.lit(p)) for p in PHRASES]), lambda x: x.isNotNull())

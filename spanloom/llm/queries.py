@@ -136,24 +136,33 @@ _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
 def licenses_sql() -> str:
-    """The scan as SQL: places by list positions, templates by set intersection with every line."""
-    from spanloom.llm.licenses import PHRASES, TEMPLATES
+    """The scan as SQL: places by list positions, templates by set intersection with every line and run of lines."""
+    from spanloom.llm.licenses import PHRASES, RUN, SLACK, TEMPLATES
 
     def places(phrase: tuple[str, ...]) -> str:
         test = " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase))
         return f"[i - 1 FOR i IN range(1, len(ws) + 1) IF {test}]"
 
-    values = ", ".join(f"({i}, '{label}', list_distinct(string_split('{text}', ' ')))" for i, (label, text) in enumerate(TEMPLATES))
+    values = ", ".join(f"({i}, '{label}', list_distinct(string_split('{text}', ' ')), {SLACK * len(text.split())})" for i, (label, text) in enumerate(TEMPLATES))
     base = ", ".join(f"CASE WHEN len(p_{k}) > 0 THEN '{k}' END" for k in PHRASES)
     found = " || ".join(f"p_{k}" for k in PHRASES)
+    vocabulary = sorted({w for _, text in TEMPLATES for w in text.split()})
+    most = SLACK * max(len(text.split()) for _, text in TEMPLATES)
     return f"""
-        WITH t(id, label, parts) AS (VALUES {values}),
+        WITH t(id, label, parts, longest) AS (VALUES {values}),
         d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
         w AS (SELECT doc_id, x, {_WORDS.format(_LOW.format("x"))} AS ws FROM d),
         p AS (SELECT *, {", ".join(f"{places(v)} AS p_{k}" for k, v in PHRASES.items())} FROM w),
-        l AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM d),
-        m AS (SELECT doc_id, label, len(list_intersect(list_distinct({_WORDS.format(_LOW.format("line"))}), parts)) / len(parts) AS share FROM l, t),
-        f AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share, count(*) AS n FROM m WHERE share >= 0.9 GROUP BY doc_id),
+        l AS (SELECT doc_id, i, {_WORDS.format(_LOW.format("line"))} AS ws FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(x, chr(10)) AS ls FROM d))),
+        v AS (SELECT doc_id, i, len(ws) AS n, list_distinct([y FOR y IN ws IF list_contains({vocabulary}, y)]) AS own FROM l),
+        c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM v),
+        e AS (SELECT * FROM c WHERE len(own) > 0),
+        r AS (SELECT a.doc_id, a.i, b.i AS j, CASE WHEN b.i - a.i < {RUN} THEN 0 ELSE b.upto - a.upto + a.n END AS span, list(m.own) AS owns FROM e a JOIN e b ON a.doc_id = b.doc_id AND b.i >= a.i
+            AND (b.i - a.i < {RUN} OR b.upto - a.upto + a.n <= {most}) JOIN e m ON m.doc_id = a.doc_id AND m.i BETWEEN a.i AND b.i GROUP BY ALL),
+        m AS (SELECT doc_id, i, j, id, label, len(list_intersect(list_distinct(flatten(owns)), parts)) / len(parts) AS share FROM r, t WHERE span <= longest),
+        h AS (SELECT * FROM m WHERE share >= 0.9),
+        g AS (SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM h AS o WHERE o.doc_id = h.doc_id AND o.id = h.id AND o.i >= h.i AND o.j <= h.j AND o.j - o.i < h.j - h.i)),
+        f AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share, count(*) AS n FROM g GROUP BY doc_id),
         q AS (SELECT p.doc_id, len(ws) AS n_words, {found} AS pos, [b FOR b IN [{base}] IF b IS NOT NULL] AS base, more, share, n FROM p LEFT JOIN f USING (doc_id))
         SELECT doc_id, n_words, len(pos) AS n_base, list_min(pos) AS first_word, list_max(pos) AS last_word,
             array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') AS labels,
@@ -204,8 +213,10 @@ def conversations_sql() -> str:
         d AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
             CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE how WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE how <> 0),
         n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS r FROM d),
-        f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
-            NOT regexp_matches(text, '[.!?][ 	-]*$') AS open_, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM n),
+        f AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS open_, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM n),
         m AS (SELECT *, blank OR again AS bad, CASE WHEN open_ THEN 3 ELSE 0 END AS late FROM f),
         s AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
             count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT bad AND open_) AS truncated,

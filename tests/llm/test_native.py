@@ -116,6 +116,29 @@ def test_licenses_equal_brute_force(spark, docs, corpus, empty):
     assert L.scan_licenses(empty).collect() == []
 
 
+def test_notices_over_any_number_of_lines_equal_their_sql(spark):
+    import duckdb
+
+    from spanloom.llm.queries import licenses_sql
+
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted".split()
+    wrap = lambda words, k, sep="\n": sep.join(" ".join(words[i : i + k]) for i in range(0, len(words), k))
+    filler = "these lines have words but no notice at all "
+    texts = [wrap(isc, k) for k in (1, 2, 3, 5, 9)] + [wrap(isc, 2, "\n\n\n"), filler + "\n" + wrap(isc, 3) + "\n" + filler * 3, filler * 20 + wrap(isc, 9) + " " + filler * 20]
+    texts += [wrap(isc, 3).replace("\n", "\n" + filler * 9 + "\n"), wrap(isc[:-4], 3), wrap(isc, 1) + "\n" + wrap(isc, 2), "Licensed under\nthe Apache\nLicense\nVersion 2", "", None, "\n\n"]
+    rows = [*enumerate(texts)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {r[0]: r[1:] for r in con.execute(licenses_sql()).fetchall()}
+    got = L.scan_licenses(spark.createDataFrame(rows + rows[:3], "doc_id long, text string")).collect()
+    assert len(got) == len(rows) + 3
+    for g in got:
+        assert tuple(g)[1:] == want[g.doc_id], texts[g.doc_id]
+    labels = {g.doc_id: g.labels for g in got}
+    assert all(labels[i] == "isc" for i in range(8)) and labels[8] == "" and labels[11] == "apache"
+
+
 def test_schedule_is_longest_first():
     got = S.schedule([(7, 2, 14), (5, 1, 5), (4, 2, 8), (3, 3, 9)], 3)
     load = Counter()
@@ -205,8 +228,9 @@ def test_wrapped_notices_are_found(spark):
         4: ("unlicense", "This is free and unencumbered software released\ninto the public domain."),
     }
     rows = [(i, f"x\n{t}\ny") for i, (_, t) in wrapped.items()] + [(9, wrapped[4][1].replace("\n", " ") + "\n\nof the and"), (10, "This is free and unencumbered\n" + "a\n" * 6 + "software released into the public domain")]
+    rows += [(11, rows[-1][1].replace("a\n", "a b c\n"))]
     got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {**{i: (label, 1) for i, (label, _) in wrapped.items()}, 9: ("unlicense", 1), 10: ("", 0)}
+    assert got == {**{i: (label, 1) for i, (label, _) in wrapped.items()}, 9: ("unlicense", 1), 10: ("unlicense", 1), 11: ("", 0)}
 
 
 def brute_entities(text):
