@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.work import keep_keys, stage
+from spanloom.llm.work import BROADCAST_IDS, join_hot, keep_keys, stage
 
 #: Bits of a fingerprint beyond log2(rows): a text without a copy is suspected once in 2**SPARE.
 SPARE = 10
@@ -180,7 +180,12 @@ def exact_duplicates(docs: DataFrame, *, key: str | None = None) -> DataFrame:
     named = docs.select("doc_id", F.sha2("text", 256).alias("text_sha256"), (F.col("text") == "").alias("blank"))
     # empty texts may be very many: one row of groups at most, which needs no shuffle
     empty = groups.where(F.col("text_sha256") == F.sha2(F.lit(""), 256))
-    both = keep_keys(named.where("not blank"), groups, ["text_sha256"], "left").unionByName(
+    own = named.where("not blank")
+    if groups.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        own = own.join(F.broadcast(groups), "text_sha256", "left")
+    else:
+        own = join_hot(stage(own, "named"), groups.withColumn("copies", F.col("group_size")), ["text_sha256"], "copies", "left")
+    both = own.unionByName(
         named.where("blank").join(F.broadcast(empty), "text_sha256", "left")
     )
     alone = F.col("group_size").isNull()

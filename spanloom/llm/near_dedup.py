@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textkernels as K
-from spanloom.llm.work import drop_stage, keep_keys, map_texts, merged_components, stage
+from spanloom.llm.work import drop_stage, join_hot, keep_keys, map_texts, merged_components, stage
 
 BATCH = 32
 #: Members of a bucket that one task compares with as many others.
@@ -360,12 +360,12 @@ def near_duplicates(
     drop_stage(member, size, mixed, open_)
 
     # equal sets of a component meet by class; a component's rows are counted only by class
-    least = with_comp(signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct(F.col("row.doc_id").isNull(), "row")).alias("first")))
+    least = with_comp(signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct(F.col("row.doc_id").isNull(), "row")).alias("first"), F.count("*").alias("copies")))
     named = least.groupBy("comp").agg(F.min("first").alias("first")).select("comp", F.col("first.row").alias("first"))
-    least = stage(least.select("cls", "comp").join(named, "comp").select("cls", "first"), "named")
+    least = stage(least.select("cls", "comp", "copies").join(named, "comp").select("cls", "first", "copies"), "named")
     # texts without words have no class; joined, they would all meet in one task
     bare = signed.select("row", "n_shingles", "cls")
-    out = bare.where("cls is not null").join(least, "cls", "left").unionByName(bare.where("cls is null"), allowMissingColumns=True)
+    out = join_hot(bare.where("cls is not null"), least, ["cls"], "copies").unionByName(bare.where("cls is null"), allowMissingColumns=True)
     out = out.withColumn("first", F.coalesce("first", "row"))
     if key:
         return out.select("row.doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"), F.col("row.own").alias(key))

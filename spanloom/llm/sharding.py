@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.llm.work import stage
+from spanloom.llm.work import join_hot, stage
 
 #: A group of over total / (shards * GIANTS) bytes is scheduled by its exact size.
 GIANTS = 256
@@ -101,7 +101,7 @@ def assign_shards(docs: DataFrame, *, shards: int = 16) -> DataFrame:
         F.unhex(F.sha2(text, 256)).alias("same"),
     )
     base = stage(base, "base")
-    groups = base.groupBy("same").agg(F.sum("size").alias("bytes"))
+    groups = base.groupBy("same").agg(F.sum("size").alias("bytes"), F.count("*").alias("copies"))
     total = base.agg(F.sum("size").alias("t"), F.count("*").alias("n")).first()
     bound = (total["t"] or 0) // (shards * GIANTS) + 1
     exponent = F.greatest(F.lit(0), F.length(F.bin("bytes")) - 8)
@@ -123,9 +123,9 @@ def assign_shards(docs: DataFrame, *, shards: int = 16) -> DataFrame:
         numbered(groups, "class", ["same"], runs, "rank")
         .join(F.broadcast(plan), "class")
         .where("rank >= lo and rank < hi")
-        .select("same", "shard")
+        .select("same", "shard", "copies")
     )
-    rows = base.join(placed, "same").select("doc_id", "size", "text_crc32", "shard")
+    rows = join_hot(base, stage(placed, "placed"), ["same"], "copies").select("doc_id", "size", "text_crc32", "shard")
     runs = max(16, (total["n"] or 0) // RUN + 1)
     return numbered(rows, "shard", ["doc_id", "text_crc32"], runs, "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -16,7 +16,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.work import stage
+from spanloom.llm.work import join_hot, stage
 
 #: How entities look; the first that matches at a place wins.
 PATTERNS = {
@@ -290,10 +290,10 @@ def replace_private(docs: DataFrame, *, key: str) -> DataFrame:
         "kind", kinds_of(F.col("surface"))
     )
     mention = stage(mention.withColumn("canon", canonical(F.col("kind"), F.col("surface"))), "mention")
-    entities = stage(mention.select("kind", "canon").distinct(), "entity")
-    surrogate = stage(assign_surrogates(entities, key), "surrogate")
+    entities = stage(mention.groupBy("kind", "canon").agg(F.count("*").alias("mentions")), "entity")
+    surrogate = assign_surrogates(entities.select("kind", "canon"), key).join(entities, ["kind", "canon"])
     new = (
-        mention.join(surrogate, ["kind", "canon"])
+        join_hot(mention, stage(surrogate, "surrogate"), ["kind", "canon"], "mentions")
         .select("doc_id", "same", "pos", "kind", "surface", render(F.col("kind"), F.col("surface"), F.col("canon"), F.col("surrogate")).alias("new"))
         .distinct()
         .groupBy("doc_id", "same")

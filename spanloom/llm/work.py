@@ -92,6 +92,26 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_se
     return df.join(keys, on, how)
 
 
+#: Rows of one key from which it is hot, and the most hot keys there can be: a key is hot with at least HOT_ROWS rows, and
+#: at least one in HOT_KEYS of all rows.
+HOT_ROWS, HOT_KEYS = 100_000, 10_000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows.join(table, on, how)`` where ``table`` has one row for each key, with ``count``, how many rows have it.
+
+    Rows of hot keys stay where they are and meet their keys by a broadcast of at most HOT_KEYS rows; all others
+    are shuffled.  So no task gets more than a hot key's least number of rows of one key, whatever Spark does
+    about skew.  ``rows`` is read twice, so it should be a work table; ``how`` is inner or left."""
+    n = rows.count()
+    least = max(HOT_ROWS, -(-n // HOT_KEYS))
+    if n < least:
+        return rows.join(table.drop(count), on, how)
+    hot = F.broadcast(table.where(F.col(count) >= least))
+    cold = rows.join(hot.select(*on), on, "left_anti")
+    return rows.join(hot.drop(count), on).unionByName(cold.join(table.where(F.col(count) < least).drop(count), on, how))
+
+
 #: Edges (two ids each) that one task joins into components; more are first contracted by shuffles.
 FEW_EDGES = 10_000
 

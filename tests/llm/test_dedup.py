@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import exact_dedup as X
 from spanloom.llm import near_dedup as N
@@ -230,3 +231,29 @@ def test_texts_that_cancel_out_in_sums_of_powers_are_not_linked(spark):
     rows = [(1, t), (2, u), (3, f"x {t} y {u} z"), (4, f"x {u} y {t} z"), (5, t)]
     got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
     assert {g.doc_id: g.component_id for g in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_third_of_all_rows_share_a_key(spark, monkeypatch):
+    """Hot keys meet their table without a shuffle, and every result is the same; Spark's own treatment of skew is off."""
+    from spanloom.llm import sharding, surrogates, work
+
+    r = random.Random(12)
+    hot = "call Mrs Anna Bell or mail a.bell@mail.example.com, " + " ".join(r.choice("abcdefgh") for _ in range(40))
+    rows = [(i, hot if i % 3 == 0 else f"{r.randrange(10**9)} {hot[r.randrange(30):]} host 10.0.{i % 250}.{r.randrange(250)}" if i % 3 == 1 else "" if i % 12 == 2 else f"t{i}") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    runs = {
+        "op1": lambda: surrogates.replace_private(df, key="k"), "op4": lambda: N.near_duplicates(df, shingle=3, percent=85),
+        "op7": lambda: sharding.assign_shards(df, shards=4).drop("slot"), "op8": lambda: X.exact_duplicates(df),
+    }
+    want = {k: sorted(map(tuple, f().collect())) for k, f in runs.items()}
+    monkeypatch.setattr(work, "HOT_ROWS", 20)
+    monkeypatch.setattr(X, "BROADCAST_IDS", 0)
+    before = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert {k: sorted(map(tuple, f().collect())) for k, f in runs.items()} == want
+        counted = df.groupBy("text").agg(F.max("doc_id").alias("top"), F.count("*").alias("n"))
+        plan = work.join_hot(df, counted, ["text"], "n")._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)
