@@ -806,6 +806,16 @@ def _(spark, d):
     return R.read_fasta(spark, path).join(docs.select(name.alias("chrom"), F.length("text").cast("long").alias("n")), "chrom").select("chrom", "n", F.sha2("seq", 256).alias("seq"))
 
 
+@query("fasta_pieces", """WITH q AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, repeat(translate(CAST(doc_id AS VARCHAR), '0123456789', 'ACGTNACGTN'), 90) AS seq FROM documents),
+    p AS (SELECT chrom, seq, unnest(range(0, (length(seq) - 1) // 64 + 1)) AS k FROM q) SELECT chrom, k * 64 AS start, substr(seq, CAST(k * 64 + 1 AS BIGINT), 64) AS seq FROM p""")
+def _(spark, d):
+    """Sequences written as FASTA files and read again as pieces of 64 bases."""
+    name = F.col("doc_id").cast("string")
+    path = shared_path(spark, "pieces")
+    R.to_fasta(P.table(spark, d, "documents").select(name.alias("chrom"), F.repeat(F.translate(name, "0123456789", "ACGTNACGTN"), 90).alias("seq"))).write.text(path)
+    return R.read_fasta_pieces(spark, path, 64)
+
+
 @query("latest_stats", "SELECT user_id AS entity, event_type AS name, CAST(arg_max(event_id % 7, event_id) AS VARCHAR) AS value FROM events GROUP BY ALL HAVING arg_max(event_id % 7, event_id) <> 0")
 def _(spark, d):
     e = P.table(spark, d, "events")

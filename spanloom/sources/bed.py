@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from spanloom.sources.folders import materialized
 
 BED = T.StructType(
     [
@@ -116,15 +122,57 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(head.alias("chrom"), F.upper(body).alias("seq"))
 
 
+def read_fasta_pieces(spark: SparkSession, path: str, piece: int = 1 << 16) -> DataFrame:
+    """Records as pieces of ``piece`` bases: ``chrom, start, seq``, without blanks, in upper case; the last is what is left.
+
+    Lines are read as Spark splits files, so one long record is many tasks.  A line's record and its
+    place in it are running counts: within the part of a file that a task read, from what all parts
+    before hold.  No row is longer than a piece or a line."""
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"), "value"
+    )
+    bare = F.upper(F.regexp_replace("value", r"\s", ""))
+    head = F.ltrim("value").startswith(">")
+    lines = raw.select("file", "part", "at", F.when(head, F.regexp_extract("value", r"^\s*>\s*(\S+)", 1)).alias("head"), F.when(head, "").otherwise(bare).alias("seq"))
+    # numbers of lines hang on how files were dealt to tasks, so they are written before they are used twice
+    lines = materialized(lines.where("head is not null or seq != ''"))
+    length = F.length("seq").cast("long")
+    own = Window.partitionBy("file", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumns({"record": F.count("head").over(own), "upto": F.sum(length).over(own)})
+    parts = lines.groupBy("file", "part").agg(F.max("record").alias("records"), F.max("upto").alias("bases"))
+    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    parts = parts.select("file", "part", F.coalesce(F.sum("records").over(before), zero).alias("r0"), F.coalesce(F.sum("bases").over(before), zero).alias("b0"))
+    placed = lines.join(parts, ["file", "part"]).select("file", "head", "seq", (F.col("record") + F.col("r0")).alias("record"), (F.col("upto") + F.col("b0") - length).alias("from"))
+    names = placed.where("head is not null").select("file", "record", F.col("head").alias("chrom"), F.col("from").alias("zero"))
+    bases = placed.where("seq != ''").join(names, ["file", "record"]).select("file", "record", "chrom", (F.col("from") - F.col("zero")).alias("start"), "seq")
+    # a line that crosses the borders of pieces is cut there
+    cuts = F.sequence(F.floor(F.col("start") / piece), F.floor((F.col("start") + F.length("seq") - 1) / piece))
+    cut = bases.withColumn("k", F.explode(cuts))
+    low = F.greatest(F.col("start"), F.col("k") * piece)
+    text = F.substr("seq", (low - F.col("start") + 1).cast("int"), (F.least(F.col("start") + F.length("seq"), (F.col("k") + 1) * piece) - low).cast("int"))
+    whole = cut.select("file", "record", "chrom", "k", low.alias("low"), text.alias("text")).groupBy("file", "record", "chrom", "k").agg(F.sort_array(F.collect_list(F.struct("low", "text"))).alias("t"))
+    return whole.select("chrom", (F.col("k") * piece).alias("start"), F.array_join("t.text", "").alias("seq"))
+
+
 def to_fasta(sequences: DataFrame, width: int = 50) -> DataFrame:
     """``value`` lines of FASTA records, the sequence cut to ``width`` columns."""
     body = F.rtrim(F.regexp_replace("seq", f"(.{{{width}}})", "$1\n"), )
     return sequences.select(F.concat(F.lit(">"), "chrom", F.lit("\n"), body).alias("value"))
 
 
+#: Records of a packed map that a row carries on the way to its columns.
+PACKED_ROWS = 1 << 14
+
+
 def read_break_map(spark: SparkSession, path: str, sample: str, chrom: str) -> DataFrame:
-    """Break positions of packed records: unsigned 32-bit position, signed 16-bit delta, little-endian."""
-    import numpy as np
+    """Break positions of packed records: unsigned 32-bit position, signed 16-bit delta, little-endian.
+
+    Records have six bytes, so Spark deals ranges of them: one long file is many tasks.  A file that ends within a record is an error."""
+
+    def joined(records):
+        while rows := list(islice(records, PACKED_ROWS)):
+            yield (bytearray(b"".join(rows)),)
 
     def unpack(batches):
         kind = np.dtype([("pos", "<u4"), ("delta", "<i2")])
@@ -133,7 +181,8 @@ def read_break_map(spark: SparkSession, path: str, sample: str, chrom: str) -> D
                 r = np.frombuffer(raw, kind)
                 yield pa.RecordBatch.from_arrays([pa.array(r["pos"].astype(np.int64)), pa.array(r["delta"].astype(np.int32))], ["pos", "delta"])
 
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(unpack, "pos long, delta int")
+    packed = spark.createDataFrame(spark.sparkContext.binaryRecords(path, 6).mapPartitions(joined), "content binary")
+    rows = packed.mapInArrow(unpack, "pos long, delta int")
     return rows.select(F.lit(sample).alias("sample"), F.lit(chrom).alias("chrom"), "pos", "delta")
 
 

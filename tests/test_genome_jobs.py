@@ -88,6 +88,36 @@ def test_readers(spark, tmp_path):
     assert sorted(map(tuple, S.read_fasta(spark, str(tmp_path / "c.fa")).collect())) == [("c1", "ACGTAC"), ("c2", "TT")]
 
 
+def test_long_files_are_read_by_ranges(spark, tmp_path):
+    """Records and maps that many tasks read, each knowing only its own range."""
+    r = np.random.default_rng(3)
+    seqs = {f"c{k}": "".join(r.choice(list("acgtN"), n)) for k, n in enumerate((1, 50, 977, 4000, 64, 128))}
+    wrapped = [f">{c} a note\n" + "\n".join(s[i : i + 50] for i in range(0, len(s), 50)) + "\n\n" for c, s in seqs.items()]
+    (tmp_path / "a.fa").write_text("".join(wrapped[:4]) + ">empty\n")
+    (tmp_path / "b.fa").write_text("".join(wrapped[4:]))
+    pos = np.sort(r.choice(10**6, 5000, replace=False))
+    rows = [(int(p), int(d)) for p, d in zip(pos, r.integers(-9, 9, 5000))]
+    (tmp_path / "x.map").write_bytes(b"".join(struct.pack("<Ih", *x) for x in rows))
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.input.fileinputformat.split.maxsize", "600")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for piece in (64, 37, 10000):
+            got = {}
+            for x in S.read_fasta_pieces(spark, str(tmp_path / "*.fa"), piece).collect():
+                assert x.start % piece == 0 and len(x.seq) <= piece
+                got.setdefault(x.chrom, {})[x.start] = x.seq
+            assert {c: "".join(p[k] for k in sorted(p)) for c, p in got.items()} == {c: s.upper() for c, s in seqs.items()}
+        breaks = S.read_break_map(spark, str(tmp_path / "x.map"), "s", "c")
+        assert breaks.rdd.getNumPartitions() >= 40
+        assert sorted((x["pos"], x["delta"]) for x in breaks.collect()) == rows
+    finally:
+        hadoop.unset("mapreduce.input.fileinputformat.split.maxsize")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_stats_keep_the_last_write(spark):
     s = spark.createDataFrame([("e", "a", "1", 1), ("e", "a", "2", 2), ("e", "b", "x", 1), ("e", "b", "", 2)], "entity string, name string, value string, version int")
     assert [tuple(r) for r in S.latest_stats(s).collect()] == [("e", "a", "2")]
