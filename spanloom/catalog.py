@@ -937,6 +937,20 @@ def _(spark, d):
     return G.find_features(s, s.select("chrom", F.lit("w").alias("name"), F.lit("the").alias("text"))).select("chrom", "start")
 
 
+_WORDS = ["THE", "TION", "ERE", "ANAN", "OU", "EA", "DIE", "LA", "CIÓN", "STST", "ENEN", "THETHE"]
+
+
+@query("find_in_pieces", with_("sq") + f""", t AS (SELECT unnest({_WORDS}) AS text), q AS (SELECT chrom, text, string_split(seq, text) AS p FROM sq, t),
+    u AS (SELECT chrom, text, p, unnest(range(1, len(p))) AS i FROM q) SELECT chrom, lower(text) AS name, CAST(list_sum([length(x) for x in p[1:i]]) + (i - 1) * length(text) AS BIGINT) AS start FROM u""")
+def _(spark, d):
+    """Many texts searched at once in sequences that come in pieces of 256 bases."""
+    s = P.sequences(spark, d)
+    at = F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / 256)))
+    pieces = s.select("chrom", "seq", at.alias("k")).select("chrom", (F.col("k") * 256).cast("long").alias("start"), F.substr("seq", (F.col("k") * 256 + 1).cast("int"), F.lit(256)).alias("seq"))
+    wanted = s.select("chrom", F.explode(F.array(*(F.lit(w) for w in _WORDS))).alias("text")).select("chrom", F.lower("text").alias("name"), "text")
+    return G.find_in_pieces(pieces, wanted, 256).select("chrom", "name", "start")
+
+
 # ---- jobs -----------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -186,6 +187,76 @@ def find_features(sequences: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("chrom", start.alias("start"), (start + F.col("len")).alias("end"), "name", F.lit(0.0).alias("score"), F.lit("+").alias("strand"))
 
 
+#: Letters of distinct texts that ride along in each task as one automaton (about 100 bytes each); beyond, texts meet the places of
+#: their first letters by a join.
+AUTOMATON_LETTERS = 1_000_000
+
+
+def find_in_pieces(pieces: DataFrame, wanted: DataFrame, piece: int) -> DataFrame:
+    """``find_features`` over sequences in pieces (``chrom, start, seq``, each of ``piece`` bases but the last).
+
+    All texts are searched at once: a task reads each base of its pieces once, by an automaton of all texts, with as many bases
+    of the pieces behind as the longest text may take.  Of places of one text that overlap,
+    the first counts, then the first that begins behind it, and so on."""
+    texts = wanted.select("chrom", "name", upper_bases("text").alias("text")).where("text != ''")
+    size = texts.select("text").distinct().agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("letters"), F.coalesce(F.max(F.length("text")), F.lit(1)).alias("longest")).first()
+    held = pieces.select("chrom", "start", upper_bases("seq").alias("seq"))
+    more = held
+    for behind in range(1, -(-(size["longest"] - 1) // piece) + 1):
+        part = held.select("chrom", (F.col("start") - behind * piece).alias("start"), F.left("seq", F.lit(size["longest"] - 1)).alias("next"))
+        more = more.join(part, ["chrom", "start"], "left").withColumn("seq", F.concat("seq", F.coalesce("next", F.lit("")))).drop("next")
+    if size["letters"] <= AUTOMATON_LETTERS:
+        found = _automaton_hits(more, [r["text"] for r in texts.select("text").distinct().collect()], piece)
+        hits = found.join(texts, ["chrom", "text"])
+    else:
+        hits = _seeded_hits(more, texts, piece, size["longest"])
+    hits = hits.select("chrom", "name", "text", "start").distinct().withColumn("len", F.length("text"))
+    keys = ["chrom", "name", "text"]
+    before = with_previous(hits, keys, "start", ["len"])
+    opens = F.when(F.col("previous.start") + F.col("len") > F.col("start"), 0).otherwise(1)
+    chains = cumulative(before.withColumn("opens", opens), keys, "start", "opens", "chain")
+    lone = chains.groupBy(*keys, "chain").agg(F.sort_array(F.collect_list("start")).alias("all"), F.max("len").alias("len"))
+    step = lambda a, s: F.when(s >= a["free"], F.struct((s + F.col("len")).alias("free"), F.concat(a["own"], F.array(s)).alias("own"))).otherwise(a)
+    start = F.struct(F.lit(-(1 << 62)).cast("long").alias("free"), F.array().cast("array<bigint>").alias("own"))
+    own = lone.select("chrom", "name", "len", F.explode(F.aggregate("all", start, step, lambda a: a["own"])).alias("start"))
+    return own.select("chrom", "start", (F.col("start") + F.col("len")).alias("end"), "name", F.lit(0.0).alias("score"), F.lit("+").alias("strand"))
+
+
+def _automaton_hits(held: DataFrame, texts: list[str], piece: int) -> DataFrame:
+    """Places ``chrom, start, text`` of all texts that begin in each piece."""
+
+    def search(batches):
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for t in texts:
+            automaton.add_word(t, t)
+        if texts:
+            automaton.make_automaton()
+        for b in batches:
+            rows: list[tuple[int, int, str]] = []
+            for i, (start, seq) in enumerate(zip(b.column("start").to_pylist(), b.column("seq").to_pylist())):
+                for end, t in automaton.iter(seq) if texts else ():
+                    at = end + 1 - len(t)
+                    if at < piece:
+                        rows.append((i, start + at, t))
+            at, starts, found = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column("chrom").take(pa.array(at, pa.int64())), pa.array(starts, pa.int64()), pa.array(found, pa.string())], ["chrom", "start", "text"])
+
+    return held.mapInArrow(search, "chrom string, start long, text string")
+
+
+def _seeded_hits(held: DataFrame, texts: DataFrame, piece: int, longest: int) -> DataFrame:
+    """The same where texts are too many for a task: all places of as many letters as the shortest text has meet the texts that begin so."""
+    k = int(texts.agg(F.min(F.length("text"))).first()[0])
+    at = F.sequence(F.lit(1), F.least(F.lit(piece), F.length("seq") - (k - 1)))
+    places = held.where(F.length("seq") >= k).select("chrom", "start", "seq", F.explode(at).alias("i"))
+    places = places.select("chrom", (F.col("start") + F.col("i") - 1).alias("start"), F.substr("seq", F.col("i"), F.lit(longest)).alias("here"))
+    seeded = texts.withColumn("seed", F.left("text", F.lit(k)))
+    met = places.withColumn("seed", F.left("here", F.lit(k))).join(seeded, ["chrom", "seed"])
+    return met.where(F.col("here").startswith(F.col("text"))).select("chrom", "start", "name", "text")
+
+
 def best_names(names: Column) -> Column:
     """Names of a gene without compounds of known ones, and without generic ones while better remain."""
     plain = F.array_distinct(names)

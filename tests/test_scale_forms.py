@@ -150,3 +150,23 @@ def test_directives_and_array_tasks():
     assert [array_task(i, ["a", "b"], ["x", "y", "z"]) for i in (1, 3, 4, 6)] == [("a", "x"), ("a", "z"), ("b", "x"), ("b", "z")]
     with pytest.raises(IndexError):
         array_task(7, ["a", "b"], ["x", "y", "z"])
+
+
+@pytest.mark.parametrize("letters", [1_000_000, 0])
+def test_texts_in_pieces(spark, monkeypatch, letters):
+    """Texts across borders of pieces, longer than pieces, and overlapping themselves, as plain text search finds them."""
+    monkeypatch.setattr(G, "AUTOMATON_LETTERS", letters)
+    r = np.random.default_rng(6)
+    seqs = {"a": "".join(r.choice(list("ACGT"), 700)) + "A" * 50 + "ACACACACAC" + "GATTACA" * 9, "b": "ACGT", "c": "".join(r.choice(list("AC"), 300))}
+    texts = {"n1": "gattaca", "n2": "AA", "n3": "ACA", "n4": seqs["a"][100:160], "n5": "C", "n6": "AAAA", "n7": "TTTTTTTTTTTTTTTTT"}
+    pieces = spark.createDataFrame([(c, i, s[i : i + 16]) for c, s in seqs.items() for i in range(0, len(s), 16)], "chrom string, start long, seq string")
+    wanted = spark.createDataFrame([(c, n, t) for c in ("a", "c") for n, t in texts.items()], "chrom string, name string, text string")
+    got = sorted((x["chrom"], x["name"], x["start"], x["end"]) for x in G.find_in_pieces(pieces, wanted, 16).collect())
+    want = []
+    for c in ("a", "c"):
+        for n, t in texts.items():
+            i = seqs[c].find(t.upper())
+            while i >= 0:
+                want.append((c, n, i, i + len(t)))
+                i = seqs[c].find(t.upper(), i + len(t))
+    assert got == sorted(want)
