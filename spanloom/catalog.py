@@ -945,12 +945,25 @@ _WORDS = ["THE", "TION", "ERE", "ANAN", "OU", "EA", "DIE", "LA", "CIÓN", "STST"
 def _(spark, d):
     """Many texts searched at once in sequences that come in pieces of 256 bases."""
     s = P.sequences(spark, d)
-    at = F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / 256)))
-    pieces = s.select("chrom", "seq", at.alias("k")).select("chrom", (F.col("k") * 256).cast("long").alias("start"), F.substr("seq", (F.col("k") * 256 + 1).cast("int"), F.lit(256)).alias("seq"))
+    pieces = G.in_pieces(s.select("chrom", F.lit(0).cast("long").alias("start"), "seq"), 256)
     wanted = s.select("chrom", F.explode(F.array(*(F.lit(w) for w in _WORDS))).alias("text")).select("chrom", F.lower("text").alias("name"), "text")
     return G.find_in_pieces(pieces, wanted, 256).select("chrom", "name", "start")
 
 
+@query("build_pieces", with_("sq") + """, a AS (SELECT chrom, CASE WHEN length(seq) >= 60 THEN substr(seq, 1, 40) || 'NEW TEXT' || substr(seq, 60) ELSE seq END AS s FROM sq),
+    b AS (SELECT chrom, CASE WHEN i > 0 AND strpos(substr(s, i + 3), 'TION') > 0 THEN substr(s, 1, i + 2) || '+' || substr(s, i + 2 + strpos(substr(s, i + 3), 'TION')) ELSE s END AS s FROM (SELECT *, strpos(s, 'THE') AS i FROM a)),
+    c AS (SELECT chrom, CASE WHEN i > 0 AND strpos(substr(s, i + 4), 'AN') > 0 THEN substr(s, 1, i + 3) || substr(s, i + 3 + strpos(substr(s, i + 4), 'AN')) ELSE s END AS s FROM (SELECT *, strpos(s, 'TION') AS i FROM b)),
+    k AS (SELECT chrom, s, unnest(range(0, (length(s) - 1) // 256 + 1)) AS k FROM c WHERE length(s) > 0) SELECT chrom, k * 256 AS start, substr(s, CAST(k * 256 + 1 AS BIGINT), 256) AS seq FROM k""")
+def _(spark, d):
+    """Sequences in pieces, changed by coordinates and then between flanks."""
+    s = P.sequences(spark, d)
+    one = lambda *x: F.struct(*(F.lit(v).alias(n) for n, v in zip(("kind", "left", "right", "text"), x)))
+    flanks = F.array(one("FLANKS", "the", "tion", "+"), one("FLANKS", "tion", "an", ""))
+    spots = F.when(F.length("seq") >= 60, F.array(one("COORDINATES", "40", "60", "new text"))).otherwise(F.array().cast("array<struct<kind:string,left:string,right:string,text:string>>"))
+    changes = s.select("chrom", F.explode(F.concat(spots, flanks)).alias("c")).select("chrom", "c.*")
+    return G.build_pieces(G.in_pieces(s.select("chrom", F.lit(0).cast("long").alias("start"), "seq"), 256), changes, 256)
+
+
 # ---- jobs -----------------------------------------------------------------------------
 
 

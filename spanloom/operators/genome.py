@@ -159,6 +159,59 @@ def build_sequences(sequences: DataFrame, changes: DataFrame) -> DataFrame:
     return sequences.join(own, "chrom", "left").mapInPandas(edit, "chrom string, seq string")
 
 
+def in_pieces(chunks: DataFrame, piece: int) -> DataFrame:
+    """Stretches ``chrom, start, seq`` that follow each other, cut and joined to pieces of ``piece`` bases; the last is what is left."""
+    length = F.length("seq")
+    cuts = F.sequence(F.floor(F.col("start") / piece), F.floor((F.col("start") + length - 1) / piece))
+    cut = chunks.where(length > 0).withColumn("k", F.explode(cuts))
+    low = F.greatest(F.col("start"), F.col("k") * piece)
+    text = F.substr("seq", (low - F.col("start") + 1).cast("int"), (F.least(F.col("start") + length, (F.col("k") + 1) * piece) - low).cast("int"))
+    whole = cut.select("chrom", "k", low.alias("low"), text.alias("text")).groupBy("chrom", "k").agg(F.sort_array(F.collect_list(F.struct("low", "text"))).alias("t"))
+    return whole.select("chrom", (F.col("k") * piece).cast("long").alias("start"), F.array_join("t.text", "").alias("seq"))
+
+
+def _replaced(pieces: DataFrame, spots: DataFrame, piece: int) -> DataFrame:
+    """Pieces in which the stretches ``chrom, a, b`` (half-open, without overlap) have become ``text``.
+
+    What is kept between the stretches moves by what those before it add; pieces are cut where a kept stretch ends, and never joined to a
+    chromosome."""
+    held = with_previous(spots, ["chrom"], "a", ["b"])
+    torn = (F.col("b") < F.col("a")) | (F.col("previous.b") > F.col("a"))
+    held = held.withColumn("grow", F.when(torn, F.raise_error(F.lit("changes overlap")).cast("long")).otherwise(F.length("text") - (F.col("b") - F.col("a"))))
+    held = cumulative(held, ["chrom"], "a", "grow", "moved")
+    before = F.col("moved") - F.col("grow")
+    kept = held.select("chrom", F.coalesce("previous.b", F.lit(0).cast("long")).alias("low"), F.col("a").alias("high"), before.alias("by"))
+    size = pieces.groupBy("chrom").agg(F.max(F.col("start") + F.length("seq")).alias("high"))
+    last = held.groupBy("chrom").agg(F.max(F.struct("b", "moved")).alias("m"))
+    tail = size.join(last, "chrom", "left").select("chrom", F.coalesce("m.b", F.lit(0).cast("long")).alias("low"), "high", F.coalesce("m.moved", F.lit(0).cast("long")).alias("by"))
+    kept = kept.unionByName(tail).where("low < high")
+    kept = kept.withColumn("at", F.explode(F.sequence(F.floor(F.col("low") / piece), F.floor((F.col("high") - 1) / piece)))).withColumn("start", F.col("at") * piece)
+    low, high = F.greatest("low", "start"), F.least(F.col("high"), F.col("start") + F.length("seq"))
+    part = pieces.join(kept, ["chrom", "start"]).select("chrom", (low + F.col("by")).alias("start"), F.substr("seq", (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias("seq"))
+    new = held.select("chrom", (F.col("a") + before).alias("start"), F.col("text").alias("seq"))
+    return in_pieces(part.unionByName(new), piece)
+
+
+def build_pieces(pieces: DataFrame, changes: DataFrame, piece: int) -> DataFrame:
+    """``build_sequences`` over sequences in pieces (``chrom, start, seq``, each of ``piece`` bases but the last).
+
+    COORDINATES that overlap are an error.  A chromosome's FLANKS are applied one after the other, in order of their texts, to what
+    those before have made, all chromosomes at a time; flanks are found across the borders of pieces.  No task holds a chromosome."""
+    held = pieces.select("chrom", "start", upper_bases("seq").alias("seq"))
+    spots = changes.where("kind = 'COORDINATES'").select("chrom", F.col("left").cast("long").alias("a"), (F.col("right").cast("long") - 1).alias("b"), upper_bases("text").alias("text"))
+    out = materialized(_replaced(held, spots, piece))
+    nth = F.row_number().over(Window.partitionBy("chrom").orderBy("left", "right", "text"))
+    flanks = changes.where("kind = 'FLANKS'").select("chrom", *(upper_bases(c).alias(c) for c in ("left", "right", "text")), nth.alias("nth"))
+    for k in range(1, (flanks.agg(F.max("nth")).first()[0] or 0) + 1):
+        own = flanks.where(F.col("nth") == k)
+        wanted = own.select("chrom", F.explode(F.array(F.struct(F.lit("l").alias("name"), F.col("left").alias("text")), F.struct(F.lit("r").alias("name"), F.col("right").alias("text")))).alias("w")).select("chrom", "w.*")
+        found = materialized(places_in_pieces(out, wanted, piece))
+        first = found.where("name = 'l'").groupBy("chrom").agg(F.min(F.col("start") + F.length("text")).alias("a"))
+        second = found.where("name = 'r'").join(first, "chrom").where("start >= a").groupBy("chrom", "a").agg(F.min("start").alias("b"))
+        out = materialized(_replaced(out, second.join(own.select("chrom", "text"), "chrom"), piece))
+    return out
+
+
 def lift_over(points: DataFrame, changes: DataFrame) -> DataFrame:
     """New positions after COORDINATES replacements (``chrom, last_before, first_after, inserted``): adds ``lifted``.
 
@@ -192,12 +245,12 @@ def find_features(sequences: DataFrame, wanted: DataFrame) -> DataFrame:
 AUTOMATON_LETTERS = 1_000_000
 
 
-def find_in_pieces(pieces: DataFrame, wanted: DataFrame, piece: int) -> DataFrame:
-    """``find_features`` over sequences in pieces (``chrom, start, seq``, each of ``piece`` bases but the last).
+def places_in_pieces(pieces: DataFrame, wanted: DataFrame, piece: int) -> DataFrame:
+    """All places of exact sequences (``name, chrom, text``) in sequences in pieces (``chrom, start, seq``, each of ``piece`` bases
+    but the last): ``chrom, name, text, start``.
 
     All texts are searched at once: a task reads each base of its pieces once, by an automaton of all texts, with as many bases
-    of the pieces behind as the longest text may take.  Of places of one text that overlap,
-    the first counts, then the first that begins behind it, and so on."""
+    of the pieces behind as the longest text may take."""
     texts = wanted.select("chrom", "name", upper_bases("text").alias("text")).where("text != ''")
     size = texts.select("text").distinct().agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("letters"), F.coalesce(F.max(F.length("text")), F.lit(1)).alias("longest")).first()
     held = pieces.select("chrom", "start", upper_bases("seq").alias("seq"))
@@ -210,7 +263,14 @@ def find_in_pieces(pieces: DataFrame, wanted: DataFrame, piece: int) -> DataFram
         hits = found.join(texts, ["chrom", "text"])
     else:
         hits = _seeded_hits(more, texts, piece, size["longest"])
-    hits = hits.select("chrom", "name", "text", "start").distinct().withColumn("len", F.length("text"))
+    return hits.select("chrom", "name", "text", "start").distinct()
+
+
+def find_in_pieces(pieces: DataFrame, wanted: DataFrame, piece: int) -> DataFrame:
+    """``find_features`` over sequences in pieces, by ``places_in_pieces``.
+
+    Of places of one text that overlap, the first counts, then the first that begins behind it, and so on."""
+    hits = places_in_pieces(pieces, wanted, piece).withColumn("len", F.length("text"))
     keys = ["chrom", "name", "text"]
     before = with_previous(hits, keys, "start", ["len"])
     opens = F.when(F.col("previous.start") + F.col("len") > F.col("start"), 0).otherwise(1)

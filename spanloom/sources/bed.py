@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from spanloom.operators.genome import in_pieces
 from spanloom.sources.folders import materialized
 
 BED = T.StructType(
@@ -146,13 +147,8 @@ def read_fasta_pieces(spark: SparkSession, path: str, piece: int = 1 << 16) -> D
     placed = lines.join(parts, ["file", "part"]).select("file", "head", "seq", (F.col("record") + F.col("r0")).alias("record"), (F.col("upto") + F.col("b0") - length).alias("from"))
     names = placed.where("head is not null").select("file", "record", F.col("head").alias("chrom"), F.col("from").alias("zero"))
     bases = placed.where("seq != ''").join(names, ["file", "record"]).select("file", "record", "chrom", (F.col("from") - F.col("zero")).alias("start"), "seq")
-    # a line that crosses the borders of pieces is cut there
-    cuts = F.sequence(F.floor(F.col("start") / piece), F.floor((F.col("start") + F.length("seq") - 1) / piece))
-    cut = bases.withColumn("k", F.explode(cuts))
-    low = F.greatest(F.col("start"), F.col("k") * piece)
-    text = F.substr("seq", (low - F.col("start") + 1).cast("int"), (F.least(F.col("start") + F.length("seq"), (F.col("k") + 1) * piece) - low).cast("int"))
-    whole = cut.select("file", "record", "chrom", "k", low.alias("low"), text.alias("text")).groupBy("file", "record", "chrom", "k").agg(F.sort_array(F.collect_list(F.struct("low", "text"))).alias("t"))
-    return whole.select("chrom", (F.col("k") * piece).alias("start"), F.array_join("t.text", "").alias("seq"))
+    # a name is a record's, wherever it stands; lines that cross the borders of pieces are cut there
+    return in_pieces(bases.select("chrom", "start", "seq"), piece)
 
 
 def to_fasta(sequences: DataFrame, width: int = 50) -> DataFrame:

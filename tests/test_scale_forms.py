@@ -170,3 +170,24 @@ def test_texts_in_pieces(spark, monkeypatch, letters):
                 want.append((c, n, i, i + len(t)))
                 i = seqs[c].find(t.upper(), i + len(t))
     assert got == sorted(want)
+
+
+def test_builds_in_pieces_equal_edited_strings(spark):
+    r = np.random.default_rng(8)
+    seqs = {c: "".join(r.choice(list("ACGT"), n)) for c, n in (("a", 333), ("b", 40), ("c", 15))}
+    changes = [
+        ("a", "COORDINATES", "10", "11", "ttt"), ("a", "COORDINATES", "30", "95", ""), ("a", "COORDINATES", "94", "95", "x" * 40), ("a", "COORDINATES", "0", "3", "g"),
+        ("a", "FLANKS", "AC", "GT", "nn"), ("a", "FLANKS", "nn", "a", "-"), ("b", "FLANKS", "A", "A", "q"), ("b", "FLANKS", "zz", "A", "q"), ("a", "COORDINATES", "330", "334", "END"),
+    ]
+    pieces = spark.createDataFrame([(c, i, s[i : i + 16]) for c, s in seqs.items() for i in range(0, len(s), 16)], "chrom string, start long, seq string")
+    df = spark.createDataFrame(changes, "chrom string, kind string, left string, right string, text string")
+    got = {}
+    for x in G.build_pieces(pieces, df, 16).collect():
+        assert x["start"] % 16 == 0
+        got.setdefault(x["chrom"], {})[x["start"]] = x["seq"]
+    for c, s in seqs.items():
+        own = sorted(x[1:] for x in changes if x[0] == c)
+        want = G.edit_sequence(s, own)
+        assert "".join(got[c][k] for k in sorted(got[c])) == want and all(len(got[c][k]) == 16 for k in sorted(got[c])[:-1])
+    with pytest.raises(Exception, match="overlap"):
+        G.build_pieces(pieces, df.unionByName(spark.createDataFrame([("a", "COORDINATES", "50", "60", "x")], df.schema)), 16).collect()
