@@ -884,13 +884,17 @@ def _(spark, d):
     return G.ignore_chroms(P.intervals(spark, d), "2, chr4", suffixes=True).select("event_id")
 
 
-@query("segment_map_violations", "SELECT 'x' AS rule, 0::BIGINT AS n WHERE FALSE")
+@query("segment_map_cover", with_("tx") + """, t AS (SELECT chrom, name, min(s) AS s, max(e) AS e FROM tx GROUP BY ALL), m AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM t),
+    g AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM m)
+    SELECT chrom, CAST(sum(n) AS BIGINT) AS bases, CAST(sum(n) AS BIGINT) AS covered, 0::BIGINT AS unmerged FROM (SELECT chrom, max(e) - min(s) AS n FROM g GROUP BY chrom, gid) GROUP BY ALL""")
 def _(spark, d):
-    """Stretches that overlap, are empty, or should have been merged with the one before: none."""
+    """The stretches of the map, of both strands, cover all transcripts' spans once, and none could be merged with the one before."""
     m = I.with_previous(G.segment_map(P.transcripts(spark, d)), ["chrom", "strand"], "start", ["end", "name", "feature", "splice", "gene_length"])
     same = F.struct("name", "feature", "splice", "gene_length") == F.struct("previous.name", "previous.feature", "previous.splice", "previous.gene_length")
-    bad = F.when(F.col("start") >= F.col("end"), "empty").when(F.col("previous.end") > F.col("start"), "overlap").when((F.col("previous.end") == F.col("start")) & same, "not merged")
-    return m.select(bad.alias("rule")).where("rule is not null").groupBy("rule").agg(F.count("*").alias("n"))
+    new = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), F.coalesce("previous.end", F.lit(0))))
+    return m.groupBy("chrom").agg(
+        F.sum(F.col("end") - F.col("start")).alias("bases"), F.sum(new).alias("covered"), F.count_if((F.col("previous.end") == F.col("start")) & same).alias("unmerged"),
+    )
 
 
 @query("split_lengths", with_("iv") + """, w AS (SELECT greatest(1, floor((max(e - s) - min(e - s)) / 100.0 + 0.5)) AS w FROM iv) SELECT CAST(floor((e - s) / w + 0.5) * w AS BIGINT) AS length, count(*) AS n FROM iv, w GROUP BY 1""")
