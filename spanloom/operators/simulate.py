@@ -199,8 +199,12 @@ def _place_in_rounds(
         good = first
         if apart:
             here = first.where("s < e").select(*keys, F.col("s").alias("start"), F.col("e").alias("end"), "rank")
-            places = here.select(*keys, "start", "end").distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
-            best = greatest_crossing(places, here.select(*keys, F.col("start").alias("rs"), F.col("end").alias("re"), F.col("rank").alias("value")), keys, longest=longest)
+            refs = lambda d: d.select(*keys, F.col("start").alias("rs"), F.col("end").alias("re"), F.col("rank").alias("value"))
+            spread = lambda d: d.select(*keys, "start", "end").distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
+            # most draws meet no other, which a count tells; only those that do are ranked
+            many = crossing_counts(spread(here), refs(here), keys).where("cross_score > 1").drop("cross_score")
+            here = materialized(here.join(many, [*keys, "start", "end"]))
+            best = greatest_crossing(spread(here), refs(here), keys, longest=longest)
             best = best.withColumnsRenamed({"start": "s", "end": "e", "cross_score": "best"})
             good = first.join(best, [*keys, "s", "e"], "left").where("best is null or best = rank").drop("best")
         good = materialized(good)
