@@ -28,7 +28,7 @@ _SP = SPACE.encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Distinct cuts that a task remembers (about 300 bytes each), and forgets when it ends:
 #: a reused worker must not keep them while it serves other stages.
-CACHE = 400_000
+CACHE = 120_000
 
 
 class CharMap:
