@@ -1,8 +1,8 @@
 """Seeded random placement of features, enrichment by iteration, and hotspots.
 
 Features are placed in rounds.  A feature's draws hang on the seed, the iteration, its own columns and
-the number of the draw alone; in each round it takes its next draw that fits, and a self-crossing of
-all draws of an iteration finds those that meet: of them the one of the greatest keyed rank stays and the
+the number of the draw alone; in each round it takes its next draw that fits, and a scan within cells of
+positions finds those draws of an iteration that meet: of them the one of the greatest keyed rank stays and the
 others draw again.  So results do not depend on partitions, and no task holds an iteration.  Only where features
 may cover a part of each other (``max_overlap`` between 0 and 1) does a place depend on all before it, and an
 iteration's features are placed one by one.
@@ -16,9 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from spanloom.operators.intervals import collapse, offset
-from spanloom.operators.joins import crossing, crossing_counts, greatest_crossing, outside, overlap_sums, probe_count
+from spanloom.operators.intervals import BIN, collapse, offset
+from spanloom.operators.joins import crossing, greatest_crossing, outside, overlap_sums, probe_count
 from spanloom.sources.folders import materialized
 
 PLACED = "iteration int, id string, chrom string, start long, end long, score double, strand string"
@@ -127,7 +128,7 @@ def place(
 
 
 #: Draws of the first round for each feature; each round takes four times as many, as fewer features are left.
-FIRST_DRAWS, MOST_DRAWS = 2, 4096
+FIRST_DRAWS, MOST_DRAWS = 1, 4096
 _FEATURE = ("id", "chrom", "start", "end", "score", "strand")
 
 
@@ -172,43 +173,68 @@ def _allowed(d: DataFrame, exclusions: DataFrame | None, probes: DataFrame | Non
     return d
 
 
+def _in_cells(d: DataFrame) -> DataFrame:
+    """A row for each cell of BIN positions that ``s`` to ``e`` lies in: rows that share a base share a cell."""
+    last = F.greatest(F.col("s"), F.col("e") - 1)
+    return d.withColumn("cell", F.explode(F.sequence(F.floor(F.col("s") / BIN), F.floor(last / BIN))))
+
+
+def _free(d: DataFrame, placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Draws that share no base with ``placed``, whose rows share none with each other: running ends and starts within cells."""
+    own = d.columns
+    cells = _in_cells(d).withColumn("taken", F.lit(False))
+    taken = _in_cells(placed.where("s < e").select(*keys, "s", "e")).join(cells.select(*keys, "cell").distinct(), [*keys, "cell"], "left_semi")
+    u = cells.unionByName(taken.withColumn("taken", F.lit(True)), allowMissingColumns=True)
+    up = Window.partitionBy(*keys, "cell").orderBy("s", F.desc("taken")).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys, "cell").orderBy(F.desc("s"), "taken").rowsBetween(Window.unboundedPreceding, -1)
+    before, after = F.max(F.when(F.col("taken"), F.col("e"))).over(up), F.min(F.when(F.col("taken"), F.col("s"))).over(down)
+    met = F.coalesce(before > F.col("s"), F.lit(False)) | F.coalesce(after < F.col("e"), F.lit(False))
+    u = u.withColumn("met", met & (F.col("s") < F.col("e"))).where("not taken")
+    return u.groupBy(*own).agg(F.bool_or("met").alias("met")).where("not met").drop("met")
+
+
+def _meeting(d: DataFrame, keys: list[str]) -> DataFrame:
+    """Draws that share a base with another, once each."""
+    w = Window.partitionBy(*keys, "cell").orderBy("s", "e")
+    before, after = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lead("s").over(w)
+    met = F.coalesce(before > F.col("s"), F.lit(False)) | F.coalesce(after < F.col("e"), F.lit(False))
+    return _in_cells(d.where("s < e")).withColumn("met", met).where("met").drop("cell", "met").distinct()
+
+
 def _place_in_rounds(
     features: DataFrame, chroms: list[tuple[str, int, int]], exclusions: DataFrame | None, probes: DataFrame | None,
     *, seed: int, stranded: bool, max_excluded: float, apart: bool, min_probes: int, max_attempts: int,
 ) -> DataFrame:
     """Places of ``features`` (their columns and ``iteration``); with ``apart`` none of an iteration (and strand) meet."""
-    left = materialized(features.withColumn("rank", keyed_number(str(seed), F.col("iteration"), F.col("own"), "rank")))
+    # few features make many draws, so they are spread over all tasks before they do
+    tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = lambda d: d.repartition(tasks, "iteration", "own")
+    left = materialized(spread(features).withColumn("rank", keyed_number(str(seed), F.col("iteration"), F.col("own"), "rank")))
     exclusions = materialized(collapse(exclusions, names=False)) if exclusions is not None else None
     longest = left.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 0
     keys = ["iteration", "to_chrom", *(["side"] if stranded else [])]
+    own = ["iteration", "own", "rank", "id", "score"]
     placed, tried, n = None, 0, FIRST_DRAWS
     while not left.isEmpty():
         if tried >= max_attempts:
             lost = left.agg(F.min("id").alias("id")).first()["id"]
             raise ValueError(f"feature {lost} found no place in {max_attempts} attempts")
         n = min(n, max_attempts - tried)
-        d = _allowed(draws(left, chroms, F.lit(tried), n, seed=seed, stranded=stranded), exclusions, probes, max_excluded, min_probes)
+        d = draws(spread(left), chroms, F.lit(tried), n, seed=seed, stranded=stranded).select(*own, "draw", "to_chrom", "s", "e", "side")
+        d = _allowed(materialized(d), exclusions, probes, max_excluded, min_probes)
         if apart and placed is not None:
-            # draws that meet what is placed are passed over
-            places = d.where("s < e").select(*keys, F.col("s").alias("start"), F.col("e").alias("end")).distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
-            met = crossing_counts(places, placed.where("s < e").select(*keys, F.col("s").alias("rs"), F.col("e").alias("re")), keys)
-            met = met.where("cross_score > 0").withColumnsRenamed({"start": "s", "end": "e"}).drop("cross_score")
-            d = d.join(met, [*keys, "s", "e"], "left_anti")
+            d = _free(d, placed, keys)
         shape = F.struct("draw", "to_chrom", "s", "e", "side")
-        first = materialized(d.groupBy("iteration", "own", "rank", "id", "score").agg(F.min(shape).alias("d")).select("iteration", "own", "rank", "id", "score", "d.*"))
-        good = first
+        good = first = materialized(d.groupBy(*own).agg(F.min(shape).alias("d")).select(*own, "d.*"))
         if apart:
-            here = first.where("s < e").select(*keys, F.col("s").alias("start"), F.col("e").alias("end"), "rank")
-            refs = lambda d: d.select(*keys, F.col("start").alias("rs"), F.col("end").alias("re"), F.col("rank").alias("value"))
-            spread = lambda d: d.select(*keys, "start", "end").distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
-            # most draws meet no other, which a count tells; only those that do are ranked
-            many = crossing_counts(spread(here), refs(here), keys).where("cross_score > 1").drop("cross_score")
-            here = materialized(here.join(many, [*keys, "start", "end"]))
-            best = greatest_crossing(spread(here), refs(here), keys, longest=longest)
-            best = best.withColumnsRenamed({"start": "s", "end": "e", "cross_score": "best"})
-            good = first.join(best, [*keys, "s", "e"], "left").where("best is null or best = rank").drop("best")
-        good = materialized(good)
-        placed = good if placed is None else materialized(placed.unionByName(good))
+            # most draws meet no other; of those that do, the one of the greatest rank stays
+            here = materialized(_meeting(first.select(*{*keys, "own", "rank", "s", "e"}), keys))
+            places = here.select(*keys, F.col("s").alias("start"), F.col("e").alias("end")).distinct().withColumns({"lo": F.col("start") + 1, "hi": F.col("end") - 1})
+            refs = here.select(*keys, F.col("s").alias("rs"), F.col("e").alias("re"), F.col("rank").alias("value"))
+            best = greatest_crossing(places, refs, keys, longest=longest).withColumnsRenamed({"start": "s", "end": "e"})
+            lost = here.join(best, [*keys, "s", "e"]).where("cross_score > rank").select("iteration", "own")
+            good = materialized(first.join(lost, ["iteration", "own"], "left_anti"))
+        placed = good if placed is None else placed.unionByName(good)
         left = materialized(left.join(good.select("iteration", "own"), ["iteration", "own"], "left_anti"))
         tried, n = tried + n, min(4 * n, MOST_DRAWS)
     empty = features.select("iteration", "id", F.col("chrom"), "start", "end", "score", "strand").limit(0)

@@ -115,6 +115,22 @@ def test_rounds_keep_to_the_rules_on_strands_probes_and_partial_exclusions(spark
     assert part == 2 * len(rows)
 
 
+def test_draws_that_meet_are_found_across_cells(spark):
+    """Against brute force: long draws over several cells, draws that only touch, repeated ones, and ones without length."""
+    width = M.BIN
+    rows = [(0, "c", i, i, "i%d" % i, 1.0, 0, s, e, "+") for i, (s, e) in enumerate([
+        (0, 3 * width), (width + 5, width + 6), (3 * width, 3 * width + 9), (3 * width + 9, 3 * width + 20), (5 * width - 3, 5 * width + 3), (5 * width, 5 * width + 1),
+        (7 * width, 7 * width), (7 * width - 2, 7 * width + 2), (9 * width, 9 * width + 4), (9 * width, 9 * width + 4),
+    ])]
+    d = spark.createDataFrame(rows, "iteration int, to_chrom string, own long, rank long, id string, score double, draw int, s long, e long, side string")
+    meets = lambda a, b: a[7] < a[8] and b[7] < b[8] and a[7] < b[8] and b[7] < a[8]
+    want = sorted(a[2] for a in rows if any(meets(a, b) for b in rows if b[2] != a[2]))
+    assert sorted(r["own"] for r in M._meeting(d, ["iteration", "to_chrom"]).collect()) == want == [0, 1, 4, 5, 8, 9]
+    placed = [(0, "c", 0, 0, "p", 1.0, 0, s, e, "+") for s, e in [(2 * width, 2 * width + 1), (3 * width + 9, 5 * width - 3), (5 * width + 1, 5 * width + 2), (7 * width + 2, 9 * width + 1)]]
+    free = M._free(d, spark.createDataFrame(placed, d.schema), ["iteration", "to_chrom"]).collect()
+    assert sorted(r["own"] for r in free) == sorted(a[2] for a in rows if not any(meets(a, p) for p in placed)) == [1, 2, 5, 6, 7]
+
+
 def test_a_full_genome_is_filled_in_rounds(spark):
     f = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit("c").alias("chrom"), F.col("id").alias("start"), (F.col("id") + 10).alias("end"), F.lit(1.0).alias("score"), F.lit("+").alias("strand"))
     chroms = spark.createDataFrame([("c", 700, 1)], "chrom string, size long, copies int")
