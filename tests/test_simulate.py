@@ -1,5 +1,6 @@
 import inspect
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,30 @@ def test_a_full_genome_is_filled_in_rounds(spark):
     chroms = spark.createDataFrame([("c", 700, 1)], "chrom string, size long, copies int")
     got = M.permute(f, chroms, iterations=1, seed=3).where("iteration = 0").orderBy("start").collect()
     assert len(got) == 40 and all(a["end"] <= b["start"] for a, b in zip(got, got[1:]))
+
+
+def test_placements_are_written_about_once(spark, monkeypatch):
+    """What rounds keep between jobs: each placement once, and what is left for later rounds."""
+    kept = []
+    for how in ("materialized", "stored"):
+        f = getattr(M, how, None)
+        if f is not None:
+            monkeypatch.setattr(M, how, lambda d, f=f: [t := f(d), kept.append(t.count())][0])
+    rows = [(str(i), f"chr{i % 3 + 1}", i * 100, i * 100 + 50 + i % 40, 0.0, "+") for i in range(300)]
+    features = spark.createDataFrame(rows, "id string, chrom string, start long, end long, score double, strand string")
+    chroms = spark.createDataFrame([(f"chr{i}", 400_000) for i in (1, 2, 3)], "chrom string, size long")
+    placed = M.permute(features, chroms, iterations=10, seed=4, exclusions=features.where("id % 7 = 0"))
+    assert placed.where("iteration >= 0").count() == 3000
+    assert sum(kept) < 1.5 * 3000 + 2 * 300
+
+
+def test_crowded_draws_are_told_apart_by_rank_in_long_chains(spark, monkeypatch):
+    """Chains of any length give what comparing all pairs gives."""
+    rng = random.Random(3)
+    rows = [(0, i, "c", s, s + rng.randint(1, 90), rng.getrandbits(40)) for i in range(300) for s in [rng.randint(0, 6000)]]
+    d = spark.createDataFrame(rows, "iteration int, fid long, to_chrom string, s long, e long, rank long")
+    want = sorted(a[1] for a in rows if any(a[3] < b[4] and b[3] < a[4] and b[5] > a[5] for b in rows))
+    for chain in (64, 3):
+        monkeypatch.setattr(M, "CHAIN", chain)
+        met = M._chained(M._in_cells(d, 90), ["iteration", "to_chrom"]).where("met")
+        assert sorted(r["fid"] for r in M._beaten(met, ["iteration", "to_chrom"], 90).collect()) == want
