@@ -164,3 +164,24 @@ def test_crowded_draws_are_told_apart_by_rank_in_long_chains(spark, monkeypatch)
         monkeypatch.setattr(M, "CHAIN", chain)
         met = M._chained(M._in_cells(d, 90), ["iteration", "to_chrom"]).where("met")
         assert sorted(r["fid"] for r in M._beaten(met, ["iteration", "to_chrom"], 90).collect()) == want
+
+
+def test_a_draw_is_computed_once_and_not_for_each_chromosome(spark, world):
+    f, _, _ = world
+    d = M.draws(f.withColumns({"iteration": F.lit(0), "own": F.col("id")}), [(f"c{i}", 100, 1) for i in range(9)], F.lit(0), 4, seed=1, stranded=False)
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_hotspot_plans_do_not_grow_with_the_rounds(spark, world, monkeypatch):
+    _, chroms, _ = world
+    tables = []
+
+    def seen(features, chroms, *, exclusions=None, _permute=M.permute, **how):
+        tables.append(0 if exclusions is None else exclusions._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return _permute(features, chroms, exclusions=exclusions, **how)
+
+    monkeypatch.setattr(M, "permute", seen)
+    rows = [(f"n{n}.{i}", "c1", 100 * n + i, 100 * n + i + 20, 1.0, "+") for n in range(1, 5) for i in range(n)]
+    f = spark.createDataFrame(rows, "id string, chrom string, start long, end long, score double, strand string").withColumn("name", F.col("id"))
+    M.hotspot(f, chroms, iterations=2, seed=2).collect()
+    assert tables == [0, 1, 1, 1]
