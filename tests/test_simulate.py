@@ -185,3 +185,10 @@ def test_hotspot_plans_do_not_grow_with_the_rounds(spark, world, monkeypatch):
     f = spark.createDataFrame(rows, "id string, chrom string, start long, end long, score double, strand string").withColumn("name", F.col("id"))
     M.hotspot(f, chroms, iterations=2, seed=2).collect()
     assert tables == [0, 1, 1, 1]
+
+
+def test_broken_rules_are_counted(spark, world):
+    _, chroms, ex = world
+    rows = [(0, "c2", 5, 9), (0, "c2", 8, 12), (0, "c2", 12, 20), (0, "c1", 90, 101), (0, "c1", 900, 910), (0, "c1", 1990, 2001), (1, "c2", 65530, 65540), (1, "c2", 65539, 65600)]
+    placed = spark.createDataFrame(rows, "iteration int, chrom string, start long, end long")
+    assert sorted(map(tuple, M.rules_kept(placed, chroms, ex).collect())) == [(0, 5, 5, 4), (1, 0, 2, 0)]
