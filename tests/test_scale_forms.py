@@ -191,3 +191,13 @@ def test_builds_in_pieces_equal_edited_strings(spark):
         assert "".join(got[c][k] for k in sorted(got[c])) == want and all(len(got[c][k]) == 16 for k in sorted(got[c])[:-1])
     with pytest.raises(Exception, match="overlap"):
         G.build_pieces(pieces, df.unionByName(spark.createDataFrame([("a", "COORDINATES", "50", "60", "x")], df.schema)), 16).collect()
+
+
+def test_texts_that_cannot_overlap_are_not_put_in_order(spark):
+    seqs = spark.createDataFrame([("a", "abababacacTHETHETHEabab"), ("b", "THEab")], "chrom string, seq string")
+    pieces = G.in_pieces(seqs.select("chrom", F.lit(0).cast("long").alias("start"), "seq"), 4)
+    wanted = seqs.select("chrom", F.explode(F.array(*map(F.lit, ("aba", "the", "ab", "a")))).alias("text")).withColumn("name", F.col("text"))
+    laps = {r["text"]: r["laps"] for r in G._places(pieces, wanted.unionByName(wanted), 4).collect()}
+    assert laps == {"ABA": True, "THE": False, "AB": False, "A": False}
+    got = sorted((r["chrom"], r["name"], r["start"]) for r in G.find_in_pieces(pieces, wanted, 4).collect())
+    assert got == sorted((r["chrom"], r["name"], r["start"]) for r in G.find_features(seqs, wanted).collect())
