@@ -201,3 +201,15 @@ def test_texts_that_cannot_overlap_are_not_put_in_order(spark):
     assert laps == {"ABA": True, "THE": False, "AB": False, "A": False}
     got = sorted((r["chrom"], r["name"], r["start"]) for r in G.find_in_pieces(pieces, wanted, 4).collect())
     assert got == sorted((r["chrom"], r["name"], r["start"]) for r in G.find_features(seqs, wanted).collect())
+
+
+def test_sequences_are_changed_in_longer_pieces_than_they_come_in(spark, monkeypatch):
+    seqs = [("a", "xxTHEyyyTIONzzANq" * 3), ("b", "THETIO"), ("c", "q" * 9)]
+    changes = [(c, k, *x) for c, _ in seqs[:2] for k, *x in (("COORDINATES", "2", "4", "new"), ("FLANKS", "the", "tion", "+"), ("FLANKS", "tion", "an", ""))]
+    df, ch = spark.createDataFrame(seqs, "chrom string, seq string"), spark.createDataFrame(changes, "chrom string, kind string, left string, right string, text string")
+    pieces = G.in_pieces(df.select("chrom", F.lit(0).cast("long").alias("start"), "seq"), 3)
+    want = {c: G.edit_sequence(s, [x[1:] for x in changes if x[0] == c]) for c, s in seqs}
+    for work in (3, 6, None):
+        rows = G.build_pieces(pieces, ch, 3, work=work).orderBy("chrom", "start").collect()
+        assert {c: "".join(r["seq"] for r in rows if r["chrom"] == c) for c in want} == want
+        assert all(len(r["seq"]) == 3 for r in rows if r["start"] + 3 < len(want[r["chrom"]]))
