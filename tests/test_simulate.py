@@ -192,3 +192,21 @@ def test_broken_rules_are_counted(spark, world):
     rows = [(0, "c2", 5, 9), (0, "c2", 8, 12), (0, "c2", 12, 20), (0, "c1", 90, 101), (0, "c1", 900, 910), (0, "c1", 1990, 2001), (1, "c2", 65530, 65540), (1, "c2", 65539, 65600)]
     placed = spark.createDataFrame(rows, "iteration int, chrom string, start long, end long")
     assert sorted(map(tuple, M.rules_kept(placed, chroms, ex).collect())) == [(0, 5, 5, 4), (1, 0, 2, 0)]
+
+
+def test_simulate_shuffles_a_placement_once_to_be_counted(spark):
+    """Counting takes one shuffle of the queries; placements without scores are the same."""
+    from spanloom.operators.joins import crossing
+
+    f = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("chrom"), (F.col("id") * 7919 % 900000).alias("start"), F.lit(0.5).alias("score"), F.lit("+").alias("strand"))
+    f = f.withColumn("end", F.col("start") + 1 + F.col("id").cast("long") % 500)
+    refs = f.where("cast(id as long) % 3 = 0")
+    chroms = spark.createDataFrame([("a", 3_000_000)], "chrom string, size long")
+    own, bare = (M.permute(f, chroms, iterations=2, seed=3, scored=x).drop("score") for x in (True, False))
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, bare.collect()))
+    got = crossing(f, refs, "COUNT")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    rows, others = f.collect(), [(r.start, r.end) for r in refs.collect()]
+    want = {r.id: sum(a <= r.end and b >= r.start for a, b in others) for r in rows}
+    assert {r.id: r.cross_score for r in got.collect()} == want
