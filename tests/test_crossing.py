@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,16 @@ def test_gaps_and_weights_read_lines(spark):
 def test_a_query_of_one_base_does_not_cross_what_starts_behind_it(bed):
     got = X.crossing(bed([("c", 5, 6, "q", 1.0, "+")]), bed([("c", 6, 9, "r", 4.0, "+")]), "MAX_REF_SCORE", touch=False, max_null=-1.0)
     assert got.first()["cross_score"] == -1.0
+
+
+def test_count_ends_makes_its_cells_once(spark):
+    """References inside are counted at short and long levels of cells; the places' cells are made, and read, once."""
+    r = np.random.default_rng(17)
+    rows = lambda n: [("a", int(s), int(s + e), "x", 0.0, "+") for s, e in zip(r.integers(0, 900_000, n), 1 + 2 ** r.uniform(0, 19, n))]
+    queries, refs = rows(300), rows(400)
+    frame = lambda x: spark.createDataFrame(x, "chrom string, start long, end long, name string, score double, strand string")
+    got = X.crossing(frame(queries), frame(refs), "COUNT_ENDS")
+    want = sorted((s, e, float(sum(a <= e and b >= s and (a <= s <= b or a <= e <= b) for _, a, b, *_ in refs))) for _, s, e, *_ in queries)
+    assert sorted((x.start, x.end, x.cross_score) for x in got.collect()) == want
+    short = X.crossing(frame(queries).where("end - start < 60000"), frame(refs), "COUNT_ENDS")
+    assert short._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 5
