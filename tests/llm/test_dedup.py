@@ -163,6 +163,75 @@ def test_repeats_equal_brute_force(docs, corpus, length):
     assert got == brute_repeats(corpus, length)
 
 
+def brute_passages(corpus, passage):
+    """Per row: the runs of words covered by ``passage`` words that stand in another row, and their words."""
+    words = [[w for w in re.split(rb"[\x20\x09-\x0D]+", (t or "").encode()) if w] for _, t in corpus]
+    runs = [[tuple(w[s : s + passage]) for s in range(len(w) - passage + 1)] for w in words]
+    rows = Counter(x for r in runs for x in set(r))
+    out = []
+    for (i, _), w, r in zip(corpus, words, runs):
+        cover = bytearray(len(w))
+        for s, x in enumerate(r):
+            if rows[x] > 1:
+                cover[s : s + passage] = b"\1" * passage
+        out.append((i, sum(1 for k, c in enumerate(cover) if c and (k == 0 or not cover[k - 1])), sum(cover)))
+    return sorted(out)
+
+
+def counted_passages(docs, passage):
+    return sorted((x.doc_id, x.n_passages, x.n_passage_words) for x in remove_repeats(docs, passage=passage).collect())
+
+
+@pytest.mark.parametrize("group", [4000, 2])
+def test_passages_equal_brute_force(spark, monkeypatch, group):
+    """Passages shorter than the strings that are removed; beside each other, cut, changed in a word, rewrapped, and within a row."""
+    from spanloom.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "GROUP", group)
+    r = random.Random(8)
+
+    def some(n):
+        return [r.choice("abcdefgh") + str(r.randrange(400)) for _ in range(n)]
+
+    common, twin = [some(r.randrange(45, 75)) for _ in range(6)], some(130)
+    rows = []
+    for i in range(60):
+        w = some(r.randrange(30))
+        for _ in range(r.randrange(3)):
+            p = list(r.choice(common))
+            p = p[r.randrange(4) : len(p) - r.randrange(4)]
+            if r.random() < 0.3:
+                p[r.randrange(len(p))] = "changed"
+            w += p + some(r.choice([0, 1, 20]))
+        rows.append((i, r.choice([" ", "\n", " \t "]).join(w)))
+    own = some(60)
+    rows += [(100, " ".join(own + some(5) + own)), (101, " ".join(twin)), (101, " ".join(twin)), (102, " ".join(twin[:90] + some(3) + twin[40:])), (103, None), (104, " ".join(twin[:50]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_passages(rows, 51)
+    assert counted_passages(df, 51) == want
+    assert (100, 0, 0) in want and (101, 1, 130) in want and (104, 0, 0) in want
+    if group > 2:
+        assert [tuple(x)[:6] for x in remove_repeats(df, passage=51).sort("doc_id", "n_bytes").collect()] == [
+            tuple(x) for x in remove_repeats(df).sort("doc_id", "n_bytes").collect()
+        ]
+
+
+def test_passages_of_the_corpus_equal_brute_force(docs, corpus):
+    assert counted_passages(docs, 51) == brute_passages(corpus, 51)
+    assert counted_passages(docs, 16) == brute_passages(corpus, 16)
+
+
+def test_query_finds_a_passage_shorter_than_400_bytes(spark, tmp_path):
+    """A passage of 55 words (219 bytes) in two documents stays in the text by contract, and is counted."""
+    from spanloom.llm import queries
+
+    p = " ".join(f"w{k % 10}{k // 10}" for k in range(55))
+    rows = [(1, "one " + p + " two"), (2, p), (3, "one two three"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_passages, x.n_passage_words) for x in queries.op5_repeats(spark, str(tmp_path)).collect()}
+    assert len(p) == 219 and got == {1: (227, 0, 1, 55), 2: (219, 0, 1, 55), 3: (13, 0, 0, 0), 4: (0, 0, 0, 0)}
+
+
 def test_family_keeps_order_and_levels(spark, tmp_path):
     """Levels are sorted by content, grow like binary digits, and match later batches after they are opened again."""
     from spanloom.llm.suffixes import ANCHOR, SuffixFamily
