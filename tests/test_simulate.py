@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanloom import catalog
 from spanloom.operators import simulate as M
 from spanloom.operators.reshape import crosstab, uncrosstab
+from spanloom.sources.folders import stored
 
 FEATURES = [("f%d" % i, "c1" if i % 2 else "c2", i * 50, i * 50 + 5 + i, 1.0, "+") for i in range(12)]
 
@@ -210,3 +211,33 @@ def test_simulate_shuffles_a_placement_once_to_be_counted(spark):
     rows, others = f.collect(), [(r.start, r.end) for r in refs.collect()]
     want = {r.id: sum(a <= r.end and b >= r.start for a, b in others) for r in rows}
     assert {r.id: r.cross_score for r in got.collect()} == want
+
+
+def test_first_round_is_read_once_for_its_places(spark, monkeypatch):
+    """Rows that come twice or hold nulls keep their places and columns, and places are read from a round's table in one scan."""
+    tables = []
+
+    def noted(df):
+        tables.append(stored(df))
+        return tables[-1]
+
+    monkeypatch.setattr(M, "stored", noted)
+    rows = [(str(i % 60), "c1", 10 * i, 10 * i + 5 + i % 9, None if i % 7 == 0 else float(i), None if i % 11 == 0 else "+") for i in range(90)] + [(None, "c2", 0, 8, 1.0, "-")] * 2
+    f = spark.createDataFrame(rows, "id string, chrom string, start long, end long, score double, strand string")
+    shut = spark.createDataFrame([("c1", 100, 900), ("c2", 0, 50)], "chrom string, start long, end long")
+    placed = M.permute(f, spark.createDataFrame([("c1", 3000), ("c2", 1500)], "chrom string, size long"), iterations=3, seed=4, exclusions=shut)
+    got = placed.collect()
+    for i in range(-1, 3):
+        assert sorted(map(repr, ((r["id"], r["score"], r["strand"], r["end"] - r["start"]) for r in got if r["iteration"] == i))) == sorted(map(repr, ((x[0], x[4], x[5], x[3] - x[2]) for x in rows)))
+    taken = sorted((r["iteration"], r["chrom"], r["start"], r["end"]) for r in got if r["iteration"] >= 0)
+    assert all(a[:2] != b[:2] or a[3] <= b[2] for a, b in zip(taken, taken[1:]))
+    assert not any(c == "c1" and s < 900 and e > 100 or c == "c2" and s < 50 for _, c, s, e in taken)
+    first = next(t for t in tables if {"cell", "met", "taken"} <= {*t.columns})
+    assert first.where("met").count() and first.where("taken").count()
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = placed.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert plan.count(first.inputFiles()[0].rsplit("/", 2)[1]) == 1
